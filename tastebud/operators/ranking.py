@@ -79,7 +79,6 @@ def dense_index(df: DataFrame, id_col: str, index_col: str = "idx", num_partitio
     partition: a bounded broadcast).  No single-partition window, no driver
     collection of ids.
     """
-    from pyspark import TaskContext
     import pandas as pd
 
     spark = df.sparkSession
@@ -88,19 +87,24 @@ def dense_index(df: DataFrame, id_col: str, index_col: str = "idx", num_partitio
     ranged = ids.repartitionByRange(n_parts, id_col).sortWithinPartitions(id_col)
     id_type = df.schema[id_col].dataType.simpleString()
 
+    # A partition is named by its smallest id (range partitions are disjoint and
+    # ordered), not by the task's partition number, which shifts under unions.
     def number(batches):
-        pid = TaskContext.get().partitionId()
-        seen = 0
+        seen, first = 0, None
         for b in batches:
             m = len(b)
-            yield pd.DataFrame({id_col: b[id_col].values, "_pid": pid,
+            if m == 0:
+                continue
+            if first is None:
+                first = b[id_col].iloc[0]
+            yield pd.DataFrame({id_col: b[id_col].values, "_part": first,
                                 "_local": pd.RangeIndex(seen, seen + m).values})
             seen += m
 
-    local = ranged.mapInPandas(number, f"{id_col} {id_type}, _pid int, _local long")
-    offsets = (local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    local = ranged.mapInPandas(number, f"{id_col} {id_type}, _part {id_type}, _local long")
+    offsets = (local.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
                .withColumn("_off", F.coalesce(F.sum("_cnt").over(
-                   Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                   Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .drop("_cnt"))
-    return (local.join(F.broadcast(offsets), "_pid")
+    return (local.join(F.broadcast(offsets), "_part")
             .select(id_col, (F.col("_off") + F.col("_local")).cast("long").alias(index_col)))

@@ -104,3 +104,53 @@ FROM pu GROUP BY model, K"""
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# ------------------------------------------------------------- catalogue
+FEATS = ["popularity", "retail_price", "avg_quantity", "avg_discount", "avg_tax", "n_lines"]
+MIN_SUPPORT = 20
+MIN_POPULARITY = 25
+
+RAW = """raw AS (
+  SELECT p_partkey AS item_id, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_name END AS name,
+         '[''' || p_brand || ''', ''' || p_type || ''']' AS artists,
+         CAST(p_size AS DOUBLE) AS popularity, p_retailprice AS retail_price, 0 AS src_order
+  FROM part
+  UNION ALL
+  SELECT p_partkey, p_name, '[''' || p_brand || ''', ''' || p_type || ''']',
+         CAST(p_size AS DOUBLE), p_retailprice, 1
+  FROM part WHERE p_partkey % 13 = 0),
+lstats AS (
+  SELECT l_partkey AS item_id, avg(l_quantity) AS avg_quantity, avg(l_discount) AS avg_discount,
+         avg(l_tax) AS avg_tax, CAST(count(*) AS DOUBLE) AS n_lines
+  FROM lineitem GROUP BY l_partkey),
+rawf AS (
+  SELECT r.*, s.avg_quantity, s.avg_discount, s.avg_tax, s.n_lines
+  FROM raw r LEFT JOIN lstats s ON r.item_id = s.item_id)"""
+
+
+def catalog_ctes(min_support: int = MIN_SUPPORT, min_popularity: float = MIN_POPULARITY) -> str:
+    complete = " AND ".join([f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATS])
+    return RAW + f""",
+s1 AS (
+  SELECT * FROM (
+    SELECT *, trim(json_extract_string(replace(artists, '''', '"'), '$[0]')) AS artist FROM rawf)
+  WHERE artist IS NOT NULL),
+s2 AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY src_order) AS rn FROM s1)
+  WHERE rn = 1),
+s3 AS (
+  SELECT * FROM s2
+  WHERE item_id IS NOT NULL AND name IS NOT NULL AND artist IS NOT NULL AND {complete}),
+s4 AS (
+  SELECT * FROM s3 WHERE artist IN (
+    SELECT artist FROM s3 GROUP BY artist HAVING count(*) >= {min_support})),
+s5 AS (SELECT * FROM s4 WHERE popularity >= {min_popularity}),
+catalog AS (
+  SELECT item_id, name, artist, popularity, retail_price, avg_quantity, avg_discount, avg_tax, n_lines
+  FROM s5)"""
+
+
+def r6(expr: str) -> str:
+    return f"round({expr}, 6) + 0.0"

@@ -64,3 +64,22 @@ def content_leaderboard(spark: SparkSession, sf_dir: str, p: Params = P) -> Data
 
 def model_recs(recs: DataFrame, name: str) -> DataFrame:
     return with_model(recs, name).select("model", "user_id", "item_id", F.col("score"), F.col("rank"))
+
+
+# ------------------------------------------------------------- catalogue
+from tastebud.operators.catalog import CatalogSpec, prepare_catalog  # noqa: E402
+
+
+def catalog_spec(p: Params = P, **over) -> CatalogSpec:
+    kw = dict(feature_cols=list(tables.PART_FEATURES), min_support=p.min_support,
+              min_popularity=p.min_popularity)
+    kw.update(over)
+    return CatalogSpec(**kw)
+
+
+def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.raw_items_with_features(spark, sf_dir)
+
+
+def catalog(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
+    return prepare_catalog(raw_items(spark, sf_dir), catalog_spec(p))

@@ -50,3 +50,300 @@ _CONTENT_RECS_POS = "mrecs AS (SELECT 'content' AS model, user_id, item_id, rank
                                  O.metrics_ctes("mrecs")) + O.BOARD_SELECT)
 def q_leaderboard(spark, sf):
     return PL.content_leaderboard(spark, sf)
+
+
+# =============================================================== catalogue
+from tastebud.functions.numeric import r6  # noqa: E402
+from tastebud.functions.text import main_artist  # noqa: E402
+from tastebud.operators import catalog as C  # noqa: E402
+from tastebud.operators import interactions as IX  # noqa: E402
+from tastebud.operators import ranking as RK  # noqa: E402
+from tastebud.operators import sampling as SM  # noqa: E402
+from tastebud.operators import split as SP  # noqa: E402
+from tastebud.sources import tables as TB  # noqa: E402
+
+_FEATS = TB.PART_FEATURES
+_CAT = O.catalog_ctes()
+
+
+@register("main_artist", O.with_(O.RAW) + """
+SELECT item_id, src_order, trim(json_extract_string(replace(artists, '''', '"'), '$[0]')) AS artist FROM raw""")
+def q_main_artist(spark, sf):
+    return TB.raw_items(spark, sf).select("item_id", "src_order", main_artist("artists").alias("artist"))
+
+
+def _float_out(cols):
+    return [r6(c).alias(c) for c in cols]
+
+
+@register("catalog_prepared", O.with_(_CAT) + "SELECT item_id, name, artist, " +
+          ", ".join(f"{O.r6(c)} AS {c}" for c in _FEATS) + " FROM catalog")
+def q_catalog_prepared(spark, sf):
+    return PL.catalog(spark, sf).select("item_id", "name", "artist", *_float_out(_FEATS))
+
+
+@register("prep_funnel", O.with_(_CAT, """counts AS (
+  SELECT 0 AS step_no, 'input' AS step, (SELECT count(*) FROM rawf) AS rows_out
+  UNION ALL SELECT 1, 'parsed_artist', (SELECT count(*) FROM s1)
+  UNION ALL SELECT 2, 'deduplicated', (SELECT count(*) FROM s2)
+  UNION ALL SELECT 3, 'complete_rows', (SELECT count(*) FROM s3)
+  UNION ALL SELECT 4, 'artist_support', (SELECT count(*) FROM s4)
+  UNION ALL SELECT 5, 'popularity', (SELECT count(*) FROM s5))""") + """
+SELECT c.step_no, c.step, coalesce(p.rows_out, c.rows_out) AS rows_in, c.rows_out,
+       coalesce(p.rows_out, c.rows_out) - c.rows_out AS removed
+FROM counts c LEFT JOIN counts p ON p.step_no = c.step_no - 1""")
+def q_prep_funnel(spark, sf):
+    return C.catalog_funnel(PL.raw_items(spark, sf), PL.catalog_spec())
+
+
+@register("min_support_filter", """
+SELECT p_partkey AS item_id, p_brand AS artist FROM part
+WHERE p_brand IN (SELECT p_brand FROM part GROUP BY p_brand HAVING count(*) >= 80)""")
+def q_min_support_filter(spark, sf):
+    part = TB.table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("artist"))
+    return C.min_support_filter(part, "artist", 80)
+
+
+@register("dedup_keep_first", O.with_(_CAT) + "SELECT item_id, name, src_order FROM s2")
+def q_dedup_keep_first(spark, sf):
+    s1 = C.with_artist(PL.raw_items(spark, sf), PL.catalog_spec()).where(F.col("artist").isNotNull())
+    return RK.dedup_keep_first(s1, ["item_id"], ["src_order"]).select("item_id", "name", "src_order")
+
+
+_STD_SQL = O.with_(_CAT, "mom AS (SELECT " + ", ".join(
+    f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in _FEATS) + " FROM catalog)", "std AS (SELECT item_id, " +
+    ", ".join(f"CASE WHEN sd_{c} > 0 THEN ({c} - mu_{c}) / sd_{c} ELSE 0.0 END AS {c}" for c in _FEATS) +
+    " FROM catalog CROSS JOIN mom)")
+
+
+@register("standardized_features", _STD_SQL + "SELECT item_id, " + ", ".join(f"{O.r6(c)} AS {c}" for c in _FEATS)
+          + " FROM std")
+def q_standardized_features(spark, sf):
+    std = C.standardized_features(PL.catalog(spark, sf), _FEATS)
+    return std.select("item_id", *_float_out(_FEATS))
+
+
+@register("standardization_check", _STD_SQL + """, cells AS (SELECT unnest([""" + ", ".join(_FEATS) + """]) AS x FROM std)
+SELECT """ + O.r6("avg(x)") + " AS mean, " + O.r6("stddev_pop(x)") + " AS std, count(*) AS n_cells FROM cells")
+def q_standardization_check(spark, sf):
+    return C.standardization_check(C.standardized_features(PL.catalog(spark, sf), _FEATS), _FEATS)
+
+
+@register("feature_vectors", _STD_SQL + """, fl AS (SELECT unnest(['""" + "', '".join(_FEATS) + """']) AS feature,
+  CAST(generate_subscripts(['""" + "', '".join(_FEATS) + """'], 1) - 1 AS INTEGER) AS pos)
+SELECT s.item_id, fl.pos, fl.feature, """ + O.r6("CASE fl.pos " + " ".join(
+    f"WHEN {i} THEN s.{c}" for i, c in enumerate(_FEATS)) + " END") + """ AS value
+FROM std s CROSS JOIN fl""")
+def q_feature_vectors(spark, sf):
+    from tastebud.sources.io import vectors_to_array
+    std = C.standardized_features(PL.catalog(spark, sf), _FEATS)
+    vec = vectors_to_array(std, _FEATS)
+    names = F.array(*[F.lit(c) for c in _FEATS])
+    return vec.select("item_id", F.posexplode("features").alias("pos", "value")).select(
+        "item_id", F.col("pos").cast("int").alias("pos"), F.element_at(names, F.col("pos") + 1).alias("feature"),
+        r6("value").alias("value"))
+
+
+@register("feature_alignment_check", O.with_(_CAT, O.ITEMS) + """
+SELECT (SELECT count(*) FROM catalog c WHERE c.item_id IN (SELECT item_id FROM items)) AS n_matched,
+       (SELECT count(*) FROM catalog c WHERE c.item_id NOT IN (SELECT item_id FROM items)) AS n_only_catalog,
+       (SELECT count(*) FROM items i WHERE i.item_id NOT IN (SELECT item_id FROM catalog)) AS n_only_vectors""")
+def q_feature_alignment_check(spark, sf):
+    cat = PL.catalog(spark, sf).select("item_id").withColumn("_c", F.lit(1))
+    vec = TB.item_vectors(spark, sf).select("item_id").withColumn("_v", F.lit(1))
+    j = cat.join(vec, "item_id", "full")
+    return j.agg(F.count(F.when(F.col("_c").isNotNull() & F.col("_v").isNotNull(), 1)).alias("n_matched"),
+                 F.count(F.when(F.col("_v").isNull(), 1)).alias("n_only_catalog"),
+                 F.count(F.when(F.col("_c").isNull(), 1)).alias("n_only_vectors"))
+
+
+# ============================================================ interactions
+@register("interactions_implicit", O.with_(O.INTER) + "SELECT user_id, item_id, play FROM inter")
+def q_interactions_implicit(spark, sf):
+    return TB.interactions(spark, sf)
+
+
+@register("valid_interactions", O.with_(O.INTER, _CAT) +
+          "SELECT user_id, item_id FROM inter WHERE item_id IN (SELECT item_id FROM catalog)")
+def q_valid_interactions(spark, sf):
+    return IX.valid_interactions(TB.interactions(spark, sf), PL.catalog(spark, sf)).select("user_id", "item_id")
+
+
+@register("interaction_stats", O.with_(O.INTER) + """
+SELECT count(*) AS n_interactions, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
+       """ + O.r6("1.0 - count(*) / (CAST(count(DISTINCT user_id) AS DOUBLE) * count(DISTINCT item_id))") +
+          " AS sparsity FROM inter")
+def q_interaction_stats(spark, sf):
+    return IX.interaction_stats(TB.interactions(spark, sf))
+
+
+def _dist_sql(cte: str, label: str) -> str:
+    return f"""SELECT '{label}' AS dataset, count(*) AS n_groups, min(c) AS min, {O.r6('avg(c)')} AS mean,
+       {O.r6('median(c)')} AS median, max(c) AS max
+FROM (SELECT user_id, count(*) AS c FROM {cte} GROUP BY user_id)"""
+
+
+@register("per_user_distribution", O.with_(O.INTER, O.SPLIT) + "\nUNION ALL ".join(
+    _dist_sql(c, lab) for c, lab in (("inter", "interactions"), ("train", "train"), ("test", "test"))))
+def q_per_user_distribution(spark, sf):
+    tagged = PL.split_tagged(spark, sf)
+    parts = [IX.per_group_distribution(TB.interactions(spark, sf), "user_id", "interactions"),
+             IX.per_group_distribution(tagged.where("is_train"), "user_id", "train"),
+             IX.per_group_distribution(tagged.where("NOT is_train"), "user_id", "test")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("rating_triplets", O.with_(O.INTER_REPEATED) +
+          "SELECT user_id, item_id, sum(play) AS rating FROM inter_rep GROUP BY user_id, item_id")
+def q_rating_triplets(spark, sf):
+    return IX.rating_triplets(TB.interactions(spark, sf, distinct=False))
+
+
+_SPARSE = """sparse AS (
+  SELECT i.user_id, i.item_id FROM inter i WHERE i.item_id IN (
+    SELECT vec_id FROM embeddings WHERE vec_id IN (SELECT p_partkey FROM part)))"""
+
+
+def _sparse_inter(spark, sf):
+    return TB.interactions(spark, sf).join(TB.item_vectors(spark, sf).select("item_id"), "item_id", "left_semi")
+
+
+@register("excluded_users", O.with_(O.INTER, _SPARSE) + """
+SELECT user_id, count(*) AS n_interactions FROM sparse GROUP BY user_id HAVING count(*) < 2""")
+def q_excluded_users(spark, sf):
+    return SP.excluded_users(_sparse_inter(spark, sf))
+
+
+@register("split_stats", O.with_(O.INTER, O.SPLIT) + """
+SELECT (SELECT count(*) FROM inter) AS n_input,
+       (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM test) AS n_test,
+       (SELECT count(DISTINCT user_id) FROM train) AS n_train_users,
+       (SELECT count(DISTINCT user_id) FROM test) AS n_test_users,
+       """ + O.r6("100.0 * (SELECT count(*) FROM train) / (SELECT count(*) FROM inter)") + """ AS pct_train,
+       """ + O.r6("100.0 * (SELECT count(*) FROM test) / (SELECT count(*) FROM inter)") + """ AS pct_test,
+       (SELECT count(*) FROM (SELECT user_id FROM inter GROUP BY user_id HAVING count(*) < 2)) AS n_excluded_users""")
+def q_split_stats(spark, sf):
+    inter = TB.interactions(spark, sf)
+    tagged = PL.split_tagged(spark, sf)
+    s = tagged.agg(F.count(F.when(F.col("is_train"), 1)).alias("n_train"),
+                   F.count(F.when(~F.col("is_train"), 1)).alias("n_test"),
+                   F.countDistinct(F.when(F.col("is_train"), F.col("user_id"))).alias("n_train_users"),
+                   F.countDistinct(F.when(~F.col("is_train"), F.col("user_id"))).alias("n_test_users"))
+    n_in = inter.agg(F.count(F.lit(1)).alias("n_input"))
+    n_ex = SP.excluded_users(inter).agg(F.count(F.lit(1)).alias("n_excluded_users"))
+    from tastebud.operators.diagnostics import one_row
+    one = one_row(n_in, s, n_ex)
+    return one.select("n_input", "n_train", "n_test", "n_train_users", "n_test_users",
+                      r6(F.lit(100.0) * F.col("n_train") / F.col("n_input")).alias("pct_train"),
+                      r6(F.lit(100.0) * F.col("n_test") / F.col("n_input")).alias("pct_test"),
+                      "n_excluded_users")
+
+
+_REP_SPLIT = O.SPLIT.replace("FROM inter)", "FROM inter_rep)").replace("ranked AS", "ranked AS", 1)
+
+
+@register("train_test_overlap", O.with_(O.INTER_REPEATED, _REP_SPLIT) + """
+SELECT count(*) AS n_overlap_pairs, count(DISTINCT user_id) AS n_users_affected FROM (
+  SELECT DISTINCT t.user_id, t.item_id FROM (SELECT DISTINCT user_id, item_id FROM train) t
+  JOIN (SELECT DISTINCT user_id, item_id FROM test) s ON t.user_id = s.user_id AND t.item_id = s.item_id)""")
+def q_train_test_overlap(spark, sf):
+    from tastebud.operators.diagnostics import train_test_overlap
+    tagged = SP.assign_split(TB.interactions(spark, sf, distinct=False))
+    return train_test_overlap(tagged.where("is_train"), tagged.where("NOT is_train"))
+
+
+@register("test_overlap_removed", O.with_(O.INTER_REPEATED, _REP_SPLIT) + """
+SELECT s.user_id, s.item_id FROM test s
+WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.item_id = s.item_id)""")
+def q_test_overlap_removed(spark, sf):
+    tagged = SP.assign_split(TB.interactions(spark, sf, distinct=False))
+    return SP.remove_test_overlap(tagged.where("is_train"), tagged.where("NOT is_train")).select("user_id", "item_id")
+
+
+@register("id_index", O.with_(O.INTER, O.SPLIT) + """
+SELECT 'user' AS kind, user_id AS id, row_number() OVER (ORDER BY user_id) - 1 AS idx
+FROM (SELECT DISTINCT user_id FROM train)
+UNION ALL
+SELECT 'item', item_id, row_number() OVER (ORDER BY item_id) - 1 FROM (SELECT DISTINCT item_id FROM train)""")
+def q_id_index(spark, sf):
+    train = PL.train_set(spark, sf)
+    u = RK.dense_index(train, "user_id").select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "idx")
+    i = RK.dense_index(train, "item_id").select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), "idx")
+    return u.unionByName(i)
+
+
+_BRAND = "brand AS (SELECT p_partkey AS item_id, p_brand AS artist FROM part)"
+
+
+def _brand(spark, sf):
+    return TB.table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("artist"))
+
+
+_PROFILE_SQL = """uprof AS (
+  SELECT user_id, arg_min(artist, (-c, artist)) AS favorite_group, sum(c) AS n_items, max(c) AS fav
+  FROM (SELECT i.user_id, b.artist, count(*) AS c FROM inter i JOIN brand b ON i.item_id = b.item_id
+        GROUP BY i.user_id, b.artist)
+  GROUP BY user_id)"""
+
+
+@register("user_profile", O.with_(O.INTER, _BRAND, _PROFILE_SQL) + """
+SELECT user_id, favorite_group, CAST(n_items AS BIGINT) AS n_items,
+       """ + O.r6("CASE WHEN n_items > 0 THEN (n_items - fav) / CAST(n_items AS DOUBLE) ELSE 0.0 END") +
+          " AS noise_ratio FROM uprof")
+def q_user_profile(spark, sf):
+    return IX.user_group_profile(TB.interactions(spark, sf), _brand(spark, sf))
+
+
+@register("top_groups", O.with_(O.INTER, _BRAND, _PROFILE_SQL) + """
+SELECT favorite_group, count(*) AS n FROM uprof GROUP BY favorite_group ORDER BY n DESC, favorite_group LIMIT 5""")
+def q_top_groups(spark, sf):
+    prof = IX.user_group_profile(TB.interactions(spark, sf), _brand(spark, sf))
+    return IX.top_groups(prof, "favorite_group", 5)
+
+
+@register("artist_counts", O.with_(_CAT) + "SELECT artist, count(*) AS n FROM catalog GROUP BY artist")
+def q_artist_counts(spark, sf):
+    return IX.group_counts(PL.catalog(spark, sf), "artist")
+
+
+@register("group_share", O.with_(_CAT) + """
+SELECT artist, count(*) AS n, """ + O.r6("count(*) / CAST(sum(count(*)) OVER () AS DOUBLE)") + """ AS share
+FROM catalog GROUP BY artist""")
+def q_group_share(spark, sf):
+    return IX.group_share(PL.catalog(spark, sf), "artist")
+
+
+@register("group_items", O.with_(_CAT) + """
+SELECT artist, item_id, count(*) OVER (PARTITION BY artist) AS n_items FROM catalog
+WHERE artist IN (SELECT artist FROM catalog GROUP BY artist HAVING count(*) >= 20)""")
+def q_group_items(spark, sf):
+    cat = PL.catalog(spark, sf)
+    counts = IX.group_counts(cat, "artist", "n_items").where(F.col("n_items") >= 20)
+    return cat.select("artist", "item_id").join(counts, "artist")
+
+
+@register("sample_per_group", O.with_(O.INTER) + """
+SELECT user_id, item_id, sample_pos FROM (
+  SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY """ +
+          O._md5("user_id", "item_id") + """, item_id) AS sample_pos FROM inter)
+WHERE sample_pos <= 10""")
+def q_sample_per_group(spark, sf):
+    return SM.sample_per_group(TB.interactions(spark, sf), ["user_id"], 10, "item_id").select(
+        "user_id", "item_id", F.col("sample_pos"))
+
+
+_HEX13 = "CAST(('0x' || substr({k}, 1, 13)) AS BIGINT)"
+
+
+@register("weighted_group_pick", O.with_(O.INTER, _CAT, """g AS (
+  SELECT artist, CAST(count(*) AS DOUBLE) AS w FROM catalog GROUP BY artist),
+iv AS (
+  SELECT artist, (sum(w) OVER (ORDER BY artist) - w) / sum(w) OVER () AS lo,
+         sum(w) OVER (ORDER BY artist) / sum(w) OVER () AS hi FROM g),
+us AS (
+  SELECT user_id, (CAST(""" + _HEX13.format(k=O._md5("user_id")) + """ AS DOUBLE) + 1.0) / (""" +
+    f"{float(16 ** 13)} + 1.0" + """) AS u FROM (SELECT DISTINCT user_id FROM inter))""") + """
+SELECT us.user_id, iv.artist AS picked_group FROM us JOIN iv ON us.u >= iv.lo AND us.u < iv.hi""")
+def q_weighted_group_pick(spark, sf):
+    groups = IX.group_counts(PL.catalog(spark, sf), "artist")
+    return SM.weighted_group_pick(TB.interactions(spark, sf), groups, group_col="artist")
