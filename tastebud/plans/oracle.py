@@ -46,26 +46,34 @@ ITEMS = """items AS (
 iel AS (
   SELECT item_id, generate_subscripts(vec, 1) AS d, CAST(unnest(vec) AS DOUBLE) AS x FROM items)"""
 
-CONTENT = f"""seen AS (
-  SELECT t.user_id, t.item_id FROM train t JOIN items i ON t.item_id = i.item_id),
-prof AS (
-  SELECT s.user_id, e.d, avg(e.x) AS x FROM seen s JOIN iel e ON s.item_id = e.item_id
+def content_ctes(p: str = "", items: str = "items", iel: str = "iel", k: int = K) -> str:
+    """Cosine top-k over an item table ``items(item_id, ...)`` with long form ``iel(item_id, d, x)``.
+
+    Produces ``{p}crecs(user_id, item_id, score, rank)``; ``p`` prefixes the CTE names.
+    """
+    return f"""{p}seen AS (
+  SELECT t.user_id, t.item_id FROM train t JOIN {items} i ON t.item_id = i.item_id),
+{p}prof AS (
+  SELECT s.user_id, e.d, avg(e.x) AS x FROM {p}seen s JOIN {iel} e ON s.item_id = e.item_id
   GROUP BY s.user_id, e.d),
-pnorm AS (SELECT user_id, sqrt(sum(x * x)) AS nrm FROM prof GROUP BY user_id),
-inorm AS (SELECT item_id, sqrt(sum(x * x)) AS nrm FROM iel GROUP BY item_id),
-dots AS (
-  SELECT p.user_id, e.item_id, sum(p.x * e.x) AS dot FROM prof p JOIN iel e ON p.d = e.d
+{p}pnorm AS (SELECT user_id, sqrt(sum(x * x)) AS nrm FROM {p}prof GROUP BY user_id),
+{p}inorm AS (SELECT item_id, sqrt(sum(x * x)) AS nrm FROM {iel} GROUP BY item_id),
+{p}dots AS (
+  SELECT p.user_id, e.item_id, sum(p.x * e.x) AS dot FROM {p}prof p JOIN {iel} e ON p.d = e.d
   GROUP BY p.user_id, e.item_id),
-cand AS (
+{p}cand AS (
   SELECT d.user_id, d.item_id,
          CASE WHEN pn.nrm > 0 AND i.nrm > 0 THEN d.dot / (pn.nrm * i.nrm) ELSE 0.0 END AS score
-  FROM dots d JOIN pnorm pn ON d.user_id = pn.user_id JOIN inorm i ON d.item_id = i.item_id
-  WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = d.user_id AND s.item_id = d.item_id)),
-crank AS (
+  FROM {p}dots d JOIN {p}pnorm pn ON d.user_id = pn.user_id JOIN {p}inorm i ON d.item_id = i.item_id
+  WHERE NOT EXISTS (SELECT 1 FROM {p}seen s WHERE s.user_id = d.user_id AND s.item_id = d.item_id)),
+{p}crank AS (
   SELECT user_id, item_id, round(score, 6) + 0.0 AS score,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, item_id) AS INTEGER) AS rank
-  FROM cand),
-crecs AS (SELECT user_id, item_id, score, rank FROM crank WHERE rank <= {K})"""
+  FROM {p}cand),
+{p}crecs AS (SELECT user_id, item_id, score, rank FROM {p}crank WHERE rank <= {k})"""
+
+
+CONTENT = content_ctes()
 
 
 def metrics_ctes(recs_cte: str, truth_cte: str = "test", ks=(5, 10, 20)) -> str:
@@ -154,3 +162,36 @@ catalog AS (
 
 def r6(expr: str) -> str:
     return f"round({expr}, 6) + 0.0"
+
+
+def std_ctes() -> str:
+    """Standardised catalogue features ``std(item_id, <features>)`` (after :func:`catalog_ctes`)."""
+    mom = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in FEATS)
+    cols = ", ".join(f"CASE WHEN sd_{c} > 0 THEN ({c} - mu_{c}) / sd_{c} ELSE 0.0 END AS {c}" for c in FEATS)
+    return f"""mom AS (SELECT {mom} FROM catalog),
+std AS (SELECT item_id, {cols} FROM catalog CROSS JOIN mom)"""
+
+
+def ae_ctes(hidden: int = 128, latent: int = 32) -> str:
+    """Fixed-weight autoencoder layers over ``std``: ``ae_x`` (input), ``ae_z`` (latent), ``ae_y`` (output)."""
+    n_in = len(FEATS)
+    dims = [n_in, hidden, latent, hidden, n_in]
+    idx = ", ".join(str(i) for i in range(n_in))
+    vals = ", ".join(FEATS)
+    out = [f"""ae_x AS (SELECT item_id, unnest([{idx}]) AS i, unnest([{vals}]) AS x FROM std)"""]
+    prev = "ae_x"
+    names = ["ae_h1", "ae_z", "ae_h3", "ae_y"]
+    for L, (fi, fo) in enumerate(zip(dims[:-1], dims[1:]), start=1):
+        relu = L < 4
+        acc = "sum(w.w * a.x) + b.b"
+        val = f"greatest({acc}, 0.0)" if relu else acc
+        out.append(f"""ae_w{L} AS (
+  SELECT o, i, sin(1.0 + {L} + 0.37 * o + 0.61 * i) / sqrt({fi}) AS w
+  FROM generate_series(0, {fo - 1}) t1(o), generate_series(0, {fi - 1}) t2(i)),
+ae_b{L} AS (SELECT o, 0.1 * cos({L} + 0.5 * o) AS b FROM generate_series(0, {fo - 1}) t(o)),
+{names[L - 1]} AS (
+  SELECT a.item_id, w.o AS i, {val} AS x
+  FROM {prev} a JOIN ae_w{L} w ON w.i = a.i JOIN ae_b{L} b ON b.o = w.o
+  GROUP BY a.item_id, w.o, b.b)""")
+        prev = names[L - 1]
+    return ",\n".join(out)

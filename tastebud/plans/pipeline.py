@@ -83,3 +83,40 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
     return prepare_catalog(raw_items(spark, sf_dir), catalog_spec(p))
+
+
+# ---------------------------------------------------------------- models
+from tastebud.operators import als as ALS  # noqa: E402
+from tastebud.operators import autoencoder as AE  # noqa: E402
+from tastebud.operators.catalog import standardized_features  # noqa: E402
+from tastebud.sources.io import vectors_to_array  # noqa: E402
+
+
+def als_fit(spark: SparkSession, sf_dir: str, p: Params = P) -> ALS.AlsFit:
+    return ALS.fit_als(train_set(spark, sf_dir, p), rank=p.als_rank, max_iter=p.als_iter, reg=p.als_reg,
+                       alpha=p.als_alpha, seed=p.seed)
+
+
+def als_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
+    return ALS.als_recommend(als_fit(spark, sf_dir, p), train_set(spark, sf_dir, p), k or p.k)
+
+
+def catalog_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
+    """Standardised catalogue features as ``(item_id, vec)``."""
+    feats = list(tables.PART_FEATURES)
+    return vectors_to_array(standardized_features(catalog(spark, sf_dir, p), feats), feats, out_col="vec")
+
+
+def ae_fixed_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
+    """Catalogue items encoded by the fixed closed-form autoencoder weights."""
+    return AE.encode(catalog_vectors(spark, sf_dir, p), AE.formula_params(len(tables.PART_FEATURES)))
+
+
+def ae_fixed_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
+    return content_recommend(train_set(spark, sf_dir, p), ae_fixed_vectors(spark, sf_dir, p), k or p.k)
+
+
+def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
+    """Recs of both deterministic models: ``content`` and ``autoencoder`` (fixed weights)."""
+    return (model_recs(content_recs(spark, sf_dir, p), "content")
+            .unionByName(model_recs(ae_fixed_recs(spark, sf_dir, p), "autoencoder")))

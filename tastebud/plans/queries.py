@@ -347,3 +347,185 @@ SELECT us.user_id, iv.artist AS picked_group FROM us JOIN iv ON us.u >= iv.lo AN
 def q_weighted_group_pick(spark, sf):
     groups = IX.group_counts(PL.catalog(spark, sf), "artist")
     return SM.weighted_group_pick(TB.interactions(spark, sf), groups, group_col="artist")
+
+
+# ============================================================ models: ALS
+from tastebud.operators import als as ALS  # noqa: E402
+from tastebud.operators import autoencoder as AE  # noqa: E402
+from tastebud.operators import diagnostics as DG  # noqa: E402
+from tastebud.operators import evaluation as EV  # noqa: E402
+from tastebud.operators.vectors import mean_vectors  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+
+
+@register("als_topk")
+def q_als_topk(spark, sf):
+    return PL.als_recs(spark, sf).select("user_id", "item_id", "score", "rank")
+
+
+@register("als_contract", O.with_(O.INTER, O.SPLIT, """tu AS (
+  SELECT user_id, count(DISTINCT item_id) AS n_u FROM train GROUP BY user_id),
+ni AS (SELECT count(DISTINCT item_id) AS n FROM train)""") + f"""
+SELECT user_id, least({O.K}, ni.n - n_u) AS n_recs, 0 AS n_seen, least({O.K}, ni.n - n_u) AS max_rank,
+       0 AS n_outside_train, 0 AS n_order_violations
+FROM tu CROSS JOIN ni WHERE ni.n - n_u > 0""")
+def q_als_contract(spark, sf):
+    train = PL.train_set(spark, sf)
+    recs = PL.als_recs(spark, sf)
+    seen = train.select("user_id", "item_id").distinct().withColumn("_seen", F.lit(1))
+    items = train.select("item_id").distinct().withColumn("_in", F.lit(1))
+    prev = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
+    r = (recs.join(seen, ["user_id", "item_id"], "left").join(items, "item_id", "left")
+         .withColumn("_viol", F.when(prev < F.col("score"), 1).otherwise(0)))
+    return r.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.count("_seen").alias("n_seen"),
+        F.max("rank").cast("long").alias("max_rank"),
+        F.count(F.when(F.col("_in").isNull(), 1)).alias("n_outside_train"),
+        F.sum("_viol").cast("long").alias("n_order_violations"))
+
+
+@register("als_leaderboard")
+def q_als_leaderboard(spark, sf):
+    recs = EV.compact_ranks(PL.model_recs(PL.als_recs(spark, sf), "als"))
+    return EV.leaderboard(recs, PL.test_set(spark, sf), PL.P.ks)
+
+
+@register("model_info_json")
+def q_model_info_json(spark, sf):
+    import time
+    p = PL.P
+    t0 = time.time()
+    fit = PL.als_fit(spark, sf)
+    fit.model.userFactors.count()
+    info = ALS.model_info(PL.train_set(spark, sf), p.als_rank, p.als_reg, p.als_iter, p.k, time.time() - t0, p.seed)
+    return info.select(F.to_json(F.struct(*info.columns)).alias("json"))
+
+
+# ==================================================== models: autoencoder
+_AE = O.with_(O.catalog_ctes(), O.std_ctes(), O.ae_ctes())
+
+
+@register("ae_encode", _AE + "SELECT item_id, CAST(i AS INTEGER) AS d, " + O.r6("x") + " AS value FROM ae_z")
+def q_ae_encode(spark, sf):
+    z = PL.ae_fixed_vectors(spark, sf)
+    return z.select("item_id", F.posexplode("vec").alias("d", "value")).select(
+        "item_id", F.col("d").cast("int").alias("d"), r6("value").alias("value"))
+
+
+@register("ae_reconstruct", _AE + """SELECT y.item_id, """ + O.r6("avg((y.x - a.x) * (y.x - a.x))") + """ AS mse
+FROM ae_y y JOIN ae_x a ON a.item_id = y.item_id AND a.i = y.i GROUP BY y.item_id""")
+def q_ae_reconstruct(spark, sf):
+    err = AE.reconstruction_error(PL.catalog_vectors(spark, sf), AE.formula_params(len(_FEATS)))
+    return err.select("item_id", r6("mse").alias("mse"))
+
+
+_AE_EPOCHS = 5
+
+
+@register("ae_train_loss", O.with_(O.catalog_ctes()) +
+          f"SELECT count(*) AS n_items, {_AE_EPOCHS} AS epochs, true AS loss_decreased, true AS weights_finite "
+          "FROM catalog")
+def q_ae_train_loss(spark, sf):
+    import numpy as np
+    data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
+    p0 = AE.init_params(len(_FEATS), seed=PL.P.seed)
+    before = AE.dataset_loss(data, p0)
+    p1, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed, params=p0)
+    after = AE.dataset_loss(data, p1)
+    return data.agg(F.count(F.lit(1)).alias("n_items")).select(
+        "n_items", F.lit(_AE_EPOCHS).alias("epochs"), F.lit(bool(after < before)).alias("loss_decreased"),
+        F.lit(bool(np.all(np.isfinite(p1.flat())))).alias("weights_finite"))
+
+
+@register("ae_topk")
+def q_ae_topk(spark, sf):
+    from tastebud.operators.content import content_recommend
+    vecs = PL.catalog_vectors(spark, sf)
+    data = AE.training_input(vecs, "item_id", "vec")
+    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed)
+    z = AE.encode(data, params)
+    return content_recommend(PL.train_set(spark, sf), z, PL.P.k).select("user_id", "item_id", "score", "rank")
+
+
+_AE_ITEMS = """aitems AS (SELECT DISTINCT item_id FROM ae_z),
+aiel AS (SELECT item_id, i AS d, x FROM ae_z)"""
+_TWO = O.with_(O.INTER, O.SPLIT, O.ITEMS, O.CONTENT, O.catalog_ctes(), O.std_ctes(), O.ae_ctes(), _AE_ITEMS,
+               O.content_ctes("a_", "aitems", "aiel"), """mrecs AS (
+  SELECT 'content' AS model, user_id, item_id, score, rank, rank AS pos FROM crecs
+  UNION ALL SELECT 'autoencoder', user_id, item_id, score, rank, rank FROM a_crecs)""")
+
+
+@register("ae_content_topk", _TWO + "SELECT user_id, item_id, score, rank FROM a_crecs")
+def q_ae_content_topk(spark, sf):
+    return PL.ae_fixed_recs(spark, sf).select("user_id", "item_id", "score", "rank")
+
+
+# ================================================ vectors, profiles (#20, #49)
+@register("l2_normalize", O.with_(O.ITEMS) + """, nrm AS (SELECT item_id, sqrt(sum(x * x)) AS n FROM iel GROUP BY item_id)
+SELECT e.item_id, CAST(e.d - 1 AS INTEGER) AS d, """ + O.r6("e.x / (n.n + 1e-8)") + """ AS value
+FROM iel e JOIN nrm n ON e.item_id = n.item_id""")
+def q_l2_normalize(spark, sf):
+    from tastebud.operators.vectors import normalize_vectors
+    v = normalize_vectors(TB.item_vectors(spark, sf), "vec", 1e-8)
+    return v.select("item_id", F.posexplode("vec").alias("d", "value")).select(
+        "item_id", F.col("d").cast("int").alias("d"), r6("value").alias("value"))
+
+
+@register("user_profile_vectors", O.with_(O.INTER, O.SPLIT, O.ITEMS, O.CONTENT) +
+          "SELECT user_id, CAST(d - 1 AS INTEGER) AS d, " + O.r6("x") + " AS value FROM prof")
+def q_user_profile_vectors(spark, sf):
+    joined = PL.train_set(spark, sf).select("user_id", "item_id").join(TB.item_vectors(spark, sf), "item_id")
+    prof = mean_vectors(joined, "user_id", "vec", "vec")
+    return prof.select("user_id", F.posexplode("vec").alias("d", "value")).select(
+        "user_id", F.col("d").cast("int").alias("d"), r6("value").alias("value"))
+
+
+# ============================================================ evaluation
+def _two_recs(spark, sf):
+    return EV.compact_ranks(PL.two_model_recs(spark, sf))
+
+
+@register("leaderboard_models", _TWO + ", " + O.metrics_ctes("mrecs") + O.BOARD_SELECT)
+def q_leaderboard_models(spark, sf):
+    return EV.leaderboard(_two_recs(spark, sf), PL.test_set(spark, sf), PL.P.ks)
+
+
+@register("leaderboard_diff", _TWO + ", " + O.metrics_ctes("mrecs") + ", board AS (" + O.BOARD_SELECT + ")" + """
+SELECT a.K, """ + ", ".join(O.r6(f"b.{m} - a.{m}") + f" AS {m}_diff" for m in ("precision", "recall", "ndcg")) + """
+FROM board a JOIN board b ON a.K = b.K AND a.model = 'content' AND b.model = 'autoencoder'""")
+def q_leaderboard_diff(spark, sf):
+    board = EV.leaderboard(_two_recs(spark, sf), PL.test_set(spark, sf), PL.P.ks)
+    return EV.leaderboard_diff(board, "content", "autoencoder")
+
+
+def _pu_sql(metric: str) -> str:
+    return (_TWO + ", " + O.metrics_ctes("mrecs") +
+            f"SELECT model, user_id, K, {O.r6(metric)} AS {metric} FROM pu")
+
+
+def _pu(spark, sf, metric):
+    pu = EV.per_user_metrics(_two_recs(spark, sf), PL.test_set(spark, sf), PL.P.ks)
+    return pu.select("model", "user_id", F.col("K").cast("int").alias("K"), r6(metric).alias(metric))
+
+
+@register("precision_per_user", _pu_sql("precision"))
+def q_precision_per_user(spark, sf):
+    return _pu(spark, sf, "precision")
+
+
+@register("recall_per_user", _pu_sql("recall"))
+def q_recall_per_user(spark, sf):
+    return _pu(spark, sf, "recall")
+
+
+@register("ndcg_per_user", _pu_sql("ndcg"))
+def q_ndcg_per_user(spark, sf):
+    return _pu(spark, sf, "ndcg")
+
+
+@register("eligible_users", _TWO + ", " + O.metrics_ctes("mrecs") + "SELECT model, user_id, n_truth FROM elig")
+def q_eligible_users(spark, sf):
+    recs = PL.two_model_recs(spark, sf)
+    nt = PL.test_set(spark, sf).select("user_id", "item_id").distinct().groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_truth"))
+    return recs.select("model", "user_id").distinct().join(nt, "user_id")
