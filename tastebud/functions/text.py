@@ -47,6 +47,23 @@ def clip_text(col, width: int, default: str = "N/A") -> Column:
     return F.substring(F.coalesce(_c(col).cast("string"), F.lit(default)), 1, width)
 
 
+def decimal_text(col, decimals: int = 4, from_decimals: int = 6) -> Column:
+    """Fixed-decimal text of a value already rounded to ``from_decimals``, rounding
+    half away from zero on its integer scaled form (engine-independent)."""
+    c = _c(col).cast("double")
+    scaled = F.round(F.abs(c) * F.lit(10.0 ** from_decimals)).cast("long")
+    step = 10 ** (from_decimals - decimals)
+    q = ((scaled + F.lit(step // 2)) / F.lit(step)).cast("long")
+    unit = F.lit(10 ** decimals)
+    body = F.concat((q / unit).cast("long").cast("string"), F.lit("."),
+                    F.lpad(F.pmod(q, unit).cast("string"), decimals, "0"))
+    return F.concat(F.when((c < 0) & (q > 0), F.lit("-")).otherwise(F.lit("")), body)
+
+
 def fixed_width_line(rank, name, score, name_width: int = 50) -> Column:
     """``f"{rank:2d}. {name:<50} {score:.4f}"`` as a Spark expression."""
-    return F.format_string(f"%2d. %-{name_width}s %.4f", _c(rank), _c(name), _c(score))
+    r = _c(rank).cast("string")
+    r = F.when(F.length(r) < 2, F.lpad(r, 2, " ")).otherwise(r)
+    n = F.coalesce(_c(name), F.lit(""))
+    n = F.when(F.length(n) < name_width, F.rpad(n, name_width, " ")).otherwise(n)
+    return F.concat(r, F.lit(". "), n, F.lit(" "), decimal_text(score))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tastebud.operators.topk import top_k_scores
 from tastebud.operators.vectors import mean_vectors
+from tastebud.session import materialize
 
 
 def content_recommend(train: DataFrame, item_vecs: DataFrame, k: int, user_col: str = "user_id",
@@ -18,7 +19,8 @@ def content_recommend(train: DataFrame, item_vecs: DataFrame, k: int, user_col:
     """``(user_id, item_id, score, rank)``: top-``k`` unseen catalogue items per user."""
     # Repeated training rows weigh the profile mean, as a list of indices would.
     joined = train.select(user_col, item_col).join(item_vecs.select(item_col, vec_col), item_col)
-    profiles = mean_vectors(joined, user_col, vec_col, vec_col)
+    # Profiles feed the block sizing and the scoring: materialised once.
+    profiles = materialize(mean_vectors(joined, user_col, vec_col, vec_col))
     seen = joined.select(user_col, item_col)
     return top_k_scores(profiles, item_vecs.select(item_col, vec_col), k, seen=seen, metric="cosine",
                         user_col=user_col, item_col=item_col, vec_col=vec_col, **topk_kw)

@@ -28,11 +28,13 @@ INTER_REPEATED = """inter_rep AS (
 
 _NTRAIN = f"greatest(1, CAST(floor(n * {RATIO}) AS BIGINT))"
 
-SPLIT = f"""ranked AS (
+def split_of(source: str) -> str:
+    """Per-user split of a CTE ``source(user_id, item_id, play)``: ``ranked split train test``."""
+    return f"""ranked AS (
   SELECT user_id, item_id, play,
          row_number() OVER (PARTITION BY user_id ORDER BY {_md5('user_id', 'item_id')}, item_id) AS pos,
          count(*) OVER (PARTITION BY user_id) AS n
-  FROM inter),
+  FROM {source}),
 split AS (
   SELECT user_id, item_id, play, pos, n,
          CASE WHEN n - {_NTRAIN} = 0 AND n > 1 THEN n - 1 ELSE {_NTRAIN} END AS n_train
@@ -40,6 +42,14 @@ split AS (
 train AS (SELECT user_id, item_id, play, pos FROM split WHERE pos <= n_train),
 test AS (SELECT user_id, item_id, play, pos FROM split WHERE pos > n_train)"""
 
+
+# Interactions whose item is in the vector catalogue; the split runs on these.
+VALID = """vinter AS (
+  SELECT user_id, item_id, play FROM inter
+  WHERE item_id IN (SELECT vec_id FROM embeddings WHERE vec_id IN (SELECT p_partkey FROM part)))"""
+
+SPLIT = VALID + ",\n" + split_of("vinter")
+
 ITEMS = """items AS (
   SELECT vec_id AS item_id, embedding AS vec FROM embeddings
   WHERE vec_id IN (SELECT p_partkey FROM part)),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tastebud.operators.content import content_recommend, with_model
 from tastebud.operators.evaluation import DEFAULT_KS, compact_ranks, leaderboard
 from tastebud.operators.split import assign_split
+from tastebud.session import materialize
 from tastebud.sources import tables
 
 
@@ -40,26 +41,51 @@ class Params:
 P = Params()
 
 
-def split_tagged(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
-    return assign_split(tables.interactions(spark, sf_dir), seed=p.seed, train_ratio=p.train_ratio,
-                        min_interactions=p.min_interactions)
+def valid_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions whose item is in the vector catalogue — every interaction of
+    the reference is a catalogue item, so the split runs on these."""
+    return tables.interactions(spark, sf_dir).join(tables.item_vectors(spark, sf_dir).select("item_id"),
+                                                   "item_id", "left_semi")
 
 
-def train_set(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
-    return split_tagged(spark, sf_dir, p).where("is_train").select("user_id", "item_id", "play", "pos")
+_SPLIT_MEMO: dict = {}
 
 
-def test_set(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
-    return split_tagged(spark, sf_dir, p).where("NOT is_train").select("user_id", "item_id", "play", "pos")
+def split_tagged(spark: SparkSession, sf_dir: str, p: Params = P, materialized: bool = False) -> DataFrame:
+    """The per-user split of the valid interactions (``is_train``, ``pos``, ``n``).
 
+    ``materialized=True`` returns the checkpointed stage output, computed once
+    per (session, input, parameters) — the counterpart of the reference's
+    train/test files.
+    """
+    tagged = assign_split(valid_interactions(spark, sf_dir), seed=p.seed, train_ratio=p.train_ratio,
+                          min_interactions=p.min_interactions)
+    if not materialized:
+        return tagged
+    key = (spark.sparkContext.applicationId, sf_dir, p.seed, p.train_ratio, p.min_interactions)
+    if key not in _SPLIT_MEMO:
+        _SPLIT_MEMO[key] = materialize(tagged)
+    return _SPLIT_MEMO[key]
 
-def content_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
-    return content_recommend(train_set(spark, sf_dir, p), tables.item_vectors(spark, sf_dir), k or p.k)
+
+def train_set(spark: SparkSession, sf_dir: str, p: Params = P, materialized: bool = False) -> DataFrame:
+    return split_tagged(spark, sf_dir, p, materialized).where("is_train").select("user_id", "item_id", "play", "pos")
+
+
+def test_set(spark: SparkSession, sf_dir: str, p: Params = P, materialized: bool = False) -> DataFrame:
+    return (split_tagged(spark, sf_dir, p, materialized).where("NOT is_train")
+            .select("user_id", "item_id", "play", "pos"))
+
+
+def content_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None,
+                 materialized: bool = True) -> DataFrame:
+    return content_recommend(train_set(spark, sf_dir, p, materialized), tables.item_vectors(spark, sf_dir),
+                             k or p.k)
 
 
 def content_leaderboard(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
     recs = compact_ranks(with_model(content_recs(spark, sf_dir, p), "content"))
-    return leaderboard(recs, test_set(spark, sf_dir, p), p.ks)
+    return leaderboard(recs, test_set(spark, sf_dir, p, True), p.ks)
 
 
 def model_recs(recs: DataFrame, name: str) -> DataFrame:
@@ -93,12 +119,12 @@ from tastebud.sources.io import vectors_to_array  # noqa: E402
 
 
 def als_fit(spark: SparkSession, sf_dir: str, p: Params = P) -> ALS.AlsFit:
-    return ALS.fit_als(train_set(spark, sf_dir, p), rank=p.als_rank, max_iter=p.als_iter, reg=p.als_reg,
+    return ALS.fit_als(train_set(spark, sf_dir, p, True), rank=p.als_rank, max_iter=p.als_iter, reg=p.als_reg,
                        alpha=p.als_alpha, seed=p.seed)
 
 
 def als_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
-    return ALS.als_recommend(als_fit(spark, sf_dir, p), train_set(spark, sf_dir, p), k or p.k)
+    return ALS.als_recommend(als_fit(spark, sf_dir, p), train_set(spark, sf_dir, p, True), k or p.k)
 
 
 def catalog_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
@@ -113,7 +139,7 @@ def ae_fixed_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFra
 
 
 def ae_fixed_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
-    return content_recommend(train_set(spark, sf_dir, p), ae_fixed_vectors(spark, sf_dir, p), k or p.k)
+    return content_recommend(train_set(spark, sf_dir, p, True), ae_fixed_vectors(spark, sf_dir, p), k or p.k)
 
 
 def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:

@@ -215,15 +215,15 @@ def q_excluded_users(spark, sf):
 
 
 @register("split_stats", O.with_(O.INTER, O.SPLIT) + """
-SELECT (SELECT count(*) FROM inter) AS n_input,
+SELECT (SELECT count(*) FROM vinter) AS n_input,
        (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM test) AS n_test,
        (SELECT count(DISTINCT user_id) FROM train) AS n_train_users,
        (SELECT count(DISTINCT user_id) FROM test) AS n_test_users,
-       """ + O.r6("100.0 * (SELECT count(*) FROM train) / (SELECT count(*) FROM inter)") + """ AS pct_train,
-       """ + O.r6("100.0 * (SELECT count(*) FROM test) / (SELECT count(*) FROM inter)") + """ AS pct_test,
-       (SELECT count(*) FROM (SELECT user_id FROM inter GROUP BY user_id HAVING count(*) < 2)) AS n_excluded_users""")
+       """ + O.r6("100.0 * (SELECT count(*) FROM train) / (SELECT count(*) FROM vinter)") + """ AS pct_train,
+       """ + O.r6("100.0 * (SELECT count(*) FROM test) / (SELECT count(*) FROM vinter)") + """ AS pct_test,
+       (SELECT count(*) FROM (SELECT user_id FROM vinter GROUP BY user_id HAVING count(*) < 2)) AS n_excluded_users""")
 def q_split_stats(spark, sf):
-    inter = TB.interactions(spark, sf)
+    inter = PL.valid_interactions(spark, sf)
     tagged = PL.split_tagged(spark, sf)
     s = tagged.agg(F.count(F.when(F.col("is_train"), 1)).alias("n_train"),
                    F.count(F.when(~F.col("is_train"), 1)).alias("n_test"),
@@ -239,7 +239,7 @@ def q_split_stats(spark, sf):
                       "n_excluded_users")
 
 
-_REP_SPLIT = O.SPLIT.replace("FROM inter)", "FROM inter_rep)").replace("ranked AS", "ranked AS", 1)
+_REP_SPLIT = O.split_of("inter_rep")
 
 
 @register("train_test_overlap", O.with_(O.INTER_REPEATED, _REP_SPLIT) + """
@@ -529,3 +529,245 @@ def q_eligible_users(spark, sf):
     nt = PL.test_set(spark, sf).select("user_id", "item_id").distinct().groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_truth"))
     return recs.select("model", "user_id").distinct().join(nt, "user_id")
+
+
+# ===================================================== diagnostics (#86-#92)
+from tastebud.operators import reports as RP  # noqa: E402
+
+_TWO_POS = "mrecs"
+
+
+def _catalog_ids(spark, sf):
+    return PL.catalog(spark, sf).select("item_id")
+
+
+@register("truth_sets", O.with_(O.INTER, O.SPLIT) + """
+SELECT user_id, count(*) AS n_truth,
+       string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE rn <= 10) AS first_items,
+       greatest(count(*) - 10, 0) AS n_more
+FROM (SELECT user_id, item_id, pos, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS rn FROM test)
+GROUP BY user_id""")
+def q_truth_sets(spark, sf):
+    t = PL.test_set(spark, sf).select("user_id", "item_id", "pos")
+    p0 = t.groupBy("user_id").agg(F.min("pos").alias("_p0"), F.count(F.lit(1)).alias("n_truth"))
+    firsts = (t.join(p0, "user_id").where(F.col("pos") - F.col("_p0") < 10)
+              .groupBy("user_id", "n_truth")
+              .agg(F.array_sort(F.collect_list(F.struct("pos", "item_id"))).alias("_l")))
+    return firsts.select("user_id", "n_truth",
+                         F.concat_ws(",", F.transform("_l", lambda s: s["item_id"].cast("string"))).alias("first_items"),
+                         F.greatest(F.col("n_truth") - 10, F.lit(0)).alias("n_more"))
+
+
+@register("rec_lists", _TWO + """
+SELECT model, user_id, count(*) AS n_recs, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY pos) AS items
+FROM mrecs GROUP BY model, user_id""")
+def q_rec_lists(spark, sf):
+    return RP.rec_lists(_two_recs(spark, sf))
+
+
+@register("match_potential", _TWO + """, truth AS (SELECT DISTINCT user_id, item_id FROM test),
+ru AS (SELECT DISTINCT model, user_id FROM mrecs WHERE user_id IN (SELECT user_id FROM truth)),
+h AS (SELECT r.model, r.user_id, count(*) AS m FROM (SELECT DISTINCT model, user_id, item_id FROM mrecs) r
+      JOIN truth t ON r.user_id = t.user_id AND r.item_id = t.item_id GROUP BY r.model, r.user_id)
+SELECT ru.model, """ + O.r6("avg(coalesce(h.m, 0))") + """ AS mean_matches, max(coalesce(h.m, 0)) AS max_matches,
+       count(*) FILTER (WHERE coalesce(h.m, 0) > 0) AS users_with_match, count(*) AS n_users
+FROM ru LEFT JOIN h ON ru.model = h.model AND ru.user_id = h.user_id GROUP BY ru.model""")
+def q_match_potential(spark, sf):
+    return DG.match_potential(PL.two_model_recs(spark, sf), PL.test_set(spark, sf, materialized=True))
+
+
+@register("random_baseline", O.with_(O.INTER, O.SPLIT, O.catalog_ctes(), """ks AS (
+  SELECT CAST(unnest([5, 10, 20]) AS INTEGER) AS K),
+avgt AS (SELECT avg(c) AS a FROM (SELECT user_id, count(*) AS c FROM test GROUP BY user_id)),
+ncat AS (SELECT count(*) AS n FROM catalog)""") + """
+SELECT ks.K, """ + O.r6("a") + " AS avg_test_items, n AS catalog_size, " + O.r6("a / n * ks.K") +
+          " AS p_random_hit FROM ks CROSS JOIN avgt CROSS JOIN ncat")
+def q_random_baseline(spark, sf):
+    return DG.random_baseline(PL.test_set(spark, sf), PL.catalog(spark, sf))
+
+
+@register("dataset_summary", _TWO + """
+SELECT 'catalog' AS dataset, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_users FROM catalog
+UNION ALL SELECT 'train', count(*), count(DISTINCT user_id) FROM train
+UNION ALL SELECT 'test', count(*), count(DISTINCT user_id) FROM test
+UNION ALL SELECT 'recs_' || model, count(*), count(DISTINCT user_id) FROM mrecs GROUP BY model""")
+def q_dataset_summary(spark, sf):
+    recs = PL.two_model_recs(spark, sf)
+    named = {"train": PL.train_set(spark, sf, materialized=True), "test": PL.test_set(spark, sf, materialized=True)}
+    by_model = (recs.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
+                .select(F.concat(F.lit("recs_"), F.col("model")).alias("dataset"), "n_rows", "n_users"))
+    cat = PL.catalog(spark, sf).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit("catalog").alias("dataset"), "n_rows", F.lit(0).cast("long").alias("n_users"))  # no user column
+    return cat.unionByName(DG.dataset_summary(named)).unionByName(by_model)
+
+
+def _cov_sql(src: str, label: str) -> str:
+    return f"""SELECT '{label}' AS dataset, count(*) AS n_ids,
+       count(*) FILTER (WHERE item_id IN (SELECT item_id FROM catalog)) AS n_in_catalog,
+       count(*) FILTER (WHERE item_id NOT IN (SELECT item_id FROM catalog)) AS n_not_in_catalog
+FROM (SELECT DISTINCT item_id FROM {src})"""
+
+
+@register("catalog_coverage", _TWO + "\nUNION ALL ".join([
+    _cov_sql("train", "train"), _cov_sql("test", "test"),
+    _cov_sql("(SELECT item_id FROM mrecs WHERE model = 'content')", "recs_content"),
+    _cov_sql("(SELECT item_id FROM mrecs WHERE model = 'autoencoder')", "recs_autoencoder")]))
+def q_catalog_coverage(spark, sf):
+    recs = PL.two_model_recs(spark, sf)
+    cat = _catalog_ids(spark, sf)
+    parts = [DG.id_coverage(PL.train_set(spark, sf, materialized=True), cat, "train"),
+             DG.id_coverage(PL.test_set(spark, sf, materialized=True), cat, "test"),
+             DG.id_coverage(recs.where("model = 'content'"), cat, "recs_content"),
+             DG.id_coverage(recs.where("model = 'autoencoder'"), cat, "recs_autoencoder")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("recs_outside_train", _TWO + """
+SELECT model, count(DISTINCT item_id) FILTER (WHERE item_id NOT IN (SELECT item_id FROM train)) AS n_items_outside_train,
+       count(DISTINCT item_id) AS n_rec_items
+FROM mrecs GROUP BY model""")
+def q_recs_outside_train(spark, sf):
+    recs = PL.two_model_recs(spark, sf)
+    items = PL.train_set(spark, sf, materialized=True).select("item_id").distinct().withColumn("_in", F.lit(1))
+    d = recs.select("model", "item_id").distinct().join(items, "item_id", "left")
+    return d.groupBy("model").agg(F.count(F.when(F.col("_in").isNull(), 1)).alias("n_items_outside_train"),
+                                  F.count(F.lit(1)).alias("n_rec_items"))
+
+
+@register("users_without_recs", _TWO + """
+SELECT m.model, t.user_id FROM (SELECT DISTINCT user_id FROM test) t
+CROSS JOIN (SELECT DISTINCT model FROM mrecs) m
+WHERE NOT EXISTS (SELECT 1 FROM mrecs r WHERE r.model = m.model AND r.user_id = t.user_id)""")
+def q_users_without_recs(spark, sf):
+    return DG.users_without_recs(PL.test_set(spark, sf, materialized=True), PL.two_model_recs(spark, sf))
+
+
+@register("recs_per_user", _TWO + """
+SELECT model, min(c) AS min, """ + O.r6("avg(c)") + """ AS mean, max(c) AS max, count(*) AS n_users
+FROM (SELECT model, user_id, count(*) AS c FROM mrecs GROUP BY model, user_id) GROUP BY model""")
+def q_recs_per_user(spark, sf):
+    return DG.recs_per_user(PL.two_model_recs(spark, sf))
+
+
+@register("quality_checks", _TWO + """
+SELECT 'train_test_overlap_pairs' AS "check", count(*) AS value, count(*) > 0 AS is_problem
+FROM (SELECT DISTINCT user_id, item_id FROM train) a JOIN (SELECT DISTINCT user_id, item_id FROM test) b
+  ON a.user_id = b.user_id AND a.item_id = b.item_id
+UNION ALL SELECT 'test_items_not_in_catalog', count(*), count(*) > 0
+FROM (SELECT DISTINCT item_id FROM test) WHERE item_id NOT IN (SELECT item_id FROM catalog)
+UNION ALL SELECT m.model || '_test_users_without_recs', count(t.user_id), count(t.user_id) > 0
+FROM (SELECT DISTINCT model FROM mrecs) m LEFT JOIN (
+  SELECT m2.model, t.user_id FROM (SELECT DISTINCT user_id FROM test) t CROSS JOIN (SELECT DISTINCT model FROM mrecs) m2
+  WHERE NOT EXISTS (SELECT 1 FROM mrecs r WHERE r.model = m2.model AND r.user_id = t.user_id)) t ON t.model = m.model
+GROUP BY m.model
+UNION ALL SELECT 'catalog_size', count(*), count(*) > 20000 FROM catalog""")
+def q_quality_checks(spark, sf):
+    return DG.quality_checks(PL.train_set(spark, sf, materialized=True), PL.test_set(spark, sf, materialized=True),
+                             PL.catalog(spark, sf), PL.two_model_recs(spark, sf))
+
+
+# =============================================================== reports
+_REPORT_K = 10
+_SCORE_TXT = """(CASE WHEN score < 0 AND ((CAST(round(abs(score) * 1000000.0) AS BIGINT) + 50) // 100) > 0 THEN '-'
+  ELSE '' END || CAST(((CAST(round(abs(score) * 1000000.0) AS BIGINT) + 50) // 100) // 10000 AS VARCHAR) || '.' ||
+  lpad(CAST(((CAST(round(abs(score) * 1000000.0) AS BIGINT) + 50) // 100) % 10000 AS VARCHAR), 4, '0'))"""
+_META = """meta AS (SELECT item_id, name, artist FROM catalog),
+top AS (SELECT model, user_id, item_id, score, rank FROM mrecs WHERE rank <= 10),
+rwm AS (
+  SELECT t.*, substr(coalesce(m.name, 'N/A'), 1, 50) AS name, substr(coalesce(m.artist, 'N/A'), 1, 30) AS artist
+  FROM top t LEFT JOIN meta m ON t.item_id = m.item_id),
+rwf AS (
+  SELECT r.*, (t.user_id IS NOT NULL) AS in_truth FROM rwm r
+  LEFT JOIN (SELECT DISTINCT user_id, item_id FROM test) t ON r.user_id = t.user_id AND r.item_id = t.item_id)"""
+
+
+@register("recs_top_k", _TWO + "SELECT model, user_id, item_id, score, rank FROM mrecs WHERE rank <= 10")
+def q_recs_top_k(spark, sf):
+    return RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K)
+
+
+@register("recs_with_meta", _TWO + ", " + _META + " SELECT model, user_id, rank, item_id, name, artist FROM rwm")
+def q_recs_with_meta(spark, sf):
+    top = RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K)
+    return RP.recs_with_meta(top, PL.catalog(spark, sf)).select("model", "user_id", "rank", "item_id", "name", "artist")
+
+
+@register("recs_with_truth_flag", _TWO + ", " + _META + " SELECT model, user_id, item_id, rank, in_truth FROM rwf")
+def q_recs_with_truth_flag(spark, sf):
+    top = RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K)
+    return RP.with_truth_flag(top, PL.test_set(spark, sf, materialized=True)).select(
+        "model", "user_id", "item_id", "rank", "in_truth")
+
+
+@register("truth_with_meta", O.with_(O.INTER, O.SPLIT, O.catalog_ctes()) + """
+SELECT t.user_id, CAST(t.rn AS INTEGER) AS truth_pos, t.item_id, substr(coalesce(m.name, 'N/A'), 1, 50) AS name,
+       substr(coalesce(m.artist, 'N/A'), 1, 30) AS artist, greatest(t.n - 10, 0) AS n_more
+FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS rn,
+             count(*) OVER (PARTITION BY user_id) AS n FROM test) t
+JOIN catalog m ON t.item_id = m.item_id WHERE t.rn <= 10""")
+def q_truth_with_meta(spark, sf):
+    return RP.truth_with_meta(PL.test_set(spark, sf), PL.catalog(spark, sf))
+
+
+@register("user_report", _TWO + ", " + _META + """
+SELECT model, user_id, rank, item_id, name, artist, score, in_truth,
+       CASE WHEN length(CAST(rank AS VARCHAR)) < 2 THEN lpad(CAST(rank AS VARCHAR), 2, ' ') ELSE CAST(rank AS VARCHAR) END
+       || '. ' || CASE WHEN length(name) < 50 THEN rpad(name, 50, ' ') ELSE name END || ' ' || """ + _SCORE_TXT +
+          """ AS line FROM rwf""")
+def q_user_report(spark, sf):
+    rep = RP.user_report(PL.two_model_recs(spark, sf), PL.test_set(spark, sf, materialized=True),
+                         PL.catalog(spark, sf), _REPORT_K)
+    return rep.select("model", "user_id", "rank", "item_id", "name", "artist", "score", "in_truth", "line")
+
+
+@register("known_users", _TWO + """, ku AS (
+  SELECT user_id FROM mrecs UNION SELECT user_id FROM test)
+SELECT (SELECT count(*) FROM ku) AS n_known, (SELECT min(user_id) FROM ku) AS min_user_id,
+       (SELECT max(user_id) FROM ku) AS max_user_id,
+       (SELECT string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) FROM (
+          SELECT user_id FROM ku ORDER BY user_id LIMIT 10)) AS first_ids""")
+def q_known_users(spark, sf):
+    recs = PL.two_model_recs(spark, sf)
+    return RP.known_users(recs, PL.test_set(spark, sf, materialized=True))
+
+
+# ================================================== sources and sinks (#1, #4, #6)
+@register("csv_roundtrip", O.with_(O.INTER, O.SPLIT, O.ITEMS, O.CONTENT) + "SELECT user_id, item_id, score, rank FROM crecs")
+def q_csv_roundtrip(spark, sf):
+    import uuid
+    from tastebud.session import checkpoint_dir
+    from tastebud.sources import io as SIO
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    SIO.write_csv(PL.content_recs(spark, sf).select("user_id", "item_id", "score", "rank"), path)
+    return SIO.read_csv(spark, path, SIO.RECS_SCHEMA)
+
+
+@register("negative_samples", O.with_(O.INTER, O.catalog_ctes(), """cidx AS (
+  SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM catalog),
+nn AS (SELECT count(*) AS n FROM cidx),
+cands AS (SELECT c AS p FROM generate_series((SELECT n FROM nn), 2 * (SELECT n FROM nn) + 3) t(c) WHERE c >= 2),
+divs AS (SELECT d FROM generate_series(2, 100000) t(d)),
+pp AS (SELECT min(p) AS p FROM cands WHERE p NOT IN (
+  SELECT c.p FROM cands c JOIN divs ON divs.d * divs.d <= c.p AND c.p % divs.d = 0)),
+owned AS (SELECT DISTINCT user_id, item_id FROM inter),
+own AS (SELECT user_id, count(*) AS o FROM owned GROUP BY user_id),
+params AS (
+  SELECT user_id,
+         1 + (CAST(('0x' || substr(""" + O._md5("user_id") + """, 1, 12)) AS BIGINT) % (pp.p - 1)) AS a,
+         CAST(('0x' || substr(""" + O._md5("user_id") + """, 13, 12)) AS BIGINT) % pp.p AS b,
+         least(o + 5 + (pp.p - nn.n), pp.p) AS m, pp.p AS p, nn.n AS n
+  FROM own CROSS JOIN pp CROSS JOIN nn),
+walk AS (SELECT user_id, j, (a * j + b) % p AS idx, n FROM (
+  SELECT user_id, a, b, p, n, unnest(range(0, m)) AS j FROM params)),
+cand AS (
+  SELECT w.user_id, w.j, w.idx FROM walk w WHERE w.idx < w.n AND NOT EXISTS (
+    SELECT 1 FROM owned o JOIN cidx c ON o.item_id = c.item_id WHERE o.user_id = w.user_id AND c.idx = w.idx))""") + """
+SELECT c.user_id, x.item_id, c.neg_pos FROM (
+  SELECT user_id, idx, row_number() OVER (PARTITION BY user_id ORDER BY j) AS neg_pos FROM cand) c
+JOIN cidx x ON x.idx = c.idx WHERE c.neg_pos <= 5""")
+def q_negative_samples(spark, sf):
+    cat_idx = RK.dense_index(PL.catalog(spark, sf), "item_id")
+    return SM.negative_samples(TB.interactions(spark, sf), cat_idx, 5)

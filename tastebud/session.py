@@ -62,3 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Write a stage output to the shared checkpoint folder and continue from it.
+
+    Used where one stage output feeds several consumers (train and test,
+    profiles and seen pairs): the upstream plan runs once, and a lost
+    executor re-reads the files instead of replaying the lineage.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -21,8 +21,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 PART_FEATURES = ["popularity", "retail_price", "avg_quantity", "avg_discount", "avg_tax", "n_lines"]
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table; the reader (schema, file listing) is built once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def interactions(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
