@@ -15,8 +15,15 @@ from tastebud.session import materialize
 
 
 def content_recommend(train: DataFrame, item_vecs: DataFrame, k: int, user_col: str = "user_id",
-                      item_col: str = "item_id", vec_col: str = "vec", **topk_kw) -> DataFrame:
-    """``(user_id, item_id, score, rank)``: top-``k`` unseen catalogue items per user."""
+                      item_col: str = "item_id", vec_col: str = "vec", materialize_items: bool = False,
+                      **topk_kw) -> DataFrame:
+    """``(user_id, item_id, score, rank)``: top-``k`` unseen catalogue items per user.
+
+    ``materialize_items`` checkpoints derived item vectors (e.g. an encoder's
+    output), which feed the profiles, the block sizing and the scoring.
+    """
+    if materialize_items:
+        item_vecs = materialize(item_vecs.select(item_col, vec_col))
     # Repeated training rows weigh the profile mean, as a list of indices would.
     joined = train.select(user_col, item_col).join(item_vecs.select(item_col, vec_col), item_col)
     # Profiles feed the block sizing and the scoring: materialised once.

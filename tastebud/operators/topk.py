@@ -11,6 +11,8 @@ catalogue spans several item blocks a final ``row_number() <= K`` merges the
 per-block winners (at most ``K * item_blocks`` rows per user).
 
 Order: score rounded to 6 decimals descending, then item id ascending.
+The block function works on Arrow tables directly: vector columns are
+flattened into dense matrices without per-row Python objects.
 Cosine of a zero vector is 0.0.  Memory per task is bounded by the block
 sizes: users are scored in chunks of ``chunk_rows`` against the item block.
 """
@@ -55,32 +57,46 @@ def _select_top(R: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(part, order, axis=1)
 
 
+def _matrix(table, vec_col: str) -> np.ndarray:
+    """Arrow list<double> column -> dense (rows x dim) matrix without per-row objects."""
+    import pyarrow as pa
+    col = table.column(vec_col).combine_chunks() if isinstance(table.column(vec_col), pa.ChunkedArray) \
+        else table.column(vec_col)
+    n = len(col)
+    if n == 0:
+        return np.zeros((0, 0))
+    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(n, len(flat) // n)
+
+
 def _make_scorer(k: int, metric: str, user_col: str, item_col: str, vec_col: str, chunk_rows: int):
-    out_cols = [user_col, item_col, "score", "rank"]
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    def empty():
-        return pd.DataFrame({user_col: pd.Series([], dtype="int64"), item_col: pd.Series([], dtype="int64"),
-                             "score": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
+    schema = pa.schema([(user_col, pa.int64()), (item_col, pa.int64()), ("score", pa.float64()),
+                        ("rank", pa.int32())])
 
     def unit_rows(M):
         norms = np.linalg.norm(M, axis=1)
         return M / np.where(norms > 0, norms, 1.0)[:, None]
 
-    def score_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return empty()
-        items = right[right["_kind"] == 0].sort_values(item_col, kind="stable")
-        if items.empty:
-            return empty()
-        item_ids = items[item_col].to_numpy(dtype=np.int64)
-        I = np.stack(items[vec_col].to_numpy()).astype(np.float64)
-        user_ids = left[user_col].to_numpy(dtype=np.int64)
-        U = np.stack(left[vec_col].to_numpy()).astype(np.float64)
+    def score_block(left: "pa.Table", right: "pa.Table") -> "pa.Table":
+        if left.num_rows == 0 or right.num_rows == 0:
+            return schema.empty_table()
+        items = right.filter(pc.equal(right.column("_kind"), 0))
+        if items.num_rows == 0:
+            return schema.empty_table()
+        item_ids = items.column(item_col).to_numpy().astype(np.int64)
+        order = np.argsort(item_ids, kind="stable")
+        item_ids = item_ids[order]
+        I = _matrix(items, vec_col)[order]
+        user_ids = left.column(user_col).to_numpy().astype(np.int64)
+        U = _matrix(left, vec_col)
         if metric == "cosine":
             I, U = unit_rows(I), unit_rows(U)
-        seen = right[right["_kind"] == 1]
-        srow = pd.Index(user_ids).get_indexer(seen[user_col].to_numpy(dtype=np.int64))
-        scol = pd.Index(item_ids).get_indexer(seen[item_col].to_numpy(dtype=np.int64))
+        seen = right.filter(pc.equal(right.column("_kind"), 1))
+        srow = pd.Index(user_ids).get_indexer(seen.column(user_col).to_numpy().astype(np.int64))
+        scol = pd.Index(item_ids).get_indexer(seen.column(item_col).to_numpy().astype(np.int64))
         keep = (srow >= 0) & (scol >= 0)
         srow, scol = srow[keep], scol[keep]
         parts = []
@@ -96,9 +112,9 @@ def _make_scorer(k: int, metric: str, user_col: str, item_col: str, vec_col: str
             ranks = np.broadcast_to(np.arange(1, top.shape[1] + 1, dtype=np.int32), top.shape)
             users = np.broadcast_to(user_ids[a:b, None], top.shape)
             ok = np.isfinite(rv)
-            parts.append(pd.DataFrame({user_col: users[ok], item_col: item_ids[top[ok]],
-                                       "score": sv[ok], "rank": ranks[ok]}))
-        return pd.concat(parts, ignore_index=True)[out_cols] if parts else empty()
+            parts.append(pa.table({user_col: users[ok], item_col: item_ids[top[ok]], "score": sv[ok],
+                                   "rank": ranks[ok]}, schema=schema))
+        return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return score_block
 
@@ -138,7 +154,7 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
     schema = f"{user_col} long, {item_col} long, score double, rank int"
     scored = (left.groupBy("_ub", "_ib")
               .cogroup(right.groupBy("_ub", "_ib"))
-              .applyInPandas(_make_scorer(k, metric, user_col, item_col, vec_col, chunk_rows), schema))
+              .applyInArrow(_make_scorer(k, metric, user_col, item_col, vec_col, chunk_rows), schema))
     scored = scored.withColumn("score", r6("score"))
     if n_item_blocks == 1:
         return scored

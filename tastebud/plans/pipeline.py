@@ -139,7 +139,8 @@ def ae_fixed_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFra
 
 
 def ae_fixed_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
-    return content_recommend(train_set(spark, sf_dir, p, True), ae_fixed_vectors(spark, sf_dir, p), k or p.k)
+    return content_recommend(train_set(spark, sf_dir, p, True), ae_fixed_vectors(spark, sf_dir, p), k or p.k,
+                             materialize_items=True)
 
 
 def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:

@@ -444,7 +444,8 @@ def q_ae_topk(spark, sf):
     data = AE.training_input(vecs, "item_id", "vec")
     params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed)
     z = AE.encode(data, params)
-    return content_recommend(PL.train_set(spark, sf), z, PL.P.k).select("user_id", "item_id", "score", "rank")
+    return content_recommend(PL.train_set(spark, sf, materialized=True), z, PL.P.k, materialize_items=True).select(
+        "user_id", "item_id", "score", "rank")
 
 
 _AE_ITEMS = """aitems AS (SELECT DISTINCT item_id FROM ae_z),
