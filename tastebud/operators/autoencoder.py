@@ -170,6 +170,8 @@ def dataset_loss(data: DataFrame, p: AeParams, vec_col: str = "vec") -> float:
                 n += X.size
         yield pd.DataFrame({"s": [s], "n": [n]})
     r = data.mapInPandas(part, "s double, n long").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
+    if r["s"] is None:
+        return 0.0
     return float(r["s"]) / max(1, int(r["n"]))
 
 
@@ -185,6 +187,8 @@ def train(data: DataFrame, input_dim: int, id_col: str = "item_id", vec_col: str
     size = p.flat().size
     m, v, t = np.zeros(size), np.zeros(size), 0.0
     losses = []
+    if data.isEmpty():  # the global Summarizer needs at least one row
+        return p, losses
     for epoch in range(epochs):
         theta0, m0, v0, t0 = p.flat(), m, v, t
 
@@ -205,6 +209,8 @@ def train(data: DataFrame, input_dim: int, id_col: str = "item_id", vec_col: str
         agg = rows.agg(Summarizer.mean(array_to_vector("state"), F.col("w")).alias("s"),
                        F.sum("loss_sum").alias("ls"), F.sum("n_batches").alias("nb"))
         r = agg.select(vector_to_array("s").alias("s"), "ls", "nb").first()
+        if r["s"] is None:  # no rows: nothing to learn from
+            break
         st = np.asarray(r["s"], dtype=np.float64)
         p = AeParams.from_flat(st[:size], dims)
         m, v, t = st[size:2 * size], st[2 * size:3 * size], float(st[-1])

@@ -219,8 +219,8 @@ SELECT (SELECT count(*) FROM vinter) AS n_input,
        (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM test) AS n_test,
        (SELECT count(DISTINCT user_id) FROM train) AS n_train_users,
        (SELECT count(DISTINCT user_id) FROM test) AS n_test_users,
-       """ + O.r6("100.0 * (SELECT count(*) FROM train) / (SELECT count(*) FROM vinter)") + """ AS pct_train,
-       """ + O.r6("100.0 * (SELECT count(*) FROM test) / (SELECT count(*) FROM vinter)") + """ AS pct_test,
+       """ + O.r6("100.0 * (SELECT count(*) FROM train) / nullif((SELECT count(*) FROM vinter), 0)") + """ AS pct_train,
+       """ + O.r6("100.0 * (SELECT count(*) FROM test) / nullif((SELECT count(*) FROM vinter), 0)") + """ AS pct_test,
        (SELECT count(*) FROM (SELECT user_id FROM vinter GROUP BY user_id HAVING count(*) < 2)) AS n_excluded_users""")
 def q_split_stats(spark, sf):
     inter = PL.valid_interactions(spark, sf)
@@ -234,8 +234,8 @@ def q_split_stats(spark, sf):
     from tastebud.operators.diagnostics import one_row
     one = one_row(n_in, s, n_ex)
     return one.select("n_input", "n_train", "n_test", "n_train_users", "n_test_users",
-                      r6(F.lit(100.0) * F.col("n_train") / F.col("n_input")).alias("pct_train"),
-                      r6(F.lit(100.0) * F.col("n_test") / F.col("n_input")).alias("pct_test"),
+                      r6(F.try_divide(F.lit(100.0) * F.col("n_train"), F.col("n_input"))).alias("pct_train"),
+                      r6(F.try_divide(F.lit(100.0) * F.col("n_test"), F.col("n_input"))).alias("pct_test"),
                       "n_excluded_users")
 
 
@@ -432,8 +432,10 @@ def q_ae_train_loss(spark, sf):
     before = AE.dataset_loss(data, p0)
     p1, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed, params=p0)
     after = AE.dataset_loss(data, p1)
+    n = data.count()
+    # With no items the statement is vacuously true (nothing to fit).
     return data.agg(F.count(F.lit(1)).alias("n_items")).select(
-        "n_items", F.lit(_AE_EPOCHS).alias("epochs"), F.lit(bool(after < before)).alias("loss_decreased"),
+        "n_items", F.lit(_AE_EPOCHS).alias("epochs"), F.lit(bool(n == 0 or after < before)).alias("loss_decreased"),
         F.lit(bool(np.all(np.isfinite(p1.flat())))).alias("weights_finite"))
 
 
@@ -581,8 +583,8 @@ def q_match_potential(spark, sf):
   SELECT CAST(unnest([5, 10, 20]) AS INTEGER) AS K),
 avgt AS (SELECT avg(c) AS a FROM (SELECT user_id, count(*) AS c FROM test GROUP BY user_id)),
 ncat AS (SELECT count(*) AS n FROM catalog)""") + """
-SELECT ks.K, """ + O.r6("a") + " AS avg_test_items, n AS catalog_size, " + O.r6("a / n * ks.K") +
-          " AS p_random_hit FROM ks CROSS JOIN avgt CROSS JOIN ncat")
+SELECT ks.K, """ + O.r6("a") + " AS avg_test_items, n AS catalog_size, CASE WHEN n > 0 THEN " +
+          O.r6("a / n * ks.K") + " END AS p_random_hit FROM ks CROSS JOIN avgt CROSS JOIN ncat")
 def q_random_baseline(spark, sf):
     return DG.random_baseline(PL.test_set(spark, sf), PL.catalog(spark, sf))
 
