@@ -774,3 +774,62 @@ JOIN cidx x ON x.idx = c.idx WHERE c.neg_pos <= 5""")
 def q_negative_samples(spark, sf):
     cat_idx = RK.dense_index(PL.catalog(spark, sf), "item_id")
     return SM.negative_samples(TB.interactions(spark, sf), cat_idx, 5)
+
+
+# ======================================== remaining artefacts and reports
+_DEMO_USER = 0
+
+
+@register("demo_user_report", _TWO + ", " + _META + f"""
+SELECT model, rank, item_id, name, artist, score FROM rwm WHERE user_id = {_DEMO_USER}""")
+def q_demo_user_report(spark, sf):
+    top = RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K)
+    rep = RP.recs_with_meta(top, PL.catalog(spark, sf))
+    return rep.where(F.col("user_id") == F.lit(_DEMO_USER)).select("model", "rank", "item_id", "name", "artist",
+                                                                    "score")
+
+
+def _als_and_ae(spark, sf):
+    """The reference's two real models: ALS and the trained autoencoder."""
+    from tastebud.operators.content import content_recommend
+    train = PL.train_set(spark, sf, materialized=True)
+    als = PL.model_recs(PL.als_recs(spark, sf), "als")
+    data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
+    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed)
+    ae = PL.model_recs(content_recommend(train, AE.encode(data, params), PL.P.k, materialize_items=True),
+                       "autoencoder")
+    return als.unionByName(ae)
+
+
+@register("evaluation_report")
+def q_evaluation_report(spark, sf):
+    board = EV.leaderboard(EV.compact_ranks(_als_and_ae(spark, sf)), PL.test_set(spark, sf, materialized=True),
+                           PL.P.ks)
+    diff = EV.leaderboard_diff(board, "als", "autoencoder")
+    return board.join(diff, "K")
+
+
+@register("als_quality_checks")
+def q_als_quality_checks(spark, sf):
+    return DG.quality_checks(PL.train_set(spark, sf, materialized=True), PL.test_set(spark, sf, materialized=True),
+                             PL.catalog(spark, sf), _als_and_ae(spark, sf), collab_model="als")
+
+
+@register("ae_model_info_json")
+def q_ae_model_info_json(spark, sf):
+    import time
+    t0 = time.time()
+    vecs = PL.catalog_vectors(spark, sf)
+    data = AE.training_input(vecs, "item_id", "vec")
+    params, losses = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed)
+    secs = time.time() - t0
+    users = PL.train_set(spark, sf, materialized=True).agg(F.countDistinct("user_id").alias("n_users_train"))
+    items = data.agg(F.count(F.lit(1)).alias("n_tracks"))
+    info = DG.one_row(items, users).select(
+        F.lit(AE.HIDDEN_DIM).alias("HIDDEN_DIM"), F.lit(AE.LATENT_DIM).alias("LATENT_DIM"),
+        F.lit(_AE_EPOCHS).alias("epochs"), F.lit(AE.LEARNING_RATE).alias("lr"),
+        F.lit(AE.BATCH_SIZE).alias("batch_size"), F.lit(PL.P.k).alias("K"), "n_tracks", "n_users_train",
+        F.round(F.lit(float(losses[-1]) if losses else float("nan")), 6).alias("loss_final"),
+        F.round(F.lit(secs), 2).alias("training_time_seconds"), F.lit(len(_FEATS)).alias("input_dim"),
+        F.lit(PL.P.seed).alias("random_seed"))
+    return info.select(F.to_json(F.struct(*info.columns)).alias("json"))

@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The recommender pipeline is batch-only: it has no streams, watermarks, event-
+time windows or stateful operators, so nothing here is needed.  The batch
+operators take ordinary DataFrames and can be applied inside
+``foreachBatch`` if a caller feeds interactions from a stream.
+"""
