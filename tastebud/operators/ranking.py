@@ -17,7 +17,9 @@ a third of the data.  Here:
 5. ``row_number()`` runs per (group, bucket): one shuffle, no giant task.
 
 Ordinary groups have a single bucket, so their numbering and size come from
-that same window and the plan has exactly one shuffle of the data.
+that same window.  Whether any hot group exists is decided first by one
+small aggregate (``isEmpty`` on the hot list); without one the plan is a
+single per-group window — one shuffle of the data.
 """
 
 from __future__ import annotations
@@ -41,6 +43,13 @@ def hashed_position(df: DataFrame, group_cols: list[str], key_col: str, tie_cols
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     hot = (sizes.where(F.col("_n") > F.lit(target_rows))
            .select(*group_cols, "_n", F.ceil(F.col("_n") / F.lit(float(target_rows))).cast("int").alias("_nb")))
+    if hot.isEmpty():
+        # No hot group (the usual case): one window per group, one shuffle.
+        w = Window.partitionBy(*group_cols).orderBy(key_col, *tie_cols)
+        return (df.withColumn(pos_col, F.row_number().over(w).cast("long"))
+                .withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)).cast("long")))
+    from tastebud.session import materialize
+    hot = materialize(hot)
     x = df.join(F.broadcast(hot), group_cols, "left")
     u = unit_interval(F.col(key_col))
     x = x.withColumn("_bucket", F.when(F.col("_nb").isNull(), F.lit(0))

@@ -58,13 +58,16 @@ def split_tagged(spark: SparkSession, sf_dir: str, p: Params = P, materialized:
     per (session, input, parameters) — the counterpart of the reference's
     train/test files.
     """
-    tagged = assign_split(valid_interactions(spark, sf_dir), seed=p.seed, train_ratio=p.train_ratio,
-                          min_interactions=p.min_interactions)
     if not materialized:
-        return tagged
+        return assign_split(valid_interactions(spark, sf_dir), seed=p.seed, train_ratio=p.train_ratio,
+                            min_interactions=p.min_interactions)
     key = (spark.sparkContext.applicationId, sf_dir, p.seed, p.train_ratio, p.min_interactions)
     if key not in _SPLIT_MEMO:
-        _SPLIT_MEMO[key] = materialize(tagged)
+        # The split reads its input twice (group sizes, numbering): the
+        # interaction table is materialised first so the join runs once.
+        inter = materialize(valid_interactions(spark, sf_dir))
+        _SPLIT_MEMO[key] = materialize(assign_split(inter, seed=p.seed, train_ratio=p.train_ratio,
+                                                    min_interactions=p.min_interactions))
     return _SPLIT_MEMO[key]
 
 

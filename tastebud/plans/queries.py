@@ -28,12 +28,12 @@ def register(name: str, sql: str | None = None):
 # --------------------------------------------------------------- split (#60)
 @register("split_train", O.with_(O.INTER, O.SPLIT) + "SELECT user_id, item_id, pos FROM train")
 def q_split_train(spark, sf):
-    return PL.train_set(spark, sf).select("user_id", "item_id", "pos")
+    return PL.train_set(spark, sf, materialized=True).select("user_id", "item_id", "pos")
 
 
 @register("split_test", O.with_(O.INTER, O.SPLIT) + "SELECT user_id, item_id, pos FROM test")
 def q_split_test(spark, sf):
-    return PL.test_set(spark, sf).select("user_id", "item_id", "pos")
+    return PL.test_set(spark, sf, materialized=True).select("user_id", "item_id", "pos")
 
 
 # ------------------------------------------------- content recommender (#83)
@@ -186,7 +186,7 @@ FROM (SELECT user_id, count(*) AS c FROM {cte} GROUP BY user_id)"""
 @register("per_user_distribution", O.with_(O.INTER, O.SPLIT) + "\nUNION ALL ".join(
     _dist_sql(c, lab) for c, lab in (("inter", "interactions"), ("train", "train"), ("test", "test"))))
 def q_per_user_distribution(spark, sf):
-    tagged = PL.split_tagged(spark, sf)
+    tagged = PL.split_tagged(spark, sf, materialized=True)
     parts = [IX.per_group_distribution(TB.interactions(spark, sf), "user_id", "interactions"),
              IX.per_group_distribution(tagged.where("is_train"), "user_id", "train"),
              IX.per_group_distribution(tagged.where("NOT is_train"), "user_id", "test")]
@@ -224,7 +224,7 @@ SELECT (SELECT count(*) FROM vinter) AS n_input,
        (SELECT count(*) FROM (SELECT user_id FROM vinter GROUP BY user_id HAVING count(*) < 2)) AS n_excluded_users""")
 def q_split_stats(spark, sf):
     inter = PL.valid_interactions(spark, sf)
-    tagged = PL.split_tagged(spark, sf)
+    tagged = PL.split_tagged(spark, sf, materialized=True)
     s = tagged.agg(F.count(F.when(F.col("is_train"), 1)).alias("n_train"),
                    F.count(F.when(~F.col("is_train"), 1)).alias("n_test"),
                    F.countDistinct(F.when(F.col("is_train"), F.col("user_id"))).alias("n_train_users"),
@@ -266,7 +266,7 @@ FROM (SELECT DISTINCT user_id FROM train)
 UNION ALL
 SELECT 'item', item_id, row_number() OVER (ORDER BY item_id) - 1 FROM (SELECT DISTINCT item_id FROM train)""")
 def q_id_index(spark, sf):
-    train = PL.train_set(spark, sf)
+    train = PL.train_set(spark, sf, materialized=True)
     u = RK.dense_index(train, "user_id").select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "idx")
     i = RK.dense_index(train, "item_id").select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), "idx")
     return u.unionByName(i)
@@ -370,7 +370,7 @@ SELECT user_id, least({O.K}, ni.n - n_u) AS n_recs, 0 AS n_seen, least({O.K}, ni
        0 AS n_outside_train, 0 AS n_order_violations
 FROM tu CROSS JOIN ni WHERE ni.n - n_u > 0""")
 def q_als_contract(spark, sf):
-    train = PL.train_set(spark, sf)
+    train = PL.train_set(spark, sf, materialized=True)
     recs = PL.als_recs(spark, sf)
     seen = train.select("user_id", "item_id").distinct().withColumn("_seen", F.lit(1))
     items = train.select("item_id").distinct().withColumn("_in", F.lit(1))
@@ -387,7 +387,7 @@ def q_als_contract(spark, sf):
 @register("als_leaderboard")
 def q_als_leaderboard(spark, sf):
     recs = EV.compact_ranks(PL.model_recs(PL.als_recs(spark, sf), "als"))
-    return EV.leaderboard(recs, PL.test_set(spark, sf), PL.P.ks)
+    return EV.leaderboard(recs, PL.test_set(spark, sf, materialized=True), PL.P.ks)
 
 
 @register("model_info_json")
@@ -397,7 +397,7 @@ def q_model_info_json(spark, sf):
     t0 = time.time()
     fit = PL.als_fit(spark, sf)
     fit.model.userFactors.count()
-    info = ALS.model_info(PL.train_set(spark, sf), p.als_rank, p.als_reg, p.als_iter, p.k, time.time() - t0, p.seed)
+    info = ALS.model_info(PL.train_set(spark, sf, materialized=True), p.als_rank, p.als_reg, p.als_iter, p.k, time.time() - t0, p.seed)
     return info.select(F.to_json(F.struct(*info.columns)).alias("json"))
 
 
@@ -477,7 +477,7 @@ def q_l2_normalize(spark, sf):
 @register("user_profile_vectors", O.with_(O.INTER, O.SPLIT, O.ITEMS, O.CONTENT) +
           "SELECT user_id, CAST(d - 1 AS INTEGER) AS d, " + O.r6("x") + " AS value FROM prof")
 def q_user_profile_vectors(spark, sf):
-    joined = PL.train_set(spark, sf).select("user_id", "item_id").join(TB.item_vectors(spark, sf), "item_id")
+    joined = PL.train_set(spark, sf, materialized=True).select("user_id", "item_id").join(TB.item_vectors(spark, sf), "item_id")
     prof = mean_vectors(joined, "user_id", "vec", "vec")
     return prof.select("user_id", F.posexplode("vec").alias("d", "value")).select(
         "user_id", F.col("d").cast("int").alias("d"), r6("value").alias("value"))
@@ -490,14 +490,14 @@ def _two_recs(spark, sf):
 
 @register("leaderboard_models", _TWO + ", " + O.metrics_ctes("mrecs") + O.BOARD_SELECT)
 def q_leaderboard_models(spark, sf):
-    return EV.leaderboard(_two_recs(spark, sf), PL.test_set(spark, sf), PL.P.ks)
+    return EV.leaderboard(_two_recs(spark, sf), PL.test_set(spark, sf, materialized=True), PL.P.ks)
 
 
 @register("leaderboard_diff", _TWO + ", " + O.metrics_ctes("mrecs") + ", board AS (" + O.BOARD_SELECT + ")" + """
 SELECT a.K, """ + ", ".join(O.r6(f"b.{m} - a.{m}") + f" AS {m}_diff" for m in ("precision", "recall", "ndcg")) + """
 FROM board a JOIN board b ON a.K = b.K AND a.model = 'content' AND b.model = 'autoencoder'""")
 def q_leaderboard_diff(spark, sf):
-    board = EV.leaderboard(_two_recs(spark, sf), PL.test_set(spark, sf), PL.P.ks)
+    board = EV.leaderboard(_two_recs(spark, sf), PL.test_set(spark, sf, materialized=True), PL.P.ks)
     return EV.leaderboard_diff(board, "content", "autoencoder")
 
 
@@ -507,7 +507,7 @@ def _pu_sql(metric: str) -> str:
 
 
 def _pu(spark, sf, metric):
-    pu = EV.per_user_metrics(_two_recs(spark, sf), PL.test_set(spark, sf), PL.P.ks)
+    pu = EV.per_user_metrics(_two_recs(spark, sf), PL.test_set(spark, sf, materialized=True), PL.P.ks)
     return pu.select("model", "user_id", F.col("K").cast("int").alias("K"), r6(metric).alias(metric))
 
 
@@ -529,7 +529,7 @@ def q_ndcg_per_user(spark, sf):
 @register("eligible_users", _TWO + ", " + O.metrics_ctes("mrecs") + "SELECT model, user_id, n_truth FROM elig")
 def q_eligible_users(spark, sf):
     recs = PL.two_model_recs(spark, sf)
-    nt = PL.test_set(spark, sf).select("user_id", "item_id").distinct().groupBy("user_id").agg(
+    nt = PL.test_set(spark, sf, materialized=True).select("user_id", "item_id").distinct().groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_truth"))
     return recs.select("model", "user_id").distinct().join(nt, "user_id")
 
@@ -551,7 +551,7 @@ SELECT user_id, count(*) AS n_truth,
 FROM (SELECT user_id, item_id, pos, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS rn FROM test)
 GROUP BY user_id""")
 def q_truth_sets(spark, sf):
-    t = PL.test_set(spark, sf).select("user_id", "item_id", "pos")
+    t = PL.test_set(spark, sf, materialized=True).select("user_id", "item_id", "pos")
     p0 = t.groupBy("user_id").agg(F.min("pos").alias("_p0"), F.count(F.lit(1)).alias("n_truth"))
     firsts = (t.join(p0, "user_id").where(F.col("pos") - F.col("_p0") < 10)
               .groupBy("user_id", "n_truth")
@@ -586,7 +586,7 @@ ncat AS (SELECT count(*) AS n FROM catalog)""") + """
 SELECT ks.K, """ + O.r6("a") + " AS avg_test_items, n AS catalog_size, CASE WHEN n > 0 THEN " +
           O.r6("a / n * ks.K") + " END AS p_random_hit FROM ks CROSS JOIN avgt CROSS JOIN ncat")
 def q_random_baseline(spark, sf):
-    return DG.random_baseline(PL.test_set(spark, sf), PL.catalog(spark, sf))
+    return DG.random_baseline(PL.test_set(spark, sf, materialized=True), PL.catalog(spark, sf))
 
 
 @register("dataset_summary", _TWO + """
@@ -712,7 +712,7 @@ FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY
              count(*) OVER (PARTITION BY user_id) AS n FROM test) t
 JOIN catalog m ON t.item_id = m.item_id WHERE t.rn <= 10""")
 def q_truth_with_meta(spark, sf):
-    return RP.truth_with_meta(PL.test_set(spark, sf), PL.catalog(spark, sf))
+    return RP.truth_with_meta(PL.test_set(spark, sf, materialized=True), PL.catalog(spark, sf))
 
 
 @register("user_report", _TWO + ", " + _META + """
