@@ -79,7 +79,7 @@ def _float_out(cols):
 @register("catalog_prepared", O.with_(_CAT) + "SELECT item_id, name, artist, " +
           ", ".join(f"{O.r6(c)} AS {c}" for c in _FEATS) + " FROM catalog")
 def q_catalog_prepared(spark, sf):
-    return PL.catalog(spark, sf).select("item_id", "name", "artist", *_float_out(_FEATS))
+    return PL.catalog(spark, sf, materialized=True).select("item_id", "name", "artist", *_float_out(_FEATS))
 
 
 @register("prep_funnel", O.with_(_CAT, """counts AS (
@@ -119,14 +119,14 @@ _STD_SQL = O.with_(_CAT, "mom AS (SELECT " + ", ".join(
 @register("standardized_features", _STD_SQL + "SELECT item_id, " + ", ".join(f"{O.r6(c)} AS {c}" for c in _FEATS)
           + " FROM std")
 def q_standardized_features(spark, sf):
-    std = C.standardized_features(PL.catalog(spark, sf), _FEATS)
+    std = C.standardized_features(PL.catalog(spark, sf, materialized=True), _FEATS)
     return std.select("item_id", *_float_out(_FEATS))
 
 
 @register("standardization_check", _STD_SQL + """, cells AS (SELECT unnest([""" + ", ".join(_FEATS) + """]) AS x FROM std)
 SELECT """ + O.r6("avg(x)") + " AS mean, " + O.r6("stddev_pop(x)") + " AS std, count(*) AS n_cells FROM cells")
 def q_standardization_check(spark, sf):
-    return C.standardization_check(C.standardized_features(PL.catalog(spark, sf), _FEATS), _FEATS)
+    return C.standardization_check(C.standardized_features(PL.catalog(spark, sf, materialized=True), _FEATS), _FEATS)
 
 
 @register("feature_vectors", _STD_SQL + """, fl AS (SELECT unnest(['""" + "', '".join(_FEATS) + """']) AS feature,
@@ -136,7 +136,7 @@ SELECT s.item_id, fl.pos, fl.feature, """ + O.r6("CASE fl.pos " + " ".join(
 FROM std s CROSS JOIN fl""")
 def q_feature_vectors(spark, sf):
     from tastebud.sources.io import vectors_to_array
-    std = C.standardized_features(PL.catalog(spark, sf), _FEATS)
+    std = C.standardized_features(PL.catalog(spark, sf, materialized=True), _FEATS)
     vec = vectors_to_array(std, _FEATS)
     names = F.array(*[F.lit(c) for c in _FEATS])
     return vec.select("item_id", F.posexplode("features").alias("pos", "value")).select(
@@ -149,7 +149,7 @@ SELECT (SELECT count(*) FROM catalog c WHERE c.item_id IN (SELECT item_id FROM i
        (SELECT count(*) FROM catalog c WHERE c.item_id NOT IN (SELECT item_id FROM items)) AS n_only_catalog,
        (SELECT count(*) FROM items i WHERE i.item_id NOT IN (SELECT item_id FROM catalog)) AS n_only_vectors""")
 def q_feature_alignment_check(spark, sf):
-    cat = PL.catalog(spark, sf).select("item_id").withColumn("_c", F.lit(1))
+    cat = PL.catalog(spark, sf, materialized=True).select("item_id").withColumn("_c", F.lit(1))
     vec = TB.item_vectors(spark, sf).select("item_id").withColumn("_v", F.lit(1))
     j = cat.join(vec, "item_id", "full")
     return j.agg(F.count(F.when(F.col("_c").isNotNull() & F.col("_v").isNotNull(), 1)).alias("n_matched"),
@@ -166,7 +166,7 @@ def q_interactions_implicit(spark, sf):
 @register("valid_interactions", O.with_(O.INTER, _CAT) +
           "SELECT user_id, item_id FROM inter WHERE item_id IN (SELECT item_id FROM catalog)")
 def q_valid_interactions(spark, sf):
-    return IX.valid_interactions(TB.interactions(spark, sf), PL.catalog(spark, sf)).select("user_id", "item_id")
+    return IX.valid_interactions(TB.interactions(spark, sf), PL.catalog(spark, sf, materialized=True)).select("user_id", "item_id")
 
 
 @register("interaction_stats", O.with_(O.INTER) + """
@@ -303,21 +303,21 @@ def q_top_groups(spark, sf):
 
 @register("artist_counts", O.with_(_CAT) + "SELECT artist, count(*) AS n FROM catalog GROUP BY artist")
 def q_artist_counts(spark, sf):
-    return IX.group_counts(PL.catalog(spark, sf), "artist")
+    return IX.group_counts(PL.catalog(spark, sf, materialized=True), "artist")
 
 
 @register("group_share", O.with_(_CAT) + """
 SELECT artist, count(*) AS n, """ + O.r6("count(*) / CAST(sum(count(*)) OVER () AS DOUBLE)") + """ AS share
 FROM catalog GROUP BY artist""")
 def q_group_share(spark, sf):
-    return IX.group_share(PL.catalog(spark, sf), "artist")
+    return IX.group_share(PL.catalog(spark, sf, materialized=True), "artist")
 
 
 @register("group_items", O.with_(_CAT) + """
 SELECT artist, item_id, count(*) OVER (PARTITION BY artist) AS n_items FROM catalog
 WHERE artist IN (SELECT artist FROM catalog GROUP BY artist HAVING count(*) >= 20)""")
 def q_group_items(spark, sf):
-    cat = PL.catalog(spark, sf)
+    cat = PL.catalog(spark, sf, materialized=True)
     counts = IX.group_counts(cat, "artist", "n_items").where(F.col("n_items") >= 20)
     return cat.select("artist", "item_id").join(counts, "artist")
 
@@ -345,7 +345,7 @@ us AS (
     f"{float(16 ** 13)} + 1.0" + """) AS u FROM (SELECT DISTINCT user_id FROM inter))""") + """
 SELECT us.user_id, iv.artist AS picked_group FROM us JOIN iv ON us.u >= iv.lo AND us.u < iv.hi""")
 def q_weighted_group_pick(spark, sf):
-    groups = IX.group_counts(PL.catalog(spark, sf), "artist")
+    groups = IX.group_counts(PL.catalog(spark, sf, materialized=True), "artist")
     return SM.weighted_group_pick(TB.interactions(spark, sf), groups, group_col="artist")
 
 
@@ -541,7 +541,7 @@ _TWO_POS = "mrecs"
 
 
 def _catalog_ids(spark, sf):
-    return PL.catalog(spark, sf).select("item_id")
+    return PL.catalog(spark, sf, materialized=True).select("item_id")
 
 
 @register("truth_sets", O.with_(O.INTER, O.SPLIT) + """
@@ -586,7 +586,7 @@ ncat AS (SELECT count(*) AS n FROM catalog)""") + """
 SELECT ks.K, """ + O.r6("a") + " AS avg_test_items, n AS catalog_size, CASE WHEN n > 0 THEN " +
           O.r6("a / n * ks.K") + " END AS p_random_hit FROM ks CROSS JOIN avgt CROSS JOIN ncat")
 def q_random_baseline(spark, sf):
-    return DG.random_baseline(PL.test_set(spark, sf, materialized=True), PL.catalog(spark, sf))
+    return DG.random_baseline(PL.test_set(spark, sf, materialized=True), PL.catalog(spark, sf, materialized=True))
 
 
 @register("dataset_summary", _TWO + """
@@ -599,7 +599,7 @@ def q_dataset_summary(spark, sf):
     named = {"train": PL.train_set(spark, sf, materialized=True), "test": PL.test_set(spark, sf, materialized=True)}
     by_model = (recs.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
                 .select(F.concat(F.lit("recs_"), F.col("model")).alias("dataset"), "n_rows", "n_users"))
-    cat = PL.catalog(spark, sf).agg(F.count(F.lit(1)).alias("n_rows")).select(
+    cat = PL.catalog(spark, sf, materialized=True).agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit("catalog").alias("dataset"), "n_rows", F.lit(0).cast("long").alias("n_users"))  # no user column
     return cat.unionByName(DG.dataset_summary(named)).unionByName(by_model)
 
@@ -669,7 +669,7 @@ GROUP BY m.model
 UNION ALL SELECT 'catalog_size', count(*), count(*) > 20000 FROM catalog""")
 def q_quality_checks(spark, sf):
     return DG.quality_checks(PL.train_set(spark, sf, materialized=True), PL.test_set(spark, sf, materialized=True),
-                             PL.catalog(spark, sf), PL.two_model_recs(spark, sf))
+                             PL.catalog(spark, sf, materialized=True), PL.two_model_recs(spark, sf))
 
 
 # =============================================================== reports
@@ -695,7 +695,7 @@ def q_recs_top_k(spark, sf):
 @register("recs_with_meta", _TWO + ", " + _META + " SELECT model, user_id, rank, item_id, name, artist FROM rwm")
 def q_recs_with_meta(spark, sf):
     top = RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K)
-    return RP.recs_with_meta(top, PL.catalog(spark, sf)).select("model", "user_id", "rank", "item_id", "name", "artist")
+    return RP.recs_with_meta(top, PL.catalog(spark, sf, materialized=True)).select("model", "user_id", "rank", "item_id", "name", "artist")
 
 
 @register("recs_with_truth_flag", _TWO + ", " + _META + " SELECT model, user_id, item_id, rank, in_truth FROM rwf")
@@ -712,7 +712,7 @@ FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY
              count(*) OVER (PARTITION BY user_id) AS n FROM test) t
 JOIN catalog m ON t.item_id = m.item_id WHERE t.rn <= 10""")
 def q_truth_with_meta(spark, sf):
-    return RP.truth_with_meta(PL.test_set(spark, sf, materialized=True), PL.catalog(spark, sf))
+    return RP.truth_with_meta(PL.test_set(spark, sf, materialized=True), PL.catalog(spark, sf, materialized=True))
 
 
 @register("user_report", _TWO + ", " + _META + """
@@ -722,7 +722,7 @@ SELECT model, user_id, rank, item_id, name, artist, score, in_truth,
           """ AS line FROM rwf""")
 def q_user_report(spark, sf):
     rep = RP.user_report(PL.two_model_recs(spark, sf), PL.test_set(spark, sf, materialized=True),
-                         PL.catalog(spark, sf), _REPORT_K)
+                         PL.catalog(spark, sf, materialized=True), _REPORT_K)
     return rep.select("model", "user_id", "rank", "item_id", "name", "artist", "score", "in_truth", "line")
 
 
@@ -772,7 +772,7 @@ SELECT c.user_id, x.item_id, c.neg_pos FROM (
   SELECT user_id, idx, row_number() OVER (PARTITION BY user_id ORDER BY j) AS neg_pos FROM cand) c
 JOIN cidx x ON x.idx = c.idx WHERE c.neg_pos <= 5""")
 def q_negative_samples(spark, sf):
-    cat_idx = RK.dense_index(PL.catalog(spark, sf), "item_id")
+    cat_idx = RK.dense_index(PL.catalog(spark, sf, materialized=True), "item_id")
     return SM.negative_samples(TB.interactions(spark, sf), cat_idx, 5)
 
 
@@ -784,7 +784,7 @@ _DEMO_USER = 0
 SELECT model, rank, item_id, name, artist, score FROM rwm WHERE user_id = {_DEMO_USER}""")
 def q_demo_user_report(spark, sf):
     top = RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K)
-    rep = RP.recs_with_meta(top, PL.catalog(spark, sf))
+    rep = RP.recs_with_meta(top, PL.catalog(spark, sf, materialized=True))
     return rep.where(F.col("user_id") == F.lit(_DEMO_USER)).select("model", "rank", "item_id", "name", "artist",
                                                                     "score")
 
@@ -812,7 +812,7 @@ def q_evaluation_report(spark, sf):
 @register("als_quality_checks")
 def q_als_quality_checks(spark, sf):
     return DG.quality_checks(PL.train_set(spark, sf, materialized=True), PL.test_set(spark, sf, materialized=True),
-                             PL.catalog(spark, sf), _als_and_ae(spark, sf), collab_model="als")
+                             PL.catalog(spark, sf, materialized=True), _als_and_ae(spark, sf), collab_model="als")
 
 
 @register("ae_model_info_json")
