@@ -52,11 +52,10 @@ def top_groups(df: DataFrame, group_col: str, n: int = 5, out_col: str = "n") ->
 
 
 def group_share(df: DataFrame, group_col: str) -> DataFrame:
-    """Each group's share of all rows; the total is a one-row aggregate broadcast back."""
+    """Each group's share of all rows; the total is a scalar subquery (no join)."""
     counts = group_counts(df, group_col)
-    total = counts.agg(F.sum("n").alias("_total")).withColumn("_one", F.lit(1))
-    return (counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
-            .select(group_col, "n", r6(F.col("n") / F.col("_total")).alias("share")))
+    total = counts.agg(F.sum("n").alias("_total")).scalar()
+    return counts.select(group_col, "n", r6(F.col("n") / total).alias("share"))
 
 
 def user_group_profile(inter: DataFrame, item_groups: DataFrame, user_col: str = "user_id",

@@ -81,10 +81,9 @@ def weighted_group_pick(users: DataFrame, groups: DataFrame, user_col: str = "us
     if n_bins is None:
         n_bins = max(1024, 4 * g.count())
     cum = prefix_sums(g, group_col, "_w", "_hi_abs")
-    total = g.agg(F.sum("_w").alias("_total")).withColumn("_one", F.lit(1))
-    iv = (cum.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
-          .select(group_col, ((F.col("_hi_abs") - F.col("_w")) / F.col("_total")).alias("_lo"),
-                  (F.col("_hi_abs") / F.col("_total")).alias("_hi")))
+    total = g.agg(F.sum("_w").alias("_total")).scalar()
+    iv = cum.select(group_col, ((F.col("_hi_abs") - F.col("_w")) / total).alias("_lo"),
+                    (F.col("_hi_abs") / total).alias("_hi"))
     iv = iv.withColumn("_bin", F.explode(F.sequence(
         F.floor(F.col("_lo") * n_bins).cast("int"),
         F.least(F.floor(F.col("_hi") * n_bins).cast("int"), F.lit(n_bins - 1)))))

@@ -11,17 +11,18 @@ from tastebud.functions.numeric import l2_normalize
 def standardize(df: DataFrame, feature_cols: list[str], keep_cols: list[str]) -> DataFrame:
     """Column-wise ``(x - mean) / std`` with the *population* std; constant column -> 0.0.
 
-    The statistics are one global aggregate (exactly one row), attached with a
-    broadcast equi-join on a constant key, so the data is never shuffled.
+    The statistics are one global aggregate (exactly one row, map-side
+    partial aggregation) read as a scalar subquery, so the data is never
+    shuffled or joined.
     """
-    stats = df.agg(*[F.avg(c).alias(f"_mu_{i}") for i, c in enumerate(feature_cols)],
-                   *[F.stddev_pop(c).alias(f"_sd_{i}") for i, c in enumerate(feature_cols)])
-    x = df.withColumn("_one", F.lit(1)).join(F.broadcast(stats.withColumn("_one", F.lit(1))), "_one")
+    stats = df.agg(F.struct(*[F.avg(c).alias(f"mu_{i}") for i, c in enumerate(feature_cols)],
+                            *[F.stddev_pop(c).alias(f"sd_{i}") for i, c in enumerate(feature_cols)]).alias("_s"))
+    st = stats.scalar()
     cols = []
     for i, c in enumerate(feature_cols):
-        mu, sd = F.col(f"_mu_{i}"), F.col(f"_sd_{i}")
+        mu, sd = st.getField(f"mu_{i}"), st.getField(f"sd_{i}")
         cols.append(F.when(sd > 0, (F.col(c).cast("double") - mu) / sd).otherwise(F.lit(0.0)).alias(c))
-    return x.select(*keep_cols, *cols)
+    return df.select(*keep_cols, *cols)
 
 
 def mean_vectors(df: DataFrame, group_col: str, vec_col: str, out_col: str = "profile") -> DataFrame:
