@@ -144,7 +144,10 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
              .withColumn("_kind", F.lit(0))
              .withColumn(user_col, F.lit(None).cast("long")))
     if seen is not None:
+        # Distinct pairs (map-side combined) bound a group's seen list by the
+        # block's users x items, however many repeated rows one user has.
         s = (seen.select(F.col(user_col).cast("long").alias(user_col), F.col(item_col).cast("long").alias(item_col))
+             .distinct()
              .withColumn("_ub", block_of(user_col, n_user_blocks))
              .withColumn("_ib", block_of(item_col, n_item_blocks))
              .withColumn("_kind", F.lit(1))
