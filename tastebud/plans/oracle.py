@@ -19,11 +19,11 @@ def _md5(*cols: str) -> str:
 
 
 INTER = """inter AS (
-  SELECT DISTINCT o.o_custkey AS user_id, l.l_partkey AS item_id, 1.0 AS play
+  SELECT DISTINCT o.o_custkey AS user_id, l.l_partkey AS item_id, CAST(1.0 AS DOUBLE) AS play
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 INTER_REPEATED = """inter_rep AS (
-  SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, 1.0 AS play
+  SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, CAST(1.0 AS DOUBLE) AS play
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 _NTRAIN = f"greatest(1, CAST(floor(n * {RATIO}) AS BIGINT))"

@@ -366,8 +366,9 @@ def q_als_topk(spark, sf):
 @register("als_contract", O.with_(O.INTER, O.SPLIT, """tu AS (
   SELECT user_id, count(DISTINCT item_id) AS n_u FROM train GROUP BY user_id),
 ni AS (SELECT count(DISTINCT item_id) AS n FROM train)""") + f"""
-SELECT user_id, least({O.K}, ni.n - n_u) AS n_recs, 0 AS n_seen, least({O.K}, ni.n - n_u) AS max_rank,
-       0 AS n_outside_train, 0 AS n_order_violations
+SELECT user_id, least({O.K}, ni.n - n_u) AS n_recs, CAST(0 AS BIGINT) AS n_seen,
+       least({O.K}, ni.n - n_u) AS max_rank, CAST(0 AS BIGINT) AS n_outside_train,
+       CAST(0 AS BIGINT) AS n_order_violations
 FROM tu CROSS JOIN ni WHERE ni.n - n_u > 0""")
 def q_als_contract(spark, sf):
     train = PL.train_set(spark, sf, materialized=True)

@@ -23,10 +23,17 @@ def assert_plan_ok(df):
     assert not [op for op in FORBIDDEN if op in plan], plan
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     assert_plan_ok(df)
+    rel = con.sql(ORACLE[name])
+    want_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got_types = {f.name: SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert got_types == want_types
     got = df.toPandas()
     want = con.execute(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
