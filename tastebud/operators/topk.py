@@ -14,7 +14,14 @@ Order: score rounded to 6 decimals descending, then item id ascending.
 The block function works on Arrow tables directly: vector columns are
 flattened into dense matrices without per-row Python objects.
 Cosine of a zero vector is 0.0.  Memory per task is bounded by the block
-sizes: users are scored in chunks of ``chunk_rows`` against the item block.
+sizes: users are scored in chunks against the item block, the chunk shrinking
+as the block widens so one score matrix stays near 64 MB.
+
+Item blocks are sized in *bytes* (``item_block_bytes``, default 256 MB of
+vectors — about a million 32-dimensional items): one block for most
+catalogues, so the merge stage sees only K candidates per user instead of
+K per item block.  User blocks (``block_rows`` users) give the parallelism;
+item vectors are copied once per user block.
 """
 
 from __future__ import annotations
@@ -30,6 +37,8 @@ from tastebud.functions.hashing import block_of
 from tastebud.functions.numeric import r6
 
 DEFAULT_BLOCK_ROWS = 32768
+DEFAULT_ITEM_BLOCK_BYTES = 256 * 1024 * 1024
+SCORE_CHUNK_CELLS = 8_000_000   # doubles per chunk of the score matrix (64 MB)
 MIN_BLOCK_ROWS = 512
 
 
@@ -100,8 +109,9 @@ def _make_scorer(k: int, metric: str, user_col: str, item_col: str, vec_col: str
         keep = (srow >= 0) & (scol >= 0)
         srow, scol = srow[keep], scol[keep]
         parts = []
-        for a in range(0, len(user_ids), chunk_rows):
-            b = min(a + chunk_rows, len(user_ids))
+        step = max(1, min(chunk_rows, SCORE_CHUNK_CELLS // max(1, len(item_ids))))
+        for a in range(0, len(user_ids), step):
+            b = min(a + step, len(user_ids))
             S = U[a:b] @ I.T
             R = np.round(S, 6)
             m = (srow >= a) & (srow < b)
@@ -122,18 +132,21 @@ def _make_scorer(k: int, metric: str, user_col: str, item_col: str, vec_col: str
 def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None,
                  metric: str = "cosine", user_col: str = "user_id", item_col: str = "item_id",
                  vec_col: str = "vec", block_rows: int = DEFAULT_BLOCK_ROWS, chunk_rows: int = 512,
+                 item_block_bytes: int = DEFAULT_ITEM_BLOCK_BYTES,
                  n_user_blocks: int | None = None, n_item_blocks: int | None = None) -> DataFrame:
     """Top-``k`` items per user by ``metric`` ("cosine" or "dot"), seen pairs excluded.
 
     Returns ``(user_id, item_id, score, rank)`` with ``score`` rounded to 6 decimals.
-    Block counts are derived from two row counts (numbers only reach the driver).
+    Block counts come from two small aggregates (row counts, vector width); only numbers reach the driver.
     """
     spark = users.sparkSession
     par = spark.sparkContext.defaultParallelism
     if n_user_blocks is None:
         n_user_blocks = _block_count(users.count(), block_rows, par)
     if n_item_blocks is None:
-        n_item_blocks = _block_count(items.count(), block_rows, 1)
+        st = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("d")).first()
+        per_block = max(MIN_BLOCK_ROWS, item_block_bytes // (8 * max(1, st["d"] or 1)))
+        n_item_blocks = max(1, math.ceil((st["n"] or 0) / per_block))
 
     left = (users.select(F.col(user_col).cast("long").alias(user_col), F.col(vec_col))
             .withColumn("_ub", block_of(user_col, n_user_blocks))
