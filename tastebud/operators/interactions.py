@@ -24,11 +24,18 @@ def rating_triplets(inter: DataFrame, user_col: str = "user_id", item_col: str =
     return inter.groupBy(user_col, item_col).agg(F.sum(value_col).alias("rating"))
 
 
-def interaction_stats(inter: DataFrame, user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
-    """Counts and sparsity ``1 - n / (users * items)`` over users/items that occur."""
+def interaction_stats(inter: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
+                      approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Counts and sparsity ``1 - n / (users * items)`` over users/items that occur.
+
+    ``approx=True`` uses HyperLogLog++ (``approx_count_distinct``, relative
+    error ``rsd``): one pass with fixed-size sketches instead of the exact
+    distinct aggregation's extra shuffle.
+    """
+    distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
     s = inter.agg(F.count(F.lit(1)).alias("n_interactions"),
-                  F.countDistinct(user_col).alias("n_users"),
-                  F.countDistinct(item_col).alias("n_items"))
+                  distinct(user_col).alias("n_users"),
+                  distinct(item_col).alias("n_items"))
     return s.withColumn("sparsity", r6(F.lit(1.0) - F.col("n_interactions") /
                                        (F.col("n_users").cast("double") * F.col("n_items"))))
 

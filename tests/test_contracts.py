@@ -29,3 +29,13 @@ def test_registry_has_oracle_for_sql_expressible_queries():
     assert rows_only <= {"als_topk", "als_leaderboard", "model_info_json", "ae_topk", "evaluation_report",
                          "als_quality_checks", "ae_model_info_json"}
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_interaction_stats_approx_close(spark):
+    from pyspark.sql import functions as F
+    from tastebud.operators.interactions import interaction_stats
+    df = spark.range(20000).select((F.col("id") % 997).alias("user_id"), (F.col("id") % 1009).alias("item_id"))
+    exact = interaction_stats(df).first()
+    approx = interaction_stats(df, approx=True).first()
+    assert (exact.n_users, exact.n_items) == (997, 1009)
+    assert abs(approx.n_users - 997) / 997 < 0.05 and abs(approx.n_items - 1009) / 1009 < 0.05
