@@ -155,7 +155,8 @@ def training_input(df: DataFrame, id_col: str, vec_col: str, rows_per_partition:
     n = df.count()
     parts = max(1, math.ceil(n / rows_per_partition))
     data = df.select(id_col, vec_col).repartition(parts, id_col).sortWithinPartitions(id_col)
-    return data.checkpoint(eager=True)
+    from tastebud.session import materialize
+    return materialize(data)
 
 
 def dataset_loss(data: DataFrame, p: AeParams, vec_col: str = "vec") -> float:

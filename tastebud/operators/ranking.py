@@ -90,10 +90,11 @@ def dense_index(df: DataFrame, id_col: str, index_col: str = "idx", num_partitio
     """
     import pandas as pd
 
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = df.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    ranged = ids.repartitionByRange(n_parts, id_col).sortWithinPartitions(id_col)
+    # Without an explicit count AQE may merge adjacent range partitions; they
+    # stay disjoint and ordered, which is all the numbering needs.
+    ranged = (ids.repartitionByRange(num_partitions, id_col) if num_partitions
+              else ids.repartitionByRange(id_col)).sortWithinPartitions(id_col)
     id_type = df.schema[id_col].dataType.simpleString()
 
     # A partition is named by its smallest id (range partitions are disjoint and

@@ -34,9 +34,8 @@ def prefix_sums(df: DataFrame, order_col: str, value_col: str, out_col: str = "c
     """
     import numpy as np
 
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, order_col).sortWithinPartitions(order_col)
+    ranged = (df.repartitionByRange(num_partitions, order_col) if num_partitions
+              else df.repartitionByRange(order_col)).sortWithinPartitions(order_col)
     schema = df.schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
     key_type = df.schema[order_col].dataType.simpleString()
