@@ -18,6 +18,8 @@ _BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8192",
     "spark.ui.enabled": "false",
+    # checkpointed stage outputs are removed once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
