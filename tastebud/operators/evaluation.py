@@ -27,7 +27,9 @@ def compact_ranks(recs: DataFrame, user_col: str = "user_id", rank_col: str = "r
     """
     keys = [c for c in group_cols if c in recs.columns] + [user_col]
     last = F.col(tie_col).desc() if tie_col else F.col("item_id").desc()
-    dedup = (recs.withColumn("_d", F.row_number().over(Window.partitionBy(*keys, rank_col).orderBy(last)))
+    # One shuffle on (model, user) serves both windows below.
+    dedup = (recs.repartition(*keys)
+             .withColumn("_d", F.row_number().over(Window.partitionBy(*keys, rank_col).orderBy(last)))
              .where(F.col("_d") == 1).drop("_d"))
     return dedup.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(rank_col)))
 
