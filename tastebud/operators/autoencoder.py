@@ -6,9 +6,10 @@ hidden (ReLU) -> in``, MSE loss, Adam (lr 1e-3), mini-batches of 256.
 Training is synchronous *local SGD with parameter averaging*: each epoch is
 one Spark job in which every partition starts from the current parameters
 and Adam moments, runs its own shuffled mini-batches over its rows, and
-emits one row (parameters, moments, row count, loss).  A weighted
-``Summarizer.mean`` merges those rows with map-side partial aggregation, and
-only the averaged parameters (a few thousand numbers) reach the driver.  With
+emits one row (parameters, moments, row count, loss).  Weighted
+``Summarizer.mean`` aggregates merge those rows in two levels (groups of about
+sqrt(partitions), then one), and only the averaged parameters (a few
+thousand numbers) reach the driver.  With
 one partition this is exactly sequential mini-batch training.  The input is
 checkpointed once, so a lost executor re-reads it instead of replaying the
 feature pipeline.
@@ -190,6 +191,7 @@ def train(data: DataFrame, input_dim: int, id_col: str = "item_id", vec_col: str
     losses = []
     if data.isEmpty():  # the global Summarizer needs at least one row
         return p, losses
+    fan_in = max(1, math.isqrt(data.rdd.getNumPartitions()))
     for epoch in range(epochs):
         theta0, m0, v0, t0 = p.flat(), m, v, t
 
@@ -204,11 +206,16 @@ def train(data: DataFrame, input_dim: int, id_col: str = "item_id", vec_col: str
             theta, mm, vv, tt, ls, nb = _adam_epoch(AeParams.from_flat(theta0, dims), m0.copy(), v0.copy(), t0,
                                                    X, lr, batch_size, rng)
             yield pd.DataFrame({"state": [np.concatenate([theta, mm, vv, [tt]])], "w": [float(len(X))],
-                                "loss_sum": [ls], "n_batches": [nb]})
-
-        rows = data.mapInPandas(part, "state array<double>, w double, loss_sum double, n_batches long")
-        agg = rows.agg(Summarizer.mean(array_to_vector("state"), F.col("w")).alias("s"),
-                       F.sum("loss_sum").alias("ls"), F.sum("n_batches").alias("nb"))
+                                "loss_sum": [ls], "n_batches": [nb], "_g": [first % fan_in]})
+
+        rows = data.mapInPandas(part, "state array<double>, w double, loss_sum double, n_batches long, _g long")
+        # Two-level merge (fan-in ~ sqrt(partitions)): weighted means of weighted
+        # means with their summed weights equal the overall weighted mean.
+        level1 = rows.groupBy("_g").agg(Summarizer.mean(array_to_vector("state"), F.col("w")).alias("s"),
+                                         F.sum("w").alias("w"), F.sum("loss_sum").alias("ls"),
+                                         F.sum("n_batches").alias("nb"))
+        agg = level1.agg(Summarizer.mean(F.col("s"), F.col("w")).alias("s"),
+                         F.sum("ls").alias("ls"), F.sum("nb").alias("nb"))
         r = agg.select(vector_to_array("s").alias("s"), "ls", "nb").first()
         if r["s"] is None:  # no rows: nothing to learn from
             break
