@@ -129,6 +129,7 @@ def clear_stage_outputs() -> None:
     """Forget memoised stage outputs (benchmarks start every query from the tables)."""
     _SPLIT_MEMO.clear()
     _CATALOG_MEMO.clear()
+    _RECS_MEMO.clear()
 
 
 # ---------------------------------------------------------------- models
@@ -163,7 +164,20 @@ def ae_fixed_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None
                              materialize_items=True)
 
 
+_RECS_MEMO: dict = {}
+
+
 def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
-    """Recs of both deterministic models: ``content`` and ``autoencoder`` (fixed weights)."""
-    return (model_recs(content_recs(spark, sf_dir, p), "content")
+    """Recs of both deterministic models: ``content`` and ``autoencoder`` (fixed weights).
+
+    A stage output (the counterpart of the reference's recommendation files):
+    materialised once per (session, input, parameters) and shared by the
+    evaluation, diagnostics and report queries.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, p.seed, p.train_ratio, p.min_interactions, p.k,
+           p.min_support, p.min_popularity)
+    if key not in _RECS_MEMO:
+        _RECS_MEMO[key] = materialize(
+            model_recs(content_recs(spark, sf_dir, p), "content")
             .unionByName(model_recs(ae_fixed_recs(spark, sf_dir, p), "autoencoder")))
+    return _RECS_MEMO[key]
