@@ -9,10 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastebud.llm import mixing, quality_rules, simhash
+from tastebud.llm import mixing, piece_viterbi, quality_rules, simhash, weak_quality
 from tastebud.llm.common import prepare, staged
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    prepare(spark)
+    return weak_quality.quality_scores(docs, weak_quality.fit_quality(docs), carry=True).where("kept").select("row.*")
+
+
 def host_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules and whose host is not rejected."""
     prepare(spark)
@@ -31,7 +37,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
 
-STAGES = [("quality_rules", host_rules), ("simhash_near_dedup", near_dedup), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document of the mix: ``doc_id, n_tokens, ids``."""
+    prepare(spark)
+    return piece_viterbi.encode_documents(docs, piece_viterbi.load_pieces())
+
+
+STAGES = [("quality_classifier", classify), ("quality_rules", host_rules), ("simhash_near_dedup", near_dedup),
+          ("mixing", mix), ("sentencepiece", encode)]
 
 #: SimHash near-duplicates (a transitive closure over 64-bit XXH64 sums) have no plain SQL form.
 ORACLE_SQL = None

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 
 def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 2 << 20):
@@ -41,3 +42,37 @@ def segment_sum(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate(([0], np.cumsum(values)))
     ends = np.cumsum(counts)
     return total[ends] - total[ends - counts]
+
+
+#: Classes of code points: bit 0 letter, bit 1 upper case, bit 2 digit.
+_CLASSES: list = []
+
+
+def char_classes() -> np.ndarray:
+    if not _CLASSES:
+        chars = [chr(i) for i in range(0x20000)]
+        _CLASSES.append(np.fromiter(((c.isalpha()) | (c.isupper() << 1) | (c.isdigit() << 2) for c in chars),
+                                    np.uint8, len(chars)))
+    return _CLASSES[0]
+
+
+def class_counts(texts: pa.Array) -> dict[str, np.ndarray]:
+    """Letters, capitals, digits and code points of each text (null: none)."""
+    texts = pc.fill_null(texts, "")
+    n = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), "")[0].as_py()
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    table = char_classes()
+    cls = table[np.minimum(codes, len(table) - 1)]
+    return {"chars": n, "letters": segment_sum(cls & 1, n), "capitals": segment_sum((cls >> 1) & 1, n),
+            "digits": segment_sum((cls >> 2) & 1, n)}
+
+
+def hashed_counts(flat: pa.Array, counts: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(features per text, hashed word, occurrences)``: the distinct hashed words of each text."""
+    codes, dictionary = word_codes(flat)
+    digest = xxhash.xxh32_intdigest
+    slot = np.fromiter((digest(w) % dims for w in dictionary.to_pylist()), np.int64, len(dictionary))
+    doc = np.repeat(np.arange(len(counts)), counts)
+    key, n = np.unique(doc * dims + slot[codes], return_counts=True)
+    return np.bincount(key // dims, minlength=len(counts)), key % dims, n

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import mixing, quality_rules, simhash
+from tastebud.llm import (embed_dedup, licenses, mixing, piece_viterbi, quality_rules, sharding, simhash, simple8b,
+                          toxicity, weak_quality)
 from tastebud.llm.common import prepare
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +25,38 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", "host_rate")
 
 
+def op2_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    model = toxicity.fit_severity(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.severity(docs, model)
+
+
+def op3_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = simple8b.write_token_files(_docs(spark, sf_dir))
+    return simple8b.id_checksums(simple8b.read_token_files(images))
+
+
+def op4_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_docs(spark, sf_dir)).select("doc_id", "license", "dice", "matches")
+
+
+def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.write_shards(_docs(spark, sf_dir))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return rows.select(F.col("row.doc_id").alias("doc_id"), sharding.row_bytes(F.col("row.text")).alias("size"),
+                       F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_embedding_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return weak_quality.quality_scores(docs, weak_quality.fit_quality(docs))
+
+
 def op8_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_docs(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -28,6 +65,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op8_simhash_pivots, op9_mixing)}
+def op10_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = piece_viterbi.load_pieces()
+    coded = piece_viterbi.encode_documents(_docs(spark, sf_dir), table, carry=True)
+    coded = coded.withColumn("ids_hash", F.xxhash64("ids"))
+    back = piece_viterbi.decode_documents(coded, table, ("doc_id", "n_tokens", "ids_hash", "text"))
+    return back.select("doc_id", "n_tokens", "ids_hash",
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_toxicity_ordinal, op3_simple8b, op4_license_dice, op5_external_shuffle, op6_embedding_codes,
+    op7_weak_quality, op8_simhash_pivots, op9_mixing, op10_piece_viterbi)}
 
 ORACLE: dict[str, str] = {}
