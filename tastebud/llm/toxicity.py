@@ -11,17 +11,26 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastebud.llm.arrowtext import hashed_counts, segment_sum, slices, split_words
+from tastebud.llm.arrowtext import segment_sum, slices, split_words, word_codes
+from tastebud.llm.common import staged
 
-DIMS = 1 << 20
+DIMS = 1 << 22
+#: Features are whole words and beginnings of words of these lengths.
+PREFIXES = (3, 4, 5, 6, 7)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 GRADES = 3
 #: Labelled documents used for training, at most about this many of each kind (chosen by hash).
-TRAIN_TOXIC, TRAIN_CLEAN = 4_000, 8_000
+TRAIN_TOXIC, TRAIN_CLEAN = 15_000, 30_000
+#: Tasks that count features; each holds two counters per hashed feature.
+COUNT_TASKS = 64
 FLAG_FROM = 0.5
+#: Features are kept if their log-odds are at least so many standard errors from zero.
+MIN_Z = 2.5
 _SIGMOID = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -31,6 +40,39 @@ def _words(texts: pa.Array):
     return pc.utf8_trim(flat, "\"'.,;:!?()[]{}#*$%&|<>-_~"), counts
 
 
+def _slots(dictionary: pa.Array) -> np.ndarray:
+    """Hashed features of distinct words (words x features); -1 where a word is too short for a prefix."""
+    digest = xxhash.xxh32_intdigest
+    n, longest = len(dictionary), max(PREFIXES)
+    out = np.full((n, 1 + len(PREFIXES)), -1, np.int64)
+    out[:, 0] = np.fromiter((digest(w) % DIMS if w else -1 for w in dictionary.to_pylist()), np.int64, n)
+    lens = np.minimum(pc.utf8_length(dictionary).to_numpy(zero_copy_only=False).astype(np.int64), longest)
+    heads = "".join(pc.utf8_slice_codeunits(dictionary, 0, longest).to_pylist())
+    codes = np.zeros((n, longest), np.uint64)
+    codes[np.arange(longest)[None, :] < lens[:, None]] = np.frombuffer(heads.encode("utf-32-le"), np.uint32)
+    h = np.zeros(n, np.uint64)
+    for k in range(1, longest + 1):
+        h = (h + codes[:, k - 1] + np.uint64(k)) * _BASE
+        if k in PREFIXES:
+            out[:, 1 + PREFIXES.index(k)] = np.where(lens >= k, (h >> np.uint64(40)) % np.uint64(DIMS), -1).astype(np.int64)
+    return out
+
+
+def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(words per text, features per text, feature, words with it)`` of whole texts."""
+    flat, counts = _words(texts)
+    codes, dictionary = word_codes(flat)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    size = max(1, len(dictionary))
+    pair, times = np.unique(doc * size + codes, return_counts=True)
+    slots = _slots(dictionary)[pair % size] if len(pair) else np.zeros((0, 1), np.int64)
+    ok = slots >= 0
+    key = ((pair // size)[:, None] * DIMS + slots)[ok]
+    key, inverse = np.unique(key, return_inverse=True)
+    n = np.bincount(inverse, weights=np.broadcast_to(times[:, None], slots.shape)[ok], minlength=len(key))
+    return counts, np.bincount(key // DIMS, minlength=len(counts)), key % DIMS, n.astype(np.int64)
+
+
 @dataclass
 class SeverityModel:
     """``slots``: kept features in ascending order; ``lift``: their log-odds; ``weights`` and ``thresholds``."""
@@ -45,13 +87,12 @@ class SeverityModel:
         return _SIGMOID(score[:, None] - self.thresholds[None, :])
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        flat, counts = _words(texts)
-        per, slot, _ = hashed_counts(flat, counts, DIMS)
+        counts, per, slot, n = _features(texts)
         if not len(self.slots):
             return np.full(len(counts), -1e9)
         at = np.minimum(np.searchsorted(self.slots, slot), len(self.slots) - 1)
         hit = self.slots[at] == slot
-        return segment_sum(np.where(hit, self.lift[at] * self.weights[at], 0.0), per)
+        return segment_sum(np.where(hit, self.lift[at] * self.weights[at] * np.log2(1 + n), 0.0), per)
 
 
 def fit_ordinal(per, column, value, grade, n_columns: int, steps: int = 300, rate: float = 0.05,
@@ -93,72 +134,79 @@ def fit_ordinal(per, column, value, grade, n_columns: int, steps: int = 300, rat
     return par[:n_columns], raw[0] + np.concatenate(([0.0], np.cumsum(np.exp(raw[1:]))))
 
 
-def _lift(df1, df0, n1, n0):
-    """Smoothed log-odds of a feature in toxic against clean documents."""
-    return np.log((df1 + 0.5) / (n1 + 1)) - np.log((df0 + 0.5) / (n0 + 1))
-
-
 def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", train_toxic: int = TRAIN_TOXIC, train_clean: int = TRAIN_CLEAN,
                  seed: int = 11) -> SeverityModel:
     """Fit on a hash sample of the labelled documents (bounds are the parameters above).
 
-    The labels are yes/no, so grades are derived: 0 for clean documents; toxic
-    ones are 1 to 3 by the tertiles of their share of marker words.  Marker
-    words are features at least 20 times as frequent among the toxic sampled
-    documents, in at least three of them.  Features are present/absent, scaled
-    by their log-odds; those with a lift within a factor of e are left out.
+    First the tasks count the sampled documents of either kind that hold a
+    feature; kept are features whose log-odds differ from zero by more than
+    chance explains.  Only these are then gathered per document for the
+    regression.  The labels are yes/no, so grades are derived: 0 for clean
+    documents; toxic ones are 1 to 3 by the tertiles of their words with marker
+    features, those at least 20 times as frequent in toxic documents, per word.
+    A feature's value is its log-odds times ``log2(1 + words with it)``.
     """
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("lid")).agg(F.max(label_col).cast("int").alias("y")))
     size = {r["y"]: r["n"] for r in known.groupBy((F.col("y") > 0).cast("int").alias("y"))
-            .agg(F.count(F.lit(1)).alias("n")).collect()}
+            .agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    empty = SeverityModel(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.arange(1.0, GRADES + 1))
+    if not size.get(0) or not size.get(1):
+        return empty
     u = F.pmod(F.xxhash64(F.lit(seed), F.col("lid")), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.when(F.col("y") > 0, min(1.0, train_toxic / max(1, size.get(1, 0)))).otherwise(
-        min(1.0, train_clean / max(1, size.get(0, 0))))
+    rate = F.when(F.col("y") > 0, min(1.0, train_toxic / size[1])).otherwise(min(1.0, train_clean / size[0]))
     # about train_toxic + train_clean rows of two numbers, whatever the input: a bounded broadcast
-    chosen = known.where(u < rate)
-    src = docs.select(F.col(id_col).alias("lid"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "lid")
+    chosen = staged(known.where(u < rate), "toxsample")
+    src = docs.select(F.col(id_col).alias("lid"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "lid").select("y", "text")
+
+    def count(batches):
+        df = np.zeros((2, DIMS + 1), np.int64)  # the last place counts documents
+        for batch in batches:
+            for part in slices(batch, "text"):
+                y = (part.column("y").to_numpy(zero_copy_only=False) > 0).astype(int)
+                _, per, slot, _ = _features(part.column("text"))
+                df += np.stack([np.bincount(slot[np.repeat(y, per) == k], minlength=DIMS + 1) for k in (0, 1)])
+                df[:, DIMS] += [(y == 0).sum(), (y == 1).sum()]
+        at = np.flatnonzero(df.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[0, at]), pa.array(df[1, at])], names=["slot", "df0", "df1"])
+
+    df = staged(src.coalesce(COUNT_TASKS).mapInArrow(count, "slot long, df0 long, df1 long").groupBy("slot")
+                .agg(F.sum("df0").alias("df0"), F.sum("df1").alias("df1")), "toxcounts")
+    total = df.where(F.col("slot") == DIMS).first()
+    if total is None or not total["df0"] or not total["df1"]:
+        return empty
+    lift = (F.log((F.col("df1") + 0.5) / (total["df1"] + 1)) - F.log((F.col("df0") + 0.5) / (total["df0"] + 1)))
+    spread = F.sqrt(1 / (F.col("df1") + 0.5) + 1 / (F.col("df0") + 0.5))
+    picked = (df.where(F.col("slot") < DIMS).withColumn("lift", lift)
+              .where((F.abs("lift") >= 1) & (F.abs("lift") >= MIN_Z * spread)).orderBy("slot").toPandas())
+    if not len(picked):
+        return empty
+    slots, lifts = picked["slot"].to_numpy(), picked["lift"].to_numpy()
+    marker = (picked["df1"].to_numpy() >= 3) & (lifts >= np.log(20))
 
     def rows(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                flat, counts = _words(part.column("text"))
-                per, slot, n = hashed_counts(flat, counts, DIMS)
-                ends = pa.array(np.r_[0, np.cumsum(per)].astype(np.int32))
+                counts, per, slot, n = _features(part.column("text"))
+                at = np.minimum(np.searchsorted(slots, slot), len(slots) - 1)
+                hit = slots[at] == slot
+                ends = pa.array(np.r_[0, np.cumsum(segment_sum(hit, per))].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("lid").cast(pa.int64()), part.column("y"), pa.array(counts),
-                     pa.ListArray.from_arrays(ends, pa.array(slot.astype(np.int32))),
-                     pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))], names=["lid", "y", "n", "slot", "c"])
-
-    got = (src.mapInArrow(rows, "lid long, y int, n long, slot array<int>, c array<int>")
-           .limit(2 * (train_toxic + train_clean)).toArrow().sort_by("lid"))
-    empty = SeverityModel(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.arange(1.0, GRADES + 1))
-    toxic = (got["y"].to_numpy() > 0) if len(got) else np.zeros(0, bool)
-    if not toxic.any() or toxic.all():
-        return empty
-    lists = got["slot"].combine_chunks()
-    per = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    slot = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    times = got["c"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(toxic)), per)
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    df1 = np.bincount(slot[toxic[row]], minlength=DIMS)
-    df0 = np.bincount(slot[~toxic[row]], minlength=DIMS)
-    lift = _lift(df1, df0, n1, n0)
-    marker = (df1 >= 3) & (lift >= np.log(20))
-    share = segment_sum(np.where(marker[slot], times, 0), per) / np.maximum(got["n"].to_numpy(), 1)
+                    [part.column("y"), pa.array(counts), pa.ListArray.from_arrays(ends, pa.array(at[hit].astype(np.int32))),
+                     pa.ListArray.from_arrays(ends, pa.array(n[hit].astype(np.int32)))], names=["y", "n", "at", "c"])
+
+    got = (src.mapInArrow(rows, "y int, n long, at array<int>, c array<int>")
+           .limit(2 * (train_toxic + train_clean)).toArrow())
+    toxic = got["y"].to_numpy() > 0
+    at, times = (got[c].combine_chunks() for c in ("at", "c"))
+    per = pc.list_value_length(at).to_numpy(zero_copy_only=False).astype(np.int64)
+    at, times = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in (at, times))
+    share = segment_sum(np.where(marker[at], times, 0), per) / np.maximum(got["n"].to_numpy(), 1)
     cut = np.quantile(share[toxic], [1 / 3, 2 / 3])
     grade = np.where(toxic, 1 + (share > cut[0]) + (share > cut[1]), 0)
-    # a feature seen in one document says nothing about another
-    slots = np.flatnonzero((np.abs(lift) >= 1) & (df1 + df0 >= 3))
-    if not len(slots):
-        return empty
-    at = np.minimum(np.searchsorted(slots, slot), len(slots) - 1)
-    hit = slots[at] == slot
-    weights, thresholds = fit_ordinal(np.bincount(row[hit], minlength=len(toxic)), at[hit], lift[slots][at[hit]],
-                                      grade, len(slots))
-    return SeverityModel(slots, lift[slots], weights, thresholds)
+    weights, thresholds = fit_ordinal(per, at, lifts[at] * np.log2(1 + times), grade, len(slots))
+    return SeverityModel(slots, lifts, weights, thresholds)
 
 
 def severity(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_col: str = "text",

@@ -27,14 +27,16 @@ KEEP_FROM = 0.5
 
 #: (name, measure, good up to, bad from, words needed); ``None``: on that side the labeller abstains.
 LABELLERS = (
-    ("symbols", "symbol_share", 0.005, 0.03, 1),
+    ("symbols", "symbol_share", 0.002, 0.015, 1),
     ("capitals", "capital_share", 0.15, 0.5, 5),
     ("shouting", "shout_share", 0.05, 0.3, 5),
-    ("stutter", "stutter_share", 0.05, 0.2, 20),
+    ("stutter", "stutter_share", 0.05, 0.15, 20),
     ("variety", "same_share", 0.5, 0.8, 50),
     ("letters", "other_share", 0.08, 0.2, 5),
     ("digits", "digit_share", 0.05, 0.2, 5),
     ("long words", "word_length", 8.0, 14.0, 5),
+    ("tables", "bare_share", 0.03, 0.15, 5),
+    ("marked words", "marked_share", 0.02, 0.15, 5),
 )
 
 
@@ -42,10 +44,12 @@ def measures(texts: pa.Array) -> tuple[dict[str, np.ndarray], pa.Array, np.ndarr
     """Measures of each whole text, its words and their number."""
     texts = pc.fill_null(texts, "")
     flat, counts = split_words(texts)
-    codes, _ = word_codes(flat)
+    codes, dictionary = word_codes(flat)
     doc = np.repeat(np.arange(len(counts)), counts)
-    size = max(1, int(codes.max(initial=0)) + 1)
-    distinct = np.bincount(np.unique(doc * size + codes) // size, minlength=len(counts))
+    # distinct words of runs of 1000, as a long text may well repeat most of its words
+    run = (np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)) // 1000
+    size, runs = int(codes.max(initial=0)) + 1, int(run.max(initial=0)) + 1
+    distinct = np.bincount(np.unique((doc * runs + run) * size + codes) // size // runs, minlength=len(counts))
     again = np.zeros(len(codes), np.int64)
     again[1:] = (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
     lens = pc.utf8_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -55,11 +59,15 @@ def measures(texts: pa.Array) -> tuple[dict[str, np.ndarray], pa.Array, np.ndarr
     def found(pattern):
         return pc.count_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
 
+    def shape(pattern):
+        return pc.match_substring_regex(dictionary, pattern).to_numpy(zero_copy_only=False).astype(np.int64)[codes]
+
     n, c, letters = np.maximum(counts, 1), np.maximum(chars, 1), np.maximum(cls["letters"], 1)
     return {"symbol_share": found(r"[#*$%&|<>]") / c, "capital_share": cls["capitals"] / letters,
             "shout_share": found("!") / n, "stutter_share": segment_sum(again, counts) / n,
-            # beyond 2000 words a text may well repeat most of them
-            "same_share": np.where(counts <= 2000, 1 - distinct / n, 0.6),
+            "same_share": 1 - distinct / n,
+            "bare_share": segment_sum(shape("^[^\\pL\\pN]+$"), counts) / n,
+            "marked_share": segment_sum(shape("[\\pL\\pN][^\\pL\\pN.,;:?'\"()-]+[.,;:]?$"), counts) / n,
             "other_share": 1 - (cls["letters"] + cls["digits"]) / c, "digit_share": cls["digits"] / c,
             "word_length": chars / n}, flat, counts
 
@@ -98,21 +106,23 @@ class LabelModel:
 
 
 def fit_label_model(patterns: np.ndarray, n: np.ndarray, rounds: int = 200, smooth: float = 1.0) -> LabelModel:
-    """Expectation-maximisation from the counts of vote patterns, started from the share of bad votes.
+    """Expectation-maximisation from the counts of vote patterns.
 
-    A document starts as bad if at least a quarter of the votes cast on it
-    are, as most kinds of bad text are seen by a few labellers only.
-    Accuracies stay between 0.5 and 0.999: a labeller is never worse than chance.
+    A document starts as bad if any labeller says so, as most kinds of bad
+    text are seen by one or two of them only.  On good documents a labeller's
+    accuracy stays within 0.5 and 0.9999; on bad ones it may be low (it does not
+    see the other kinds), but a bad vote is never likelier on good documents.
     """
     v = votes_of(patterns)
-    cast = (v != 2).sum(axis=1)
-    p = np.where((v == 0).sum(axis=1) >= 0.25 * np.maximum(cast, 1), 0.1, 0.9)
+    p = np.where((v == 0).any(axis=1), 0.1, 0.9)
     model = LabelModel(0.5, np.full((2, v.shape[1]), 0.7))
     for _ in range(rounds):
         acc = np.empty_like(model.accuracy)
-        for y, w in ((1, n * p), (0, n * (1 - p))):
+        for y, w, low in ((1, n * p, 0.5), (0, n * (1 - p), 0.001)):
             right, wrong = (w[:, None] * (v == y)).sum(axis=0), (w[:, None] * (v == 1 - y)).sum(axis=0)
-            acc[y] = np.clip((right + 2 * smooth) / (right + wrong + 3 * smooth), 0.5, 0.999)
+            prior = 4 * smooth if y else smooth  # of a good vote on good documents, of any on bad ones
+            acc[y] = np.clip((right + prior) / (right + wrong + prior + smooth), low, 0.9999)
+        acc[0] = np.maximum(acc[0], 1 - acc[1])
         prior = float(np.clip(((n * p).sum() + smooth) / (n.sum() + 2 * smooth), 0.01, 0.99))
         moved = np.abs(acc - model.accuracy).max()
         model = LabelModel(prior, acc)
