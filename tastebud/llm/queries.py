@@ -22,7 +22,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.host_quality_rules(_docs(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      "kept", "host_rate")
+                      "kept", F.round("host_rate", 6).alias("host_rate"))
 
 
 def op2_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,4 +78,87 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_toxicity_ordinal, op3_simple8b, op4_license_dice, op5_external_shuffle, op6_embedding_codes,
     op7_weak_quality, op8_simhash_pivots, op9_mixing, op10_piece_viterbi)}
 
-ORACLE: dict[str, str] = {}
+_WORDS = "list_filter(regexp_split_to_array(coalesce({t}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+_OP1 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t, {_WORDS.format(t="text")} AS w
+  FROM documents),
+win AS (
+  SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM win) WHERE n > 1),
+rep AS (
+  SELECT rid, count(*) AS n FROM (
+    SELECT DISTINCT rid, j FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM twice))
+  GROUP BY rid),
+lines AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY rid),
+s AS (
+  SELECT d.doc_id, d.source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN dup USING (rid) LEFT JOIN rep USING (rid)),
+f AS (SELECT *, (n_words < {quality_rules.MIN_WORDS}
+                 OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words) AS base_failed FROM s),
+host AS (
+  SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS bad, bad / n AS r
+  FROM f WHERE source IS NOT NULL GROUP BY source),
+prior AS (
+  SELECT m, CASE WHEN v > 0 THEN greatest(1.0, least(1000.0, m * (1 - m) / v - 1)) ELSE 1000.0 END AS k
+  FROM (SELECT avg(r) AS m, var_pop(r) AS v FROM host)),
+verdict AS (SELECT source, (bad + m * k) / (n + k) AS host_rate FROM host CROSS JOIN prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(host_rate > {quality_rules.MAX_HOST_RATE}, false) AS kept,
+       round(host_rate, 6) AS host_rate
+FROM f LEFT JOIN verdict USING (source)"""
+
+_OP6 = f"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS MATERIALIZED (
+  SELECT rid, vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (
+  SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b
+  ON a.label = b.label AND a.rid <> b.rid AND len(a.e) = len(b.e)
+     AND list_dot_product(a.e, b.e) >= {embed_dedup.MIN_COSINE} * a.norm * b.norm),
+reach AS (
+  SELECT rid AS a, rid AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+comp AS (SELECT reach.a AS rid, min(v.vec_id) AS component_id FROM reach JOIN v ON v.rid = reach.b GROUP BY reach.a)
+SELECT v.vec_id, count(link.b) AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN comp USING (rid) LEFT JOIN link ON link.a = v.rid GROUP BY v.rid, v.vec_id, component_id"""
+
+_OP9 = f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len({_WORDS.format(t="text")}) AS BIGINT) AS size,
+         substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, {mixing.DIGITS * mixing.LEVELS}) AS h
+  FROM documents),
+src AS (
+  SELECT source, sum(size) AS s, CAST([{", ".join(map(str, mixing.WEIGHTS))}][
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS DOUBLE) AS w
+  FROM d GROUP BY source),
+lev AS (
+  SELECT max((total - c) / (weights - x)) AS level FROM (
+    SELECT sum(s) OVER () AS total, sum(w) OVER () AS weights,
+           coalesce(sum(3.0::DOUBLE * s) OVER o, 0.0) AS c, coalesce(sum(w) OVER o, 0.0) AS x
+    FROM src WINDOW o AS (ORDER BY 3.0::DOUBLE * s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))),
+t AS (
+  SELECT source, CAST(s AS BIGINT) AS source_size, least(3.0::DOUBLE * s, level * w) AS target,
+         CASE WHEN s > 0 THEN CAST(least(3, floor(least(3.0::DOUBLE * s, level * w) / s)) AS BIGINT) ELSE 0 END AS passes
+  FROM src CROSS JOIN lev),
+cell AS (
+  SELECT source, h, sum(s) OVER (PARTITION BY source ORDER BY h) AS upto, s
+  FROM (SELECT source, h, sum(size) AS s FROM d GROUP BY source, h)),
+more AS (
+  SELECT c.source, c.h, CASE WHEN upto <= rest THEN 1 WHEN upto - s > rest THEN 0 WHEN upto - rest < rest - (upto - s) THEN 1
+                             ELSE 0 END AS extra
+  FROM cell c JOIN (SELECT source, target - passes * source_size AS rest FROM t) r ON c.source IS NOT DISTINCT FROM r.source)
+SELECT d.doc_id, d.size, t.source_size, t.target, CAST((t.passes + more.extra) * d.size AS BIGINT) AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+JOIN more ON d.source IS NOT DISTINCT FROM more.source AND d.h = more.h"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op6_embedding_codes": _OP6, "op9_mixing": _OP9}
