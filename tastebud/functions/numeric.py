@@ -45,15 +45,3 @@ def l2_normalize(vec, eps: float = 1e-8) -> Column:
     """``v / (||v|| + eps)`` — the epsilon-guarded normalisation."""
     n = l2_norm(vec)
     return F.transform(_c(vec), lambda x: x.cast("double") / (n + F.lit(eps)))
-
-
-def dot(a, b) -> Column:
-    """Dot product of two equal-length arrays."""
-    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0), lambda acc, x: acc + x)
-
-
-def cosine(a, b) -> Column:
-    """Plain cosine similarity; 0.0 when either vector has zero norm."""
-    den = l2_norm(a) * l2_norm(b)
-    return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(0.0))

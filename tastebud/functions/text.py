@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_JSON_OPTS = {
-    "allowSingleQuotes": "true",
-    "allowBackslashEscapingAnyCharacter": "true",
-    "allowUnquotedControlChars": "true",
-}
-
 # Leading/trailing whitespace as Python's str.strip() sees it: Unicode
 # white space plus the four information separators U+001C..U+001F.
 _EDGE_SPACE = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
@@ -25,21 +19,49 @@ def py_strip(col) -> Column:
     return F.regexp_replace(_c(col), _EDGE_SPACE, "")
 
 
+# One quoted string of a list literal, and a list of them (adjacent strings join, one trailing comma is allowed).
+_STR = r"""(?:'(?:[^'\\\n]|\\.)*+'|"(?:[^"\\\n]|\\.)*+")"""
+_ELEM = rf"(?:{_STR}\s*)++"
+_LIST = rf"^\s*\[\s*(?:{_ELEM}(?:,\s*{_ELEM})*+(?:,\s*)?)?\]\s*$"
+
+
+def _unescape(s: Column) -> Column:
+    """The text of a string literal's inside: hexadecimal, octal and letter escapes, others stay as they are.
+
+    The inside is cut before every escape; the cuts depend on whole escapes, so
+    a doubled backslash never joins the characters after it.
+    """
+    parts = F.regexp_extract_all(s, F.lit(r"(?s)(\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\[0-7]{1,3}|\\.|[^\\]+)"), 1)
+
+    def one(x):
+        code = F.when(x.rlike(r"^\\x"), F.conv(F.substring(x, 3, 2), 16, 10)).when(
+            x.rlike(r"^\\u[0-9a-fA-F]{4}$"), F.conv(F.substring(x, 3, 4), 16, 10)).when(
+            x.rlike(r"^\\[0-7]"), F.conv(F.substring(x, 2, 3), 8, 10)).cast("int")
+        # a code point as text, by way of its UTF-16 form
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+        letters = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f", "v": "\v", "\\": "\\", "'": "'", '"': '"'}
+        out = F.when(code.isNotNull(), char)
+        for k, v in letters.items():
+            out = out.when(x == F.lit("\\" + k), F.lit(v))
+        return out.when(x == F.lit("\\\n"), F.lit("")).otherwise(x)
+
+    return F.array_join(F.transform(parts, one), "")
+
+
 def main_artist(col) -> Column:
     """First element of a Python list literal, stripped.
 
-    ``['A', 'B']`` -> ``A``; a quoted scalar ``'solo'`` -> ``solo``; an empty
-    list, unparsable text or null -> null; an empty first element stays ``''``.
-    Python ``\\xHH`` escapes are rewritten to JSON ``\\u00HH`` before parsing.
+    ``['A', 'B']`` -> ``A``; a quoted scalar ``'solo'`` -> ``solo``; adjacent
+    strings join; an empty first element stays ``''``.  An empty list, anything
+    that is no list of strings as a whole (trailing text, nested lists, other
+    literals) and null give null.
     """
-    s = F.regexp_replace(_c(col), r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
-    as_list = F.from_json(s, "array<string>", _JSON_OPTS)
-    # A bare quoted string parses as a one-element list once bracketed.
-    is_quoted_scalar = s.rlike(r"^\s*(?s:'.*'|\".*\")\s*$")
-    as_scalar = F.from_json(F.concat(F.lit("["), s, F.lit("]")), "array<string>", _JSON_OPTS)
-    first = F.when(as_list.isNotNull(), F.try_element_at(as_list, F.lit(1))).otherwise(
-        F.when(is_quoted_scalar & (F.size(as_scalar) == 1), F.try_element_at(as_scalar, F.lit(1))))
-    return py_strip(first)
+    s = _c(col)
+    whole = s.rlike(_LIST) | s.rlike(rf"^\s*{_ELEM}$")
+    first = F.regexp_extract(s, rf"^\s*\[?\s*({_ELEM})", 1)
+    pieces = F.regexp_extract_all(first, F.lit(rf"({_STR})"), 1)
+    text = F.array_join(F.transform(pieces, lambda x: _unescape(F.substr(x, F.lit(2), F.length(x) - 2))), "")
+    return F.when(whole & (F.size(pieces) > 0), py_strip(text))
 
 
 def clip_text(col, width: int, default: str = "N/A") -> Column:

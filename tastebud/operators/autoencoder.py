@@ -3,16 +3,12 @@
 Architecture (reference defaults): ``in -> hidden (ReLU) -> latent (ReLU) ->
 hidden (ReLU) -> in``, MSE loss, Adam (lr 1e-3), mini-batches of 256.
 
-Training is synchronous *local SGD with parameter averaging*: each epoch is
-one Spark job in which every partition starts from the current parameters
-and Adam moments, runs its own shuffled mini-batches over its rows, and
-emits one row (parameters, moments, row count, loss).  Weighted
-``Summarizer.mean`` aggregates merge those rows in two levels (groups of about
-sqrt(partitions), then one), and only the averaged parameters (a few
-thousand numbers) reach the driver.  With
-one partition this is exactly sequential mini-batch training.  The input is
-checkpointed once, so a lost executor re-reads it instead of replaying the
-feature pipeline.
+Training is synchronous and does not depend on how the rows are partitioned:
+a step is one Spark job that sums the gradient over a batch chosen by a hash of
+the row id (every epoch deals all rows into ``steps_per_epoch`` batches anew),
+and the driver applies Adam to the parameters (a few thousand numbers, the only
+thing that reaches it).  The input is a stage output, so a lost executor
+re-reads it instead of replaying the feature pipeline.
 
 Encoding and reconstruction are Arrow batch functions (``mapInPandas``) with
 the parameters shipped in the closure.
@@ -28,11 +24,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastebud.sources.io import require_columns
+
 HIDDEN_DIM = 128
 LATENT_DIM = 32
 EPOCHS = 50
 LEARNING_RATE = 1e-3
 BATCH_SIZE = 256
+#: Batches per epoch.  The reference's batch of 256 rows would need a job per 256
+#: rows; a fixed number of batches keeps the number of jobs independent of the input.
+STEPS_PER_EPOCH = 16
 
 
 @dataclass
@@ -124,40 +125,15 @@ def _loss_and_grads(p: AeParams, X: np.ndarray):
     return loss, grads
 
 
-def _adam_epoch(p: AeParams, m: np.ndarray, v: np.ndarray, t: float, X: np.ndarray, lr: float,
-                batch: int, rng: np.random.RandomState):
-    beta1, beta2, eps = 0.9, 0.999, 1e-8
-    dims = p.dims
-    theta = p.flat()
-    order = rng.permutation(len(X))
-    loss_sum, n_batches = 0.0, 0
-    for a in range(0, len(X), batch):
-        xb = X[order[a:a + batch]]
-        cur = AeParams.from_flat(theta, dims)
-        loss, grads = _loss_and_grads(cur, xb)
-        g = np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in grads])
-        t += 1.0
-        m = beta1 * m + (1 - beta1) * g
-        v = beta2 * v + (1 - beta2) * g * g
-        mhat = m / (1 - beta1 ** t)
-        vhat = v / (1 - beta2 ** t)
-        theta = theta - lr * mhat / (np.sqrt(vhat) + eps)
-        loss_sum += loss
-        n_batches += 1
-    return theta, m, v, t, loss_sum, n_batches
-
-
 def _stack(series: pd.Series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.float64) if len(series) else np.zeros((0, 0))
 
 
-def training_input(df: DataFrame, id_col: str, vec_col: str, rows_per_partition: int = 65536) -> DataFrame:
-    """Hash-partitioned, id-sorted, checkpointed copy of ``(id, vec)``."""
-    n = df.count()
-    parts = max(1, math.ceil(n / rows_per_partition))
-    data = df.select(id_col, vec_col).repartition(parts, id_col).sortWithinPartitions(id_col)
+def training_input(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """Stage output ``(id, vec)`` that every training step reads."""
     from tastebud.session import materialize
-    return materialize(data)
+    require_columns(df, [id_col, vec_col], "training vectors")
+    return materialize(df.select(id_col, vec_col))
 
 
 def dataset_loss(data: DataFrame, p: AeParams, vec_col: str = "vec") -> float:
@@ -177,53 +153,58 @@ def dataset_loss(data: DataFrame, p: AeParams, vec_col: str = "vec") -> float:
     return float(r["s"]) / max(1, int(r["n"]))
 
 
-def train(data: DataFrame, input_dim: int, id_col: str = "item_id", vec_col: str = "vec",
-          hidden: int = HIDDEN_DIM, latent: int = LATENT_DIM, epochs: int = EPOCHS, lr: float = LEARNING_RATE,
-          batch_size: int = BATCH_SIZE, seed: int = 42, params: AeParams | None = None):
-    """Train on ``data`` (see :func:`training_input`); returns ``(params, epoch_losses)``."""
+def batch_gradient(batch: DataFrame, p: AeParams, vec_col: str = "vec"):
+    """``(gradient of the mean loss, mean loss, rows)`` of a batch: sums by partition, merged by partial aggregates."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
+    width = p.dims[0]
+
+    def part(batches):
+        g, loss, n = np.zeros(p.flat().size), 0.0, 0
+        for b in batches:
+            if not len(b):
+                continue
+            X = _stack(b[vec_col])
+            mean_loss, grads = _loss_and_grads(p, X)
+            g += X.size * np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in grads])
+            loss += X.size * mean_loss
+            n += len(X)
+        yield pd.DataFrame({"g": [g], "loss": [loss], "n": [n]})
+
+    sums = batch.select(vec_col).mapInPandas(part, "g array<double>, loss double, n long")
+    r = sums.agg(Summarizer.sum(array_to_vector("g")).alias("g"), F.sum("loss").alias("loss"), F.sum("n").alias("n")).select(
+        vector_to_array("g").alias("g"), "loss", "n").first()
+    if r is None or not r["n"]:
+        return None, 0.0, 0
+    cells = float(r["n"]) * width
+    return np.asarray(r["g"]) / cells, float(r["loss"]) / cells, int(r["n"])
+
+
+def train(data: DataFrame, input_dim: int, id_col: str = "item_id", vec_col: str = "vec",
+          hidden: int = HIDDEN_DIM, latent: int = LATENT_DIM, epochs: int = EPOCHS, lr: float = LEARNING_RATE,
+          steps_per_epoch: int = STEPS_PER_EPOCH, seed: int = 42, params: AeParams | None = None):
+    """Train on ``data`` (see :func:`training_input`); returns ``(params, epoch_losses)``."""
     p = params or init_params(input_dim, hidden, latent, seed)
-    dims = p.dims
-    size = p.flat().size
-    m, v, t = np.zeros(size), np.zeros(size), 0.0
+    dims, theta = p.dims, p.flat()
+    m, v, t = np.zeros(theta.size), np.zeros(theta.size), 0
     losses = []
-    if data.isEmpty():  # the global Summarizer needs at least one row
+    if data.isEmpty():
         return p, losses
-    fan_in = max(1, math.isqrt(data.rdd.getNumPartitions()))
     for epoch in range(epochs):
-        theta0, m0, v0, t0 = p.flat(), m, v, t
-
-        def part(batches, theta0=theta0, m0=m0, v0=v0, t0=t0, epoch=epoch):
-            frames = [b for b in batches if len(b)]
-            if not frames:
-                return
-            pdf = pd.concat(frames, ignore_index=True)
-            X = _stack(pdf[vec_col])
-            first = int(pdf[id_col].iloc[0]) if np.issubdtype(pdf[id_col].dtype, np.integer) else 0
-            rng = np.random.RandomState((seed * 1_000_003 + epoch * 7919 + first) % (2 ** 32))
-            theta, mm, vv, tt, ls, nb = _adam_epoch(AeParams.from_flat(theta0, dims), m0.copy(), v0.copy(), t0,
-                                                   X, lr, batch_size, rng)
-            yield pd.DataFrame({"state": [np.concatenate([theta, mm, vv, [tt]])], "w": [float(len(X))],
-                                "loss_sum": [ls], "n_batches": [nb], "_g": [first % fan_in]})
-
-        rows = data.mapInPandas(part, "state array<double>, w double, loss_sum double, n_batches long, _g long")
-        # Two-level merge (fan-in ~ sqrt(partitions)): weighted means of weighted
-        # means with their summed weights equal the overall weighted mean.
-        level1 = rows.groupBy("_g").agg(Summarizer.mean(array_to_vector("state"), F.col("w")).alias("s"),
-                                         F.sum("w").alias("w"), F.sum("loss_sum").alias("ls"),
-                                         F.sum("n_batches").alias("nb"))
-        agg = level1.agg(Summarizer.mean(F.col("s"), F.col("w")).alias("s"),
-                         F.sum("ls").alias("ls"), F.sum("nb").alias("nb"))
-        r = agg.select(vector_to_array("s").alias("s"), "ls", "nb").first()
-        if r["s"] is None:  # no rows: nothing to learn from
-            break
-        st = np.asarray(r["s"], dtype=np.float64)
-        p = AeParams.from_flat(st[:size], dims)
-        m, v, t = st[size:2 * size], st[2 * size:3 * size], float(st[-1])
-        losses.append(float(r["ls"]) / max(1, int(r["nb"])))
-    return p, losses
+        loss, rows = 0.0, 0
+        dealt = F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), F.col(id_col)), F.lit(steps_per_epoch))
+        for step in range(steps_per_epoch):
+            g, mean_loss, n = batch_gradient(data.where(dealt == step), AeParams.from_flat(theta, dims), vec_col)
+            if not n:  # no row was dealt to this batch
+                continue
+            t += 1
+            m = 0.9 * m + 0.1 * g
+            v = 0.999 * v + 0.001 * g * g
+            theta = theta - lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+            loss, rows = loss + mean_loss * n, rows + n
+        losses.append(loss / max(1, rows))
+    return AeParams.from_flat(theta, dims), losses
 
 
 def encode(df: DataFrame, p: AeParams, id_col: str = "item_id", vec_col: str = "vec",

@@ -23,6 +23,8 @@ from tastebud.functions.numeric import r6
 from tastebud.functions.text import main_artist
 from tastebud.operators.ranking import dedup_keep_first
 from tastebud.operators.vectors import standardize
+from tastebud.session import materialize
+from tastebud.sources.io import require_columns
 
 # The audio feature names the reference looks for, in matrix order
 # (popularity is appended when present).
@@ -52,11 +54,18 @@ def with_artist(df: DataFrame, spec: CatalogSpec) -> DataFrame:
     return df.withColumn("artist", main_artist(spec.artists_col))
 
 
+def missing_features(df: DataFrame, wanted: list[str]) -> DataFrame:
+    """``(feature, present)`` for every wanted feature column, in order (a report; schema only)."""
+    present, _ = available_features(df, wanted)
+    return df.sparkSession.createDataFrame([(c, c in present) for c in wanted], "feature string, present boolean")
+
+
 def _stages(raw: DataFrame, spec: CatalogSpec) -> list[tuple[str, DataFrame]]:
+    require_columns(raw, [spec.id_col, spec.name_col, spec.artists_col, *([spec.order_col] if spec.order_col else [])],
+                    "raw items")
     feats, _ = available_features(raw, spec.feature_cols)
     s1 = with_artist(raw, spec).where(F.col("artist").isNotNull())
-    order = [spec.order_col] if spec.order_col and spec.order_col in raw.columns else []
-    s2 = dedup_keep_first(s1, [spec.id_col], order or [spec.id_col])
+    s2 = dedup_keep_first(s1, [spec.id_col], [spec.order_col] if spec.order_col else [])
     s3 = s2.na.drop("any", subset=[spec.id_col, spec.name_col, "artist"] + feats)
     s4 = min_support_filter(s3, "artist", spec.min_support)
     s5 = s4
@@ -88,22 +97,40 @@ def prepare_catalog(raw: DataFrame, spec: CatalogSpec) -> DataFrame:
 
 
 def catalog_funnel(raw: DataFrame, spec: CatalogSpec) -> DataFrame:
-    """Rows before/after each cleaning step: ``(step_no, step, rows_in, rows_out, removed)``."""
-    counts = [raw.agg(F.count(F.lit(1)).alias("rows"))]
-    names = ["input"]
-    for name, df in _stages(raw, spec):
-        counts.append(df.agg(F.count(F.lit(1)).alias("rows")))
-        names.append(name)
-    parts = [c.select(F.lit(i).alias("step_no"), F.lit(n).alias("step"), F.col("rows").alias("rows_out"))
-             for i, (n, c) in enumerate(zip(names, counts))]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    # rows_in = rows_out of the previous step: a self-join of a six-row table.
-    prev = u.select((F.col("step_no") + 1).alias("step_no"), F.col("rows_out").alias("rows_in"))
-    return (u.join(F.broadcast(prev), "step_no", "left")
-            .select("step_no", "step", F.coalesce("rows_in", "rows_out").alias("rows_in"), "rows_out",
-                    (F.coalesce("rows_in", "rows_out") - F.col("rows_out")).alias("removed")))
+    """Rows before/after each cleaning step: ``(step_no, step, rows_in, rows_out, removed)``.
+
+    The raw rows are read once (with the parsed artist) and the deduplicated
+    rows are a stage output; the later steps are conditional counts over it.
+    """
+    feats, _ = available_features(raw, spec.feature_cols)
+    need = [spec.id_col, spec.name_col, "artist", *feats]
+    base = materialize(with_artist(raw, spec))
+    s2 = dedup_keep_first(base.where(F.col("artist").isNotNull()), [spec.id_col], [spec.order_col] if spec.order_col else [])
+    kinds = dict(base.dtypes)
+    whole = F.lit(True)
+    for c in need:
+        ok = F.col(c).isNotNull()
+        whole = whole & (ok & ~F.isnan(c) if kinds[c] in ("double", "float") else ok)
+    s2 = materialize(s2.select("artist", whole.alias("_whole"), *(
+        [spec.popularity_col] if spec.popularity_col in raw.columns else [])))
+    support = s2.where("_whole").groupBy("artist").agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") >= F.lit(spec.min_support))
+    j = s2.join(support, "artist", "left")
+    kept = F.col("_whole") & F.col("_n").isNotNull()
+    popular = kept
+    if spec.min_popularity is not None and spec.popularity_col in raw.columns:
+        popular = kept & (F.col(spec.popularity_col) >= F.lit(spec.min_popularity))
+    first = base.agg(F.count(F.lit(1)).alias("c0"), F.count("artist").alias("c1"))
+    rest = j.agg(F.count(F.lit(1)).alias("c2"), F.count(F.when(F.col("_whole"), 1)).alias("c3"),
+                 F.count(F.when(kept, 1)).alias("c4"), F.count(F.when(popular, 1)).alias("c5"))
+    from tastebud.operators.diagnostics import one_row
+    one = one_row(first, rest)
+    names = ["input", "parsed_artist", "deduplicated", "complete_rows", "artist_support", "popularity"]
+    steps = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(n).alias("step"),
+                               F.col(f"c{max(i - 1, 0)}").alias("rows_in"), F.col(f"c{i}").alias("rows_out"),
+                               (F.col(f"c{max(i - 1, 0)}") - F.col(f"c{i}")).alias("removed"))
+                      for i, n in enumerate(names)])
+    return one.select(F.explode(steps).alias("s")).select("s.*")
 
 
 def standardized_features(catalog: DataFrame, feature_cols: list[str], id_col: str = "item_id") -> DataFrame:

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastebud.operators.topk import top_k_scores
+from tastebud.operators.topk import _by_index, _whole, profile_top_k, top_k_scores
 from tastebud.operators.vectors import mean_vectors
 from tastebud.session import materialize
+from tastebud.sources.io import require_columns
 
 
 def content_recommend(train: DataFrame, item_vecs: DataFrame, k: int, user_col: str = "user_id",
@@ -19,17 +20,30 @@ def content_recommend(train: DataFrame, item_vecs: DataFrame, k: int, user_col:
                       **topk_kw) -> DataFrame:
     """``(user_id, item_id, score, rank)``: top-``k`` unseen catalogue items per user.
 
-    ``materialize_items`` checkpoints derived item vectors (e.g. an encoder's
-    output), which feed the profiles, the block sizing and the scoring.
+    Repeated training rows weigh the profile mean.  ``materialize_items`` writes
+    derived item vectors (an encoder's output) once, as they are read more than once.
     """
+    require_columns(train, [user_col, item_col], "train")
+    require_columns(item_vecs, [item_col, vec_col], "item vectors")
     if materialize_items:
         item_vecs = materialize(item_vecs.select(item_col, vec_col))
-    # Repeated training rows weigh the profile mean, as a list of indices would.
-    joined = train.select(user_col, item_col).join(item_vecs.select(item_col, vec_col), item_col)
-    # Profiles feed the block sizing and the scoring: materialised once.
+    train, item_vecs = train.select(user_col, item_col), item_vecs.select(item_col, vec_col)
+    if not _whole(train, user_col) or not _whole(item_vecs, item_col):
+        u_index, (t,) = _by_index([train], user_col, "_uidx")
+        i_index, (v, t) = _by_index([item_vecs, t], item_col, "_iidx")
+        top = content_recommend(t, v, k, user_col, item_col, vec_col, **topk_kw)
+        return (top.withColumnRenamed(user_col, "_uidx").withColumnRenamed(item_col, "_iidx")
+                .join(u_index, "_uidx").join(i_index, "_iidx").select(user_col, item_col, "score", "rank"))
+    pairs = train.join(item_vecs.select(item_col), item_col, "left_semi")
+    if "n_item_blocks" not in topk_kw:
+        sizes = {c: topk_kw[c] for c in ("chunk_rows", "item_block_bytes") if c in topk_kw}
+        top = profile_top_k(pairs, item_vecs, k, user_col, item_col, vec_col, **sizes)
+        if top is not None:
+            return top
+    # Beyond one item block: profiles by a partial aggregation, then blocks of users and items.
+    joined = train.join(item_vecs, item_col)
     profiles = materialize(mean_vectors(joined, user_col, vec_col, vec_col))
-    seen = joined.select(user_col, item_col)
-    return top_k_scores(profiles, item_vecs.select(item_col, vec_col), k, seen=seen, metric="cosine",
+    return top_k_scores(profiles, item_vecs, k, seen=pairs, metric="cosine",
                         user_col=user_col, item_col=item_col, vec_col=vec_col, **topk_kw)
 
 

@@ -6,14 +6,14 @@ group to one task; if a single user holds a third of all rows that task holds
 a third of the data.  Here:
 
 1. group sizes come from a partial (map-side combined) aggregation;
-2. only *hot* groups (size > ``target_rows``) are kept; there are fewer than
-   ``total_rows / target_rows`` of them, so broadcasting them is bounded by
-   construction;
+2. only *hot* groups (size > ``target_rows``) are kept, fewer than
+   ``total_rows / target_rows`` of them; they are joined back without a hint, so
+   the adaptive planner broadcasts the list only at its measured size;
 3. a hot group's rows are split into ``ceil(n / target_rows)`` buckets by the
    leading bits of the (uniform) hash key — buckets are therefore ordered
    consistently with the key;
 4. bucket offsets (a cumulative count over at most a few rows per hot group)
-   are broadcast back, again bounded by ``2 * total_rows / target_rows``;
+   are joined back in the same way;
 5. ``row_number()`` runs per (group, bucket): one shuffle, no giant task.
 
 Ordinary groups have a single bucket, so their numbering and size come from
@@ -50,7 +50,7 @@ def hashed_position(df: DataFrame, group_cols: list[str], key_col: str, tie_cols
                 .withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)).cast("long")))
     from tastebud.session import materialize
     hot = materialize(hot)
-    x = df.join(F.broadcast(hot), group_cols, "left")
+    x = df.join(hot, group_cols, "left")
     u = unit_interval(F.col(key_col))
     x = x.withColumn("_bucket", F.when(F.col("_nb").isNull(), F.lit(0))
                      .otherwise(F.least(F.floor(u * F.col("_nb")).cast("int"), F.col("_nb") - 1)))
@@ -60,7 +60,7 @@ def hashed_position(df: DataFrame, group_cols: list[str], key_col: str, tie_cols
                    Window.partitionBy(*group_cols).orderBy("_bucket")
                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .drop("_bc"))
-    x = x.join(F.broadcast(offsets), group_cols + ["_bucket"], "left")
+    x = x.join(materialize(offsets), group_cols + ["_bucket"], "left")
     w = Window.partitionBy(*group_cols, "_bucket").orderBy(key_col, *tie_cols)
     wall = Window.partitionBy(*group_cols, "_bucket")
     return (x.withColumn(pos_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.row_number().over(w)).cast("long"))
@@ -75,6 +75,8 @@ def dedup_keep_first(df: DataFrame, key_cols: list[str], order_cols: list[str])
     combining, so a key with millions of copies never lands in one task whole.
     """
     others = [c for c in df.columns if c not in key_cols]
+    if not order_cols or set(order_cols) <= set(key_cols):
+        raise ValueError("keep-first needs an order column beside the key")
     order = F.struct(*[F.col(c) for c in order_cols])
     picked = df.groupBy(*key_cols).agg(F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("_row"))
     return picked.select(*key_cols, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
@@ -85,8 +87,7 @@ def dense_index(df: DataFrame, id_col: str, index_col: str = "idx", num_partitio
 
     Range-partition the distinct ids, number them inside each partition with an
     Arrow batch function, then add per-partition offsets (one row per
-    partition: a bounded broadcast).  No single-partition window, no driver
-    collection of ids.
+    partition).  No driver collection of ids.
     """
     import pandas as pd
 
@@ -111,10 +112,13 @@ def dense_index(df: DataFrame, id_col: str, index_col: str = "idx", num_partitio
                                 "_local": pd.RangeIndex(seen, seen + m).values})
             seen += m
 
-    local = ranged.mapInPandas(number, f"{id_col} {id_type}, _part {id_type}, _local long")
+    from tastebud.session import materialize
+    # Written once: range bounds are sampled anew at every execution, so numbers
+    # and offsets must come from the same one.
+    local = materialize(ranged.mapInPandas(number, f"{id_col} {id_type}, _part {id_type}, _local long"))
     offsets = (local.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
                .withColumn("_off", F.coalesce(F.sum("_cnt").over(
                    Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .drop("_cnt"))
-    return (local.join(F.broadcast(offsets), "_part")
+    return (local.join(offsets, "_part")
             .select(id_col, (F.col("_off") + F.col("_local")).cast("long").alias(index_col)))

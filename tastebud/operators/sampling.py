@@ -52,20 +52,24 @@ def prefix_sums(df: DataFrame, order_col: str, value_col: str, out_col: str = "c
             run = float(c[-1])
             yield b.assign(_part=first, _local=c)
 
-    loc = ranged.mapInPandas(local, f"{schema}, _part {key_type}, _local double")
+    from tastebud.session import materialize
+    # Written once: range bounds are sampled anew at every execution.
+    loc = materialize(ranged.mapInPandas(local, f"{schema}, _part {key_type}, _local double"))
     totals = (loc.groupBy("_part").agg(F.max("_local").alias("_t"))
               .withColumn("_off", F.coalesce(F.sum("_t").over(
                   Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
               .drop("_t"))
-    return (loc.join(F.broadcast(totals), "_part")
+    return (loc.join(totals, "_part")
             .withColumn(out_col, F.col("_off") + F.col("_local")).drop("_part", "_local", "_off"))
 
 
 def weighted_group_pick(users: DataFrame, groups: DataFrame, user_col: str = "user_id",
                         group_col: str = "group", weight_col: str = "n", seed: int = 42,
-                        n_bins: int | None = None) -> DataFrame:
+                        n_bins: int | None = None, min_weight: float = 0.0) -> DataFrame:
     """One group per user, drawn with probability proportional to the group's weight.
 
+    Groups below ``min_weight`` (the support rule) are left out first.
+
     Inverse-CDF draw: every user gets ``u = md5(seed:user)`` in (0, 1); the
     groups' cumulative shares form intervals ``[lo, hi)``; the pick is the
     interval containing ``u``.  That range join is made an equi-join by
@@ -76,16 +80,19 @@ def weighted_group_pick(users: DataFrame, groups: DataFrame, user_col: str = "us
     ``1 + groups / n_bins <= 1.25`` intervals, however the weights cluster: the
     interval starts sum to ``groups`` over all bins and users are uniform in u.
     """
-    g = groups.select(group_col, F.col(weight_col).cast("double").alias("_w")).where(F.col("_w") > 0)
+    g = groups.select(group_col, F.col(weight_col).cast("double").alias("_w")).where((F.col("_w") > 0) & (F.col("_w") >= F.lit(float(min_weight))))
     if n_bins is None:
         n_bins = max(1024, 4 * g.count())
     cum = prefix_sums(g, group_col, "_w", "_hi_abs")
     total = g.agg(F.sum("_w").alias("_total")).scalar()
     iv = cum.select(group_col, ((F.col("_hi_abs") - F.col("_w")) / total).alias("_lo"),
                     (F.col("_hi_abs") / total).alias("_hi"))
-    iv = iv.withColumn("_bin", F.explode(F.sequence(
-        F.floor(F.col("_lo") * n_bins).cast("int"),
-        F.least(F.floor(F.col("_hi") * n_bins).cast("int"), F.lit(n_bins - 1)))))
+    # A heavy group overlaps many bins: its bins are listed in runs of up to 1024, so no row holds a long array.
+    first = F.floor(F.col("_lo") * n_bins).cast("int")
+    last = F.least(F.floor(F.col("_hi") * n_bins).cast("int"), F.lit(n_bins - 1))
+    iv = iv.withColumn("_first", first).withColumn("_last", last)
+    iv = iv.withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(1024))))
+    iv = iv.repartition("_from").withColumn("_bin", F.explode(F.sequence("_from", F.least(F.col("_from") + 1023, "_last"))))
     u = users.select(user_col).distinct().withColumn(
         "_u", open_unit_interval(order_key(seed, user_col)))
     u = u.withColumn("_bin", F.floor(F.col("_u") * n_bins).cast("int"))
@@ -122,10 +129,12 @@ def negative_samples(inter: DataFrame, catalog_index: DataFrame, n: int, seed: i
     are generated in chunks so a very active user spreads over many tasks.
     Output ``(user_id, item_id, neg_pos)``.
     """
+    from tastebud.session import materialize
+    catalog_index = materialize(catalog_index.select(item_col, idx_col))
+    owned = materialize(inter.select(user_col, item_col).distinct())
+    owned_idx = owned.join(catalog_index.select(item_col, idx_col), item_col)
     N = catalog_index.count()
     P = next_prime(N)
-    owned = inter.select(user_col, item_col).distinct()
-    owned_idx = owned.join(catalog_index.select(item_col, idx_col), item_col)
     per_user = owned.groupBy(user_col).agg(F.count(F.lit(1)).alias("_own"))
     key = order_key(seed, user_col)
     a = F.lit(1) + F.pmod(F.conv(F.substring(key, 1, 12), 16, 10).cast("long"), F.lit(P - 1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tastebud.functions.hashing import order_key
 from tastebud.operators.ranking import DEFAULT_TARGET_ROWS, hashed_position
+from tastebud.sources.io import require_columns
 
 DEFAULT_SEED = 42
 DEFAULT_TRAIN_RATIO = 0.8
@@ -29,6 +30,7 @@ def assign_split(interactions: DataFrame, seed: int = DEFAULT_SEED, train_ratio:
     user's row count), ``n_train`` and ``is_train``.  The shuffle order is
     ``md5(seed:user:item)`` then item id, identical in any engine.
     """
+    require_columns(interactions, [user_col, item_col], "interactions")
     keyed = interactions.withColumn("_key", order_key(seed, user_col, item_col))
     ranked = hashed_position(keyed, [user_col], "_key", [item_col], target_rows=target_rows)
     return (ranked.where(F.col("n") >= F.lit(min_interactions))

@@ -1,27 +1,23 @@
 """Exact all-pairs top-K scoring (users x items) without a cross join.
 
-Users and items are hashed into blocks.  Each user row is copied once per
-item block and each item row once per user block; both sides are then
-co-grouped on ``(user_block, item_block)`` — an equi-key shuffle — and every
-group scores one block pair with a numpy matmul inside an Arrow batch
-function.  Seen (user, item) pairs travel with the item side *without*
-replication (each pair belongs to exactly one block pair) and are masked
-before selection.  Each group emits at most K rows per user; when the
-catalogue spans several item blocks a final ``row_number() <= K`` merges the
-per-block winners (at most ``K * item_blocks`` rows per user).
-
-Order: score rounded to 6 decimals descending, then item id ascending.
-The block function works on Arrow tables directly: vector columns are
-flattened into dense matrices without per-row Python objects.
-Cosine of a zero vector is 0.0.  Memory per task is bounded by the block
-sizes: users are scored in chunks against the item block, the chunk shrinking
-as the block widens so one score matrix stays near 64 MB.
-
-Item blocks are sized in *bytes* (``item_block_bytes``, default 256 MB of
-vectors — about a million 32-dimensional items): one block for most
-catalogues, so the merge stage sees only K candidates per user instead of
-K per item block.  User blocks (``block_rows`` users) give the parallelism;
-item vectors are copied once per user block.
+Two ways, chosen by the measured size of the item vectors; both order by the
+same rounded scores, so they give the same result.
+
+*Item vectors of up to ``item_block_bytes``* are one broadcast block and the
+user rows stream past it (``mapInArrow``): no user is shuffled for scoring and
+an executor holds one copy of the items.
+
+*Larger catalogues* are hashed into item blocks.  Each user row is copied once
+per item block and each item row once per user block; both sides are co-grouped
+on ``(user_block, item_block)``, an equi-key shuffle, and every group scores one
+block pair.  Seen pairs travel unreplicated.  Each group emits at most K rows
+per user and ``row_number() <= K`` merges them.
+
+Order: the score rounded to 6 decimals (half away from zero, once, in the
+block) descending, then item id ascending; the rounded score is what is
+emitted.  Cosine of a zero vector is 0.0.  Users are scored in chunks, so a
+score matrix stays near 64 MB.  Ids that are not whole numbers are replaced by
+dense indices in id order and joined back.
 """
 
 from __future__ import annotations
@@ -32,9 +28,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tastebud.functions.hashing import block_of
-from tastebud.functions.numeric import r6
+from tastebud.operators.ranking import dense_index
+from tastebud.sources.io import require_columns
 
 DEFAULT_BLOCK_ROWS = 32768
 DEFAULT_ITEM_BLOCK_BYTES = 256 * 1024 * 1024
@@ -78,6 +76,34 @@ def _matrix(table, vec_col: str) -> np.ndarray:
     return flat.reshape(n, len(flat) // n)
 
 
+def round_scores(S: np.ndarray) -> np.ndarray:
+    """6 decimals, halves away from zero: the one rounding rule of ranks and emitted scores."""
+    return np.copysign(np.floor(np.abs(S) * 1e6 + 0.5) / 1e6, S) + 0.0
+
+
+def _unit_rows(M: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(M, axis=1)
+    return M / np.where(norms > 0, norms, 1.0)[:, None]
+
+
+def _ranked(user_ids, U, item_ids, items, srow, scol, k: int, chunk_rows: int):
+    """Yield ``(users, items, scores, ranks)`` arrays; ``item_ids`` ascend, seen pairs are (srow, scol)."""
+    step = max(1, min(chunk_rows, SCORE_CHUNK_CELLS // max(1, len(item_ids))))
+    order = np.argsort(srow, kind="stable")
+    srow, scol = srow[order], scol[order]
+    for a in range(0, len(user_ids), step):
+        b = min(a + step, len(user_ids))
+        R = round_scores(U[a:b] @ items.T)
+        lo, hi = np.searchsorted(srow, [a, b])
+        R[srow[lo:hi] - a, scol[lo:hi]] = -np.inf
+        top = _select_top(R, k)
+        rv = np.take_along_axis(R, top, axis=1)
+        ranks = np.broadcast_to(np.arange(1, top.shape[1] + 1, dtype=np.int32), top.shape)
+        users = np.broadcast_to(user_ids[a:b, None], top.shape)
+        ok = np.isfinite(rv)
+        yield users[ok], item_ids[top[ok]], rv[ok], ranks[ok]
+
+
 def _make_scorer(k: int, metric: str, user_col: str, item_col: str, vec_col: str, chunk_rows: int):
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -85,10 +111,6 @@ def _make_scorer(k: int, metric: str, user_col: str, item_col: str, vec_col: str
     schema = pa.schema([(user_col, pa.int64()), (item_col, pa.int64()), ("score", pa.float64()),
                         ("rank", pa.int32())])
 
-    def unit_rows(M):
-        norms = np.linalg.norm(M, axis=1)
-        return M / np.where(norms > 0, norms, 1.0)[:, None]
-
     def score_block(left: "pa.Table", right: "pa.Table") -> "pa.Table":
         if left.num_rows == 0 or right.num_rows == 0:
             return schema.empty_table()
@@ -102,33 +124,123 @@ def _make_scorer(k: int, metric: str, user_col: str, item_col: str, vec_col: str
         user_ids = left.column(user_col).to_numpy().astype(np.int64)
         U = _matrix(left, vec_col)
         if metric == "cosine":
-            I, U = unit_rows(I), unit_rows(U)
+            I, U = _unit_rows(I), _unit_rows(U)
         seen = right.filter(pc.equal(right.column("_kind"), 1))
         srow = pd.Index(user_ids).get_indexer(seen.column(user_col).to_numpy().astype(np.int64))
         scol = pd.Index(item_ids).get_indexer(seen.column(item_col).to_numpy().astype(np.int64))
         keep = (srow >= 0) & (scol >= 0)
-        srow, scol = srow[keep], scol[keep]
-        parts = []
-        step = max(1, min(chunk_rows, SCORE_CHUNK_CELLS // max(1, len(item_ids))))
-        for a in range(0, len(user_ids), step):
-            b = min(a + step, len(user_ids))
-            S = U[a:b] @ I.T
-            R = np.round(S, 6)
-            m = (srow >= a) & (srow < b)
-            R[srow[m] - a, scol[m]] = -np.inf
-            top = _select_top(R, k)
-            rv = np.take_along_axis(R, top, axis=1)
-            sv = np.take_along_axis(S, top, axis=1)
-            ranks = np.broadcast_to(np.arange(1, top.shape[1] + 1, dtype=np.int32), top.shape)
-            users = np.broadcast_to(user_ids[a:b, None], top.shape)
-            ok = np.isfinite(rv)
-            parts.append(pa.table({user_col: users[ok], item_col: item_ids[top[ok]], "score": sv[ok],
-                                   "rank": ranks[ok]}, schema=schema))
+        parts = [pa.table(dict(zip(schema.names, x)), schema=schema)
+                 for x in _ranked(user_ids, U, item_ids, I, srow[keep], scol[keep], k, chunk_rows)]
         return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return score_block
 
 
+def _whole(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, T.IntegralType)
+
+
+def _by_index(frames: list[DataFrame], col: str, idx: str) -> tuple[DataFrame, list[DataFrame]]:
+    """Dense index of the ids in all ``frames`` and the frames with the id replaced by it."""
+    ids = frames[0].select(col)
+    for f in frames[1:]:
+        ids = ids.unionByName(f.select(col))
+    index = dense_index(ids, col, idx)
+    return index, [f.join(index, col).drop(col).withColumnRenamed(idx, col) for f in frames]
+
+
+def item_block(items: DataFrame, item_col: str, vec_col: str, item_block_bytes: int):
+    """``(sorted ids, matrix)`` if the vectors take at most ``item_block_bytes``, else ``None``.
+
+    Rows and vector width are measured first; only then is the block fetched.
+    """
+    st = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("d")).first()
+    if (st["n"] or 0) * 8 * max(1, st["d"] or 1) > item_block_bytes:
+        return None
+    t = items.select(F.col(item_col).cast("long").alias(item_col), F.col(vec_col).cast("array<double>").alias(vec_col)).toArrow()
+    ids = t.column(item_col).to_numpy().astype(np.int64)
+    order = np.argsort(ids, kind="stable")
+    M = _matrix(t, vec_col)
+    return ids[order], M[order] if len(M) else np.zeros((0, 1))
+
+
+def _packed_lists(column) -> tuple[np.ndarray, np.ndarray, "object"]:
+    """Flat values and row numbers of an Arrow list<struct> column (null: empty)."""
+    import pyarrow.compute as pc
+    lens = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(lens)), lens), lens, column.flatten()
+
+
+def profile_top_k(pairs: DataFrame, items: DataFrame, k: int, user_col: str = "user_id", item_col: str = "item_id",
+                  vec_col: str = "vec", chunk_rows: int = 512,
+                  item_block_bytes: int = DEFAULT_ITEM_BLOCK_BYTES) -> DataFrame | None:
+    """Cosine top-``k`` unseen items for users given by their items; ``None`` beyond the item block's size.
+
+    ``pairs`` are the users' items (all in ``items``, whole-number ids).  The
+    profile, the mean of a user's item vectors with repeated pairs weighing in,
+    is formed in the block: only ids are shuffled, once by (user, item) and
+    once by user.  A user's list holds distinct items, so the catalogue bounds it.
+    """
+    block = item_block(items, item_col, vec_col, item_block_bytes)
+    if block is None:
+        return None
+    spark = pairs.sparkSession
+    held = spark.sparkContext.broadcast((block[0], block[1], _unit_rows(block[1])))
+    lists = (pairs.groupBy(user_col, item_col).agg(F.count(F.lit(1)).alias("c"))
+             .groupBy(user_col).agg(F.collect_list(F.struct(F.col(item_col).cast("long").alias("i"), "c")).alias("seen")))
+
+    def run(batches):
+        import pyarrow as pa
+        ids, M, unit = held.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, chunk_rows):
+                part = batch.slice(at, chunk_rows)
+                users = part.column(user_col).to_numpy(zero_copy_only=False).astype(np.int64)
+                row, lens, flat = _packed_lists(part.column("seen"))
+                col = np.searchsorted(ids, flat.field("i").to_numpy(zero_copy_only=False))
+                times = flat.field("c").to_numpy(zero_copy_only=False).astype(np.float64)
+                start = np.cumsum(lens) - lens
+                sums = np.add.reduceat(M[col] * times[:, None], start, axis=0)
+                U = _unit_rows(sums / np.add.reduceat(times, start)[:, None])
+                for u, i, sc, r in _ranked(users, U, ids, unit, row, col, k, chunk_rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(i), pa.array(sc), pa.array(r)],
+                                                     names=[user_col, item_col, "score", "rank"])
+
+    return lists.mapInArrow(run, f"{user_col} long, {item_col} long, score double, rank int")
+
+
+def _stream_top_k(users, block, k, seen, metric, user_col, item_col, vec_col, chunk_rows) -> DataFrame:
+    """User rows with vectors and seen lists stream past one broadcast item block."""
+    ids, M = block
+    held = users.sparkSession.sparkContext.broadcast((ids, _unit_rows(M) if metric == "cosine" else M))
+    left = users.select(F.col(user_col).cast("long").alias(user_col), F.col(vec_col).cast("array<double>").alias(vec_col))
+    if seen is not None:
+        lists = (seen.select(F.col(user_col).cast("long").alias(user_col), F.col(item_col).cast("long").alias("i"))
+                 .distinct().groupBy(user_col).agg(F.collect_list(F.struct("i")).alias("seen")))
+        left = left.join(lists, user_col, "left")
+    else:
+        left = left.withColumn("seen", F.lit(None).cast("array<struct<i:bigint>>"))
+
+    def run(batches):
+        import pyarrow as pa
+        ids, M = held.value
+        for batch in batches:
+            for at in range(0, batch.num_rows if len(ids) else 0, chunk_rows):
+                part = batch.slice(at, chunk_rows)
+                users = part.column(user_col).to_numpy(zero_copy_only=False).astype(np.int64)
+                U = _matrix(part, vec_col)
+                U = _unit_rows(U) if metric == "cosine" else U
+                row, _, flat = _packed_lists(part.column("seen"))
+                want = flat.field("i").to_numpy(zero_copy_only=False)
+                col = np.minimum(np.searchsorted(ids, want), len(ids) - 1)
+                hit = ids[col] == want
+                for u, i, sc, r in _ranked(users, U, ids, M, row[hit], col[hit], k, chunk_rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(i), pa.array(sc), pa.array(r)],
+                                                     names=[user_col, item_col, "score", "rank"])
+
+    return left.mapInArrow(run, f"{user_col} long, {item_col} long, score double, rank int")
+
+
 def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None,
                  metric: str = "cosine", user_col: str = "user_id", item_col: str = "item_id",
                  vec_col: str = "vec", block_rows: int = DEFAULT_BLOCK_ROWS, chunk_rows: int = 512,
@@ -136,17 +248,30 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
                  n_user_blocks: int | None = None, n_item_blocks: int | None = None) -> DataFrame:
     """Top-``k`` items per user by ``metric`` ("cosine" or "dot"), seen pairs excluded.
 
-    Returns ``(user_id, item_id, score, rank)`` with ``score`` rounded to 6 decimals.
-    Block counts come from two small aggregates (row counts, vector width); only numbers reach the driver.
+    Returns ``(user_id, item_id, score, rank)`` with ``score`` rounded to 6
+    decimals.  ``n_item_blocks`` asks for the co-grouped way with so many blocks.
     """
-    spark = users.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if n_user_blocks is None:
-        n_user_blocks = _block_count(users.count(), block_rows, par)
+    require_columns(users, [user_col, vec_col], "users")
+    require_columns(items, [item_col, vec_col], "items")
+    if not _whole(users, user_col) or not _whole(items, item_col):
+        kw = dict(metric=metric, user_col=user_col, item_col=item_col, vec_col=vec_col, block_rows=block_rows,
+                  chunk_rows=chunk_rows, item_block_bytes=item_block_bytes, n_user_blocks=n_user_blocks,
+                  n_item_blocks=n_item_blocks)
+        frames = [users] + ([seen.select(user_col, item_col)] if seen is not None else [])
+        u_index, u = _by_index(frames, user_col, "_uidx")
+        frames = [items] + ([u[1]] if seen is not None else [])
+        i_index, i = _by_index(frames, item_col, "_iidx")
+        top = top_k_scores(u[0], i[0], k, i[1] if seen is not None else None, **kw)
+        return (top.withColumnRenamed(user_col, "_uidx").withColumnRenamed(item_col, "_iidx")
+                .join(u_index, "_uidx").join(i_index, "_iidx").select(user_col, item_col, "score", "rank"))
     if n_item_blocks is None:
+        block = item_block(items, item_col, vec_col, item_block_bytes)
+        if block is not None:
+            return _stream_top_k(users, block, k, seen, metric, user_col, item_col, vec_col, chunk_rows)
         st = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("d")).first()
-        per_block = max(MIN_BLOCK_ROWS, item_block_bytes // (8 * max(1, st["d"] or 1)))
-        n_item_blocks = max(1, math.ceil((st["n"] or 0) / per_block))
+        n_item_blocks = math.ceil(st["n"] / max(MIN_BLOCK_ROWS, item_block_bytes // (8 * max(1, st["d"] or 1))))
+    if n_user_blocks is None:
+        n_user_blocks = _block_count(users.count(), block_rows, users.sparkSession.sparkContext.defaultParallelism)
 
     left = (users.select(F.col(user_col).cast("long").alias(user_col), F.col(vec_col))
             .withColumn("_ub", block_of(user_col, n_user_blocks))
@@ -171,9 +296,6 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
     scored = (left.groupBy("_ub", "_ib")
               .cogroup(right.groupBy("_ub", "_ib"))
               .applyInArrow(_make_scorer(k, metric, user_col, item_col, vec_col, chunk_rows), schema))
-    scored = scored.withColumn("score", r6("score"))
-    if n_item_blocks == 1:
-        return scored
     w = Window.partitionBy(user_col).orderBy(F.col("score").desc(), F.col(item_col))
     return (scored.withColumn("rank", F.row_number().over(w).cast("int"))
             .where(F.col("rank") <= F.lit(k)))

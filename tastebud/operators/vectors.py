@@ -48,16 +48,6 @@ def mean_vectors_exploded(df: DataFrame, group_col: str, vec_col: str, out_col:
             .select(group_col, F.transform("_s", lambda s: s["_x"]).alias(out_col)))
 
 
-def user_profiles(train: DataFrame, item_vecs: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
-                  vec_col: str = "vec", out_col: str = "vec") -> DataFrame:
-    """Mean of the item vectors of each user's training items (catalogue items only).
-
-    Users with no catalogue item get no profile (and therefore no recs).
-    """
-    joined = train.select(user_col, item_col).join(item_vecs.select(item_col, vec_col), item_col)
-    return mean_vectors(joined, user_col, vec_col, out_col)
-
-
 def normalize_vectors(df: DataFrame, vec_col: str = "vec", eps: float = 1e-8, out_col: str | None = None) -> DataFrame:
     """``v / (||v|| + eps)`` per row."""
     return df.withColumn(out_col or vec_col, l2_normalize(vec_col, eps))

@@ -43,12 +43,7 @@ train AS (SELECT user_id, item_id, play, pos FROM split WHERE pos <= n_train),
 test AS (SELECT user_id, item_id, play, pos FROM split WHERE pos > n_train)"""
 
 
-# Interactions whose item is in the vector catalogue; the split runs on these.
-VALID = """vinter AS (
-  SELECT user_id, item_id, play FROM inter
-  WHERE item_id IN (SELECT vec_id FROM embeddings WHERE vec_id IN (SELECT p_partkey FROM part)))"""
-
-SPLIT = VALID + ",\n" + split_of("vinter")
+SPLIT = split_of("inter")
 
 ITEMS = """items AS (
   SELECT vec_id AS item_id, embedding AS vec FROM embeddings
@@ -129,15 +124,19 @@ FEATS = ["popularity", "retail_price", "avg_quantity", "avg_discount", "avg_tax"
 MIN_SUPPORT = 20
 MIN_POPULARITY = 25
 
-RAW = """raw AS (
-  SELECT p_partkey AS item_id, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_name END AS name,
-         '[''' || p_brand || ''', ''' || p_type || ''']' AS artists,
-         CAST(p_size AS DOUBLE) AS popularity, p_retailprice AS retail_price, 0 AS src_order
-  FROM part
+def raw_ctes(edge: bool = False) -> str:
+    """Raw items ``raw`` and with the lineitem aggregates ``rawf``; ``edge`` adds nulls and second copies."""
+    name = "CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_name END" if edge else "p_name"
+    copies = """
   UNION ALL
   SELECT p_partkey, p_name, '[''' || p_brand || ''', ''' || p_type || ''']',
          CAST(p_size AS DOUBLE), p_retailprice, 1
-  FROM part WHERE p_partkey % 13 = 0),
+  FROM part WHERE p_partkey % 13 = 0""" if edge else ""
+    return f"""raw AS (
+  SELECT p_partkey AS item_id, {name} AS name,
+         '[''' || p_brand || ''', ''' || p_type || ''']' AS artists,
+         CAST(p_size AS DOUBLE) AS popularity, p_retailprice AS retail_price, 0 AS src_order
+  FROM part{copies}),
 lstats AS (
   SELECT l_partkey AS item_id, avg(l_quantity) AS avg_quantity, avg(l_discount) AS avg_discount,
          avg(l_tax) AS avg_tax, CAST(count(*) AS DOUBLE) AS n_lines
@@ -147,9 +146,9 @@ rawf AS (
   FROM raw r LEFT JOIN lstats s ON r.item_id = s.item_id)"""
 
 
-def catalog_ctes(min_support: int = MIN_SUPPORT, min_popularity: float = MIN_POPULARITY) -> str:
+def catalog_ctes(min_support: int = MIN_SUPPORT, min_popularity: float = MIN_POPULARITY, edge: bool = False) -> str:
     complete = " AND ".join([f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATS])
-    return RAW + f""",
+    return raw_ctes(edge) + f""",
 s1 AS (
   SELECT * FROM (
     SELECT *, trim(json_extract_string(replace(artists, '''', '"'), '$[0]')) AS artist FROM rawf)
@@ -205,3 +204,7 @@ ae_b{L} AS (SELECT o, 0.1 * cos({L} + 0.5 * o) AS b FROM generate_series(0, {fo
   GROUP BY a.item_id, w.o, b.b)""")
         prev = names[L - 1]
     return ",\n".join(out)
+
+
+#: The collaborative model trains on the training rows whose item is in the prepared catalogue.
+CTRAIN = "ctrain AS (SELECT user_id, item_id, play FROM train WHERE item_id IN (SELECT item_id FROM catalog))"

@@ -41,34 +41,35 @@ class Params:
 P = Params()
 
 
-def valid_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Interactions whose item is in the vector catalogue — every interaction of
-    the reference is a catalogue item, so the split runs on these."""
-    return tables.interactions(spark, sf_dir).join(tables.item_vectors(spark, sf_dir).select("item_id"),
-                                                   "item_id", "left_semi")
+_INTER, _ITEMS, _VECS = ("orders", "lineitem"), ("part", "lineitem"), ("embeddings", "part")
+_MEMO: dict = {}
 
 
-_SPLIT_MEMO: dict = {}
+def _stage(spark: SparkSession, sf_dir: str, kind: str, tables_read: tuple, p, build) -> DataFrame:
+    """A stage output, written once per session, state of the input tables and parameters."""
+    key = (spark.sparkContext.applicationId, kind, sf_dir, tables.input_state(spark, sf_dir, tables_read), repr(p))
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
+def clear_stage_outputs() -> None:
+    """Forget memoised stage outputs (benchmarks start every query from the tables)."""
+    _MEMO.clear()
 
 
 def split_tagged(spark: SparkSession, sf_dir: str, p: Params = P, materialized: bool = False) -> DataFrame:
-    """The per-user split of the valid interactions (``is_train``, ``pos``, ``n``).
+    """The per-user split of all interactions (``is_train``, ``pos``, ``n``).
 
-    ``materialized=True`` returns the checkpointed stage output, computed once
-    per (session, input, parameters) — the counterpart of the reference's
-    train/test files.
+    ``materialized=True`` returns the stage output, written once with train and
+    test apart: the counterpart of the reference's train/test files.
     """
-    if not materialized:
-        return assign_split(valid_interactions(spark, sf_dir), seed=p.seed, train_ratio=p.train_ratio,
+    def split():
+        return assign_split(tables.interactions(spark, sf_dir), seed=p.seed, train_ratio=p.train_ratio,
                             min_interactions=p.min_interactions)
-    key = (spark.sparkContext.applicationId, sf_dir, p.seed, p.train_ratio, p.min_interactions)
-    if key not in _SPLIT_MEMO:
-        # The split reads its input twice (group sizes, numbering): the
-        # interaction table is materialised first so the join runs once.
-        inter = materialize(valid_interactions(spark, sf_dir))
-        _SPLIT_MEMO[key] = materialize(assign_split(inter, seed=p.seed, train_ratio=p.train_ratio,
-                                                    min_interactions=p.min_interactions))
-    return _SPLIT_MEMO[key]
+    if not materialized:
+        return split()
+    return _stage(spark, sf_dir, "split", _INTER, p, lambda: materialize(split(), ("is_train",)))
 
 
 def train_set(spark: SparkSession, sf_dir: str, p: Params = P, materialized: bool = False) -> DataFrame:
@@ -110,26 +111,12 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.raw_items_with_features(spark, sf_dir)
 
 
-_CATALOG_MEMO: dict = {}
-
-
 def catalog(spark: SparkSession, sf_dir: str, p: Params = P, materialized: bool = False) -> DataFrame:
-    """The prepared catalogue; ``materialized=True`` returns the checkpointed
-    stage output (the counterpart of the reference's metadata + feature files),
-    built once per (session, input, parameters)."""
-    if not materialized:
+    """The prepared catalogue; ``materialized=True`` returns the stage output
+    (the counterpart of the reference's metadata + feature files)."""
+    def prepare():
         return prepare_catalog(raw_items(spark, sf_dir), catalog_spec(p))
-    key = (spark.sparkContext.applicationId, sf_dir, p.min_support, p.min_popularity)
-    if key not in _CATALOG_MEMO:
-        _CATALOG_MEMO[key] = materialize(prepare_catalog(raw_items(spark, sf_dir), catalog_spec(p)))
-    return _CATALOG_MEMO[key]
-
-
-def clear_stage_outputs() -> None:
-    """Forget memoised stage outputs (benchmarks start every query from the tables)."""
-    _SPLIT_MEMO.clear()
-    _CATALOG_MEMO.clear()
-    _RECS_MEMO.clear()
+    return _stage(spark, sf_dir, "catalog", _ITEMS, p, lambda: materialize(prepare())) if materialized else prepare()
 
 
 # ---------------------------------------------------------------- models
@@ -139,13 +126,18 @@ from tastebud.operators.catalog import standardized_features  # noqa: E402
 from tastebud.sources.io import vectors_to_array  # noqa: E402
 
 
+def catalog_train(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
+    """The training rows whose item is in the prepared catalogue: what the collaborative model learns from."""
+    return train_set(spark, sf_dir, p, True).join(catalog(spark, sf_dir, p, True).select("item_id"), "item_id", "left_semi")
+
+
 def als_fit(spark: SparkSession, sf_dir: str, p: Params = P) -> ALS.AlsFit:
-    return ALS.fit_als(train_set(spark, sf_dir, p, True), rank=p.als_rank, max_iter=p.als_iter, reg=p.als_reg,
+    return ALS.fit_als(catalog_train(spark, sf_dir, p), rank=p.als_rank, max_iter=p.als_iter, reg=p.als_reg,
                        alpha=p.als_alpha, seed=p.seed)
 
 
 def als_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
-    return ALS.als_recommend(als_fit(spark, sf_dir, p), train_set(spark, sf_dir, p, True), k or p.k)
+    return ALS.als_recommend(als_fit(spark, sf_dir, p), catalog_train(spark, sf_dir, p), k or p.k)
 
 
 def catalog_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
@@ -164,20 +156,57 @@ def ae_fixed_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None
                              materialize_items=True)
 
 
-_RECS_MEMO: dict = {}
-
-
 def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
     """Recs of both deterministic models: ``content`` and ``autoencoder`` (fixed weights).
 
-    A stage output (the counterpart of the reference's recommendation files):
-    materialised once per (session, input, parameters) and shared by the
-    evaluation, diagnostics and report queries.
+    A stage output (the counterpart of the reference's recommendation files),
+    shared by the evaluation, diagnostics and report queries.
+    """
+    def build():
+        return materialize(model_recs(content_recs(spark, sf_dir, p), "content")
+                           .unionByName(model_recs(ae_fixed_recs(spark, sf_dir, p), "autoencoder")))
+    return _stage(spark, sf_dir, "recs", tuple(sorted({*_INTER, *_ITEMS, *_VECS})), p, build)
+
+
+# ------------------------------------------------- a user's own tables
+@dataclass
+class Recommender:
+    """Stage outputs of :func:`recommend`."""
+
+    catalog: DataFrame
+    train: DataFrame
+    test: DataFrame
+    removed: DataFrame      # training rows outside the catalogue, by model input
+    recs: DataFrame         # model, user_id, item_id, score, rank
+    board: DataFrame        # model, K, precision, recall, ndcg, n_users_evaluated
+
+
+def recommend(raw: DataFrame, interactions: DataFrame, spec: CatalogSpec | None = None, p: Params = P,
+              k: int = 500, epochs: int = AE.EPOCHS, steps_per_epoch: int = AE.STEPS_PER_EPOCH) -> Recommender:
+    """The whole pipeline over given raw items and interactions ``(user_id, item_id[, play])``.
+
+    ``raw`` has the id, name and artists columns of ``spec`` and any of its
+    features (the reference's by default); ids may be text.  Catalogue, split,
+    collaborative and autoencoder recommendations and their leaderboard, each
+    written once to the shared folder.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, p.seed, p.train_ratio, p.min_interactions, p.k,
-           p.min_support, p.min_popularity)
-    if key not in _RECS_MEMO:
-        _RECS_MEMO[key] = materialize(
-            model_recs(content_recs(spark, sf_dir, p), "content")
-            .unionByName(model_recs(ae_fixed_recs(spark, sf_dir, p), "autoencoder")))
-    return _RECS_MEMO[key]
+    from tastebud.operators.catalog import REFERENCE_FEATURES, available_features
+    from tastebud.operators.interactions import implicit
+    spec = spec or CatalogSpec(feature_cols=[*REFERENCE_FEATURES, "popularity"])
+    feats, _ = available_features(raw, spec.feature_cols)
+    cat = materialize(prepare_catalog(raw, spec).withColumnRenamed(spec.id_col, "item_id"))
+    tagged = materialize(assign_split(implicit(interactions), seed=p.seed, train_ratio=p.train_ratio,
+                                      min_interactions=p.min_interactions), ("is_train",))
+    cols = ["user_id", "item_id", "play", "pos"]
+    train, test = tagged.where("is_train").select(*cols), tagged.where("NOT is_train").select(*cols)
+    ctrain = materialize(train.join(cat.select("item_id"), "item_id", "left_semi"))
+    n = train.agg(F.count(F.lit(1)).alias("n_train"))
+    n = n.select("n_train", ctrain.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_in_catalog"))
+    removed = n.select("n_train", "n_in_catalog", (F.col("n_train") - F.col("n_in_catalog")).alias("n_removed"))
+    fit = ALS.fit_als(ctrain, rank=p.als_rank, max_iter=p.als_iter, reg=p.als_reg, alpha=p.als_alpha, seed=p.seed)
+    vecs = AE.training_input(vectors_to_array(standardized_features(cat, feats), feats, out_col="vec"), "item_id", "vec")
+    params, _ = AE.train(vecs, len(feats), epochs=epochs, steps_per_epoch=steps_per_epoch, seed=p.seed)
+    content = content_recommend(train, AE.encode(vecs, params), k, materialize_items=True)
+    recs = materialize(model_recs(ALS.als_recommend(fit, ctrain, k), "als")
+                       .unionByName(model_recs(content, "autoencoder")))
+    return Recommender(cat, train, test, removed, recs, leaderboard(compact_ranks(recs), test, p.ks))

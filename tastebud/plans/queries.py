@@ -62,14 +62,54 @@ from tastebud.operators import sampling as SM  # noqa: E402
 from tastebud.operators import split as SP  # noqa: E402
 from tastebud.sources import tables as TB  # noqa: E402
 
+import uuid  # noqa: E402
+
+from tastebud.session import checkpoint_dir  # noqa: E402
+from tastebud.sources import io as SIO  # noqa: E402
+from tastebud.sources.io import vectors_to_array  # noqa: E402
+
 _FEATS = TB.PART_FEATURES
+
+
+def _artefact(spark, name: str) -> str:
+    """A new path for a written artefact in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 _CAT = O.catalog_ctes()
+_CAT_EDGE = O.catalog_ctes(edge=True)
 
 
-@register("main_artist", O.with_(O.RAW) + """
+@register("main_artist", O.with_(O.raw_ctes(edge=True)) + """
 SELECT item_id, src_order, trim(json_extract_string(replace(artists, '''', '"'), '$[0]')) AS artist FROM raw""")
 def q_main_artist(spark, sf):
-    return TB.raw_items(spark, sf).select("item_id", "src_order", main_artist("artists").alias("artist"))
+    return TB.raw_items(spark, sf, True).select("item_id", "src_order", main_artist("artists").alias("artist"))
+
+
+# Literal forms derived from every part row by its key; the value that parsing must give is spelled beside each.
+_LITERALS = (
+    ("['{b}', \"x\"]", "{b}"), ("[\"{b}'s\"]", "{b}'s"), ("['{b}',]", "{b}"), ("[' {b} ']", "{b}"), ("'{b}'", "{b}"),
+    ("['{b}' '{t}']", "{b}{t}"), ("['\\101{b}']", "A{b}"), ("['{b}\\\\x41']", "{b}\\x41"), ("['{b}\\x41']", "{b}A"),
+    ("['{b}'] junk", None), ("['{b}']]", None), ("[['{b}']]", None), ("{{'{b}': 1}}", None), ("[]", None), ("{b}", None),
+    ("['', '{b}']", ""))
+
+
+def _literal_sql() -> str:
+    def text(x):
+        if x is None:
+            return "CAST(NULL AS VARCHAR)"
+        x = "'" + x.replace("'", "''").replace("{{", "{").replace("}}", "}") + "'"
+        return x.replace("{b}", "' || p_brand || '").replace("{t}", "' || p_type || '")
+    arms = " ".join(f"WHEN {i} THEN {text(want)}" for i, (_, want) in enumerate(_LITERALS))
+    return f"SELECT p_partkey AS item_id, CASE p_partkey % {len(_LITERALS)} {arms} END AS artist FROM part"
+
+
+@register("main_artist_literals", _literal_sql())
+def q_main_artist_literals(spark, sf):
+    def text(x):
+        parts = x.replace("{{", "{").replace("}}", "}").replace("{b}", "\0b\0").replace("{t}", "\0t\0").split("\0")
+        return F.concat(*[F.col("p_brand") if y == "b" else F.col("p_type") if y == "t" else F.lit(y) for y in parts])
+    kind = F.pmod("p_partkey", F.lit(len(_LITERALS)))
+    lit = F.coalesce(*[F.when(kind == i, text(x)) for i, (x, _) in enumerate(_LITERALS)])
+    return TB.table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), main_artist(lit).alias("artist"))
 
 
 def _float_out(cols):
@@ -82,7 +122,7 @@ def q_catalog_prepared(spark, sf):
     return PL.catalog(spark, sf, materialized=True).select("item_id", "name", "artist", *_float_out(_FEATS))
 
 
-@register("prep_funnel", O.with_(_CAT, """counts AS (
+@register("prep_funnel", O.with_(_CAT_EDGE, """counts AS (
   SELECT 0 AS step_no, 'input' AS step, (SELECT count(*) FROM rawf) AS rows_out
   UNION ALL SELECT 1, 'parsed_artist', (SELECT count(*) FROM s1)
   UNION ALL SELECT 2, 'deduplicated', (SELECT count(*) FROM s2)
@@ -93,7 +133,23 @@ SELECT c.step_no, c.step, coalesce(p.rows_out, c.rows_out) AS rows_in, c.rows_ou
        coalesce(p.rows_out, c.rows_out) - c.rows_out AS removed
 FROM counts c LEFT JOIN counts p ON p.step_no = c.step_no - 1""")
 def q_prep_funnel(spark, sf):
-    return C.catalog_funnel(PL.raw_items(spark, sf), PL.catalog_spec())
+    return C.catalog_funnel(TB.raw_items_with_features(spark, sf, True), PL.catalog_spec())
+
+
+@register("catalog_cleaned", O.with_(_CAT_EDGE) + "SELECT item_id, name, artist, " +
+          ", ".join(f"{O.r6(c)} AS {c}" for c in _FEATS) + " FROM catalog")
+def q_catalog_cleaned(spark, sf):
+    raw = TB.raw_items_with_features(spark, sf, True)
+    return C.prepare_catalog(raw, PL.catalog_spec()).select("item_id", "name", "artist", *_float_out(_FEATS))
+
+
+@register("missing_features", "SELECT unnest(['" + "', '".join([*C.REFERENCE_FEATURES, "popularity"]) + "']) AS feature, "
+          "unnest([" + ", ".join(["false"] * len(C.REFERENCE_FEATURES) + ["true"]) + "]) AS present, "
+          "(SELECT count(*) FROM part) AS n_items")
+def q_missing_features(spark, sf):
+    raw = TB.raw_items_with_features(spark, sf)
+    n = raw.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return C.missing_features(raw, [*C.REFERENCE_FEATURES, "popularity"]).withColumn("n_items", n)
 
 
 @register("min_support_filter", """
@@ -104,9 +160,9 @@ def q_min_support_filter(spark, sf):
     return C.min_support_filter(part, "artist", 80)
 
 
-@register("dedup_keep_first", O.with_(_CAT) + "SELECT item_id, name, src_order FROM s2")
+@register("dedup_keep_first", O.with_(_CAT_EDGE) + "SELECT item_id, name, src_order FROM s2")
 def q_dedup_keep_first(spark, sf):
-    s1 = C.with_artist(PL.raw_items(spark, sf), PL.catalog_spec()).where(F.col("artist").isNotNull())
+    s1 = C.with_artist(TB.raw_items_with_features(spark, sf, True), PL.catalog_spec()).where(F.col("artist").isNotNull())
     return RK.dedup_keep_first(s1, ["item_id"], ["src_order"]).select("item_id", "name", "src_order")
 
 
@@ -135,9 +191,10 @@ SELECT s.item_id, fl.pos, fl.feature, """ + O.r6("CASE fl.pos " + " ".join(
     f"WHEN {i} THEN s.{c}" for i, c in enumerate(_FEATS)) + " END") + """ AS value
 FROM std s CROSS JOIN fl""")
 def q_feature_vectors(spark, sf):
-    from tastebud.sources.io import vectors_to_array
     std = C.standardized_features(PL.catalog(spark, sf, materialized=True), _FEATS)
-    vec = vectors_to_array(std, _FEATS)
+    path = _artefact(spark, "features")
+    SIO.write_parquet(vectors_to_array(std, _FEATS), path)  # the matrix sink, read back
+    vec = spark.read.parquet(path)
     names = F.array(*[F.lit(c) for c in _FEATS])
     return vec.select("item_id", F.posexplode("features").alias("pos", "value")).select(
         "item_id", F.col("pos").cast("int").alias("pos"), F.element_at(names, F.col("pos") + 1).alias("feature"),
@@ -215,15 +272,15 @@ def q_excluded_users(spark, sf):
 
 
 @register("split_stats", O.with_(O.INTER, O.SPLIT) + """
-SELECT (SELECT count(*) FROM vinter) AS n_input,
+SELECT (SELECT count(*) FROM inter) AS n_input,
        (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM test) AS n_test,
        (SELECT count(DISTINCT user_id) FROM train) AS n_train_users,
        (SELECT count(DISTINCT user_id) FROM test) AS n_test_users,
-       """ + O.r6("100.0 * (SELECT count(*) FROM train) / nullif((SELECT count(*) FROM vinter), 0)") + """ AS pct_train,
-       """ + O.r6("100.0 * (SELECT count(*) FROM test) / nullif((SELECT count(*) FROM vinter), 0)") + """ AS pct_test,
-       (SELECT count(*) FROM (SELECT user_id FROM vinter GROUP BY user_id HAVING count(*) < 2)) AS n_excluded_users""")
+       """ + O.r6("100.0 * (SELECT count(*) FROM train) / nullif((SELECT count(*) FROM inter), 0)") + """ AS pct_train,
+       """ + O.r6("100.0 * (SELECT count(*) FROM test) / nullif((SELECT count(*) FROM inter), 0)") + """ AS pct_test,
+       (SELECT count(*) FROM (SELECT user_id FROM inter GROUP BY user_id HAVING count(*) < 2)) AS n_excluded_users""")
 def q_split_stats(spark, sf):
-    inter = PL.valid_interactions(spark, sf)
+    inter = TB.interactions(spark, sf)
     tagged = PL.split_tagged(spark, sf, materialized=True)
     s = tagged.agg(F.count(F.when(F.col("is_train"), 1)).alias("n_train"),
                    F.count(F.when(~F.col("is_train"), 1)).alias("n_test"),
@@ -252,9 +309,9 @@ def q_train_test_overlap(spark, sf):
     return train_test_overlap(tagged.where("is_train"), tagged.where("NOT is_train"))
 
 
-@register("test_overlap_removed", O.with_(O.INTER_REPEATED, _REP_SPLIT) + """
+@register("test_overlap_removed", O.with_(O.INTER_REPEATED, _REP_SPLIT.replace("split AS (", "split AS MATERIALIZED (")) + """
 SELECT s.user_id, s.item_id FROM test s
-WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = s.user_id AND t.item_id = s.item_id)""")
+ANTI JOIN (SELECT DISTINCT user_id, item_id FROM train) t ON t.user_id = s.user_id AND t.item_id = s.item_id""")
 def q_test_overlap_removed(spark, sf):
     tagged = SP.assign_split(TB.interactions(spark, sf, distinct=False))
     return SP.remove_test_overlap(tagged.where("is_train"), tagged.where("NOT is_train")).select("user_id", "item_id")
@@ -336,7 +393,7 @@ _HEX13 = "CAST(('0x' || substr({k}, 1, 13)) AS BIGINT)"
 
 
 @register("weighted_group_pick", O.with_(O.INTER, _CAT, """g AS (
-  SELECT artist, CAST(count(*) AS DOUBLE) AS w FROM catalog GROUP BY artist),
+  SELECT artist, CAST(count(*) AS DOUBLE) AS w FROM catalog GROUP BY artist HAVING count(*) >= 20),
 iv AS (
   SELECT artist, (sum(w) OVER (ORDER BY artist) - w) / sum(w) OVER () AS lo,
          sum(w) OVER (ORDER BY artist) / sum(w) OVER () AS hi FROM g),
@@ -346,7 +403,7 @@ us AS (
 SELECT us.user_id, iv.artist AS picked_group FROM us JOIN iv ON us.u >= iv.lo AND us.u < iv.hi""")
 def q_weighted_group_pick(spark, sf):
     groups = IX.group_counts(PL.catalog(spark, sf, materialized=True), "artist")
-    return SM.weighted_group_pick(TB.interactions(spark, sf), groups, group_col="artist")
+    return SM.weighted_group_pick(TB.interactions(spark, sf), groups, group_col="artist", min_weight=PL.P.min_support)
 
 
 # ============================================================ models: ALS
@@ -363,16 +420,30 @@ def q_als_topk(spark, sf):
     return PL.als_recs(spark, sf).select("user_id", "item_id", "score", "rank")
 
 
-@register("als_contract", O.with_(O.INTER, O.SPLIT, """tu AS (
-  SELECT user_id, count(DISTINCT item_id) AS n_u FROM train GROUP BY user_id),
-ni AS (SELECT count(DISTINCT item_id) AS n FROM train)""") + f"""
+_ALS = (O.INTER, O.SPLIT, O.catalog_ctes(), O.CTRAIN, """tu AS (
+  SELECT user_id, count(DISTINCT item_id) AS n_u FROM ctrain GROUP BY user_id),
+ni AS (SELECT count(DISTINCT item_id) AS n FROM ctrain)""")
+
+
+@register("als_train_rows", O.with_(*_ALS) + """
+SELECT (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM ctrain) AS n_in_catalog,
+       (SELECT count(*) FROM train) - (SELECT count(*) FROM ctrain) AS n_removed""")
+def q_als_train_rows(spark, sf):
+    n = PL.train_set(spark, sf, materialized=True).agg(F.count(F.lit(1)).alias("n_train"))
+    one = DG.one_row(n, PL.catalog_train(spark, sf).agg(F.count(F.lit(1)).alias("n_in_catalog")))
+    return one.withColumn("n_removed", F.col("n_train") - F.col("n_in_catalog"))
+
+
+@register("als_contract", O.with_(*_ALS) + f"""
 SELECT user_id, least({O.K}, ni.n - n_u) AS n_recs, CAST(0 AS BIGINT) AS n_seen,
        least({O.K}, ni.n - n_u) AS max_rank, CAST(0 AS BIGINT) AS n_outside_train,
        CAST(0 AS BIGINT) AS n_order_violations
 FROM tu CROSS JOIN ni WHERE ni.n - n_u > 0""")
 def q_als_contract(spark, sf):
-    train = PL.train_set(spark, sf, materialized=True)
-    recs = PL.als_recs(spark, sf)
+    return _als_contract(PL.catalog_train(spark, sf), PL.als_recs(spark, sf))
+
+
+def _als_contract(train, recs):
     seen = train.select("user_id", "item_id").distinct().withColumn("_seen", F.lit(1))
     items = train.select("item_id").distinct().withColumn("_in", F.lit(1))
     prev = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
@@ -385,21 +456,99 @@ def q_als_contract(spark, sf):
         F.sum("_viol").cast("long").alias("n_order_violations"))
 
 
+def _text_ids(df):
+    """The same rows with text keys."""
+    return df.select(*[F.concat(F.lit(c[0]), F.col(c).cast("string")).alias(c) if c in ("user_id", "item_id") else F.col(c)
+                       for c in df.columns])
+
+
+@register("als_contract_text_ids", O.with_(*_ALS) + f"""
+SELECT 'u' || user_id AS user_id, least({O.K}, ni.n - n_u) AS n_recs, CAST(0 AS BIGINT) AS n_seen,
+       least({O.K}, ni.n - n_u) AS max_rank, CAST(0 AS BIGINT) AS n_outside_train,
+       CAST(0 AS BIGINT) AS n_order_violations
+FROM tu CROSS JOIN ni WHERE ni.n - n_u > 0""")
+def q_als_contract_text_ids(spark, sf):
+    p = PL.P
+    train = _text_ids(PL.catalog_train(spark, sf))
+    fit = ALS.fit_als(train, rank=p.als_rank, max_iter=p.als_iter, reg=p.als_reg, alpha=p.als_alpha, seed=p.seed)
+    return _als_contract(train, ALS.als_recommend(fit, train, p.k))
+
+
+@register("content_topk_text_ids", O.with_(O.INTER, O.SPLIT, O.ITEMS, O.CONTENT.replace(
+    "ORDER BY round(score, 6) DESC, item_id)", "ORDER BY round(score, 6) DESC, 'i' || item_id)")) +
+    "SELECT 'u' || user_id AS user_id, 'i' || item_id AS item_id, score, rank FROM crecs")
+def q_content_topk_text_ids(spark, sf):
+    from tastebud.operators.content import content_recommend
+    return content_recommend(_text_ids(PL.train_set(spark, sf, materialized=True)), _text_ids(TB.item_vectors(spark, sf)),
+                             PL.P.k)
+
+
+@register("als_score_check", O.with_(*_ALS) + f"""
+SELECT CAST(coalesce(sum(least({O.K}, ni.n - n_u)), 0) AS BIGINT) AS n_recs, CAST(0 AS BIGINT) AS n_mismatches
+FROM tu CROSS JOIN ni WHERE ni.n - n_u > 0""")
+def q_als_score_check(spark, sf):
+    """Every emitted score is the rounded product of the two factors."""
+    fit = PL.als_fit(spark, sf)
+    recs = ALS.als_recommend(fit, PL.catalog_train(spark, sf), PL.P.k)
+    u, i = ALS.factor_tables(fit)
+    j = recs.join(u.withColumnRenamed("vec", "u"), "user_id").join(i.withColumnRenamed("vec", "i"), "item_id")
+    dot = F.aggregate(F.zip_with("u", "i", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    return j.agg(F.count(F.lit(1)).alias("n_recs"),
+                 F.count(F.when(F.abs(dot - F.col("score")) > 1e-6, 1)).alias("n_mismatches"))
+
+
+_MF_DIM = 8
+
+
+@register("mf_topk", O.with_(*_ALS, f"""fd AS (SELECT CAST(d AS DOUBLE) AS d FROM generate_series(0, {_MF_DIM - 1}) t(d)),
+fu AS (SELECT user_id, d, sin(0.37 * user_id + 1.1 * d) AS x FROM tu CROSS JOIN fd),
+fi AS (SELECT item_id, d, cos(0.73 * item_id + 0.9 * d) AS x FROM (SELECT DISTINCT item_id FROM ctrain) CROSS JOIN fd),
+sc AS (SELECT u.user_id, i.item_id, sum(u.x * i.x) AS s FROM fu u JOIN fi i ON u.d = i.d GROUP BY u.user_id, i.item_id),
+rk AS (
+  SELECT user_id, item_id, round(s, 6) + 0.0 AS score,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(s, 6) DESC, item_id) AS INTEGER) AS rank
+  FROM sc ANTI JOIN (SELECT DISTINCT user_id, item_id FROM ctrain) t USING (user_id, item_id))""") +
+          f"SELECT user_id, item_id, score, rank FROM rk WHERE rank <= {O.K}")
+def q_mf_topk(spark, sf):
+    """Predicted preference over factors given by a formula: the collaborative scorer with values to compare."""
+    from tastebud.operators.topk import top_k_scores
+    train = PL.catalog_train(spark, sf)
+
+    def factors(col, fn, a, b):
+        return train.select(col).distinct().withColumn(
+            "vec", F.array(*[fn(F.lit(a) * F.col(col) + F.lit(b * d)) for d in range(_MF_DIM)]))
+    return top_k_scores(factors("user_id", F.sin, 0.37, 1.1), factors("item_id", F.cos, 0.73, 0.9), PL.P.k,
+                        seen=train, metric="dot")
+
+
 @register("als_leaderboard")
 def q_als_leaderboard(spark, sf):
     recs = EV.compact_ranks(PL.model_recs(PL.als_recs(spark, sf), "als"))
     return EV.leaderboard(recs, PL.test_set(spark, sf, materialized=True), PL.P.ks)
 
 
-@register("model_info_json")
+def _info_back(spark, info, name: str):
+    """The record as JSON in the shared folder, read back with its schema; time and loss become flags."""
+    path = _artefact(spark, name)
+    SIO.write_json_record(info, path)
+    back = spark.read.schema(info.schema).json(path)
+    flags = {"training_time_seconds": ("time_recorded", F.col("training_time_seconds") >= 0),
+             "loss_final": ("loss_finite", F.coalesce(F.abs("loss_final") < float("inf"), F.lit(False)))}
+    return back.select(*[flags[c][1].alias(flags[c][0]) if c in flags else F.col(c) for c in back.columns])
+
+
+@register("model_info_json", O.with_(*_ALS) + f"""
+SELECT {PL.P.als_rank} AS factors, CAST({PL.P.als_reg} AS DOUBLE) AS regularization, {PL.P.als_iter} AS iterations, {O.K} AS "K",
+       count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_tracks, count(*) AS n_interactions_train,
+       true AS time_recorded, {PL.P.seed} AS random_seed FROM ctrain""")
 def q_model_info_json(spark, sf):
     import time
     p = PL.P
     t0 = time.time()
     fit = PL.als_fit(spark, sf)
     fit.model.userFactors.count()
-    info = ALS.model_info(PL.train_set(spark, sf, materialized=True), p.als_rank, p.als_reg, p.als_iter, p.k, time.time() - t0, p.seed)
-    return info.select(F.to_json(F.struct(*info.columns)).alias("json"))
+    info = ALS.model_info(PL.catalog_train(spark, sf), p.als_rank, p.als_reg, p.als_iter, p.k, time.time() - t0, p.seed)
+    return _info_back(spark, info, "als-info")
 
 
 # ==================================================== models: autoencoder
@@ -420,7 +569,7 @@ def q_ae_reconstruct(spark, sf):
     return err.select("item_id", r6("mse").alias("mse"))
 
 
-_AE_EPOCHS = 5
+_AE_EPOCHS, _AE_STEPS = 5, 4
 
 
 @register("ae_train_loss", O.with_(O.catalog_ctes()) +
@@ -431,7 +580,7 @@ def q_ae_train_loss(spark, sf):
     data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
     p0 = AE.init_params(len(_FEATS), seed=PL.P.seed)
     before = AE.dataset_loss(data, p0)
-    p1, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed, params=p0)
+    p1, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed, params=p0)
     after = AE.dataset_loss(data, p1)
     n = data.count()
     # With no items the statement is vacuously true (nothing to fit).
@@ -445,7 +594,7 @@ def q_ae_topk(spark, sf):
     from tastebud.operators.content import content_recommend
     vecs = PL.catalog_vectors(spark, sf)
     data = AE.training_input(vecs, "item_id", "vec")
-    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed)
+    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed)
     z = AE.encode(data, params)
     return content_recommend(PL.train_set(spark, sf, materialized=True), z, PL.P.k, materialize_items=True).select(
         "user_id", "item_id", "score", "rank")
@@ -546,20 +695,9 @@ def _catalog_ids(spark, sf):
 
 
 @register("truth_sets", O.with_(O.INTER, O.SPLIT) + """
-SELECT user_id, count(*) AS n_truth,
-       string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE rn <= 10) AS first_items,
-       greatest(count(*) - 10, 0) AS n_more
-FROM (SELECT user_id, item_id, pos, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS rn FROM test)
-GROUP BY user_id""")
+SELECT user_id, item_id, pos, count(*) OVER (PARTITION BY user_id) AS n_truth FROM test""")
 def q_truth_sets(spark, sf):
-    t = PL.test_set(spark, sf, materialized=True).select("user_id", "item_id", "pos")
-    p0 = t.groupBy("user_id").agg(F.min("pos").alias("_p0"), F.count(F.lit(1)).alias("n_truth"))
-    firsts = (t.join(p0, "user_id").where(F.col("pos") - F.col("_p0") < 10)
-              .groupBy("user_id", "n_truth")
-              .agg(F.array_sort(F.collect_list(F.struct("pos", "item_id"))).alias("_l")))
-    return firsts.select("user_id", "n_truth",
-                         F.concat_ws(",", F.transform("_l", lambda s: s["item_id"].cast("string"))).alias("first_items"),
-                         F.greatest(F.col("n_truth") - 10, F.lit(0)).alias("n_more"))
+    return RP.truth_sets(PL.test_set(spark, sf, materialized=True)).select("user_id", "item_id", "pos", "n_truth")
 
 
 @register("rec_lists", _TWO + """
@@ -741,12 +879,9 @@ def q_known_users(spark, sf):
 # ================================================== sources and sinks (#1, #4, #6)
 @register("csv_roundtrip", O.with_(O.INTER, O.SPLIT, O.ITEMS, O.CONTENT) + "SELECT user_id, item_id, score, rank FROM crecs")
 def q_csv_roundtrip(spark, sf):
-    import uuid
-    from tastebud.session import checkpoint_dir
-    from tastebud.sources import io as SIO
-    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    path = _artefact(spark, "csv")
     SIO.write_csv(PL.content_recs(spark, sf).select("user_id", "item_id", "score", "rank"), path)
-    return SIO.read_csv(spark, path, SIO.RECS_SCHEMA)
+    return SIO.read_csv(spark, path, SIO.recs_schema())
 
 
 @register("negative_samples", O.with_(O.INTER, O.catalog_ctes(), """cidx AS (
@@ -778,15 +913,36 @@ def q_negative_samples(spark, sf):
 
 
 # ======================================== remaining artefacts and reports
-_DEMO_USER = 0
+_DEMO_USER = 7
+
+
+@register("user_membership", _TWO + """
+SELECT id AS user_id, (SELECT count(*) FROM mrecs WHERE user_id = id) + (SELECT count(*) FROM test WHERE user_id = id) AS n_rows,
+       EXISTS (SELECT 1 FROM mrecs WHERE user_id = id) OR EXISTS (SELECT 1 FROM test WHERE user_id = id) AS known
+FROM (SELECT unnest([CAST(7 AS BIGINT), CAST(-1 AS BIGINT)]) AS id)""")
+def q_user_membership(spark, sf):
+    frames = [PL.two_model_recs(spark, sf), PL.test_set(spark, sf, materialized=True)]
+    out = [RP.is_known_user(frames, i).withColumn("user_id", F.col("user_id").cast("long")) for i in (7, -1)]
+    return out[0].unionByName(out[1])
+
+
+@register("recs_positions", _TWO + """
+SELECT model, user_id, item_id, rank,
+       row_number() OVER (ORDER BY model, user_id, rank) - 1 AS position FROM mrecs WHERE rank <= 10""")
+def q_recs_positions(spark, sf):
+    """The sorted table's own order as a column: positions come from the rows as ``recs_top_k`` returns them."""
+    top = RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K).select("model", "user_id", "item_id", "rank")
+    placed = PL.materialize(top.withColumn("_at", F.monotonically_increasing_id()))  # ascends with the row order
+    index = RK.dense_index(placed, "_at", "position")
+    return placed.join(index, "_at").select("model", "user_id", "item_id", "rank", "position")
 
 
 @register("demo_user_report", _TWO + ", " + _META + f"""
 SELECT model, rank, item_id, name, artist, score FROM rwm WHERE user_id = {_DEMO_USER}""")
 def q_demo_user_report(spark, sf):
-    top = RP.recs_top_k(PL.two_model_recs(spark, sf), _REPORT_K)
-    rep = RP.recs_with_meta(top, PL.catalog(spark, sf, materialized=True))
-    return rep.where(F.col("user_id") == F.lit(_DEMO_USER)).select("model", "rank", "item_id", "name", "artist",
+    mine = PL.two_model_recs(spark, sf).where(F.col("user_id") == F.lit(_DEMO_USER))  # reaches the stage's Parquet scan
+    rep = RP.recs_with_meta(RP.recs_top_k(mine, _REPORT_K), PL.catalog(spark, sf, materialized=True))
+    return rep.select("model", "rank", "item_id", "name", "artist",
                                                                     "score")
 
 
@@ -796,10 +952,10 @@ def _als_and_ae(spark, sf):
     train = PL.train_set(spark, sf, materialized=True)
     als = PL.model_recs(PL.als_recs(spark, sf), "als")
     data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
-    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed)
+    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed)
     ae = PL.model_recs(content_recommend(train, AE.encode(data, params), PL.P.k, materialize_items=True),
                        "autoencoder")
-    return als.unionByName(ae)
+    return PL.materialize(als.unionByName(ae))  # scored once, read by every check
 
 
 @register("evaluation_report")
@@ -810,27 +966,40 @@ def q_evaluation_report(spark, sf):
     return board.join(diff, "K")
 
 
-@register("als_quality_checks")
+@register("als_quality_checks", O.with_(*_ALS, """truth AS (SELECT DISTINCT user_id FROM test),
+au AS (SELECT user_id FROM tu CROSS JOIN ni WHERE ni.n - n_u > 0),
+eu AS (SELECT user_id FROM tu WHERE n_u < (SELECT count(*) FROM catalog))""") + """
+SELECT 'train_test_overlap_pairs' AS "check", CAST(0 AS BIGINT) AS value, false AS is_problem
+UNION ALL SELECT 'test_items_not_in_catalog', count(*), count(*) > 0
+FROM (SELECT DISTINCT item_id FROM test) WHERE item_id NOT IN (SELECT item_id FROM catalog)
+UNION ALL SELECT 'als_items_not_in_train', CAST(0 AS BIGINT), false
+UNION ALL SELECT 'als_test_users_without_recs', count(*), count(*) > 0 FROM truth WHERE user_id NOT IN (SELECT user_id FROM au)
+UNION ALL SELECT 'autoencoder_test_users_without_recs', count(*), count(*) > 0 FROM truth
+WHERE user_id NOT IN (SELECT user_id FROM eu)
+UNION ALL SELECT 'catalog_size', count(*), count(*) > 20000 FROM catalog""")
 def q_als_quality_checks(spark, sf):
     return DG.quality_checks(PL.train_set(spark, sf, materialized=True), PL.test_set(spark, sf, materialized=True),
                              PL.catalog(spark, sf, materialized=True), _als_and_ae(spark, sf), collab_model="als")
 
 
-@register("ae_model_info_json")
+@register("ae_model_info_json", O.with_(*_ALS) + f"""
+SELECT {AE.HIDDEN_DIM} AS "HIDDEN_DIM", {AE.LATENT_DIM} AS "LATENT_DIM", {_AE_EPOCHS} AS epochs, CAST({AE.LEARNING_RATE} AS DOUBLE) AS lr,
+       {_AE_STEPS} AS steps_per_epoch, {O.K} AS "K", (SELECT count(*) FROM catalog) AS n_tracks,
+       (SELECT count(DISTINCT user_id) FROM ctrain) AS n_users_train, true AS loss_finite, true AS time_recorded,
+       {len(_FEATS)} AS input_dim, {PL.P.seed} AS random_seed""")
 def q_ae_model_info_json(spark, sf):
     import time
     t0 = time.time()
-    vecs = PL.catalog_vectors(spark, sf)
-    data = AE.training_input(vecs, "item_id", "vec")
-    params, losses = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, seed=PL.P.seed)
+    data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
+    params, losses = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed)
     secs = time.time() - t0
-    users = PL.train_set(spark, sf, materialized=True).agg(F.countDistinct("user_id").alias("n_users_train"))
+    users = PL.catalog_train(spark, sf).agg(F.countDistinct("user_id").alias("n_users_train"))
     items = data.agg(F.count(F.lit(1)).alias("n_tracks"))
     info = DG.one_row(items, users).select(
         F.lit(AE.HIDDEN_DIM).alias("HIDDEN_DIM"), F.lit(AE.LATENT_DIM).alias("LATENT_DIM"),
         F.lit(_AE_EPOCHS).alias("epochs"), F.lit(AE.LEARNING_RATE).alias("lr"),
-        F.lit(AE.BATCH_SIZE).alias("batch_size"), F.lit(PL.P.k).alias("K"), "n_tracks", "n_users_train",
-        F.round(F.lit(float(losses[-1]) if losses else float("nan")), 6).alias("loss_final"),
+        F.lit(_AE_STEPS).alias("steps_per_epoch"), F.lit(PL.P.k).alias("K"), "n_tracks", "n_users_train",
+        F.round(F.lit(float(losses[-1]) if losses else 0.0), 6).alias("loss_final"),
         F.round(F.lit(secs), 2).alias("training_time_seconds"), F.lit(len(_FEATS)).alias("input_dim"),
         F.lit(PL.P.seed).alias("random_seed"))
-    return info.select(F.to_json(F.struct(*info.columns)).alias("json"))
+    return _info_back(spark, info, "ae-info")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -18,7 +20,6 @@ _BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8192",
     "spark.ui.enabled": "false",
-    # checkpointed stage outputs are removed once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -47,16 +48,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (distributed) folder and is read
-    as is.  Only when it is unset — local runs and tests — a scratch folder
-    is created and registered.
+    as is; without it a job there stops with an error, as executors do not see
+    each other's disks.  Only with a local master — tests — a scratch folder is
+    made and registered.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tastebud-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", current)
@@ -67,15 +71,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialize(df):
-    """Write a stage output to the shared checkpoint folder and continue from it.
+def materialize(df, partition_by: tuple = ()):
+    """Write a stage output as Parquet to the shared folder and continue from it.
 
     Used where one stage output feeds several consumers (train and test,
-    profiles and seen pairs): the upstream plan runs once, and a lost
-    executor re-reads the files instead of replaying the lineage.
+    profiles and seen pairs): the upstream plan runs once, a lost executor
+    re-reads the files instead of replaying the lineage, and consumers keep
+    column pruning, filter pushdown and file sizes.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set = set()

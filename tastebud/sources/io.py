@@ -14,35 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-INTERACTIONS_SCHEMA = T.StructType([
-    T.StructField("user_id", T.LongType(), True),
-    T.StructField("item_id", T.LongType(), True),
-    T.StructField("play", T.DoubleType(), True),
-])
-
-RECS_SCHEMA = T.StructType([
-    T.StructField("user_id", T.LongType(), True),
-    T.StructField("item_id", T.LongType(), True),
-    T.StructField("score", T.DoubleType(), True),
-    T.StructField("rank", T.IntegerType(), True),
-])
-
-ITEM_META_SCHEMA = T.StructType([
-    T.StructField("item_id", T.LongType(), True),
-    T.StructField("name", T.StringType(), True),
-    T.StructField("artist", T.StringType(), True),
-    T.StructField("year", T.IntegerType(), True),
-    T.StructField("popularity", T.DoubleType(), True),
-])
-
-EVAL_SCHEMA = T.StructType([
-    T.StructField("model", T.StringType(), True),
-    T.StructField("K", T.IntegerType(), True),
-    T.StructField("precision", T.DoubleType(), True),
-    T.StructField("recall", T.DoubleType(), True),
-    T.StructField("ndcg", T.DoubleType(), True),
-    T.StructField("n_users_evaluated", T.LongType(), True),
-])
+def interactions_schema(user: T.DataType = T.LongType(), item: T.DataType = T.LongType()) -> T.StructType:
+    """``user_id, item_id, play``; the id types are parameters, as item ids may be text."""
+    return T.StructType([T.StructField("user_id", user), T.StructField("item_id", item),
+                         T.StructField("play", T.DoubleType())])
+
+
+def recs_schema(user: T.DataType = T.LongType(), item: T.DataType = T.LongType()) -> T.StructType:
+    """``user_id, item_id, score, rank``."""
+    return T.StructType([T.StructField("user_id", user), T.StructField("item_id", item),
+                         T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "input") -> None:
@@ -80,8 +61,3 @@ def vectors_to_array(df: DataFrame, feature_cols: list[str], id_col: str = "item
                      out_col: str = "features") -> DataFrame:
     """Dense feature matrix as ``(id, array<double>)`` keyed by id."""
     return df.select(id_col, F.array(*[F.col(c).cast("double") for c in feature_cols]).alias(out_col))
-
-
-def array_to_columns(df: DataFrame, vec_col: str, names: list[str], keep: list[str]) -> DataFrame:
-    """Inverse of :func:`vectors_to_array` for a known list of names."""
-    return df.select(*keep, *[F.col(vec_col)[i].alias(n) for i, n in enumerate(names)])

@@ -21,16 +21,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 PART_FEATURES = ["popularity", "retail_price", "avg_quantity", "avg_discount", "avg_tax", "n_lines"]
 
 
-_READERS: dict = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table; the reader (schema, file listing) is built once per session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+def input_state(spark: SparkSession, sf_dir: str, names: tuple) -> tuple:
+    """Names, sizes and times of the tables' files: the key under which stage outputs are remembered.
+
+    Asked of the store itself, so a table rewritten in the same place is a new input.
+    """
+    out = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        out.append((name, tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                                       for f in fs.listStatus(path)))))
+    return tuple(out)
 
 
 def interactions(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
@@ -58,12 +65,12 @@ def part_line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.count(F.lit(1)).cast("double").alias("n_lines")))
 
 
-def raw_items(spark: SparkSession, sf_dir: str, with_edge_cases: bool = True) -> DataFrame:
+def raw_items(spark: SparkSession, sf_dir: str, with_edge_cases: bool = False) -> DataFrame:
     """Raw item rows as the catalogue preparation expects them.
 
     ``artists`` is a Python list literal built from brand and type.  With
-    ``with_edge_cases`` the input carries derived nulls and duplicates so the
-    cleaning steps have work to do on every row: ``name`` is null where
+    ``with_edge_cases`` (the cleaning queries only) the input carries derived
+    nulls and duplicates: ``name`` is null where
     ``p_partkey % 17 = 0`` and rows with ``p_partkey % 13 = 0`` appear a second
     time (``src_order = 1``, original name kept).  Nothing is dropped here.
     """
@@ -85,7 +92,7 @@ def raw_items(spark: SparkSession, sf_dir: str, with_edge_cases: bool = True) ->
     return originals.unionByName(copies)
 
 
-def raw_items_with_features(spark: SparkSession, sf_dir: str, with_edge_cases: bool = True) -> DataFrame:
+def raw_items_with_features(spark: SparkSession, sf_dir: str, with_edge_cases: bool = False) -> DataFrame:
     """Raw items plus the lineitem aggregates (left join: parts without lines get nulls)."""
     return raw_items(spark, sf_dir, with_edge_cases).join(part_line_stats(spark, sf_dir), "item_id", "left")
 
@@ -97,9 +104,3 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("vec_id").alias("item_id"),
         F.col("embedding").cast("array<double>").alias("vec"))
     return emb.join(part_ids, "item_id", "left_semi")
-
-
-def item_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(item_id, name, artist)`` display metadata straight from ``part``."""
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("artist"))

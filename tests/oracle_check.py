@@ -68,7 +68,7 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = get_spark("local[8]", 8)
+    spark = get_spark("local[4]", 8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     for name in names or list(qs):

@@ -24,13 +24,39 @@ def test_check_k(k, ok):
 
 def test_registry_has_oracle_for_sql_expressible_queries():
     import __spark_entry__ as E
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    # only fitted-model queries (ALS, trained autoencoder) lack an SQL statement
-    assert rows_only <= {"als_topk", "als_leaderboard", "model_info_json", "ae_topk", "evaluation_report",
-                         "als_quality_checks", "ae_model_info_json"}
+    rows_only = set(E.queries()) - set(E.oracle_sql()) - set(E._corpus()[0])
+    # only scores of fitted models (ALS, trained autoencoder) lack an SQL statement
+    assert rows_only <= {"als_topk", "als_leaderboard", "ae_topk", "evaluation_report"}
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_checkpoint_folder_is_asked_for_on_a_cluster():
+    from tastebud.session import checkpoint_dir
+
+    class Nowhere:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        checkpoint_dir(Nowhere)
+
+
+def test_operators_name_missing_columns(spark):
+    from tastebud.operators.als import fit_als
+    from tastebud.operators.ranking import dedup_keep_first
+    from tastebud.operators.split import assign_split
+    df = spark.createDataFrame([(1, 2)], "user_id long, x long")
+    for call in (lambda: assign_split(df), lambda: fit_als(df)):
+        with pytest.raises(ValueError, match="item_id"):
+            call()
+    with pytest.raises(ValueError, match="order"):
+        dedup_keep_first(df, ["user_id"], ["user_id"])
+
+
 def test_interaction_stats_approx_close(spark):
     from pyspark.sql import functions as F
     from tastebud.operators.interactions import interaction_stats

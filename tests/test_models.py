@@ -47,14 +47,67 @@ def test_autoencoder_gradients_match_finite_differences():
     assert abs((lp - lm) / (2 * eps) - grads[1][0][0, 1]) < 1e-6
 
 
-def test_autoencoder_training_reduces_loss(spark):
-    rng = np.random.RandomState(1)
-    rows = [(i, rng.randn(4).tolist()) for i in range(300)]
-    df = spark.createDataFrame(rows, "item_id long, vec array<double>")
-    data = AE.training_input(df, "item_id", "vec", rows_per_partition=100)
+def _probe(spark, n, width, parts, seed=1):
+    rng = np.random.RandomState(seed)
+    rows = [(i, rng.randn(width).tolist()) for i in range(n)]
+    return spark.createDataFrame(rows, "item_id long, vec array<double>").repartition(parts)
+
+
+def _batches(df, seed, epoch, steps):
+    """The rows of each step as the operator deals them."""
+    dealt = F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), F.col("item_id")), F.lit(steps))
+    rows = df.withColumn("b", dealt).collect()
+    return [np.array([r.vec for r in rows if r.b == b]) for b in range(steps)]
+
+
+def test_autoencoder_training_does_not_depend_on_partitions(spark):
     p0 = AE.init_params(4, hidden=16, latent=3, seed=0)
+    got = [AE.train(_probe(spark, 200, 4, parts), 4, epochs=2, lr=1e-2, steps_per_epoch=4, params=p0)[0].flat()
+           for parts in (1, 4, 16)]
+    assert np.abs(got[0] - got[1]).max() < 1e-9 and np.abs(got[0] - got[2]).max() < 1e-9
+    # the same steps, one after the other in numpy
+    theta, m, v, t = p0.flat(), 0.0, 0.0, 0
+    for epoch in range(2):
+        for X in _batches(_probe(spark, 200, 4, 1), 42, epoch, 4):
+            _, grads = AE._loss_and_grads(AE.AeParams.from_flat(theta, p0.dims), X)
+            g = np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in grads])
+            t += 1
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            theta = theta - 1e-2 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    assert np.abs(got[0] - theta).max() < 1e-9
+
+
+def test_autoencoder_learns_as_well_in_many_partitions(spark):
+    data = _probe(spark, 2000, 6, 8)
+    p0 = AE.init_params(6, hidden=32, latent=4, seed=0)
     before = AE.dataset_loss(data, p0)
-    p1, losses = AE.train(data, 4, hidden=16, latent=3, epochs=4, lr=1e-2, batch_size=32, params=p0)
-    assert AE.dataset_loss(data, p1) < before and len(losses) == 4
-    z = AE.encode(df, p1).first().vec
-    assert len(z) == 3 and min(z) >= 0.0
+    p1, losses = AE.train(data, 6, epochs=3, lr=1e-2, steps_per_epoch=16, params=p0)
+    after = AE.dataset_loss(data, p1)
+    assert len(losses) == 3 and before > 0.95 and after < 0.75
+    z = AE.encode(data, p1).first().vec
+    assert len(z) == 4 and min(z) >= 0.0
+
+
+def test_als_text_ids(spark):
+    rows = [(f"u{u}", f"i{i}", 1.0) for u in range(6) for i in range(6) if (u + i) % 3]
+    train = spark.createDataFrame(rows, "user_id string, item_id string, play double")
+    recs = als_recommend(fit_als(train, rank=2, max_iter=3, seed=1), train, k=2).collect()
+    seen = {(u, i) for u, i, _ in rows}
+    assert len(recs) == 12 and all((r.user_id, r.item_id) not in seen for r in recs)
+
+
+def test_pipeline_over_given_tables(spark):
+    from tastebud.operators.catalog import CatalogSpec
+    from tastebud.plans.pipeline import Params, recommend
+    raw = spark.createDataFrame(
+        [(f"t{i}", f"n{i}", f"['a{i % 2}', 'x']", float(i % 7), float(i % 5), 60.0 if i < 28 else 10.0, 0) for i in range(30)],
+        "id string, name string, artists string, energy double, tempo double, popularity double, o int")
+    inter = spark.createDataFrame([(u, f"t{(u * 3 + j) % 30}") for u in range(12) for j in range(8)],
+                                  "user_id long, item_id string")
+    spec = CatalogSpec(feature_cols=["energy", "tempo", "valence"], id_col="id", order_col="o", min_support=5)
+    out = recommend(raw, inter, spec, Params(als_rank=2, als_iter=2), k=5, epochs=1, steps_per_epoch=2)
+    assert out.catalog.count() == 28 and out.board.count() == 6
+    r = out.removed.first()
+    assert r.n_train == out.train.count() and r.n_removed == r.n_train - r.n_in_catalog > 0
+    assert {x.model for x in out.recs.select("model").distinct().collect()} == {"als", "autoencoder"}
+    assert out.recs.join(out.train, ["user_id", "item_id"]).count() == 0

@@ -20,6 +20,17 @@ CASES = [
     ("['a\\'b\"c']", "a'b\"c"),
     ("['tab\there']", "tab\there"),
     ("[\"  spaced  \", 'z']", "spaced"),
+    ("['A'] junk", None),
+    ("['A']]", None),
+    ("['A',]", "A"),
+    ("['A',,]", None),
+    ("['A' 'B']", "AB"),
+    ("['\\101']", "A"),
+    ("['a\\\\x41']", "a\\x41"),
+    ("['a\\\\\\x41']", "a\\A"),
+    ("[['A']]", None),
+    ("['caf\\u00e9']", "caf\u00e9"),
+    ("[1, 'A']", None),
 ]
 
 

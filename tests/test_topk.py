@@ -24,7 +24,7 @@ def brute(U, I, uids, iids, seen, k, metric):
     return sorted(out)
 
 
-@pytest.mark.parametrize("metric,ub,ib", [("cosine", 1, 1), ("cosine", 3, 4), ("dot", 2, 3)])
+@pytest.mark.parametrize("metric,ub,ib", [("cosine", 1, 1), ("cosine", 3, 4), ("dot", 2, 3), ("cosine", None, None), ("dot", None, None)])
 def test_matches_brute_force(spark, metric, ub, ib):
     rng = np.random.RandomState(3)
     nu, ni, d, k = 23, 41, 5, 7
@@ -41,3 +41,36 @@ def test_matches_brute_force(spark, metric, ub, ib):
     got = top_k_scores(users, items, k, seen=sdf, metric=metric, n_user_blocks=ub, n_item_blocks=ib)
     got = sorted((r.user_id, r.item_id, r.score, r.rank) for r in got.collect())
     assert got == brute(U, I, uids, iids, seen, k, metric)
+
+
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_half_way_scores_rank_alike_in_all_block_counts(spark, metric):
+    # scores on the edge of the sixth decimal: 0.0000005, 0.0000015, ...
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.5])], "user_id long, vec array<double>")
+    items = spark.createDataFrame([(i, [(i % 40) * 1e-6 + 5e-7, 1.0 + (i % 3)]) for i in range(300)],
+                                  "item_id long, vec array<double>")
+    got = []
+    for blocks in (None, 1, 4, 9):
+        r = top_k_scores(users, items, 250, metric=metric, n_item_blocks=blocks).collect()
+        got.append(sorted((x.user_id, x.rank, x.item_id, x.score) for x in r))
+    assert len(got[0]) == 500 and all(g == got[0] for g in got)
+    for a, b in zip(got[0], got[0][1:]):  # score descending, then id ascending
+        assert a[0] != b[0] or a[3] > b[3] or (a[3] == b[3] and a[2] < b[2])
+
+
+def test_text_ids_and_profiles_beyond_one_block(spark):
+    from tastebud.operators.content import content_recommend
+    rng = np.random.RandomState(5)
+    V = rng.randint(-2, 3, (30, 4)).astype(float)
+    pairs = [(u, int(i)) for u in range(9) for i in rng.choice(30, 5)]  # repeated pairs weigh in
+    train = spark.createDataFrame(pairs, "user_id long, item_id long")
+    vecs = spark.createDataFrame([(i, V[i].tolist()) for i in range(28)], "item_id long, vec array<double>")
+    one = sorted(tuple(r) for r in content_recommend(train, vecs, 6).collect())
+    many = sorted(tuple(r) for r in content_recommend(train, vecs, 6, item_block_bytes=64).collect())
+    assert one == many
+    U = {u: np.mean([V[i] for v, i in pairs if v == u and i < 28], axis=0) for u in range(9)}
+    want = brute(np.stack([U[u] for u in range(9)]), V[:28], list(range(9)), list(range(28)), set(pairs), 6, "cosine")
+    assert [(u, i, r) for u, i, _, r in one] == [(u, i, r) for u, i, _, r in want]
+    text = content_recommend(train.selectExpr("concat('u', user_id) user_id", "concat('i', lpad(item_id, 3, '0')) item_id"),
+                             vecs.selectExpr("concat('i', lpad(item_id, 3, '0')) item_id", "vec"), 6)
+    assert sorted((int(r.user_id[1:]), int(r.item_id[1:]), r.score, r.rank) for r in text.collect()) == one

@@ -34,6 +34,20 @@ def test_dense_index(spark):
     assert got == {v: i for i, v in enumerate(sorted(set(ids)))}
 
 
+def test_dense_index_does_not_need_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = dense_index(spark.range(300_000).select((F.col("id") * 7).alias("id")), "id", num_partitions=6)
+        r = got.agg(F.count("*").alias("n"), F.countDistinct("idx").alias("d"), F.max("idx").alias("m"),
+                    F.count(F.when(F.col("id") != F.col("idx") * 7, 1)).alias("bad")).first()
+        assert (r.n, r.d, r.m, r.bad) == (300_000, 300_000, 299_999, 0)
+        groups = spark.range(5000).select(F.col("id").alias("g"), F.lit(1.0).alias("w"))
+        c = prefix_sums(groups, "g", "w", "cum", num_partitions=5)
+        assert c.where(F.col("cum") == F.col("g") + 1).count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
 def test_prefix_sums(spark):
     df = spark.createDataFrame([(c, float(i + 1)) for i, c in enumerate("qwertyuiop")], "g string, w double")
     got = {r.g: r.cum for r in prefix_sums(df, "g", "w", "cum", num_partitions=4).collect()}
