@@ -19,6 +19,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -169,37 +170,121 @@ def read_image(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return doc_ids, null.astype(bool), counts.astype(np.int64), unpack(words, first, escapes, n_ids, block)
 
 
+class WordStore:
+    """Ids of known words under 64-bit hashes of their bytes: sorted arrays, no objects, about 30 bytes a word."""
+
+    MAX_WORDS, MAX_BYTES = 2_500_000, 64
+    _POWERS = np.cumprod(np.full(MAX_BYTES, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+
+    def __init__(self):
+        self.key, self.start, self.len = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.int32)
+
+    @classmethod
+    def hashes(cls, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of every word, and whether it is short enough to be kept."""
+        size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        data = np.frombuffer(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                                            "")[0].as_buffer(), np.uint8)
+        start = np.cumsum(size) - size
+        place = np.arange(len(data)) - np.repeat(start, size)
+        mixed = (data.astype(np.uint64) + np.uint64(1)) * cls._POWERS[np.minimum(place, cls.MAX_BYTES - 1)]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
+        h = sums[start + size] - sums[start]
+        h ^= h >> np.uint64(29)
+        return h * np.uint64(0xBF58476D1CE4E5B9), size <= cls.MAX_BYTES
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 where it is unknown."""
+        if not len(self.key):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
+        return np.where(self.key[at] == h, at, -1)
+
+    def add(self, h: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
+        if len(self.key) + len(h) > self.MAX_WORDS:
+            self.__init__()
+        order = np.argsort(h)
+        at = np.searchsorted(self.key, h[order])
+        self.key = np.insert(self.key, at, h[order])
+        self.start = np.insert(self.start, at, (len(self.ids) + np.cumsum(lens) - lens)[order])
+        self.len = np.insert(self.len, at, lens[order])
+        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+
+
 class WordTokenizer:
-    """Ids of whole texts; every distinct run of non-white-space is given to the library once and remembered.
+    """Ids of whole texts; a distinct run of non-white-space is given to the library once and then remembered.
 
     The tokenizer never joins characters across white space (it drops it), so
     the ids of a text are those of its words in order.
     """
 
-    CACHE_WORDS, CACHE_CHARS = 400_000, 64
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tok, self.cache = Tokenizer.from_file(path), {}
-        self.tok.encode_special_tokens = False
+        self.tok, self.store = Tokenizer.from_file(path), WordStore()
+
+    def _library(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words and their numbers, by the library.
+
+        Words are handed over 1000 at a time with a special token between them,
+        which the library cuts out before anything else, so each word is
+        encoded by itself; words that hold such a token go one by one.
+        """
+        special = [(i, t.content) for i, t in self.tok.get_added_tokens_decoder().items() if t.special]
+        odd = np.zeros(len(words), bool)
+        for _, content in special:
+            odd |= pc.match_substring(words, content).to_numpy(zero_copy_only=False)
+        if not special:
+            odd[:] = True
+        lens = np.zeros(len(words), np.int64)
+        whole = words.filter(pa.array(~odd)).to_pylist()
+        ids = np.zeros(0, np.int32)
+        if whole:
+            mark, content = special[0]
+            texts = [content.join(whole[i:i + 1000]) for i in range(0, len(whole), 1000)]
+            got = [np.array([*e.ids, mark], np.int32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            got = np.concatenate(got)
+            ends = np.flatnonzero(got == mark)
+            lens[~odd] = np.diff(np.r_[-1, ends]) - 1
+            ids = got[got != mark]
+        for i in np.flatnonzero(odd):
+            one = self.tok.encode(words[int(i)].as_py(), add_special_tokens=False).ids
+            at = int(lens[:i].sum())
+            ids, lens[i] = np.insert(ids, at, one), len(one)
+        return ids.astype(np.int32), lens
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids of all texts, number of ids of each)``."""
         flat, counts = split_words(texts)
-        codes, dictionary = word_codes(flat)
-        words = dictionary.to_pylist()
-        if len(self.cache) > self.CACHE_WORDS:
-            self.cache.clear()
-        ids = [self.cache.get(w) for w in words]
-        new = [i for i, x in enumerate(ids) if x is None]
-        for i, e in zip(new, self.tok.encode_batch([words[i] for i in new], add_special_tokens=False)):
-            ids[i] = np.array(e.ids, np.int64)
-            if len(words[i]) <= self.CACHE_CHARS:
-                self.cache[words[i]] = ids[i]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        store = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        per_word = lens[codes]
-        return store[ragged((np.cumsum(lens) - lens)[codes], per_word)], segment_sum(per_word, counts)
+        if not len(flat):
+            return np.zeros(0, np.int64), np.zeros(len(counts), np.int64)
+        codes, words = word_codes(flat)
+        h, short = WordStore.hashes(words)
+        at = np.where(short, self.store.find(h), -1)
+        new = np.flatnonzero(at < 0)
+        ids, lens = self._library(words.take(pa.array(new)))
+        # the words' ids: the remembered ones, then the new ones
+        known = at >= 0
+        start, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        start[known], size[known] = self.store.start[at[known]], self.store.len[at[known]]
+        start[new], size[new] = len(self.store.ids) + np.cumsum(lens) - lens, lens
+        both = np.concatenate((self.store.ids, ids))
+        per_word = size[codes]
+        out = both[ragged(start[codes], per_word)]
+        keep = short[new]
+        self.store.add(h[new][keep], ids[np.repeat(keep, lens)], lens[keep])
+        return out, segment_sum(per_word, counts)
+
+
+#: One tokenizer with what it remembers per file and worker process, as a worker runs many tasks.
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def worker_tokenizer(path: str) -> WordTokenizer:
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -225,7 +310,7 @@ def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     src = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
     def run(batches):
-        tok, seq, start = WordTokenizer(tokenizer), 0, 0
+        tok, seq, start = worker_tokenizer(tokenizer), 0, 0
         part_no = TaskContext.get().partitionId()
         for batch in batches:
             for part in slices(batch, "text"):
