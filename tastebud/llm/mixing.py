@@ -57,10 +57,10 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, cap: float = 3) -> DataFr
 
 
 def mixing_plan(slim: DataFrame, weights=WEIGHTS, cap: int = 3) -> DataFrame:
-    """One row per source: ``source, source_size, target, passes, cell, with_cell``.
+    """One row per source: ``source, source_size, target, passes, most, cell, with_cell``.
 
-    A document is taken ``passes`` times, and once more if its hash is below
-    ``cell`` (or equal to it and ``with_cell``).  ``slim`` holds ``source,
+    A document is taken ``passes`` times, and once more (``most`` times at
+    most) if its hash is below ``cell``, or equal to it and ``with_cell``.  ``slim`` holds ``source,
     size, h`` and must be a table (it is read once per level).
     """
     hist = staged(slim.groupBy("source", F.substring("h", 1, DIGITS).alias("b")).agg(F.sum("size").alias("s")), "mixhist")
@@ -85,13 +85,14 @@ def mixing_plan(slim: DataFrame, weights=WEIGHTS, cap: int = 3) -> DataFrame:
         last, prefix = prefix, prefix.drop("after")
     last = last.select("source", "cell", ((F.col("after") - F.col("rest")) < (F.col("rest") - F.col("below"))).alias("with_cell"))
     plan = join_small(t, last, ["source"], "left")
-    return staged(plan.select("source", "source_size", "target", "passes", "cell", "with_cell"), "mixplan")
+    return staged(plan.select("source", "source_size", "target", "passes", F.lit(cap).alias("most"), "cell", "with_cell"),
+                  "mixplan")
 
 
 def copies(h: Column) -> Column:
     """How often a document with hash ``h`` is taken, beside the plan's columns of its source."""
     more = (h < F.col("cell")) | ((h == F.col("cell")) & F.col("with_cell"))
-    return F.col("passes") + F.coalesce(more.cast("int"), F.lit(0))
+    return F.least(F.col("passes") + F.coalesce(more.cast("int"), F.lit(0)), F.col("most"))
 
 
 def mix_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
