@@ -24,6 +24,7 @@ DIMS = 1 << 16
 #: Documents on which the scorer is trained, at most about this many (chosen by hash).
 TRAIN_DOCS = 12_000
 KEEP_FROM = 0.5
+MIN_PRECISION = 0.998
 
 #: (name, measure, good up to, bad from, words needed); ``None``: on that side the labeller abstains.
 LABELLERS = (
@@ -110,15 +111,17 @@ def fit_label_model(patterns: np.ndarray, n: np.ndarray, rounds: int = 200, smoo
 
     A document starts as bad if any labeller says so, as most kinds of bad
     text are seen by one or two of them only.  On good documents a labeller's
-    accuracy stays within 0.5 and 0.9999; on bad ones it may be low (it does not
-    see the other kinds), but a bad vote is never likelier on good documents.
+    accuracy is at least ``MIN_PRECISION``: their bounds are far from ordinary
+    text, and without this a rare kind of bad text would be explained as errors
+    on good documents.  On bad ones it may be low (a labeller does not see the
+    other kinds), but a bad vote is never likelier on good documents.
     """
     v = votes_of(patterns)
     p = np.where((v == 0).any(axis=1), 0.1, 0.9)
     model = LabelModel(0.5, np.full((2, v.shape[1]), 0.7))
     for _ in range(rounds):
         acc = np.empty_like(model.accuracy)
-        for y, w, low in ((1, n * p, 0.5), (0, n * (1 - p), 0.001)):
+        for y, w, low in ((1, n * p, MIN_PRECISION), (0, n * (1 - p), 0.001)):
             right, wrong = (w[:, None] * (v == y)).sum(axis=0), (w[:, None] * (v == 1 - y)).sum(axis=0)
             prior = 4 * smooth if y else smooth  # of a good vote on good documents, of any on bad ones
             acc[y] = np.clip((right + prior) / (right + wrong + prior + smooth), low, 0.9999)

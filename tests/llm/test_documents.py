@@ -302,13 +302,13 @@ def test_label_model_recovers_planted_accuracies():
     rng = np.random.default_rng(0)
     k, n = len(weak_quality.LABELLERS), 40_000
     y = (rng.random(n) < 0.8).astype(int)
-    good, bad = np.linspace(0.95, 0.99, k), np.linspace(0.3, 0.8, k)
+    good, bad = np.linspace(0.9985, 0.9995, k), np.linspace(0.1, 0.8, k)
     right = np.where(y[:, None] == 1, rng.random((n, k)) < good, rng.random((n, k)) < bad)
     v = np.where(right, y[:, None], 1 - y[:, None])
     v = np.where(rng.random((n, k)) < 0.2, 2, v)
     pattern, count = np.unique(weak_quality.pattern_of(v), return_counts=True)
     m = weak_quality.fit_label_model(pattern, count.astype(float))
-    assert abs(m.prior - 0.8) < 0.03 and np.abs(m.accuracy[1] - good).max() < 0.03 and np.abs(m.accuracy[0] - bad).max() < 0.05
+    assert abs(m.prior - 0.8) < 0.01 and np.abs(m.accuracy[1] - good).max() < 0.002 and np.abs(m.accuracy[0] - bad).max() < 0.05
 
 
 def test_quality_of_odd_documents(spark, odd):
