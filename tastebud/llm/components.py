@@ -42,10 +42,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def _with_blocks(rows: DataFrame, key: str, row_id: str, cap: int) -> DataFrame:
-    """Rows of keys that have two or more, with the key's number of blocks ``s`` and the row's block ``blk``."""
-    sizes = staged(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "groupsizes")
-    many = join_small(rows, sizes, [key], "inner")
-    many = many.withColumn("s", F.ceil(F.col("n") / cap).cast("int")).drop("n")
+    """The rows with their key's number of blocks ``s`` and their own block ``blk``.
+
+    Only keys of more than ``cap`` rows are joined back, at most one for ``cap`` rows.
+    """
+    large = staged(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap), "largekeys")
+    many = join_small(rows, large, [key], "left")
+    many = many.withColumn("s", F.coalesce(F.ceil(F.col("n") / cap), F.lit(1)).cast("int")).drop("n")
     return many.withColumn("blk", F.pmod(F.xxhash64(F.col(row_id), F.lit(7)), F.col("s")).cast("int"))
 
 
@@ -60,8 +63,7 @@ def blocked(rows: DataFrame, key: str, row_id: str, cap: int) -> DataFrame:
     A key of at most ``cap`` rows is one cell; a larger one is cut by the hash
     of ``row_id`` into blocks of about ``cap`` rows and every two blocks meet
     in a cell, so each cell holds about ``2 * cap`` rows and all pairs of a key
-    meet (those within a block in several cells).  Keys of one row, which have
-    no pair, are left out.
+    meet (those within a block in several cells).
     """
     many = _with_blocks(rows, key, row_id, cap)
     return _cells(many, F.when(F.col("s") == 1, F.array(F.lit(0))).otherwise(
