@@ -115,6 +115,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        round(host_rate, 6) AS host_rate
 FROM f LEFT JOIN verdict USING (source)"""
 
+_TEMPLATE_ROWS = ", ".join(
+    "('{}', {}, '{}')".format(name, len(bag), tag.replace("'", "''"))
+    for name, bag in ((k, licenses.tagged_bigrams(licenses.normal_words(t))) for k, t in sorted(licenses.TEMPLATES.items()))
+    for tag in bag)
+
+_OP4 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         lower(regexp_replace(coalesce(text, ''), '[\\x00-\\x09\\x0B-/:-@\\[-`{{-\\x7F]+', ' ', 'g')) AS t
+  FROM documents),
+units AS (
+  SELECT row_number() OVER () AS uid, rid, list_filter(string_split(u, ' '), lambda x: x <> '') AS w FROM (
+    SELECT rid, unnest(string_split(t, chr(10))) AS u FROM d
+    UNION ALL SELECT rid, replace(t, chr(10), ' ') FROM d WHERE contains(t, chr(10)))),
+pairs AS (
+  SELECT uid, rid, len(w) - 1 AS n, w[i] || ' ' || w[i + 1] AS b FROM (
+    SELECT *, unnest(range(1, len(w))) AS i FROM units)),
+tagged AS (SELECT uid, rid, n, row_number() OVER (PARTITION BY uid, b) || ' ' || b AS tag FROM pairs),
+template(name, m, tag) AS (VALUES {_TEMPLATE_ROWS}),
+score AS (
+  SELECT uid, rid, name, 2.0::DOUBLE * count(*) / (n + m) AS dice
+  FROM tagged JOIN template USING (tag) GROUP BY uid, rid, name, n, m HAVING dice >= {licenses.MIN_DICE}),
+unit_best AS (
+  SELECT rid, name, dice FROM (
+    SELECT *, row_number() OVER (PARTITION BY uid ORDER BY dice DESC, name) AS r FROM score) WHERE r = 1),
+best AS (
+  SELECT rid, name, dice, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name) AS r, count(*) OVER (PARTITION BY rid) AS n
+    FROM unit_best) WHERE r = 1)
+SELECT doc_id, name AS license, dice, coalesce(n, 0) AS matches FROM d LEFT JOIN best USING (rid)"""
+
 _OP6 = f"""
 WITH RECURSIVE v AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -161,4 +192,4 @@ SELECT d.doc_id, d.size, t.source_size, t.target, CAST((t.passes + more.extra) *
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 JOIN more ON d.source IS NOT DISTINCT FROM more.source AND d.h = more.h"""
 
-ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op6_embedding_codes": _OP6, "op9_mixing": _OP9}
+ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op4_license_dice": _OP4, "op6_embedding_codes": _OP6, "op9_mixing": _OP9}

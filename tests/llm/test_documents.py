@@ -190,7 +190,8 @@ def test_simple8b_round_trip():
 def test_words_are_encoded_as_in_the_whole_text():
     tok = simple8b.WordTokenizer(simple8b.tokenizer_path())
     texts = ["don't I'M x<|endoftext|>y <|startoftext|> z", "", None, "日本語 Éé ΣΑΣ İ", "a" * 500 + " b",
-             "< <| <|end 123 ½", "é " * 5, PROSE]
+             "< <| <|end 123 ½", "é " * 5, PROSE, "x.,y a.b. Straße! 'S. I'M. .. ?! ,a É. Ǆ. Ĳ;"]
+    texts.append(" ".join(f"{chr(c)}. X{chr(c)}y!?" for c in range(0x21, 0x250)))
     for _ in range(2):  # the second time from memory
         ids, counts = tok.encode(pa.array(texts, pa.string()))
         ends = np.cumsum(counts)
