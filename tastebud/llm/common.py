@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastebud.session import checkpoint_dir, ship_package
+from tastebud.session import checkpoint_dir, materialize, ship_package
 
 #: Characters that separate words: space and U+0009 to U+000D.
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -28,24 +26,13 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def fresh(name: str, taken) -> str:
-    """``name``, with underscores appended until no column in ``taken`` has it (any case)."""
-    low = {c.lower() for c in taken}
-    while name.lower() in low:
-        name += "_"
-    return name
-
-
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts the lineage with files that every executor sees: a lost executor
     re-reads them.  Unlike ``checkpoint()`` the table keeps column pruning.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize(df, tag=tag)
 
 
 def prepare(spark) -> None:

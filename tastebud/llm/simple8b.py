@@ -31,6 +31,8 @@ from tastebud.llm.piece_viterbi import ragged
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+#: Words of Latin letters (no combining marks, nor U+0130, which has one in lower case) with ASCII punctuation behind them.
+PLAIN_WORD = r"^(?P<stem>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}]+)(?P<tail>[.,;:!?]*)$"
 BLOCK = 1024
 #: (ids per word, bits per id) of selectors 0 to 15; width 0: all of them zero.
 SELECTORS = ((240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10),
@@ -44,13 +46,12 @@ _MAGIC = b"S8BT"
 
 def _bit_length(v: np.ndarray) -> np.ndarray:
     """Bits needed by each value (0 for 0)."""
-    out = np.zeros(len(v), np.int64)
-    v = v.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        big = v >= np.uint64(1) << np.uint64(step)
-        out[big] += step
-        v[big] >>= np.uint64(step)
-    return out + (v > 0)
+    low = (v & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    out = np.frexp(low)[1].astype(np.int8)  # exact: 32 bits fit in a double
+    high = v >> np.uint64(32)
+    big = np.flatnonzero(high)
+    out[big] = 32 + np.frexp(high[big].astype(np.float64))[1]
+    return out
 
 
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +69,7 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, n
     bits[escaped] = 60
     # widest value of the next c ids, by doubling windows, for every c of a selector
     n_blocks = -(-n // block)
-    padded = np.zeros(n_blocks * block, np.int64)
+    padded = np.zeros(n_blocks * block, np.int8)
     padded[:n] = bits
     grid = padded.reshape(n_blocks, block)
     choice = np.full(grid.shape, 15, np.int8)
@@ -173,7 +174,7 @@ def read_image(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 class WordStore:
     """Ids of known words under 64-bit hashes of their bytes: sorted arrays, no objects, about 30 bytes a word."""
 
-    MAX_WORDS, MAX_BYTES = 2_500_000, 64
+    MAX_WORDS, MAX_BYTES = 1_500_000, 64
     _POWERS = np.cumprod(np.full(MAX_BYTES, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
     def __init__(self):
@@ -254,6 +255,33 @@ class WordTokenizer:
             ids, lens[i] = np.insert(ids, at, one), len(one)
         return ids.astype(np.int32), lens
 
+    def _new_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of unremembered words and their numbers.
+
+        Latin letters and the ASCII punctuation behind them are words of their
+        own to the tokenizer, which also lower-cases them, so such a word is
+        its lower-case letters, most often remembered, and its punctuation.
+        """
+        parts = pc.extract_regex(words, PLAIN_WORD)
+        plain = pc.is_valid(parts)
+        stem = pc.if_else(plain, pc.ascii_lower(pc.struct_field(parts, "stem")), words)
+        tail = pc.if_else(plain, pc.struct_field(parts, "tail"), "")
+        both = pa.concat_arrays([stem, tail])
+        codes, distinct = word_codes(both)
+        h, short = WordStore.hashes(distinct)
+        at = np.where(short, self.store.find(h), -1)
+        new = np.flatnonzero(at < 0)
+        ids, lens = self._library(distinct.take(pa.array(new)))
+        start, size = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+        known = at >= 0
+        start[known], size[known] = self.store.start[at[known]], self.store.len[at[known]]
+        start[new], size[new] = len(self.store.ids) + np.cumsum(lens) - lens, lens
+        pool = np.concatenate((self.store.ids, ids))
+        keep = short[new]
+        self.store.add(h[new][keep], ids[np.repeat(keep, lens)], lens[keep])
+        order = codes.reshape(2, -1).T.ravel()  # letters, punctuation, letters, ...
+        return pool[ragged(start[order], size[order])], size[codes].reshape(2, -1).sum(axis=0)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts, number of ids of each)``."""
         flat, counts = split_words(texts)
@@ -262,18 +290,19 @@ class WordTokenizer:
         codes, words = word_codes(flat)
         h, short = WordStore.hashes(words)
         at = np.where(short, self.store.find(h), -1)
-        new = np.flatnonzero(at < 0)
-        ids, lens = self._library(words.take(pa.array(new)))
+        new, known = np.flatnonzero(at < 0), np.flatnonzero(at >= 0)
         # the words' ids: the remembered ones, then the new ones
-        known = at >= 0
-        start, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        start[known], size[known] = self.store.start[at[known]], self.store.len[at[known]]
-        start[new], size[new] = len(self.store.ids) + np.cumsum(lens) - lens, lens
-        both = np.concatenate((self.store.ids, ids))
+        size = np.empty(len(words), np.int64)
+        size[known] = self.store.len[at[known]]
+        old = self.store.ids[ragged(self.store.start[at[known]], size[known])]
+        ids, size[new] = self._new_words(words.take(pa.array(new)))
+        start = np.empty(len(words), np.int64)
+        start[known] = np.cumsum(size[known]) - size[known]
+        start[new] = len(old) + np.cumsum(size[new]) - size[new]
         per_word = size[codes]
-        out = both[ragged(start[codes], per_word)]
-        keep = short[new]
-        self.store.add(h[new][keep], ids[np.repeat(keep, lens)], lens[keep])
+        out = np.concatenate((old, ids))[ragged(start[codes], per_word)]
+        keep = short[new] & (self.store.find(h[new]) < 0)
+        self.store.add(h[new][keep], ids[np.repeat(keep, size[new])], size[new][keep])
         return out, segment_sum(per_word, counts)
 
 
