@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tastebud.operators.content import content_recommend, with_model
 from tastebud.operators.evaluation import DEFAULT_KS, compact_ranks, leaderboard
 from tastebud.operators.split import assign_split
-from tastebud.session import materialize
+from tastebud.session import materialize, release_stages
 from tastebud.sources import tables
 
 
@@ -53,9 +53,11 @@ def _stage(spark: SparkSession, sf_dir: str, kind: str, tables_read: tuple, p, b
     return _MEMO[key]
 
 
-def clear_stage_outputs() -> None:
-    """Forget memoised stage outputs (benchmarks start every query from the tables)."""
+def clear_stage_outputs(spark: SparkSession | None = None) -> None:
+    """Forget memoised stage outputs (benchmarks start every query from the tables); with ``spark`` also delete them."""
     _MEMO.clear()
+    if spark is not None:
+        release_stages(spark)
 
 
 def split_tagged(spark: SparkSession, sf_dir: str, p: Params = P, materialized: bool = False) -> DataFrame:

@@ -71,7 +71,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialize(df, partition_by: tuple = ()):
+#: Folders of the stage outputs that this application has written.
+_STAGES: list[str] = []
+
+
+def materialize(df, partition_by: tuple = (), tag: str = "stage"):
     """Write a stage output as Parquet to the shared folder and continue from it.
 
     Used where one stage output feeds several consumers (train and test,
@@ -80,7 +84,8 @@ def materialize(df, partition_by: tuple = ()):
     column pruning, filter pushdown and file sizes.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    _STAGES.append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -88,6 +93,18 @@ def materialize(df, partition_by: tuple = ()):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_stages(spark: SparkSession) -> int:
+    """Delete the stage outputs written so far; DataFrames made from them can no longer be read.
+
+    For long-lived applications, between jobs.  Returns the number of folders deleted.
+    """
+    n = 0
+    while _STAGES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 _SHIPPED: set = set()
 
 

@@ -65,3 +65,14 @@ def test_interaction_stats_approx_close(spark):
     approx = interaction_stats(df, approx=True).first()
     assert (exact.n_users, exact.n_items) == (997, 1009)
     assert abs(approx.n_users - 997) / 997 < 0.05 and abs(approx.n_items - 1009) / 1009 < 0.05
+
+
+def test_stage_outputs_are_released(spark):
+    from tastebud.plans.pipeline import clear_stage_outputs
+    from tastebud.session import materialize, release_stages
+    df = materialize(spark.range(10).selectExpr("id", "id % 2 = 0 AS even"), ("even",))
+    assert df.where("even").count() == 5
+    clear_stage_outputs(spark)  # forgets what other tests remembered, too
+    assert release_stages(spark) == 0
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FAILED_READ_FILE"):
+        df.select("id").collect()
