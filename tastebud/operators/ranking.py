@@ -14,7 +14,8 @@ a third of the data.  Here:
    consistently with the key;
 4. bucket offsets (a cumulative count over at most a few rows per hot group)
    are joined back in the same way;
-5. ``row_number()`` runs per (group, bucket): one shuffle, no giant task.
+5. positions are running counts per (group, bucket); equal rows (a repeated
+   pair) are collapsed to one with a count first and spread out again after.
 
 Ordinary groups have a single bucket, so their numbering and size come from
 that same window.  Whether any hot group exists is decided first by one
@@ -50,22 +51,29 @@ def hashed_position(df: DataFrame, group_cols: list[str], key_col: str, tie_cols
                 .withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)).cast("long")))
     from tastebud.session import materialize
     hot = materialize(hot)
-    x = df.join(hot, group_cols, "left")
+    # Copies of a row are one row with a count until they are numbered: a repeated pair is as light as any other.
+    x = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_m")).join(hot, group_cols, "left")
     u = unit_interval(F.col(key_col))
     x = x.withColumn("_bucket", F.when(F.col("_nb").isNull(), F.lit(0))
                      .otherwise(F.least(F.floor(u * F.col("_nb")).cast("int"), F.col("_nb") - 1)))
+    x = materialize(x)  # read by the offsets and the numbering
     offsets = (x.where(F.col("_nb").isNotNull())
-               .groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_bc"))
+               .groupBy(*group_cols, "_bucket").agg(F.sum("_m").alias("_bc"))
                .withColumn("_off", F.coalesce(F.sum("_bc").over(
                    Window.partitionBy(*group_cols).orderBy("_bucket")
                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .drop("_bc"))
     x = x.join(materialize(offsets), group_cols + ["_bucket"], "left")
-    w = Window.partitionBy(*group_cols, "_bucket").orderBy(key_col, *tie_cols)
     wall = Window.partitionBy(*group_cols, "_bucket")
-    return (x.withColumn(pos_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.row_number().over(w)).cast("long"))
-            .withColumn(size_col, F.coalesce(F.col("_n"), F.count(F.lit(1)).over(wall)).cast("long"))
-            .drop("_n", "_nb", "_bucket", "_off"))
+    before = wall.orderBy(key_col, *tie_cols).rowsBetween(Window.unboundedPreceding, -1)
+    x = (x.withColumn("_first", F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.sum("_m").over(before), F.lit(0)))
+         .withColumn(size_col, F.coalesce(F.col("_n"), F.sum("_m").over(wall)).cast("long")))
+    # the copies again, in runs, so that no row holds a long array
+    run = 65536
+    x = x.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1, F.lit(run).cast("long"))))
+    x = x.withColumn("_i", F.explode(F.sequence("_from", F.least(F.col("_from") + run - 1, F.col("_m") - 1))))
+    return (x.withColumn(pos_col, (F.col("_first") + F.col("_i") + 1).cast("long"))
+            .select(*df.columns, pos_col, size_col))
 
 
 def dedup_keep_first(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> DataFrame:

@@ -37,3 +37,15 @@ def test_overlap_removed(spark):
     tr = spark.createDataFrame([(1, 1), (1, 2)], "user_id long, item_id long")
     te = spark.createDataFrame([(1, 2), (1, 3)], "user_id long, item_id long")
     assert [tuple(r) for r in remove_test_overlap(tr, te).collect()] == [(1, 3)]
+
+
+@pytest.mark.parametrize("target", [50, 10_000])
+def test_hot_repeated_pair_is_numbered_like_a_plain_window(spark, target):
+    rows = [(0, 7)] * 300 + [(0, i) for i in range(100)] + [(u, i % 4) for u in range(1, 30) for i in range(10)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long").withColumn("_key", order_key(7, "user_id", "item_id"))
+    got = hashed_position(df, ["user_id"], "_key", ["item_id"], target_rows=target)
+    w = Window.partitionBy("user_id")
+    want = (df.withColumn("pos", F.row_number().over(w.orderBy("_key", "item_id")).cast("long"))
+            .withColumn("n", F.count(F.lit(1)).over(w)))
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
