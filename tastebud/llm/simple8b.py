@@ -174,7 +174,7 @@ def read_image(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 class WordStore:
     """Ids of known words under 64-bit hashes of their bytes: sorted arrays, no objects, about 30 bytes a word."""
 
-    MAX_WORDS, MAX_BYTES = 1_500_000, 64
+    MAX_WORDS, MAX_BYTES = 800_000, 64
     _POWERS = np.cumprod(np.full(MAX_BYTES, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
     def __init__(self):
