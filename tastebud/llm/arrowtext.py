@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
 
+def release() -> None:
+    """Give memory that a batch no longer needs back to the system, as it counts beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+        if trim is not None:
+            trim(0)
+
+
 def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 2 << 20):
     """Row ranges of ``batch`` whose texts come to about ``max_bytes`` (at least one row)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
@@ -16,6 +28,7 @@ def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 2 << 20):
     for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(sizes)]):
         if b > a:
             yield batch.slice(int(a), int(b - a))
+    release()
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

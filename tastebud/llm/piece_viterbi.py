@@ -12,7 +12,7 @@ maximum over the piece lengths gives the best score and the backpointer.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,9 @@ MARK = "▁"
 UNIT = re.compile(" +[^ ]*")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct units remembered by a worker before it starts anew, and the longest one remembered.
-CACHE_UNITS, CACHE_CHARS = 400_000, 64
+CACHE_UNITS, CACHE_CHARS = 300_000, 64
 #: Matrix cells (units times length) advanced at once.
-MAX_CELLS = 1 << 20
+MAX_CELLS = 1 << 17
 
 
 def model_path(name: str = MODEL) -> str:
@@ -58,10 +58,13 @@ class PieceTable:
     raw: np.ndarray
     raw_start: np.ndarray
     raw_len: np.ndarray
-    cache: dict = field(default_factory=dict, repr=False, compare=False)
 
-    def __getstate__(self):
-        return {**self.__dict__, "cache": {}}
+    def cache(self) -> dict[str, bytes]:
+        """Ids (32-bit, as bytes) of units that this worker process has met, whatever its task."""
+        return _CACHES.setdefault((len(self.scores), float(self.scores.sum()), self.unk_id), {})
+
+
+_CACHES: dict[tuple, dict[str, bytes]] = {}
 
 
 def load_pieces(path: str | None = None) -> PieceTable:
@@ -109,7 +112,7 @@ def viterbi(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
     """
     n, length = codes.shape
     usable = [k for k in t.keys if k <= length]
-    found = {k: np.full((n, length - k + 1), -1, np.int64) for k in usable}
+    found = {k: np.full((n, length - k + 1), -1, np.int32) for k in usable}
     h = np.zeros((n, length), np.uint64)
     for k in range(1, max(usable, default=0) + 1):
         h = h[:, : length - k + 1] * _BASE + codes[:, k - 1:]
@@ -124,12 +127,12 @@ def viterbi(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
             found[k][r[same], c[same]] = t.ids[k][p[same]]
     best = np.full((n, length + 1), -np.inf)
     best[:, 0] = 0
-    back_len, back_id = np.ones((n, length + 1), np.int64), np.full((n, length + 1), -1, np.int64)
+    back_len, back_id = np.ones((n, length + 1), np.int32), np.full((n, length + 1), -1, np.int32)
     scores = np.append(t.scores, -np.inf)  # id -1: not a piece
     rows = np.arange(n)
     for e in range(1, length + 1):
         ks = [k for k in reversed(usable) if k <= e]
-        ids = np.stack([found[k][:, e - k] for k in ks] + [np.full(n, -1)], axis=1)
+        ids = np.stack([found[k][:, e - k] for k in ks] + [np.full(n, -1, np.int32)], axis=1)
         gain = scores[ids]
         gain[:, -1] = np.where(ids[:, -2] >= 0, -np.inf, t.unk_score) if ks and ks[-1] == 1 else t.unk_score
         total = best[:, [e - k for k in ks] + [e - 1]] + gain
@@ -140,8 +143,8 @@ def viterbi(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
     return back_len, back_id
 
 
-def encode_units(units: list[str], t: PieceTable) -> list[np.ndarray]:
-    """Ids of every unit; equal-length units advance together."""
+def encode_units(units: list[str], t: PieceTable) -> list[bytes]:
+    """Ids of every unit (32-bit, as bytes); equal-length units advance together."""
     out: list = [None] * len(units)
     by_len: dict[int, list[int]] = {}
     for i, u in enumerate(units):
@@ -169,7 +172,7 @@ def encode_units(units: list[str], t: PieceTable) -> list[np.ndarray]:
                         got = [int(t.byte_ids[b]) for b in raw]
                         chains[u].extend(got if min(got) >= 0 else [t.unk_id])
             for i, chain in zip(some, chains):
-                out[i] = np.array(chain, np.int32)
+                out[i] = np.array(chain, np.int32).tobytes()
     return out
 
 
@@ -180,7 +183,7 @@ def encode_texts(texts: pa.Array, t: PieceTable) -> tuple[np.ndarray, np.ndarray
     d = pa.array([u for x in lists for u in x], pa.string()).dictionary_encode()
     codes = d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     units = d.dictionary.to_pylist()
-    cache = t.cache
+    cache = t.cache()
     if len(cache) > CACHE_UNITS:
         cache.clear()
     ids = [cache.get(u) for u in units]
@@ -189,8 +192,8 @@ def encode_texts(texts: pa.Array, t: PieceTable) -> tuple[np.ndarray, np.ndarray
         ids[i] = x
         if len(units[i]) <= CACHE_CHARS:
             cache[units[i]] = x
-    lens = np.fromiter(map(len, ids), np.int64, len(ids))
-    store = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    store = np.frombuffer(b"".join(ids), np.int32)
     start = np.cumsum(lens) - lens
     per_unit = lens[codes]
     return store[ragged(start[codes], per_unit)], segment_sum(per_unit, n_units)
@@ -230,7 +233,7 @@ def encode_documents(docs: DataFrame, table: PieceTable, id_col: str = "doc_id",
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text"):
                 ids, counts = encode_texts(part.column("text"), table)
                 ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
                 cols = [part.column("doc_id"), pa.array(counts), pa.ListArray.from_arrays(ends, pa.array(ids))]

@@ -22,7 +22,7 @@ from tastebud.llm.arrowtext import class_counts, hashed_counts, segment_sum, sli
 
 DIMS = 1 << 16
 #: Documents on which the scorer is trained, at most about this many (chosen by hash).
-TRAIN_DOCS = 12_000
+TRAIN_DOCS = 8_000
 KEEP_FROM = 0.5
 MIN_PRECISION = 0.998
 
