@@ -1,16 +1,21 @@
-"""SentencePiece encoding and decoding by a batched Viterbi in numpy.
+"""SentencePiece encoding and decoding by batched merges or a batched Viterbi in numpy.
 
 A text gets one space in front and spaces play the part of the word mark.  No
 piece crosses from a word into the next run of spaces, so a text is cut into
 units (spaces and the word after them) and the best segmentation of a text is
 that of its units.  Distinct units of the same length are one matrix of code
 points and advance together: rolling substring hashes of every length probe
-the sorted hashes of the pieces of that length, and for each end position the
-maximum over the piece lengths gives the best score and the backpointer.
+the sorted hashes of the pieces of that length.  What follows depends on the
+kind of the model.  The scores of a BPE model are minus the rank of a merge, so
+their sum means nothing: the units' best adjacent pairs are merged step by step
+(the highest score, then the leftmost), as the library does.  The scores of a
+unigram model are log-probabilities: for each end position the maximum over the
+piece lengths gives the best score and the backpointer.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from dataclasses import dataclass
 
@@ -31,6 +36,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 CACHE_UNITS, CACHE_CHARS = 300_000, 64
 #: Matrix cells (units times length) advanced at once.
 MAX_CELLS = 1 << 17
+#: Longer units are merged one by one with a heap, as the batched merges look at the whole unit for each of them.
+MAX_MERGED_TOGETHER = 128
 
 
 def model_path(name: str = MODEL) -> str:
@@ -58,20 +65,32 @@ class PieceTable:
     raw: np.ndarray
     raw_start: np.ndarray
     raw_len: np.ndarray
+    bpe: bool
 
-    def cache(self) -> dict[str, bytes]:
+    def cache(self, merge: bool) -> dict[str, bytes]:
         """Ids (32-bit, as bytes) of units that this worker process has met, whatever its task."""
-        return _CACHES.setdefault((len(self.scores), float(self.scores.sum()), self.unk_id), {})
+        return _CACHES.setdefault((len(self.scores), float(self.scores.sum()), self.unk_id, merge), {})
+
+    def by_text(self) -> dict[str, int]:
+        """Ids of the pieces by their text."""
+        key = len(self.scores), float(self.scores.sum()), self.unk_id
+        if key not in _PIECES:
+            _PIECES[key] = {"".join(map(chr, row)): i for k in self.points
+                            for row, i in zip(self.points[k].tolist(), self.ids[k].tolist())}
+        return _PIECES[key]
 
 
 _CACHES: dict[tuple, dict[str, bytes]] = {}
+_PIECES: dict[tuple, dict[str, int]] = {}
 
 
 def load_pieces(path: str | None = None) -> PieceTable:
     """Read a model file with the sentencepiece library (pieces, scores, kinds)."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path or model_path())
+    spec = pb.ModelProto.FromString(sp.serialized_model_proto()).trainer_spec
     n = sp.vocab_size()
     scores = np.array([sp.get_score(i) for i in range(n)])
     byte_ids, text, raw = np.full(256, -1, np.int64), {}, []
@@ -101,15 +120,12 @@ def load_pieces(path: str | None = None) -> PieceTable:
     lens = np.array([len(r) for r in raw])
     normal = scores[list(text.values())]
     return PieceTable(keys, ids, points, scores, byte_ids, sp.unk_id(), float(normal[normal > -1e8].min()) - 10,
-                      np.frombuffer(b"".join(raw), np.uint8), np.cumsum(lens) - lens, lens)
-
+                      np.frombuffer(b"".join(raw), np.uint8), np.cumsum(lens) - lens, lens,
+                      spec.model_type == pb.TrainerSpec.BPE)
 
-def viterbi(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
-    """Best segmentations of units of one length, ``codes`` (units x length).
 
-    Returns for every end position the chosen piece's length and id (-1: the
-    unknown character).  Of equal scores the longest piece is chosen.
-    """
+def probe(codes: np.ndarray, t: PieceTable) -> dict[int, np.ndarray]:
+    """By piece length, the id of the piece (-1: none) at every start of units of one length, ``codes`` (units x length)."""
     n, length = codes.shape
     usable = [k for k in t.keys if k <= length]
     found = {k: np.full((n, length - k + 1), -1, np.int32) for k in usable}
@@ -125,6 +141,93 @@ def viterbi(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
             p = at[r, c]
             same = (codes[r[:, None], c[:, None] + np.arange(k)] == t.points[k][p]).all(axis=1)
             found[k][r[same], c[same]] = t.ids[k][p[same]]
+    return found
+
+
+def merges(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """Segmentations by rank of units of one length, ``codes`` (units x length).
+
+    Every unit merges its best adjacent pair (the leftmost of equal ones) until
+    no pair is a piece.  Returns whether a symbol starts at a position and the
+    id of its piece (-1: the unknown character).
+    """
+    n, length = codes.shape
+    found = probe(codes, t)
+    ids = np.full((n, length, max(found, default=1) + 1), -1, np.int32)
+    for k, x in found.items():
+        ids[:, : length - k + 1, k] = x
+    widest = ids.shape[2] - 1
+    scores = np.append(t.scores, -np.inf).astype(np.float32)  # id -1: not a piece
+
+    def pair(rows, start, end):
+        size = end - start
+        return np.where(size <= widest, scores[ids[rows, start, np.minimum(size, widest)]], -np.inf)
+
+    after = np.tile(np.arange(1, length + 1, dtype=np.int32), (n, 1))  # where the symbol at a start ends
+    before = np.tile(np.arange(-1, length, dtype=np.int32), (n, 1))  # where the one in front of a start starts
+    starts = np.ones((n, length), bool)
+    gain = np.full((n, length), -np.inf, np.float32)
+    if length > 1 and widest > 1:
+        gain[:, :-1] = scores[ids[:, :-1, 2]]
+    live = np.arange(n)
+    while len(live):
+        at = gain[live].argmax(axis=1)  # the leftmost of equal scores
+        more = gain[live, at] > -np.inf
+        live, at = live[more], at[more]
+        mid = after[live, at]
+        end = after[live, mid]
+        starts[live, mid] = False
+        gain[live, mid] = -np.inf
+        after[live, at] = end
+        before[live, end] = at
+        last = end == length
+        gain[live, at] = np.where(last, -np.inf, pair(live, at, after[live, np.minimum(end, length - 1)]))
+        left = before[live, at]
+        r = left >= 0
+        gain[live[r], left[r]] = pair(live[r], left[r], end[r])
+    r, c = np.nonzero(starts)
+    out = np.full((n, length), -1, np.int32)
+    size = after[r, c] - c
+    out[r, c] = ids[r, c, np.minimum(size, widest)]
+    return starts, out
+
+
+def merge_long(unit: str, t: PieceTable) -> list[tuple[int, int]]:
+    """As :func:`merges` for one unit, in time ``n log n``: ``(start, id)`` of every symbol."""
+    pieces, n = t.by_text(), len(unit)
+    after, before = list(range(1, n + 1)), list(range(-1, n))
+    heap: list[tuple[float, int, int, int]] = []
+
+    def offer(start: int, mid: int, end: int) -> None:
+        i = pieces.get(unit[start:end])
+        if i is not None:
+            heapq.heappush(heap, (-float(t.scores[i]), start, mid, end))
+
+    for i in range(n - 1):
+        offer(i, i + 1, i + 2)
+    gone = bytearray(n)
+    while heap:
+        _, start, mid, end = heapq.heappop(heap)
+        if gone[start] or after[start] != mid or after[mid] != end:
+            continue  # one of the two has been merged
+        gone[mid] = 1
+        after[start], before[end] = end, start
+        if end < n:
+            offer(start, end, after[end])
+        if before[start] >= 0:
+            offer(before[start], start, end)
+    return [(i, pieces.get(unit[i:after[i]], -1)) for i in range(n) if not gone[i]]
+
+
+def viterbi(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """Best segmentations of units of one length, ``codes`` (units x length).
+
+    Returns for every end position the chosen piece's length and id (-1: the
+    unknown character).  Of equal scores the longest piece is chosen.
+    """
+    n, length = codes.shape
+    found = probe(codes, t)
+    usable = list(found)
     best = np.full((n, length + 1), -np.inf)
     best[:, 0] = 0
     back_len, back_id = np.ones((n, length + 1), np.int32), np.full((n, length + 1), -1, np.int32)
@@ -143,18 +246,41 @@ def viterbi(codes: np.ndarray, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
     return back_len, back_id
 
 
-def encode_units(units: list[str], t: PieceTable) -> list[bytes]:
-    """Ids of every unit (32-bit, as bytes); equal-length units advance together."""
+def _unknown(char: str, t: PieceTable) -> list[int]:
+    """A character without a piece: its bytes."""
+    got = [int(t.byte_ids[b]) for b in char.encode("utf-8", "surrogatepass")]
+    return got if min(got) >= 0 else [t.unk_id]
+
+
+def encode_units(units: list[str], t: PieceTable, merge: bool = False) -> list[bytes]:
+    """Ids of every unit (32-bit, as bytes) by Viterbi or by merges; equal-length units advance together."""
     out: list = [None] * len(units)
     by_len: dict[int, list[int]] = {}
     for i, u in enumerate(units):
-        by_len.setdefault(len(u), []).append(i)
+        if merge and len(u) > MAX_MERGED_TOGETHER:
+            chain = [y for a, x in merge_long(u, t) for y in ([x] if x >= 0 else _unknown(u[a], t))]
+            out[i] = np.array(chain, np.int32).tobytes()
+        else:
+            by_len.setdefault(len(u), []).append(i)
     for length, members in by_len.items():
         step = max(1, MAX_CELLS // max(1, length))
         for a in range(0, len(members), step):
             some = members[a:a + step]
             codes = np.frombuffer("".join(units[i] for i in some).encode("utf-32-le", "surrogatepass"),
                                   np.uint32).reshape(len(some), length)
+            if merge:
+                starts, ids = merges(codes, t)
+                flat, ends = ids[starts], np.cumsum(starts.sum(axis=1))
+                odd = set(np.flatnonzero((starts & (ids < 0)).any(axis=1)).tolist())
+                for u, (i, e0, e1) in enumerate(zip(some, [0, *ends.tolist()], ends.tolist())):
+                    if u in odd:
+                        where = np.flatnonzero(starts[u]).tolist()
+                        chain = [y for a, x in zip(where, flat[e0:e1].tolist())
+                                 for y in ([x] if x >= 0 else _unknown(chr(codes[u, a]), t))]
+                        out[i] = np.array(chain, np.int32).tobytes()
+                    else:
+                        out[i] = flat[e0:e1].tobytes()
+                continue
             back_len, back_id = viterbi(codes, t)
             pos = np.full(len(some), length)
             steps = []  # all units walk back together
@@ -167,28 +293,26 @@ def encode_units(units: list[str], t: PieceTable) -> list[bytes]:
                 for u, e, i in zip(live.tolist(), end.tolist(), ids.tolist()):
                     if i >= 0:
                         chains[u].append(i)
-                    else:  # an unknown character: its bytes
-                        raw = chr(codes[u, e - 1]).encode("utf-8", "surrogatepass")
-                        got = [int(t.byte_ids[b]) for b in raw]
-                        chains[u].extend(got if min(got) >= 0 else [t.unk_id])
+                    else:
+                        chains[u].extend(_unknown(chr(codes[u, e - 1]), t))
             for i, chain in zip(some, chains):
                 out[i] = np.array(chain, np.int32).tobytes()
     return out
 
 
-def encode_texts(texts: pa.Array, t: PieceTable) -> tuple[np.ndarray, np.ndarray]:
-    """``(ids of all texts, number of ids of each)``; null and empty texts have none."""
+def encode_texts(texts: pa.Array, t: PieceTable, merge: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids of all texts, number of ids of each)``, by Viterbi or by merges; null and empty texts have none."""
     lists = [UNIT.findall(" " + x) if x else [] for x in texts.to_pylist()]
     n_units = np.fromiter(map(len, lists), np.int64, len(lists))
     d = pa.array([u for x in lists for u in x], pa.string()).dictionary_encode()
     codes = d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     units = d.dictionary.to_pylist()
-    cache = t.cache()
+    cache = t.cache(merge)
     if len(cache) > CACHE_UNITS:
         cache.clear()
     ids = [cache.get(u) for u in units]
     new = [i for i, x in enumerate(ids) if x is None]
-    for i, x in zip(new, encode_units([units[i] for i in new], t)):
+    for i, x in zip(new, encode_units([units[i] for i in new], t, merge)):
         ids[i] = x
         if len(units[i]) <= CACHE_CHARS:
             cache[units[i]] = x
@@ -224,9 +348,11 @@ def encode_documents(docs: DataFrame, table: PieceTable, id_col: str = "doc_id",
                      carry: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids`` for every row (``carry``: also ``text``).
 
-    Null and empty texts have no ids.  A character that no piece covers is
+    The ids of a BPE model are those of its merges, the ids that the library
+    gives; those of another model maximise the sum of scores.  Null and empty
+    texts have no ids.  A character that no piece covers is
     encoded as its UTF-8 bytes, so every text decodes to itself (a literal
-    word mark, U+2581, is such a character).  The piece table travels with the
+    word mark, U+2581, is such a character; the library reads it as a space).  The piece table travels with the
     function: it has the size of the vocabulary.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -234,7 +360,7 @@ def encode_documents(docs: DataFrame, table: PieceTable, id_col: str = "doc_id",
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, counts = encode_texts(part.column("text"), table)
+                ids, counts = encode_texts(part.column("text"), table, table.bpe)
                 ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
                 cols = [part.column("doc_id"), pa.array(counts), pa.ListArray.from_arrays(ends, pa.array(ids))]
                 yield pa.RecordBatch.from_arrays(cols + ([part.column("text")] if carry else []),

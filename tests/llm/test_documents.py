@@ -273,6 +273,19 @@ def test_piece_viterbi_finds_the_best_segmentation():
     assert piece_viterbi.decode_ids(ids, counts, t).to_pylist() == texts
 
 
+def test_piece_ids_are_those_of_the_library(spark):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_viterbi.model_path())
+    t = piece_viterbi.load_pieces()
+    texts = [PROSE, "the these running", "  two  spaces ", "tab\there\nline", "日本語テスト 梦", "\U0001f600\x00 ok", "a" * 300,
+             "Whéthér", " " * 40 + "x", "ab" * 63 + "a", "ab" * 64, "abcde" * 2000 + "①", "", " "]
+    odd = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id int, text string")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    for df in (odd, docs):
+        out = piece_viterbi.encode_documents(df, t, carry=True).collect()
+        assert len(out) and [r.ids for r in out] == [sp.encode((r.text or "")) for r in out]
+
+
 def test_piece_coding_of_odd_documents(spark, odd):
     t = piece_viterbi.load_pieces()
     coded = piece_viterbi.encode_documents(odd, t, carry=True)
