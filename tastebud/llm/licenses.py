@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -55,23 +56,123 @@ def tagged_bigrams(words: list[str]) -> list[str]:
     return out
 
 
+#: Words of little use as anchors; any choice of anchors finds the same windows.
+_COMMON = frozenset("a and any at be by can for free from in is it may of on or that the this to under use with you your".split())
+
+
+def window_need(m: int, min_dice: float) -> tuple[int, int]:
+    """``(fewest shared bigrams, most bigrams)`` of a window that reaches ``min_dice`` with a template of ``m`` bigrams."""
+    return math.ceil(m * min_dice / (2 - min_dice) - 1e-9), math.floor(m * (2 - min_dice) / min_dice + 1e-9)
+
+
+def pair_counts(words: list[str]) -> dict[tuple[str, str], int]:
+    out: dict = {}
+    for pair in zip(words, words[1:]):
+        out[pair] = out.get(pair, 0) + 1
+    return out
+
+
+def anchor_pairs(words: list[str], min_dice: float) -> list[tuple[str, str]]:
+    """Rare bigrams of a template, so many that no window can do without all of them."""
+    counts, m = pair_counts(words), len(words) - 1
+    out, spare = [], m - window_need(m, min_dice)[0]
+    for pair in sorted(counts, key=lambda q: (sum(w in _COMMON or len(w) == 1 for w in q), -len(q[0] + q[1]), q)):
+        if spare < 0:
+            break
+        out.append(pair)
+        spare -= counts[pair]
+    return out
+
+
+def best_window(words: list[str], template: list[str], min_dice: float) -> float:
+    """Highest Dice coefficient of any window of ``words`` with a template (for short texts, on the driver)."""
+    m, want, top = len(template) - 1, pair_counts(template), 0.0
+    most = window_need(m, min_dice)[1]
+    for a in range(len(words) - 1):
+        have: dict = {}
+        shared = 0
+        for n, pair in enumerate(zip(words[a:a + most], words[a + 1:a + most + 1]), 1):
+            have[pair] = have.get(pair, 0) + 1
+            shared += have[pair] <= want.get(pair, 0)
+            top = max(top, 2 * shared / (n + m))
+    return top
+
+
+def _pairs(ws: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.size(ws) - 2), lambda i: F.concat_ws(" ", F.get(ws, i), F.get(ws, i + 1)))
+
+
 def _bag(ws: Column) -> Column:
     """Tagged bigrams of an array of words (see :func:`tagged_bigrams`)."""
-    pairs = F.transform(F.sequence(F.lit(0), F.size(ws) - 2), lambda i: F.concat_ws(" ", F.get(ws, i), F.get(ws, i + 1)))
-    return let(pairs, lambda p: F.transform(p, lambda x, i: F.concat_ws(
+    return let(_pairs(ws), lambda p: F.transform(p, lambda x, i: F.concat_ws(
         " ", F.size(F.filter(F.slice(p, F.lit(1), i + 1), lambda y: y == x)).cast("string"), x)))
 
 
+def _windows(ws: Column, ranges: Column, words: dict[str, list[str]], min_dice: float) -> Column:
+    """Windows of the words ``ws`` that reach ``min_dice``: array of ``minus`` (the negative coefficient) and ``name``.
+
+    The best window starts and ends with a bigram of its template, so from every
+    such bigram (a hit) the ends are the next hits within the size bound; a hit
+    counts unless the window already holds that bigram as often as the template.
+    Of overlapping windows of a template the best is kept.  ``ranges`` are the
+    lines (or the text) found as ``start, end, name``: a template that is part
+    of the one found there is not found again inside.
+    """
+    rows = []
+    for k in sorted(words):
+        counts, m = pair_counts(words[k]), len(words[k]) - 1
+        need, most = window_need(m, min_dice)
+        if m < 1:
+            continue
+        covers = [o for o in words if o == k or best_window(words[o], words[k], min_dice) >= min_dice]
+        rows.append(F.struct(F.lit(k).alias("name"), F.lit(m).alias("m"), F.lit(most).alias("most"),
+                             F.lit(len(counts) - (m - need)).alias("need"),
+                             F.array(*[F.lit(" ".join(q)) for q in counts]).alias("pairs"),
+                             F.array(*map(F.lit, counts.values())).alias("times"),
+                             F.array(*map(F.lit, covers)).alias("covers")))
+    known = F.array(*rows)
+
+    def of_template(p, t):
+        hits = F.filter(F.transform(p, lambda x, i: F.struct(
+            i.alias("pos"), F.array_position(t["pairs"], x).cast("int").alias("b"))), lambda h: h["b"] > 0)
+
+        def dated(h):  # prev: a window that starts there or before holds the bigram often enough without this one
+            return F.transform(h, lambda x, k: let(
+                F.filter(F.slice(h, F.greatest(k + 1 - t["most"], F.lit(1)), F.least(k, t["most"])), lambda e: e["b"] == x["b"]),
+                lambda e: F.struct(x["pos"].alias("pos"), F.coalesce(
+                    F.get(e, F.size(e) - F.get(t["times"], x["b"] - 1))["pos"], F.lit(-1)).alias("prev"))))
+
+        def from_start(h, x, k):
+            inside = F.filter(F.slice(h, k + 1, t["most"]),
+                              lambda e: (e["pos"] < x["pos"] + t["most"]) & (e["prev"] < x["pos"]))
+            return F.array_min(F.transform(inside, lambda e, r: F.struct(
+                (-2.0 * (r + 1) / (e["pos"] - x["pos"] + 1 + t["m"])).alias("minus"),
+                x["pos"].alias("start"), (e["pos"] + 1).alias("end"))))
+
+        starts = let(hits, lambda h0: let(dated(h0), lambda h: F.transform(h, lambda x, k: from_start(h, x, k))))
+        good = F.array_sort(F.filter(starts, lambda c: c["minus"] <= -min_dice))
+        apart = F.aggregate(good, F.array().cast("array<struct<minus:double,start:int,end:int>>"), lambda acc, c: F.when(
+            F.exists(acc, lambda o: (o["start"] <= c["end"]) & (c["start"] <= o["end"])), acc).otherwise(F.concat(acc, F.array(c))))
+        new = F.filter(apart, lambda c: ~F.exists(ranges, lambda g: (g["start"] <= c["start"]) & (c["end"] < g["end"])
+                                                  & F.array_contains(t["covers"], g["name"])))
+        return F.transform(new, lambda c: F.struct(c["minus"].alias("minus"), t["name"].alias("name")))
+
+    return let(_pairs(ws), lambda p: F.flatten(F.transform(
+        F.filter(known, lambda t: F.size(F.array_intersect(p, t["pairs"])) >= t["need"]), lambda t: of_template(p, t))))
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict | None = None,
                   min_dice: float = MIN_DICE) -> DataFrame:
     """``doc_id, license, dice, matches, licenses`` for every row.
 
-    Compared are the whole text and each of its lines.  With ``n`` bigrams a
+    Compared are the whole text, each of its lines and every window of words, so
+    wrapped, inline and embedded notices are found.  With ``n`` bigrams a
     text can reach Dice ``d`` only with templates of ``n d / (2 - d)`` to ``n
     (2 - d) / d`` bigrams; for texts without such a template no bigram is
-    formed.  ``license`` is the template of the highest coefficient (ties: the
+    formed.  A window must hold some of its template's rare bigrams; texts
+    without any have no windows (see :func:`_windows`).  ``license`` is the template of the highest coefficient (ties: the
     first name), ``matches`` the number of lines (or the text) that reach
-    ``min_dice``, ``licenses`` the names found.  Null, empty and one-word texts
+    ``min_dice`` and of windows beyond these, ``licenses`` the names found.  Null, empty and one-word texts
     match nothing: null licence, 0 matches, no names.
     """
     names = sorted(templates or TEMPLATES)
@@ -97,13 +198,46 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # ASCII except letters, digits and line feeds becomes a space
     clean = F.lower(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x00-\x09\x0B-/:-@\[-`{-\x7F]+", " "))
 
-    def units(t):
-        lines = F.split(t, "\n")
-        whole = F.when(F.size(lines) > 1, F.array(F.translate(t, "\n", " "))).otherwise(F.array().cast("array<string>"))
-        return F.concat(lines, whole)
-
-    found = let(clean, lambda t: F.flatten(F.transform(units(t), lambda u: let(
-        F.array_remove(F.split(u, " +"), ""), lambda ws: F.transform(F.slice(F.array_sort(best(ws)), 1, 1), lambda s: s)))))
+    words = {k: normal_words((templates or TEMPLATES)[k]) for k in names}
+    anchors: dict[str, set[str]] = {}
+    for k in names:
+        for first, second in anchor_pairs(words[k], min_dice):
+            anchors.setdefault(first, set()).add(second)
+    rare = "(?:^| )(?:{})(?= |$)".format("|".join(
+        f"{re.escape(x)} +(?:{'|'.join(map(re.escape, sorted(anchors[x])))})" for x in sorted(anchors)))
+    found_type = "array<struct<minus:double,name:string>>"
+
+    def unit(text):
+        return let(F.array_remove(F.split(text, " +"), ""), lambda ws: F.struct(
+            F.size(ws).alias("n"), F.slice(F.array_sort(best(ws)), 1, 1).alias("f"), ws.alias("ws")))
+
+    def ranges(lines, whole):
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,name:string>>").alias("out"))
+
+        def step(acc, u):
+            here = F.transform(u["f"], lambda f: F.struct(acc["at"].alias("start"), (acc["at"] + u["n"]).alias("end"),
+                                                          f["name"].alias("name")))
+            return F.struct((acc["at"] + u["n"]).alias("at"), F.concat(acc["out"], here).alias("out"))
+
+        of_whole = F.transform(whole["f"], lambda f: F.struct(F.lit(0).alias("start"), whole["n"].alias("end"),
+                                                              f["name"].alias("name")))
+        return F.concat(F.aggregate(lines, start, step)["out"], of_whole)
+
+    def found_in(t):
+        flat = F.translate(t, "\n", " ")
+
+        def findings(lines):
+            several = F.size(lines) > 1
+            whole = F.when(several, unit(flat)).otherwise(F.get(lines, F.lit(0)))
+            of_windows = lambda w: F.when(flat.rlike(rare), let(ranges(lines, w), lambda g: _windows(
+                w["ws"], g, words, min_dice))).otherwise(F.array().cast(found_type))
+            return let(whole, lambda w: F.concat(
+                F.flatten(F.transform(lines, lambda u: u["f"])),
+                F.when(several, w["f"]).otherwise(F.array().cast(found_type)), of_windows(w)))
+
+        return let(F.transform(F.split(t, "\n"), unit), findings)
+
+    found = let(clean, found_in)
     rows = docs.select(F.col(id_col).alias("doc_id"), let(found, lambda f: F.struct(
         F.array_min(f).alias("top"), F.size(f).alias("n"),
         F.array_sort(F.array_distinct(F.transform(f, lambda s: s["name"]))).alias("names"))).alias("m"))

@@ -240,6 +240,39 @@ def test_license_scan(spark, odd):
     assert licenses.scan_licenses(odd).count() == odd.count() and licenses.scan_licenses(empty(odd)).count() == 0
 
 
+def test_license_notices_wrapped_inline_and_embedded(spark):
+    import random
+    import textwrap
+    t = licenses.TEMPLATES
+    prose = "some other words that go on for a while and have nothing to do with it at all " * 6
+    wrap = lambda x, mark: "\n".join(mark + y for y in textwrap.wrap(x, 72 - len(mark)))
+    texts = [(f"wrapped {k}", f"{prose}\n{wrap(x, '')}\n{prose}", k) for k, x in t.items()]
+    texts += [(f"header {k}", f"{wrap(x, '# ')}\nimport os\n{prose}", k) for k, x in t.items()]
+    texts += [(f"inline {k}", f"{prose}{x} {prose}", k) for k, x in t.items()]
+    texts += [("two", f"{prose}\nThis work is licensed under the GNU\nGeneral Public License, version 3.\n{prose}", "GPL-3.0"),
+              ("twice", f"{prose}{t['MIT']} {prose}{t['MIT']}", "MIT"),
+              ("beside", f"{t['MIT-permission']} {t['MIT']}", "MIT"), ("none", prose, None)]
+    rng = random.Random(5)
+    for i in range(60):  # notices with words lost, added and repeated
+        k = rng.choice(sorted(t))
+        ws = [w for w in licenses.normal_words(t[k]) for _ in range(rng.choice((0, 1, 1, 1, 1, 1, 1, 1, 2)))]
+        texts.append((f"odd {i}", f"{prose} {' '.join(ws)}\n{prose}", None))
+    df = spark.createDataFrame([x[:2] for x in texts], "doc_id string, text string").repartition(8)
+    got = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
+    words = {k: licenses.normal_words(x) for k, x in t.items()}
+    some = set()
+    for name, text, k in texts:
+        r = got[name]
+        assert k is None or k in r.licenses, (name, r)
+        top = {o: licenses.best_window(licenses.normal_words(text), w, licenses.MIN_DICE) for o, w in words.items()}
+        if name != "beside":  # where no line or text is found the windows decide alone
+            assert set(r.licenses) == {o for o, x in top.items() if x >= licenses.MIN_DICE}, (name, r, top)
+            assert (r.dice or 0) == (max(top.values()) if r.licenses else 0)
+        if name.startswith("odd"):
+            some.add(bool(r.licenses))
+    assert some == {True, False} and got["twice"].matches == 2 and got["none"].matches == 0
+
+
 def test_piece_viterbi_finds_the_best_segmentation():
     t = piece_viterbi.load_pieces()
     pieces = {}
