@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from tastebud.llm.arrowtext import class_counts, hashed_counts, segment_sum, slices, split_words, word_codes
 
 DIMS = 1 << 16
-#: Documents on which the scorer is trained, at most about this many (chosen by hash).
-TRAIN_DOCS = 8_000
+#: Documents on which the scorer is trained, at most about this many (chosen by hash within their vote pattern).
+TRAIN_DOCS = 12_000
 KEEP_FROM = 0.5
 MIN_PRECISION = 0.998
 
@@ -149,18 +149,41 @@ def features(flat: pa.Array, counts: np.ndarray, v: np.ndarray, dims: int = DIMS
     return per + k, index, value
 
 
+def draw_rates(n: np.ndarray, train_docs: int) -> np.ndarray:
+    """Share of each pattern's documents to draw: about ``train_docs`` in all, and some of every pattern.
+
+    Half of the sample at most goes to a floor that is equal for all patterns,
+    so rare ones are taken whole; the rest is in proportion.
+    """
+    floor = train_docs // (2 * max(1, len(n)))
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if np.minimum(n, np.maximum(mid * n, floor)).sum() <= train_docs else (low, mid)
+    share = 1.0 if n.sum() <= train_docs else low
+    return np.minimum(1.0, np.maximum(share, floor / np.maximum(n, 1)))
+
+
 def fit_scorer(per: np.ndarray, index: np.ndarray, value: np.ndarray, target: np.ndarray, dims: int = DIMS,
-               steps: int = 80, rate: float = 0.1, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels (full-batch Adam)."""
+               steps: int = 80, rate: float = 0.1, l2: float = 1e-4,
+               weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels (full-batch Adam), documents counting by ``weight``.
+
+    Words are penalised, votes are not: the penalty would outweigh the evidence
+    of a labeller that has seldom voted bad, however clear its posterior.
+    """
     w, b = np.zeros(dims + 1), 0.0
     if not len(target):
         return w[:dims], b
+    part = np.full(len(target), 1 / len(target)) if weight is None else weight / weight.sum()
+    penalty = np.full(dims + 1, l2)
+    penalty[dims - 3 * len(LABELLERS):] = 0
     row = np.repeat(np.arange(len(target)), per)
     m1, m2 = np.zeros(dims + 1), np.zeros(dims + 1)
     for t in range(1, steps + 1):
         score = segment_sum(w[index] * value, per) + w[dims]
-        err = (1 / (1 + np.exp(-score)) - target) / len(target)
-        g = np.bincount(index, weights=value * err[row], minlength=dims + 1) + l2 * w
+        err = (1 / (1 + np.exp(-score)) - target) * part
+        g = np.bincount(index, weights=value * err[row], minlength=dims + 1) + penalty * w
         g[dims] = err.sum()
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         w -= rate * (m1 / (1 - 0.9 ** t)) / (np.sqrt(m2 / (1 - 0.999 ** t)) + 1e-9)
@@ -178,49 +201,69 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 seed: int = 7) -> QualityModel:
     """Label model over all documents, scorer on a hash sample of about ``train_docs`` of them.
 
-    To the driver come the pattern counts (at most ``3 ** labellers`` rows) and
-    the sampled documents' sparse features (a documented bound, whatever the input).
+    The sample is drawn by vote pattern (:func:`draw_rates`), and from every
+    pattern at least the document of the smallest hash; a document stands for
+    its pattern's count divided by the number drawn.  Wholly equal rows share a
+    hash and are one row of the sample, counted.  To the driver come the
+    pattern counts (at most ``3 ** labellers`` rows) and the sampled documents'
+    sparse features (a documented bound, whatever the input).
     """
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(text_col).alias("text"), F.shiftrightunsigned(
+        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 1).alias("h"))
 
     def vote(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 m, _, counts = measures(part.column("text"))
-                key, n = np.unique(pattern_of(votes(m, counts)), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["pattern", "n"])
-
-    counted = (src.select("text").mapInArrow(vote, "pattern long, n long")
-               .groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toPandas())
+                key, back, n = np.unique(pattern_of(votes(m, counts)), return_inverse=True, return_counts=True)
+                least = np.full(len(key), np.iinfo(np.int64).max)
+                np.minimum.at(least, back, part.column("h").to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), pa.array(least)],
+                                                 names=["pattern", "n", "least"])
+
+    counted = (src.mapInArrow(vote, "pattern long, n long, least long").groupBy("pattern")
+               .agg(F.sum("n").alias("n"), F.min("least").alias("least")).orderBy("pattern").toPandas())
     patterns, n = counted["pattern"].to_numpy(np.int64), counted["n"].to_numpy(np.float64)
     model = fit_label_model(patterns, n)
-
-    share = min(1.0, train_docs / max(1.0, n.sum()))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) < int(share * (1 << 30))
+    if not len(patterns):
+        return QualityModel(model, np.zeros(DIMS), 0.0)
+    top = np.iinfo(np.int64).max
+    limits = np.maximum(np.array([min(top, int(r * 2.0 ** 63)) for r in draw_rates(n, train_docs)], np.int64),
+                        counted["least"].to_numpy(np.int64))
 
     def rows(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                m, flat, counts = measures(part.column("text"))
+                m, _, counts = measures(part.column("text"))
+                key = pattern_of(votes(m, counts))
+                h = part.column("h").to_numpy(zero_copy_only=False)
+                drawn = np.flatnonzero(h <= limits[np.searchsorted(patterns, key)])
+                if not len(drawn):
+                    continue
+                _, first, copies = np.unique(h[drawn], return_index=True, return_counts=True)
+                some = part.take(pa.array(drawn[first]))
+                m, flat, counts = measures(some.column("text"))
                 v = votes(m, counts)
                 per, index, value = features(flat, counts, v)
                 ends = pa.array(np.r_[0, np.cumsum(per)].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()) if pa.types.is_integer(part.column("doc_id").type)
-                     else pa.nulls(len(part), pa.int64()), pa.array(pattern_of(v)),
+                    [some.column("h"), pa.array(pattern_of(v)), pa.array(copies),
                      pa.ListArray.from_arrays(ends, pa.array(index.astype(np.int32))),
                      pa.ListArray.from_arrays(ends, pa.array(value.astype(np.float32)))],
-                    names=["doc_id", "pattern", "index", "value"])
+                    names=["h", "pattern", "copies", "index", "value"])
 
-    sample = (src.where(draw).mapInArrow(rows, "doc_id long, pattern long, index array<int>, value array<float>")
-              .limit(2 * train_docs).toArrow().sort_by([("doc_id", "ascending"), ("pattern", "ascending")]))
-    if not len(sample):
-        return QualityModel(model, np.zeros(DIMS), 0.0)
+    sample = (src.mapInArrow(rows, "h long, pattern long, copies long, index array<int>, value array<float>")
+              .groupBy("h", "pattern").agg(F.sum("copies").alias("copies"), F.first("index").alias("index"),
+                                           F.first("value").alias("value"))
+              .toArrow().sort_by([("h", "ascending"), ("pattern", "ascending")]))
     index, value = (sample[c].combine_chunks() for c in ("index", "value"))
     per = pc.list_value_length(index).to_numpy(zero_copy_only=False).astype(np.int64)
-    target = model.posterior(votes_of(sample["pattern"].to_numpy()))
+    drawn, copies = sample["pattern"].to_numpy(), sample["copies"].to_numpy().astype(np.float64)
+    at = np.searchsorted(patterns, drawn)
+    weight = copies * (n / np.maximum(np.bincount(at, weights=copies, minlength=len(n)), 1))[at]
     weights, bias = fit_scorer(per, index.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
-                               value.flatten().to_numpy(zero_copy_only=False).astype(np.float64), target)
+                               value.flatten().to_numpy(zero_copy_only=False).astype(np.float64),
+                               model.posterior(votes_of(drawn)), weight=weight)
     return QualityModel(model, weights, bias)
 
 

@@ -345,6 +345,26 @@ def test_quality_agrees_with_labels_it_never_saw(spark):
     assert n[1, True] / (n[1, True] + n.get((1, False), 0)) > 0.995
 
 
+def test_every_vote_pattern_is_trained_on(spark):
+    n = np.array([1.0, 3, 50, 9e6, 1e6])
+    drawn = np.minimum(n, weak_quality.draw_rates(n, 12_000) * n)
+    assert weak_quality.TRAIN_DOCS == 12_000 and (drawn[:3] == n[:3]).all() and 11_000 < drawn.sum() <= 12_000.5
+    assert (weak_quality.draw_rates(n[:3], 12_000) == 1).all()
+    prepare(spark)
+    prose = PROSE.replace("\n", " ") + " "
+    good = spark.range(4000).selectExpr("id AS doc_id", "concat('word', id % 7, ' ', id, ' ') AS t").select(
+        "doc_id", F.concat("t", F.lit(prose * 2)).alias("text"))
+    shouting = spark.createDataFrame([(-i, (prose * 2).replace(" ", "! ") + str(i)) for i in (1, 2, 3)], "doc_id long, text string")
+    copies = spark.createDataFrame([(None, "x | " * 60)] * 300, "doc_id long, text string")
+    docs = good.unionByName(shouting).unionByName(copies).repartition(6)
+    model = weak_quality.fit_quality(docs, train_docs=200)
+    kept = {r.doc_id: r.kept for r in weak_quality.quality_scores(docs, model).collect()}
+    assert [kept[-i] for i in (1, 2, 3)] == [False] * 3 and kept[None] is False
+    assert sum(kept[i] for i in range(4000)) > 3980
+    mark = weak_quality.DIMS - 3 * len(weak_quality.LABELLERS) + 3 * 2  # 'shouting', bad
+    assert model.weights[mark] < 0
+
+
 def test_label_model_recovers_planted_accuracies():
     rng = np.random.default_rng(0)
     k, n = len(weak_quality.LABELLERS), 40_000
