@@ -171,6 +171,10 @@ def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame
 
 
 # ------------------------------------------------- a user's own tables
+#: The reference's own model parameters, for a user's tables (``P`` holds those of the registered queries).
+REFERENCE = Params(k=ALS.DEFAULT_K, als_rank=ALS.DEFAULT_RANK, als_iter=ALS.DEFAULT_ITER, als_reg=ALS.DEFAULT_REG)
+
+
 @dataclass
 class Recommender:
     """Stage outputs of :func:`recommend`."""
@@ -183,12 +187,13 @@ class Recommender:
     board: DataFrame        # model, K, precision, recall, ndcg, n_users_evaluated
 
 
-def recommend(raw: DataFrame, interactions: DataFrame, spec: CatalogSpec | None = None, p: Params = P,
-              k: int = 500, epochs: int = AE.EPOCHS, steps_per_epoch: int = AE.STEPS_PER_EPOCH) -> Recommender:
+def recommend(raw: DataFrame, interactions: DataFrame, spec: CatalogSpec | None = None, p: Params = REFERENCE,
+              k: int = ALS.DEFAULT_K, epochs: int = AE.EPOCHS, steps_per_epoch: int = AE.STEPS_PER_EPOCH) -> Recommender:
     """The whole pipeline over given raw items and interactions ``(user_id, item_id[, play])``.
 
     ``raw`` has the id, name and artists columns of ``spec`` and any of its
-    features (the reference's by default); ids may be text.  Catalogue, split,
+    features (the reference's by default); ids may be text.  The models are fitted
+    with the reference's parameters unless others are given.  Catalogue, split,
     collaborative and autoencoder recommendations and their leaderboard, each
     written once to the shared folder.
     """

@@ -96,6 +96,33 @@ def test_als_text_ids(spark):
     assert len(recs) == 12 and all((r.user_id, r.item_id) not in seen for r in recs)
 
 
+def test_given_tables_get_the_reference_models(spark, monkeypatch):
+    import inspect
+
+    import pytest
+    from tastebud.operators import als, autoencoder
+    from tastebud.operators.catalog import CatalogSpec
+    from tastebud.plans import pipeline
+    args = {k: v.default for k, v in inspect.signature(pipeline.recommend).parameters.items()}
+    assert (args["p"].als_rank, args["p"].als_iter, args["k"]) == (als.DEFAULT_RANK, als.DEFAULT_ITER, als.DEFAULT_K) == (128, 50, 500)
+    assert (args["epochs"], args["steps_per_epoch"]) == (autoencoder.EPOCHS, autoencoder.STEPS_PER_EPOCH) == (50, 16)
+
+    class Fitted(Exception):
+        pass
+
+    def fit(train, **kw):
+        raise Fitted(kw["rank"], kw["max_iter"], kw["reg"])
+
+    monkeypatch.setattr(pipeline.ALS, "fit_als", fit)
+    raw = spark.createDataFrame([(f"t{i}", f"n{i}", "['a']", float(i), 60.0, i) for i in range(6)],
+                                "id string, name string, artists string, energy double, popularity double, o int")
+    inter = spark.createDataFrame([(u, f"t{j}") for u in range(4) for j in range(5)], "user_id long, item_id string")
+    spec = CatalogSpec(feature_cols=["energy"], id_col="id", order_col="o", min_support=1)
+    with pytest.raises(Fitted) as got:
+        pipeline.recommend(raw, inter, spec)
+    assert got.value.args == (128, 50, als.DEFAULT_REG)
+
+
 def test_pipeline_over_given_tables(spark):
     from tastebud.operators.catalog import CatalogSpec
     from tastebud.plans.pipeline import Params, recommend
