@@ -569,6 +569,7 @@ def q_ae_reconstruct(spark, sf):
     return err.select("item_id", r6("mse").alias("mse"))
 
 
+#: Of the contract queries (their statements name them); queries that recommend train with the library's defaults.
 _AE_EPOCHS, _AE_STEPS = 5, 4
 
 
@@ -594,7 +595,7 @@ def q_ae_topk(spark, sf):
     from tastebud.operators.content import content_recommend
     vecs = PL.catalog_vectors(spark, sf)
     data = AE.training_input(vecs, "item_id", "vec")
-    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed)
+    params, _ = AE.train(data, len(_FEATS), seed=PL.P.seed)
     z = AE.encode(data, params)
     return content_recommend(PL.train_set(spark, sf, materialized=True), z, PL.P.k, materialize_items=True).select(
         "user_id", "item_id", "score", "rank")
@@ -952,7 +953,7 @@ def _als_and_ae(spark, sf):
     train = PL.train_set(spark, sf, materialized=True)
     als = PL.model_recs(PL.als_recs(spark, sf), "als")
     data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
-    params, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed)
+    params, _ = AE.train(data, len(_FEATS), seed=PL.P.seed)
     ae = PL.model_recs(content_recommend(train, AE.encode(data, params), PL.P.k, materialize_items=True),
                        "autoencoder")
     return PL.materialize(als.unionByName(ae))  # scored once, read by every check

@@ -96,6 +96,32 @@ def test_als_text_ids(spark):
     assert len(recs) == 12 and all((r.user_id, r.item_id) not in seen for r in recs)
 
 
+def test_queries_recommend_with_a_fully_trained_autoencoder(spark, monkeypatch):
+    import inspect
+
+    import pytest
+    from tastebud.operators import autoencoder
+    from tastebud.plans import queries
+    args = inspect.signature(autoencoder.train)
+
+    class Trained(Exception):
+        pass
+
+    def train(*a, **kw):
+        got = args.bind(*a, **kw)
+        got.apply_defaults()
+        raise Trained(got.arguments["epochs"], got.arguments["steps_per_epoch"])
+
+    monkeypatch.setattr(queries.AE, "train", train)
+    for name in ("als_recs", "model_recs", "train_set", "test_set", "catalog", "catalog_vectors"):
+        monkeypatch.setattr(queries.PL, name, lambda *a, **kw: None)
+    monkeypatch.setattr(queries.AE, "training_input", lambda *a: None)
+    for query in (queries.q_ae_topk, queries.q_evaluation_report, queries.q_als_quality_checks):
+        with pytest.raises(Trained) as got:
+            query(spark, "/root/testdata/sf0.001")
+        assert got.value.args == (autoencoder.EPOCHS, autoencoder.STEPS_PER_EPOCH) == (50, 16)
+
+
 def test_given_tables_get_the_reference_models(spark, monkeypatch):
     import inspect
 
