@@ -39,22 +39,27 @@ def shard_of(pos: Column, n: Column, shards: int) -> tuple[Column, Column]:
     return shard.cast("int"), (pos - start).cast("long")
 
 
+def bucket_of(doc_id: Column, text: Column, seed: int, buckets: int) -> Column:
+    """Bucket of a row, by id and text: only rows that share both share it for certain."""
+    return F.pmod(F.xxhash64(F.lit(seed), doc_id, text), F.lit(buckets)).cast("int")
+
+
 def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = N_SHARDS,
                  seed: int = 42, bucket_bytes: int = BUCKET_BYTES, path: str | None = None) -> DataFrame:
     """Write the shuffled rows under ``path`` (default: the shared folder), one folder per shard; returns the table.
 
     Columns: ``row`` (the whole input row), ``slot`` (its place in the shard,
-    gapless from 0), ``shard``.  The bucket is a hash of the id, so reruns
-    agree.  A bucket's rows stream past their permutation (8 bytes a row) and
-    Spark's sorts spill, so even a bucket of many rows with the same id stays
-    within memory.  Null ids and null texts are rows like any other; repeated
+    gapless from 0), ``shard``.  The bucket is a hash of id and text, so reruns
+    agree and rows of one id are spread.  A bucket's rows stream past their
+    permutation (8 bytes a row) and Spark's sorts spill, so even a bucket of
+    many copies of a row stays within memory.  Null ids and null texts are rows like any other; repeated
     rows are kept; an empty table gives no rows.
     """
     spark = docs.sparkSession
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
     size = docs.agg(F.sum(row_bytes(F.col(text_col))).alias("b"), F.count(F.lit(1)).alias("n")).first()
     buckets = max(MIN_BUCKETS, -(-(size["b"] or 0) // bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(buckets)).cast("int")
+    bucket = bucket_of(F.col(id_col), F.col(text_col), seed, buckets)
 
     counts = docs.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket

@@ -214,6 +214,14 @@ def test_token_files(spark, odd):
     assert simple8b.read_token_files(simple8b.write_token_files(empty(odd))).count() == 0
 
 
+def test_rows_of_one_id_are_spread_over_buckets(spark):
+    rows = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    n = [r["count"] for r in rows.groupBy(sharding.bucket_of(F.col("doc_id"), F.col("text"), 42, 48)).count().collect()]
+    assert len(n) == 48 and max(n) < 100
+    out = sharding.write_shards(rows).collect()
+    assert sorted(r.row.text for r in out) == sorted(f"t{i}" for i in range(2000))
+
+
 def test_license_scan(spark, odd):
     t = licenses.TEMPLATES
     apache = t["Apache-2.0"]
