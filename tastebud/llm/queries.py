@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import (embed_dedup, licenses, mixing, piece_viterbi, quality_rules, sharding, simhash, simple8b,
-                          toxicity, weak_quality)
+from tastebud.llm import (byte_bpe, code_books, embed_dedup, licenses, mixing, piece_viterbi, quality_rules, sharding,
+                          simhash, simple8b, token_align, toxicity, weak_quality)
 from tastebud.llm.common import prepare
 
 
@@ -74,9 +74,30 @@ def op10_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_align.align_documents(_docs(spark, sf_dir), token_align.load_pair())
+    digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2("groups", 256))
+    return out.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = byte_bpe.load_ranks()
+    coded = byte_bpe.encode_documents(_docs(spark, sf_dir), table)
+    coded = coded.withColumn("ids_sha256", F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256))
+    back = byte_bpe.decode_documents(coded, table, ("doc_id", "n_tokens", "ids_sha256"))
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = code_books.compress_vectors(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", code_books.code_text(F.col("codes")).alias("code"), "error", "label_error",
+                        F.lit(code_books.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_toxicity_ordinal, op3_simple8b, op4_license_dice, op5_external_shuffle, op6_embedding_codes,
-    op7_weak_quality, op8_simhash_pivots, op9_mixing, op10_piece_viterbi)}
+    op7_weak_quality, op8_simhash_pivots, op9_mixing, op10_piece_viterbi, op11_token_alignment, op12_byte_bpe,
+    op13_vector_codes)}
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce({t}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
@@ -192,4 +213,48 @@ SELECT d.doc_id, d.size, t.source_size, t.target, CAST((t.passes + more.extra) *
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 JOIN more ON d.source IS NOT DISTINCT FROM more.source AND d.h = more.h"""
 
-ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op4_license_dice": _OP4, "op6_embedding_codes": _OP6, "op9_mixing": _OP9}
+def _nearest(books: str) -> str:
+    """Entry and squared distance of every part of every vector."""
+    return f"""
+  SELECT rid, part, arg_min(entry, [d, entry]) AS entry, min(d) AS d, any_value(x) AS x FROM (
+    SELECT rid, part, entry, cut.x AS x,
+           list_sum(list_transform(list_zip(cut.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM cut JOIN {books} b USING (part))
+  GROUP BY rid, part"""
+
+
+def _updated(books: str, near: str) -> str:
+    """The entries replaced by the floor of their parts' means."""
+    return f"""
+  SELECT part, entry, coalesce(m.x, b.x) AS x FROM {books} b LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS x FROM (
+      SELECT part, entry, j, sum(x[j]) AS s, count(*) AS n
+      FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS j FROM {near}) GROUP BY part, entry, j)
+    GROUP BY part, entry) m USING (part, entry)"""
+
+
+_OP13 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor({code_books.SCALE} * x) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT rid, vec_id, part, ints[part * len(ints) // {code_books.PARTS} + 1:(part + 1) * len(ints) // {code_books.PARTS}] AS x
+  FROM (SELECT *, unnest(range({code_books.PARTS})) AS part FROM v)),
+b0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM cut
+  WHERE rid IN (SELECT rid FROM v ORDER BY vec_id LIMIT {code_books.ENTRIES})),
+n0 AS MATERIALIZED ({_nearest("b0")}),
+b1 AS MATERIALIZED ({_updated("b0", "n0")}),
+n1 AS MATERIALIZED ({_nearest("b1")}),
+b2 AS MATERIALIZED ({_updated("b1", "n1")}),
+n2 AS MATERIALIZED ({_nearest("b2")}),
+coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM n2 GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+FROM v JOIN coded USING (rid)"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op4_license_dice": _OP4, "op6_embedding_codes": _OP6, "op9_mixing": _OP9,
+                          "op13_vector_codes": _OP13}
