@@ -66,3 +66,57 @@ def hamming_components(ids, fps, bits=4):
     for r, d in zip(root, ids):
         low[r] = min(low.get(r, d), d)
     return [low[r] for r in root]
+
+
+def _byte_letters():
+    """The bytes behind the letters of a byte-level vocabulary: printable ones stand for themselves, the rest from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(rest)}}
+
+
+def aligned(rows):
+    """Alignment of the two libraries' tokens for rows of (id, text), by comparing all byte ranges."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    tok.encode_special_tokens = True
+    sp = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    letters = _byte_letters()
+    a_bytes = {i: bytes(letters[c] for c in s) for s, i in tok.get_vocab().items() if i != 50256}
+
+    def b_bytes(i):
+        p = sp.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode()
+
+    def ranges(tokens):
+        out, at = [], 0
+        for i, raw in tokens:
+            out.append((at, at + len(raw), i))
+            at += len(raw)
+        return out
+    docs, held = [], {}
+    for doc, text in rows:
+        a = b = []
+        if text:
+            want = (" " + text).encode()
+            a = [(i, a_bytes[i]) for i in tok.encode(" " + text, add_special_tokens=False).ids]
+            b = [(i, b_bytes(i)) for i in sp.encode(text)]
+            if any(b"".join(raw for _, raw in x) != want for x in (a, b)):
+                a = b = []
+        a, b = ranges(a), ranges(b)
+        links = [(i, j) for s, e, i in a for s2, e2, j in b if s < e2 and s2 < e]
+        for x in set(links):
+            held[x] = held.get(x, 0) + 1
+        ends, at, groups = sorted({e for _, e, _ in a} & {e for _, e, _ in b}), 0, []
+        for e in ends:
+            groups.append("|".join(",".join(str(i) for s, _, i in x if at <= s < e) for x in (a, b)))
+            at = e
+        docs.append((doc, len(a), len(b), len(ends), links, ";".join(groups)))
+    best = {}
+    for (i, _), n in held.items():
+        best[i] = max(best.get(i, 0), n)
+    return [(d, na, nb, g, len(x), sum(held[y] == best[y[0]] for y in x), sum(held[y] for y in x), s)
+            for d, na, nb, g, x, s in docs]
