@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastebud.llm.arrowtext import segment_sum, slices
+from tastebud.llm.arrowtext import slices
 from tastebud.llm.piece_viterbi import ragged
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -38,22 +38,66 @@ def ranks_path(name: str = RANKS) -> str:
     return str(public_tokenizers.path(name))
 
 
+class Pairs:
+    """The rank that two ranks merge into, for every pair that does: ``first * n + second`` to rank, in probed slots."""
+
+    def __init__(self, n: int, ranks: dict[int, int]):
+        self.n, self.ranks = n, ranks
+        self._bits = max(4, (4 * len(ranks)).bit_length())
+        self._key = self._rank = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_key": None, "_rank": None}
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def _build(self) -> None:
+        key, rank = np.full(1 << self._bits, -1, np.int64), np.full(1 << self._bits, NONE, np.int32)
+        todo = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        value = np.fromiter(self.ranks.values(), np.int32, len(self.ranks))
+        slot = self._slot(todo)
+        while len(todo):
+            free = np.flatnonzero(key[slot] < 0)
+            key[slot[free]], rank[slot[free]] = todo[free], value[free]  # of several the last stays
+            rest = key[slot] != todo
+            todo, value, slot = todo[rest], value[rest], (slot[rest] + 1) & len(key) - 1
+        # equal slots were written in the same order twice, so a key has its own rank
+        self._key, self._rank = key, rank
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the token that ``a`` and ``b`` merge into (``NONE``: they do not)."""
+        if self._key is None:
+            self._build()
+        key = a.astype(np.int64) * self.n + b
+        slot = self._slot(key)
+        there = self._key[slot]
+        out = np.where(there == key, self._rank[slot], NONE)
+        more = np.flatnonzero((there != key) & (there >= 0))
+        while len(more):
+            slot[more] = (slot[more] + 1) & len(self._key) - 1
+            there = self._key[slot[more]]
+            hit = there == key[more]
+            out[more[hit]] = self._rank[slot[more[hit]]]
+            more = more[~hit & (there >= 0)]
+        return out
+
+
 @dataclass
 class ByteTable:
-    """Tokens by rank, pair ranks under sorted pair keys, and the classes of all characters as runs."""
+    """Tokens by rank, the merges, the ranks of the bytes, and the classes of all characters as runs."""
 
     tokens: pa.Array
-    pair_keys: np.ndarray
-    pair_ranks: np.ndarray
+    pairs: Pairs
     byte_rank: np.ndarray
     class_starts: np.ndarray
     classes: np.ndarray
 
     def __post_init__(self):
-        self._class_of = self._pair_dict = self._byte_pairs = None
+        self._class_of = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_class_of": None, "_pair_dict": None, "_byte_pairs": None}
+        return {**self.__dict__, "_class_of": None}
 
     @property
     def class_of(self) -> np.ndarray:
@@ -62,26 +106,6 @@ class ByteTable:
             self._class_of = np.repeat(self.classes, np.diff(np.r_[self.class_starts, 0x110000]))
         return self._class_of
 
-    @property
-    def byte_pairs(self) -> np.ndarray:
-        """Rank of every two bytes (``NONE``: not a token)."""
-        if self._byte_pairs is None:
-            two = np.repeat(self.byte_rank, 256), np.tile(self.byte_rank, 256)
-            self._byte_pairs = self.ranks_of(*two).reshape(256, 256)
-        return self._byte_pairs
-
-    @property
-    def pair_dict(self) -> dict[int, int]:
-        if self._pair_dict is None:
-            self._pair_dict = dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist()))
-        return self._pair_dict
-
-    def ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank of the token that ``a`` and ``b`` merge into (``NONE``: they do not)."""
-        key = a.astype(np.int64) * len(self.tokens) + b
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE)
-
 
 def character_classes() -> tuple[np.ndarray, np.ndarray]:
     """``(first code points, class)`` of the runs of letters, numbers, white space and the rest, as the library has them."""
@@ -107,9 +131,7 @@ def load_ranks(path: str | None = None) -> ByteTable:
         raise ValueError("ranks are not 0 to n - 1")
     pairs = {rank[t[:k]] * len(tokens) + rank[t[k:]]: r for t, r in rank.items() for k in range(1, len(t))
              if t[:k] in rank and t[k:] in rank}
-    keys = np.fromiter(pairs, np.int64, len(pairs))
-    order = np.argsort(keys)
-    return ByteTable(pa.array(tokens, pa.binary()), keys[order], np.fromiter(pairs.values(), np.int32, len(pairs))[order],
+    return ByteTable(pa.array(tokens, pa.binary()), Pairs(len(tokens), pairs),
                      np.array([rank[bytes([i])] for i in range(256)], np.int32), *character_classes())
 
 
@@ -154,13 +176,12 @@ def piece_starts(data: np.ndarray, text_starts: np.ndarray, t: ByteTable) -> np.
     return char_at[start[:n]]
 
 
-def merge_together(rows: np.ndarray, lens: np.ndarray, t: ByteTable) -> tuple[np.ndarray, np.ndarray]:
-    """Merge many pieces, ``rows`` (pieces x width, the width a power of two) of bytes with their lengths.
+def merge_together(token: np.ndarray, lens: np.ndarray, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """Merge many pieces, ``token`` (pieces x width, the width a power of two) of the ranks they begin with, and their lengths.
 
-    Returns the token at every position and whether one starts there.
+    Returns the token at every position (``token`` itself) and whether one starts there.
     """
-    n, width = rows.shape
-    token = t.byte_rank[rows]
+    n, width = token.shape
     inside = np.arange(width) < lens[:, None]
     live_start = inside.copy()
     after = np.minimum(np.arange(1, width + 1), lens[:, None]).astype(np.int32)  # where the next token starts
@@ -172,8 +193,8 @@ def merge_together(rows: np.ndarray, lens: np.ndarray, t: ByteTable) -> tuple[np
 
     tree = np.full((n, 2 * width), np.int64(1) << 62)
     if width > 1:
-        rank = np.where(inside[:, 1:], t.byte_pairs[rows[:, :-1], rows[:, 1:]], NONE)
-        tree[:, width:2 * width - 1] = key(rank, np.arange(width - 1))
+        row, col = np.nonzero(inside[:, 1:])
+        tree[row, width + col] = key(pairs.of(token[row, col], token[row, col + 1]), col)
         for i in range(width - 1, 0, -1):
             tree[:, i] = np.minimum(tree[:, 2 * i], tree[:, 2 * i + 1])
     flat, span = tree.reshape(-1), 2 * width
@@ -200,12 +221,12 @@ def merge_together(rows: np.ndarray, lens: np.ndarray, t: ByteTable) -> tuple[np
         more = end < lens[live]
         follow = np.minimum(end, width - 1)
         before[live[more], end[more]] = at[more]
-        rank = np.where(more, t.ranks_of(token[live, at], token[live, follow]), NONE)
+        rank = np.where(more, pairs.of(token[live, at], token[live, follow]), NONE)
         update(live, gone, np.int64(1) << 62)
         update(live, at, key(rank, at))
         left = before[live, at].astype(np.int64)
         r = left >= 0
-        rank = t.ranks_of(token[live[r], left[r]], token[live[r], at[r]])
+        rank = pairs.of(token[live[r], left[r]], token[live[r], at[r]])
         update(live[r], left[r], key(rank, left[r]))
     return token, live_start
 
@@ -213,7 +234,7 @@ def merge_together(rows: np.ndarray, lens: np.ndarray, t: ByteTable) -> tuple[np
 def merge_long(piece: bytes, t: ByteTable) -> list[int]:
     """As :func:`merge_together` for one piece of any length, in time ``n log n``."""
     n = len(piece)
-    rank, pairs, v = t.byte_rank.tolist(), t.pair_dict, len(t.tokens)
+    rank, pairs, v = t.byte_rank.tolist(), t.pairs.ranks, t.pairs.n
     token = [rank[c] for c in piece]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     width, none = 1 << max(1, (n - 1).bit_length()), (1 << 62, 0)
@@ -252,57 +273,78 @@ def merge_long(piece: bytes, t: ByteTable) -> list[int]:
     return [x for x in token if x >= 0]
 
 
-def encode_pieces(pieces: pa.Array, t: ByteTable) -> tuple[np.ndarray, np.ndarray]:
-    """``(ids of all pieces, number of ids of each)``; a piece that is a token is that token."""
-    whole = pc.index_in(pieces, value_set=t.tokens).fill_null(-1).to_numpy(zero_copy_only=False)
-    size = pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
-    offsets = np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, 4 * pieces.offset).astype(np.int64)
-    data = np.frombuffer(pieces.buffers()[2], np.uint8) if pieces.buffers()[2] else np.zeros(0, np.uint8)
-    lens = np.ones(len(pieces), np.int64)
-    parts: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(whole >= 0), whole[whole >= 0])]  # pieces, their ids in a row
-    todo = np.flatnonzero(whole < 0)
-    level = np.maximum(1, np.frexp((size[todo] - 1).astype(np.float64))[1])  # the width is 2 ** level
-    for k in np.unique(level[size[todo] <= MAX_TOGETHER]):
-        same = todo[(level == k) & (size[todo] <= MAX_TOGETHER)]
+def merge_pieces(first: np.ndarray, start: np.ndarray, size: np.ndarray, pairs: Pairs):
+    """Merge pieces of at most ``MAX_TOGETHER`` ranks, ``size[i]`` ranks from ``first[start[i]]`` on.
+
+    Yields the pieces of one width at a time with their numbers of tokens and all their tokens in a row.
+    """
+    level = np.maximum(1, np.frexp(np.maximum(size - 1, 0).astype(np.float64))[1])  # the width is 2 ** level
+    for k in np.unique(level):
+        same = np.flatnonzero(level == k)
         for a in range(0, len(same), MAX_ROWS):
             some = same[a:a + MAX_ROWS]
-            place = np.arange(1 << k)
-            rows = data[np.minimum(offsets[some][:, None] + place, len(data) - 1)]
-            token, start = merge_together(rows, size[some], t)
-            lens[some] = start.sum(axis=1)
-            parts.append((some, token[start]))
-    for i in todo[size[todo] > MAX_TOGETHER]:
-        ids = merge_long(data[offsets[i]:offsets[i + 1]].tobytes(), t)
-        lens[i] = len(ids)
-        parts.append((np.array([i]), np.array(ids, np.int64)))
+            token = first[np.minimum(start[some][:, None] + np.arange(1 << k), len(first) - 1)]
+            token, begins = merge_together(token, size[some], pairs)
+            yield some, begins.sum(axis=1), token[begins]
+
+
+def gathered(n: int, parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """``(all ids in the order of the pieces, number of ids of each)`` of ``(pieces, numbers of ids, ids)``."""
+    lens = np.zeros(n, np.int64)
+    for some, count, _ in parts:
+        lens[some] = count
     begin = np.cumsum(lens) - lens
     out = np.empty(int(lens.sum()), np.int32)
-    for some, ids in parts:
+    for some, count, ids in parts:
         out[ragged(begin[some], lens[some])] = ids
     return out, lens
 
 
-def encode_texts(texts: pa.Array, t: ByteTable) -> tuple[np.ndarray, np.ndarray]:
-    """``(ids of all texts, number of ids of each)``; null and empty texts have none."""
-    texts = pc.fill_null(texts, "").cast(pa.binary())
-    if not len(texts):
-        return np.zeros(0, np.int32), np.zeros(0, np.int64)
-    offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64)
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
-    begins = offsets[:-1][np.diff(offsets) > 0]
-    starts = piece_starts(data, begins, t)
+def encode_pieces(pieces: pa.Array, t: ByteTable) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids of all pieces, number of ids of each)``; a piece that is a token is that token."""
+    whole = pc.index_in(pieces, value_set=t.tokens).fill_null(-1).to_numpy(zero_copy_only=False)
+    size = pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+    offsets, data = flat_bytes(pieces)
+    known = np.flatnonzero(whole >= 0)
+    parts: list[tuple] = [(known, 1, whole[known])]
+    todo = np.flatnonzero((whole < 0) & (size <= MAX_TOGETHER))
+    for some, count, ids in merge_pieces(t.byte_rank[data], offsets[todo], size[todo], t.pairs):
+        parts.append((todo[some], count, ids))
+    for i in np.flatnonzero((whole < 0) & (size > MAX_TOGETHER)):
+        ids = merge_long(data[offsets[i]:offsets[i + 1]].tobytes(), t)
+        parts.append((np.array([i]), len(ids), np.array(ids, np.int64)))
+    return gathered(len(pieces), parts)
+
+
+def flat_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a binary or string array without nulls; the offsets start at 0."""
+    if not len(values):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    offsets = np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, 4 * values.offset).astype(np.int64)
+    if offsets[-1] == offsets[0]:
+        return np.zeros(len(values) + 1, np.int64), np.zeros(0, np.uint8)
+    return offsets - offsets[0], np.frombuffer(values.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+
+
+def gather_texts(starts: np.ndarray, data: np.ndarray, offsets: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids of all texts, number of ids of each)``: the pieces that start at ``starts`` are encoded once each by ``encode``."""
     bounds = np.r_[starts, len(data)].astype(np.int32)
-    pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-    d = pieces.dictionary_encode()
+    d = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
     code = d.indices.to_numpy(zero_copy_only=False)
-    ids, lens = encode_pieces(d.dictionary, t)
+    ids, lens = encode(d.dictionary)
     begin = (np.cumsum(lens) - lens)[code]
     per_piece = lens[code]
     upto = np.r_[0, np.cumsum(per_piece)][np.searchsorted(starts, offsets)]
     return ids[ragged(begin, per_piece)], np.diff(upto)
 
 
+def encode_texts(texts: pa.Array, t: ByteTable) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids of all texts, number of ids of each)``; null and empty texts have none."""
+    offsets, data = flat_bytes(pc.fill_null(texts, ""))
+    starts = piece_starts(data, offsets[:-1][np.diff(offsets) > 0], t)
+    return gather_texts(starts, data, offsets, lambda pieces: encode_pieces(pieces, t))
+
+
 def encode_documents(docs: DataFrame, table: ByteTable, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` for every row: the ranks of its text's tokens.
 

@@ -33,12 +33,78 @@ MAX_REMEMBERED, SLICE_PAIRS = 1 << 20, 1 << 22
 PART_IDS = 1 << 19
 
 
+class PieceMerges:
+    """The merges of a piece model of the BPE kind as ranks, so that its units are merged as the bytes of A are."""
+
+    def __init__(self, t: piece_viterbi.PieceTable):
+        self.table = t
+        text = t.by_text()
+        order = sorted(text.values(), key=lambda i: -t.scores[i])
+        merged = [t.scores[i] for x, i in text.items() if x.strip(" ") and len(x) > 1]
+        if not t.bpe or len(set(merged)) < len(merged):
+            raise ValueError("not a BPE model with one score for each merge")  # but for spaces, see encode_units
+        self.ids = np.array(order, np.int32)  # of the ranks
+        rank = {i: r for r, i in enumerate(order)}
+        self.pairs = byte_bpe.Pairs(len(order), {
+            rank[text[x[:k]]] * len(order) + rank[i]: rank[j] for x, j in text.items() for k in range(1, len(x))
+            for i in (text.get(x[k:]),) if i is not None and x[:k] in text})
+        self.chars = np.array([ord(x) for x in text if len(x) == 1], np.int64)
+        self.char_ranks = np.array([rank[text[chr(c)]] for c in self.chars], np.int32)
+        self._rank_of = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_rank_of": None}
+
+    @property
+    def rank_of(self) -> np.ndarray:
+        """Rank of every code point that is a piece (-1: it is none)."""
+        if self._rank_of is None:
+            self._rank_of = np.full(0x110000, -1, np.int32)
+            self._rank_of[self.chars] = self.char_ranks
+        return self._rank_of
+
+    def encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids of all units, number of ids of each)``.
+
+        Long units, those with an unknown character, and those with several
+        spaces, whose pieces may have one score, are merged by their texts.
+        """
+        units = units.cast(pa.string())
+        data = byte_bpe.flat_bytes(units)[1].tobytes()
+        first = self.rank_of[np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)]
+        size = pc.utf8_length(units).to_numpy(zero_copy_only=False).astype(np.int64)
+        start = np.cumsum(size) - size
+        unknown = np.r_[0, np.cumsum(first < 0)]
+        plain = (unknown[start + size] == unknown[start]) & (size <= byte_bpe.MAX_TOGETHER)
+        plain &= ~pc.starts_with(units, "  ").to_numpy(zero_copy_only=False)
+        todo, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        parts = [(todo[some], count, self.ids[ranks])
+                 for some, count, ranks in byte_bpe.merge_pieces(first, start[todo], size[todo], self.pairs)]
+        odd = piece_viterbi.encode_units(units.take(pa.array(rest)).to_pylist(), self.table, True)
+        for i, ids in zip(rest.tolist(), odd):
+            ids = np.frombuffer(ids, np.int32)
+            parts.append((np.array([i]), len(ids), ids))
+        return byte_bpe.gathered(len(units), parts)
+
+    def encode_spaced(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids of all texts, number of ids of each)`` of texts that begin with the added space, or are empty.
+
+        No piece crosses from a word into the next run of spaces, so these begin the units.
+        """
+        offsets, data = byte_bpe.flat_bytes(texts)
+        space = data == 0x20
+        opens = space.copy()
+        opens[1:] &= ~space[:-1]
+        opens[offsets[:-1][np.diff(offsets) > 0]] = True
+        return byte_bpe.gather_texts(np.flatnonzero(opens), data, offsets, self.encode_units)
+
+
 @dataclass
 class Pair:
     """Both tables, the bytes' lengths of their ids, and the id of B with the bytes of each id of A (-1: none)."""
 
     a: byte_bpe.ByteTable
-    b: piece_viterbi.PieceTable
+    b: PieceMerges
     a_len: np.ndarray
     b_len: np.ndarray
     same: np.ndarray
@@ -54,7 +120,7 @@ def load_pair(a_path: str | None = None, b_path: str | None = None) -> Pair:
         if b.raw_len[i] and i != b.unk_id:
             by_bytes[raw[b.raw_start[i]:b.raw_start[i] + b.raw_len[i]]] = i
     same = np.array([by_bytes.get(x, -1) for x in a.tokens.to_pylist()], np.int64)
-    return Pair(a, b, pc.binary_length(a.tokens).to_numpy().astype(np.int64), b.raw_len.astype(np.int64), same)
+    return Pair(a, PieceMerges(b), pc.binary_length(a.tokens).to_numpy().astype(np.int64), b.raw_len.astype(np.int64), same)
 
 
 def encode_both(docs: DataFrame, pair: Pair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -68,13 +134,12 @@ def encode_both(docs: DataFrame, pair: Pair, id_col: str = "doc_id", text_col: s
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 << 20):
                 text = pc.fill_null(part.column("text"), "")
                 usable = pc.and_(pc.not_equal(text, ""), pc.invert(pc.match_substring(text, piece_viterbi.MARK)))
-                text = pc.if_else(usable, text, "")
                 spaced = pc.if_else(usable, pc.binary_join_element_wise("", text, " "), "")
                 a, n_a = byte_bpe.encode_texts(spaced, pair.a)
-                b, n_b = piece_viterbi.encode_texts(text, pair.b, pair.b.bpe)
+                b, n_b = pair.b.encode_spaced(spaced)
                 size = pc.binary_length(spaced).to_numpy(zero_copy_only=False)
                 whole = (segment_sum(pair.a_len[a], n_a) == size) & (segment_sum(pair.b_len[b], n_b) == size)
                 if not whole.all():

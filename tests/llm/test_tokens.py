@@ -57,7 +57,7 @@ def test_ids_are_the_librarys(table, library):
 
 
 def test_both_trees_agree_with_plain_merging(table):
-    pairs = table.pair_dict
+    pairs = table.pairs.ranks
     rng = random.Random(3)
     for _ in range(300):
         piece = bytes(rng.choices(b"aeinrst' \xc3\xa9", k=rng.randint(2, 60)))
@@ -70,9 +70,9 @@ def test_both_trees_agree_with_plain_merging(table):
             ids[best[1]:best[1] + 2] = [best[0]]
         assert byte_bpe.merge_long(piece, table) == ids
         width = 1 << max(1, (len(piece) - 1).bit_length())
-        row = np.zeros((1, width), np.uint8)
-        row[0, :len(piece)] = list(piece)
-        token, start = byte_bpe.merge_together(row, np.array([len(piece)]), table)
+        row = np.zeros((1, width), np.int32)
+        row[0, :len(piece)] = [table.byte_rank[c] for c in piece]
+        token, start = byte_bpe.merge_together(row, np.array([len(piece)]), table.pairs)
         assert token[start].tolist() == ids
 
 
@@ -115,13 +115,24 @@ def pair():
 
 
 def test_the_identity_map_keeps_bytes(pair):
-    raw = pair.b.raw.tobytes()
+    table = pair.b.table
+    raw = table.raw.tobytes()
     for a, b in enumerate(pair.same.tolist()):
         if b >= 0:
-            assert raw[pair.b.raw_start[b]:][:pair.b.raw_len[b]] == pair.a.tokens[a].as_py()
+            assert raw[table.raw_start[b]:][:table.raw_len[b]] == pair.a.tokens[a].as_py()
     assert (pair.same >= 0).sum() > 10_000
 
 
+def test_merged_pieces_are_the_librarys(pair):
+    import public_tokenizers
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    texts = [x for x in [*soup(2000, 9), "x" * 500, "é" * 300, " " * 200, "क्षत्रिय " * 40] if x and "▁" not in x]
+    ids, counts = pair.b.encode_spaced(pa.array([" " + x for x in texts]))
+    ends = np.r_[0, np.cumsum(counts)]
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == sp.encode(texts)
+
+
 @pytest.mark.parametrize("pairs_a_slice", [1 << 22, 700])
 def test_alignment_equals_brute_force(spark, pair, monkeypatch, pairs_a_slice):
     prepare(spark)
