@@ -137,35 +137,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN verdict USING (source)"""
 
 _TEMPLATE_ROWS = ", ".join(
-    "('{}', {}, '{}')".format(name, len(bag), tag.replace("'", "''"))
-    for name, bag in ((k, licenses.tagged_bigrams(licenses.normal_words(t))) for k, t in sorted(licenses.TEMPLATES.items()))
-    for tag in bag)
+    f"('{name}', {m}, {most}, '{pair}', {times}, {decides}, {n})" for name, m, most, pair, times, decides, n, _
+    in licenses.template_rows(licenses.TEMPLATES, licenses.DECIDING, licenses.MIN_DICE))
 
 _OP4 = f"""
-WITH d AS (
-  SELECT row_number() OVER () AS rid, doc_id,
-         lower(regexp_replace(coalesce(text, ''), '[\\x00-\\x09\\x0B-/:-@\\[-`{{-\\x7F]+', ' ', 'g')) AS t
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(
+    regexp_split_to_array(lower(coalesce(text, '')), '[\\x00-/:-@\\[-`{{-\\x7F]+'), lambda x: x <> '') AS w
   FROM documents),
-units AS (
-  SELECT row_number() OVER () AS uid, rid, list_filter(string_split(u, ' '), lambda x: x <> '') AS w FROM (
-    SELECT rid, unnest(string_split(t, chr(10))) AS u FROM d
-    UNION ALL SELECT rid, replace(t, chr(10), ' ') FROM d WHERE contains(t, chr(10)))),
-pairs AS (
-  SELECT uid, rid, len(w) - 1 AS n, w[i] || ' ' || w[i + 1] AS b FROM (
-    SELECT *, unnest(range(1, len(w))) AS i FROM units)),
-tagged AS (SELECT uid, rid, n, row_number() OVER (PARTITION BY uid, b) || ' ' || b AS tag FROM pairs),
-template(name, m, tag) AS (VALUES {_TEMPLATE_ROWS}),
-score AS (
-  SELECT uid, rid, name, 2.0::DOUBLE * count(*) / (n + m) AS dice
-  FROM tagged JOIN template USING (tag) GROUP BY uid, rid, name, n, m HAVING dice >= {licenses.MIN_DICE}),
-unit_best AS (
-  SELECT rid, name, dice FROM (
-    SELECT *, row_number() OVER (PARTITION BY uid ORDER BY dice DESC, name) AS r FROM score) WHERE r = 1),
+pairs AS (SELECT rid, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT rid, w, unnest(range(1, len(w))) AS i FROM d)),
+template(name, m, most, pair, times, decides, n_decide) AS (VALUES {_TEMPLATE_ROWS}),
+hit AS MATERIALIZED (
+  SELECT rid, name, m, most, pair, times, decides, n_decide, pos,
+         row_number() OVER (PARTITION BY rid, name, pair ORDER BY pos) AS k
+  FROM pairs JOIN template USING (pair)),
+h AS MATERIALIZED (
+  SELECT x.*, y.pos AS prev FROM hit x LEFT JOIN hit y
+  ON x.rid = y.rid AND x.name = y.name AND x.pair = y.pair AND y.k = x.k - x.times),
+reach AS (
+  SELECT a.rid, a.name, a.m, a.n_decide, a.pos AS s, e.pos AS e,
+         -2.0::DOUBLE * row_number() OVER (PARTITION BY a.rid, a.name, a.pos ORDER BY e.pos) / (e.pos - a.pos + 1 + a.m) AS minus
+  FROM h a JOIN h e ON a.rid = e.rid AND a.name = e.name AND e.pos >= a.pos AND e.pos < a.pos + a.most
+                       AND (e.prev IS NULL OR e.prev < a.pos)),
 best AS (
-  SELECT rid, name, dice, n FROM (
-    SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name) AS r, count(*) OVER (PARTITION BY rid) AS n
-    FROM unit_best) WHERE r = 1)
-SELECT doc_id, name AS license, dice, coalesce(n, 0) AS matches FROM d LEFT JOIN best USING (rid)"""
+  SELECT rid, name, m, n_decide, s, min(minus) AS minus, arg_min(e, [minus, e]) AS e
+  FROM reach GROUP BY rid, name, m, n_decide, s HAVING min(minus) <= -{licenses.MIN_DICE}),
+decided AS MATERIALIZED (
+  SELECT b.* FROM best b WHERE b.n_decide = (
+    SELECT count(DISTINCT x.decides) FROM h x
+    WHERE x.rid = b.rid AND x.name = b.name AND x.decides > 0 AND x.pos BETWEEN b.s AND b.e)),
+own AS MATERIALIZED (
+  SELECT * FROM decided a WHERE NOT EXISTS (
+    SELECT 1 FROM decided b WHERE a.rid = b.rid AND a.name = b.name AND b.s <= a.e + 1 AND a.s <= b.e + 1
+                                  AND row(b.minus, b.s) < row(a.minus, a.s))),
+top AS MATERIALIZED (
+  SELECT * FROM own a WHERE NOT EXISTS (
+    SELECT 1 FROM own b WHERE a.rid = b.rid AND b.s <= a.e + 1 AND a.s <= b.e + 1
+                              AND row(b.minus, -b.m, b.name, b.s) < row(a.minus, -a.m, a.name, a.s))),
+doc AS (
+  SELECT rid, name, minus, count(*) OVER (PARTITION BY rid) AS n FROM top
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY minus, m DESC, name) = 1)
+SELECT doc_id, name AS license, -minus AS dice, coalesce(n, 0) AS matches FROM d LEFT JOIN doc USING (rid)"""
 
 _OP6 = f"""
 WITH RECURSIVE v AS MATERIALIZED (

@@ -30,7 +30,7 @@ from tastebud.llm.common import staged
 #: Id pairs that a task remembers before it hands their counts on, and those of one slice of the last pass.
 MAX_REMEMBERED, SLICE_PAIRS = 1 << 20, 1 << 22
 #: Texts are looked at in parts of about so many ids of A.
-PART_IDS = 1 << 19
+PART_IDS = 1 << 18
 
 
 class PieceMerges:

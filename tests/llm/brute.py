@@ -120,3 +120,34 @@ def aligned(rows):
         best[i] = max(best.get(i, 0), n)
     return [(d, na, nb, g, len(x), sum(held[y] == best[y[0]] for y in x), sum(held[y] for y in x), s)
             for d, na, nb, g, x, s in docs]
+
+
+def license_windows(words, templates, decide, min_dice):
+    """Windows of a list of words that are licences: ``(-coefficient, -bigrams, name, start, end)``, by trying all of them."""
+    own = []
+    for name, text in templates.items():
+        m, want = len(text) - 1, {}
+        for pair in zip(text, text[1:]):
+            want[pair] = want.get(pair, 0) + 1
+        need = {pair for x in decide.get(name, ()) for pair in zip(x, x[1:])}
+        found = []
+        for a, first in enumerate(zip(words, words[1:])):
+            if first not in want:
+                continue
+            have, shared, best = {}, 0, None
+            for n, pair in enumerate(zip(words[a:], words[a + 1:]), 1):
+                if n > 4 * m:
+                    break
+                have[pair] = have.get(pair, 0) + 1
+                shared += have[pair] <= want.get(pair, 0)
+                if best is None or 2 * shared / (n + m) > best[0]:
+                    best = 2 * shared / (n + m), a + n - 1, set(have)
+            if best[0] >= min_dice and best[2] >= need:
+                found.append((-best[0], -m, name, a, best[1]))
+        own += unbeaten(found)
+    return unbeaten(own)
+
+
+def unbeaten(windows):
+    """Those that share no word with a better one."""
+    return [x for x in windows if not any(y < x and y[3] <= x[4] + 1 and x[3] <= y[4] + 1 for y in windows)]
