@@ -4,11 +4,13 @@ Architecture (reference defaults): ``in -> hidden (ReLU) -> latent (ReLU) ->
 hidden (ReLU) -> in``, MSE loss, Adam (lr 1e-3), mini-batches of 256.
 
 Training is synchronous and does not depend on how the rows are partitioned:
-a step is one Spark job that sums the gradient over a batch chosen by a hash of
-the row id (every epoch deals all rows into ``steps_per_epoch`` batches anew),
-and the driver applies Adam to the parameters (a few thousand numbers, the only
-thing that reaches it).  The input is a stage output, so a lost executor
-re-reads it instead of replaying the feature pipeline.
+every epoch deals all rows into ``steps_per_epoch`` batches by a hash of the row
+id.  An epoch is one job, a barrier stage: its tasks hold their rows, exchange
+the sums of a step's gradient (a few thousand numbers) and all apply the same
+Adam update; the first hands the parameters on to the next epoch.  A lost task
+restarts its epoch.  Where a barrier stage cannot run (dynamic allocation) or a
+task could not hold its rows, a step is one job and the driver applies Adam.
+The input is a stage output, so nothing replays the feature pipeline.
 
 Encoding and reconstruction are Arrow batch functions (``mapInPandas``) with
 the parameters shipped in the closure.
@@ -16,6 +18,7 @@ the parameters shipped in the closure.
 
 from __future__ import annotations
 
+import base64
 import math
 from dataclasses import dataclass
 
@@ -34,6 +37,11 @@ BATCH_SIZE = 256
 #: Batches per epoch.  The reference's batch of 256 rows would need a job per 256
 #: rows; a fixed number of batches keeps the number of jobs independent of the input.
 STEPS_PER_EPOCH = 16
+#: Rows that are worth a barrier task, the most tasks of a barrier stage (each gets every other's sums), and the bytes of
+#: rows that a task may hold.
+ROWS_PER_TASK, MAX_TASKS, MAX_TASK_BYTES = 1 << 16, 64, 512 << 20
+#: Rows whose activations are held at once.
+CHUNK_ROWS = 8192
 
 
 @dataclass
@@ -181,30 +189,115 @@ def batch_gradient(batch: DataFrame, p: AeParams, vec_col: str = "vec"):
     return np.asarray(r["g"]) / cells, float(r["loss"]) / cells, int(r["n"])
 
 
+@dataclass
+class Adam:
+    """The parameters and Adam's moments after ``t`` updates."""
+
+    theta: np.ndarray
+    m: np.ndarray
+    v: np.ndarray
+    t: int = 0
+
+    def update(self, g: np.ndarray, lr: float) -> None:
+        self.t += 1
+        self.m = 0.9 * self.m + 0.1 * g
+        self.v = 0.999 * self.v + 0.001 * g * g
+        self.theta = self.theta - lr * (self.m / (1 - 0.9 ** self.t)) / (np.sqrt(self.v / (1 - 0.999 ** self.t)) + 1e-8)
+
+
+def _gradient_sums(p: AeParams, X: np.ndarray) -> np.ndarray:
+    """Gradient and loss summed over the cells of ``X``, and its rows, in one vector."""
+    out = np.zeros(p.flat().size + 2)
+    for a in range(0, len(X), CHUNK_ROWS):
+        part = X[a:a + CHUNK_ROWS]
+        loss, grads = _loss_and_grads(p, part)
+        out += np.concatenate([*(np.concatenate([gw.ravel(), gb]) * part.size for gw, gb in grads),
+                               [loss * part.size, len(part)]])
+    return out
+
+
+def _added_up(ctx, part: np.ndarray) -> np.ndarray:
+    """The sum of all tasks' vectors, added in the order of the tasks, so every task gets the same numbers."""
+    messages = ctx.allGather(base64.b64encode(part.tobytes()).decode())
+    return sum(np.frombuffer(base64.b64decode(x)) for x in messages)
+
+
+def barrier_tasks(data: DataFrame, width: int) -> int | None:
+    """How many tasks train on ``data`` together; ``None`` if steps have to be jobs."""
+    sc = data.sparkSession.sparkContext
+    if sc.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return None
+    rows = data.count()
+    n = max(1, min(sc.defaultParallelism, MAX_TASKS, -(-rows // ROWS_PER_TASK)))
+    return n if rows * width * 8 <= n * MAX_TASK_BYTES else None
+
+
+def _epoch_by_barrier(data: DataFrame, vec_col: str, dealt, state: Adam, dims: list[int], steps: int, lr: float,
+                      tasks: int) -> tuple[Adam, float, int]:
+    """One epoch as one job: ``(state after it, loss sum, rows)``."""
+    import pyarrow as pa
+    from pyspark import BarrierTaskContext
+
+    def run(batches):
+        ctx = BarrierTaskContext.get()
+        xs, ss = [np.zeros((0, dims[0]))], [np.zeros(0, np.int64)]
+        for b in batches:
+            xs.append(b.column(vec_col).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims[0]))
+            ss.append(b.column("step").to_numpy(zero_copy_only=False))
+        s = np.concatenate(ss)
+        order = np.argsort(s, kind="stable")
+        X, at = np.concatenate(xs)[order], np.searchsorted(s[order], np.arange(steps + 1))
+        adam, loss, rows = Adam(state.theta, state.m, state.v, state.t), 0.0, 0
+        for step in range(steps):
+            sums = _gradient_sums(AeParams.from_flat(adam.theta, dims), X[at[step]:at[step + 1]])
+            sums = _added_up(ctx, sums) if tasks > 1 else sums
+            n = int(sums[-1])
+            if n:  # else no row was dealt to this batch
+                adam.update(sums[:-2] / (n * dims[0]), lr)
+                loss, rows = loss + sums[-2] / dims[0], rows + n
+        if ctx.partitionId() == 0:
+            yield pa.RecordBatch.from_pydict({"theta": [adam.theta], "m": [adam.m], "v": [adam.v], "t": [adam.t],
+                                              "loss": [loss], "n": [rows]})
+
+    rows = data.select(dealt.cast("long").alias("step"), F.col(vec_col).cast("array<double>").alias(vec_col)).repartition(tasks)
+    r = rows.mapInArrow(run, "theta array<double>, m array<double>, v array<double>, t long, loss double, n long",
+                        barrier=True).collect()[0]
+    return Adam(np.array(r.theta), np.array(r.m), np.array(r.v), r.t), r.loss, r.n
+
+
+def _epoch_by_steps(data: DataFrame, vec_col: str, dealt, state: Adam, dims: list[int], steps: int,
+                    lr: float) -> tuple[Adam, float, int]:
+    """As :func:`_epoch_by_barrier`, a job per step."""
+    loss, rows = 0.0, 0
+    for step in range(steps):
+        g, mean_loss, n = batch_gradient(data.where(dealt == step), AeParams.from_flat(state.theta, dims), vec_col)
+        if n:
+            state.update(g, lr)
+            loss, rows = loss + mean_loss * n, rows + n
+    return state, loss, rows
+
+
 def train(data: DataFrame, input_dim: int, id_col: str = "item_id", vec_col: str = "vec",
           hidden: int = HIDDEN_DIM, latent: int = LATENT_DIM, epochs: int = EPOCHS, lr: float = LEARNING_RATE,
-          steps_per_epoch: int = STEPS_PER_EPOCH, seed: int = 42, params: AeParams | None = None):
-    """Train on ``data`` (see :func:`training_input`); returns ``(params, epoch_losses)``."""
+          steps_per_epoch: int = STEPS_PER_EPOCH, seed: int = 42, params: AeParams | None = None, tasks: int | None = None):
+    """Train on ``data`` (see :func:`training_input`); returns ``(params, epoch_losses)``.
+
+    ``tasks`` asks for so many barrier tasks (0: a job per step) instead of :func:`barrier_tasks`.
+    """
     p = params or init_params(input_dim, hidden, latent, seed)
-    dims, theta = p.dims, p.flat()
-    m, v, t = np.zeros(theta.size), np.zeros(theta.size), 0
-    losses = []
+    theta, losses = p.flat(), []
     if data.isEmpty():
         return p, losses
+    state = Adam(theta, np.zeros(theta.size), np.zeros(theta.size))
+    tasks = barrier_tasks(data, input_dim) if tasks is None else tasks
     for epoch in range(epochs):
-        loss, rows = 0.0, 0
         dealt = F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), F.col(id_col)), F.lit(steps_per_epoch))
-        for step in range(steps_per_epoch):
-            g, mean_loss, n = batch_gradient(data.where(dealt == step), AeParams.from_flat(theta, dims), vec_col)
-            if not n:  # no row was dealt to this batch
-                continue
-            t += 1
-            m = 0.9 * m + 0.1 * g
-            v = 0.999 * v + 0.001 * g * g
-            theta = theta - lr * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-            loss, rows = loss + mean_loss * n, rows + n
+        if tasks:
+            state, loss, rows = _epoch_by_barrier(data, vec_col, dealt, state, p.dims, steps_per_epoch, lr, tasks)
+        else:
+            state, loss, rows = _epoch_by_steps(data, vec_col, dealt, state, p.dims, steps_per_epoch, lr)
         losses.append(loss / max(1, rows))
-    return AeParams.from_flat(theta, dims), losses
+    return AeParams.from_flat(state.theta, p.dims), losses
 
 
 def encode(df: DataFrame, p: AeParams, id_col: str = "item_id", vec_col: str = "vec",

@@ -7,6 +7,7 @@ defaults except where the test binding needs its own value (documented).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,6 +149,30 @@ def catalog_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFram
     return vectors_to_array(standardized_features(catalog(spark, sf_dir, p, True), feats), feats, out_col="vec")
 
 
+@dataclass
+class AeFit:
+    data: DataFrame       # item_id, vec: the training input
+    params: AE.AeParams
+    losses: list          # by epoch
+    seconds: float
+
+
+def ae_fit(spark: SparkSession, sf_dir: str, p: Params = P) -> AeFit:
+    """The autoencoder trained on the catalogue with the library's epochs and steps, once for all queries that use it."""
+    def build():
+        t0 = time.time()
+        data = AE.training_input(catalog_vectors(spark, sf_dir, p), "item_id", "vec")
+        params, losses = AE.train(data, len(tables.PART_FEATURES), seed=p.seed)
+        return AeFit(data, params, losses, time.time() - t0)
+    return _stage(spark, sf_dir, "autoencoder", _ITEMS, p, build)
+
+
+def ae_recs(spark: SparkSession, sf_dir: str, p: Params = P, k: int | None = None) -> DataFrame:
+    fit = ae_fit(spark, sf_dir, p)
+    return content_recommend(train_set(spark, sf_dir, p, True), AE.encode(fit.data, fit.params), k or p.k,
+                             materialize_items=True)
+
+
 def ae_fixed_vectors(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
     """Catalogue items encoded by the fixed closed-form autoencoder weights."""
     return AE.encode(catalog_vectors(spark, sf_dir, p), AE.formula_params(len(tables.PART_FEATURES)))

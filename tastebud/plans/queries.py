@@ -569,36 +569,28 @@ def q_ae_reconstruct(spark, sf):
     return err.select("item_id", r6("mse").alias("mse"))
 
 
-#: Of the contract queries (their statements name them); queries that recommend train with the library's defaults.
-_AE_EPOCHS, _AE_STEPS = 5, 4
+#: What training has to reach, as a share of the loss before it.
+_AE_FALL = 0.1
 
 
 @register("ae_train_loss", O.with_(O.catalog_ctes()) +
-          f"SELECT count(*) AS n_items, {_AE_EPOCHS} AS epochs, true AS loss_decreased, true AS weights_finite "
-          "FROM catalog")
+          f"SELECT count(*) AS n_items, {AE.EPOCHS} AS epochs, {AE.STEPS_PER_EPOCH} AS steps_per_epoch, "
+          f"CAST({_AE_FALL} AS DOUBLE) AS loss_limit, true AS loss_within_limit, true AS weights_finite FROM catalog")
 def q_ae_train_loss(spark, sf):
     import numpy as np
-    data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
-    p0 = AE.init_params(len(_FEATS), seed=PL.P.seed)
-    before = AE.dataset_loss(data, p0)
-    p1, _ = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed, params=p0)
-    after = AE.dataset_loss(data, p1)
-    n = data.count()
+    fit = PL.ae_fit(spark, sf)
+    before = AE.dataset_loss(fit.data, AE.init_params(len(_FEATS), seed=PL.P.seed))
+    after = AE.dataset_loss(fit.data, fit.params)
     # With no items the statement is vacuously true (nothing to fit).
-    return data.agg(F.count(F.lit(1)).alias("n_items")).select(
-        "n_items", F.lit(_AE_EPOCHS).alias("epochs"), F.lit(bool(n == 0 or after < before)).alias("loss_decreased"),
-        F.lit(bool(np.all(np.isfinite(p1.flat())))).alias("weights_finite"))
+    return fit.data.agg(F.count(F.lit(1)).alias("n_items")).select(
+        "n_items", F.lit(AE.EPOCHS).alias("epochs"), F.lit(AE.STEPS_PER_EPOCH).alias("steps_per_epoch"),
+        F.lit(_AE_FALL).alias("loss_limit"), ((F.col("n_items") == 0) | F.lit(bool(after <= _AE_FALL * before))).alias("loss_within_limit"),
+        F.lit(bool(np.all(np.isfinite(fit.params.flat())))).alias("weights_finite"))
 
 
 @register("ae_topk")
 def q_ae_topk(spark, sf):
-    from tastebud.operators.content import content_recommend
-    vecs = PL.catalog_vectors(spark, sf)
-    data = AE.training_input(vecs, "item_id", "vec")
-    params, _ = AE.train(data, len(_FEATS), seed=PL.P.seed)
-    z = AE.encode(data, params)
-    return content_recommend(PL.train_set(spark, sf, materialized=True), z, PL.P.k, materialize_items=True).select(
-        "user_id", "item_id", "score", "rank")
+    return PL.ae_recs(spark, sf).select("user_id", "item_id", "score", "rank")
 
 
 _AE_ITEMS = """aitems AS (SELECT DISTINCT item_id FROM ae_z),
@@ -949,13 +941,8 @@ def q_demo_user_report(spark, sf):
 
 def _als_and_ae(spark, sf):
     """The reference's two real models: ALS and the trained autoencoder."""
-    from tastebud.operators.content import content_recommend
-    train = PL.train_set(spark, sf, materialized=True)
     als = PL.model_recs(PL.als_recs(spark, sf), "als")
-    data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
-    params, _ = AE.train(data, len(_FEATS), seed=PL.P.seed)
-    ae = PL.model_recs(content_recommend(train, AE.encode(data, params), PL.P.k, materialize_items=True),
-                       "autoencoder")
+    ae = PL.model_recs(PL.ae_recs(spark, sf), "autoencoder")
     return PL.materialize(als.unionByName(ae))  # scored once, read by every check
 
 
@@ -984,23 +971,19 @@ def q_als_quality_checks(spark, sf):
 
 
 @register("ae_model_info_json", O.with_(*_ALS) + f"""
-SELECT {AE.HIDDEN_DIM} AS "HIDDEN_DIM", {AE.LATENT_DIM} AS "LATENT_DIM", {_AE_EPOCHS} AS epochs, CAST({AE.LEARNING_RATE} AS DOUBLE) AS lr,
-       {_AE_STEPS} AS steps_per_epoch, {O.K} AS "K", (SELECT count(*) FROM catalog) AS n_tracks,
+SELECT {AE.HIDDEN_DIM} AS "HIDDEN_DIM", {AE.LATENT_DIM} AS "LATENT_DIM", {AE.EPOCHS} AS epochs, CAST({AE.LEARNING_RATE} AS DOUBLE) AS lr,
+       {AE.STEPS_PER_EPOCH} AS steps_per_epoch, {O.K} AS "K", (SELECT count(*) FROM catalog) AS n_tracks,
        (SELECT count(DISTINCT user_id) FROM ctrain) AS n_users_train, true AS loss_finite, true AS time_recorded,
        {len(_FEATS)} AS input_dim, {PL.P.seed} AS random_seed""")
 def q_ae_model_info_json(spark, sf):
-    import time
-    t0 = time.time()
-    data = AE.training_input(PL.catalog_vectors(spark, sf), "item_id", "vec")
-    params, losses = AE.train(data, len(_FEATS), epochs=_AE_EPOCHS, steps_per_epoch=_AE_STEPS, seed=PL.P.seed)
-    secs = time.time() - t0
+    fit = PL.ae_fit(spark, sf)
     users = PL.catalog_train(spark, sf).agg(F.countDistinct("user_id").alias("n_users_train"))
-    items = data.agg(F.count(F.lit(1)).alias("n_tracks"))
+    items = fit.data.agg(F.count(F.lit(1)).alias("n_tracks"))
     info = DG.one_row(items, users).select(
         F.lit(AE.HIDDEN_DIM).alias("HIDDEN_DIM"), F.lit(AE.LATENT_DIM).alias("LATENT_DIM"),
-        F.lit(_AE_EPOCHS).alias("epochs"), F.lit(AE.LEARNING_RATE).alias("lr"),
-        F.lit(_AE_STEPS).alias("steps_per_epoch"), F.lit(PL.P.k).alias("K"), "n_tracks", "n_users_train",
-        F.round(F.lit(float(losses[-1]) if losses else 0.0), 6).alias("loss_final"),
-        F.round(F.lit(secs), 2).alias("training_time_seconds"), F.lit(len(_FEATS)).alias("input_dim"),
+        F.lit(AE.EPOCHS).alias("epochs"), F.lit(AE.LEARNING_RATE).alias("lr"),
+        F.lit(AE.STEPS_PER_EPOCH).alias("steps_per_epoch"), F.lit(PL.P.k).alias("K"), "n_tracks", "n_users_train",
+        F.round(F.lit(float(fit.losses[-1]) if fit.losses else 0.0), 6).alias("loss_final"),
+        F.round(F.lit(fit.seconds), 2).alias("training_time_seconds"), F.lit(len(_FEATS)).alias("input_dim"),
         F.lit(PL.P.seed).alias("random_seed"))
     return _info_back(spark, info, "ae-info")
