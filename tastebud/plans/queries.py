@@ -521,6 +521,39 @@ def q_mf_topk(spark, sf):
                         seen=train, metric="dot")
 
 
+_FOLD_DIM, _FOLD_REG, _FOLD_ALPHA = 3, 0.05, 2.0
+_A = {(i, j): f"a{min(i, j)}{max(i, j)}" for i in range(3) for j in range(3)}
+
+
+def _det(column: int | None) -> str:
+    """Determinant of the 3 x 3 normal matrix, with a column replaced by the right side (Cramer's rule)."""
+    m = [[f"b{i}" if j == column else _A[i, j] for j in range(3)] for i in range(3)]
+    return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+            f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+
+
+_TRI = [(i, j) for i in range(3) for j in range(i, 3)]
+
+
+@register("fold_in_users", O.with_(*_ALS, "fi AS (SELECT DISTINCT item_id, " + ", ".join(
+    f"cos(0.73 * item_id + 0.9 * {d}) AS y{d}" for d in range(3)) + " FROM ctrain)", "yy AS (SELECT " + ", ".join(
+    f"sum(y{i} * y{j}) AS g{i}{j}" for i, j in _TRI) + " FROM fi)", "own AS (SELECT user_id, count(*) AS n, " + ", ".join(
+    f"sum({_FOLD_ALPHA} * r * y{i} * y{j}) AS s{i}{j}" for i, j in _TRI) + ", " + ", ".join(
+    f"sum((1 + {_FOLD_ALPHA} * r) * y{i}) AS b{i}" for i in range(3)) +
+    " FROM (SELECT user_id, item_id, CAST(sum(play) AS DOUBLE) AS r FROM ctrain GROUP BY user_id, item_id) JOIN fi USING (item_id) "
+    "GROUP BY user_id)", "eq AS (SELECT user_id, n, b0, b1, b2, " + ", ".join(
+    f"g{i}{j} + s{i}{j}" + (f" + {_FOLD_REG} * n" if i == j else "") + f" AS a{i}{j}" for i, j in _TRI) + " FROM own CROSS JOIN yy)") +
+    "SELECT user_id, n AS n_ratings, " + ", ".join(O.r6(f"{_det(d)} / {_det(None)}") + f" AS x{d}" for d in range(3)) + " FROM eq")
+def q_fold_in_users(spark, sf):
+    """Users folded in against item factors given by a formula; the statement solves the equations by Cramer's rule."""
+    from tastebud.operators.fold_in import fold_in
+    train = PL.catalog_train(spark, sf)
+    items = train.select("item_id").distinct().withColumn(
+        "vec", F.array(*[F.cos(F.lit(0.73) * F.col("item_id") + F.lit(0.9 * d)) for d in range(_FOLD_DIM)]))
+    got = fold_in(IX.rating_triplets(train), items, _FOLD_REG, _FOLD_ALPHA)
+    return got.select("user_id", "n_ratings", *[r6(F.col("vec")[d]).alias(f"x{d}") for d in range(_FOLD_DIM)])
+
+
 @register("als_leaderboard")
 def q_als_leaderboard(spark, sf):
     recs = EV.compact_ranks(PL.model_recs(PL.als_recs(spark, sf), "als"))
