@@ -910,6 +910,54 @@ def q_csv_roundtrip(spark, sf):
     return SIO.read_csv(spark, path, SIO.recs_schema())
 
 
+_BAD_SCORE, _BAD_RANK = 7, 11
+_QUARANTINE_CASES = f"""SELECT p_partkey, p_partkey % 100 AS user_id, p_retailprice AS score, p_size AS rank,
+  CASE WHEN p_partkey % {_BAD_SCORE} = 0 THEN 'score: n/a' END AS r1, CASE WHEN p_partkey % {_BAD_RANK} = 0 THEN 'rank: x9' END AS r2
+  FROM part"""
+
+
+@register("csv_quarantine", f"""WITH c AS ({_QUARANTINE_CASES})
+SELECT user_id, p_partkey AS item_id, score, CAST(rank AS INTEGER) AS rank, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS raw_item
+FROM c WHERE r1 IS NULL AND r2 IS NULL
+UNION ALL SELECT NULL, NULL, NULL, NULL, concat_ws('; ', r1, r2), CAST(p_partkey AS VARCHAR) FROM c WHERE r1 IS NOT NULL OR r2 IS NOT NULL""")
+def q_csv_quarantine(spark, sf):
+    """A file with its columns in another order and cells that are no numbers, read by its header."""
+    path, key = _artefact(spark, "csv-bad"), F.col("p_partkey")
+    SIO.write_csv(TB.table(spark, sf, "part").select(
+        F.when(key % _BAD_RANK == 0, F.lit("x9")).otherwise(F.col("p_size").cast("string")).alias("rank"), key.alias("item_id"),
+        F.when(key % _BAD_SCORE == 0, F.lit("n/a")).otherwise(F.col("p_retailprice").cast("string")).alias("score"),
+        (key % 100).alias("user_id")), path)
+    good, bad = SIO.read_csv_quarantined(spark, path, SIO.recs_schema())
+    none = lambda c: F.lit(None).cast(good.schema[c].dataType).alias(c)
+    return good.select("*", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("raw_item")).unionByName(
+        bad.select(*map(none, good.columns), "reason", F.get_json_object("record", "$.item_id").alias("raw_item")))
+
+
+_REQUIRED = ["item_id", "name", "artists", "popularity", "duration_ms", *_FEATS[1:3]]
+
+
+@register("required_columns", O.with_(O.raw_ctes(edge=True)) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", " + (f"true AS present, count(*) AS n_rows, count(*) - count({c}) AS n_null FROM raw"
+                                      if c in ("item_id", "name", "artists", "popularity", "retail_price") else
+                                      "false AS present, count(*) AS n_rows, CAST(NULL AS BIGINT) AS n_null FROM raw") for c in _REQUIRED))
+def q_required_columns(spark, sf):
+    return SIO.column_check(TB.raw_items(spark, sf, True), _REQUIRED)
+
+
+@register("npy_roundtrip", _STD_SQL + """, fl AS (SELECT unnest(generate_series(0, """ + str(len(_FEATS) - 1) + """)) AS pos)
+SELECT s.item_id, CAST(fl.pos AS INTEGER) AS pos, """ + O.r6("CASE fl.pos " + " ".join(
+    f"WHEN {i} THEN s.{c}" for i, c in enumerate(_FEATS)) + " END") + """ AS value FROM std s CROSS JOIN fl""")
+def q_npy_roundtrip(spark, sf):
+    """The scaled features as .npy files in the order of the ids, read back and aligned with the metadata by position."""
+    from tastebud.sources import npy
+    cat = PL.catalog(spark, sf, materialized=True)
+    path = _artefact(spark, "features-npy")
+    npy.write_npy(vectors_to_array(C.standardized_features(cat, _FEATS), _FEATS).orderBy("item_id").select("features"), path)
+    back = npy.align_by_position(npy.read_npy(spark, path), cat.select("item_id"), "item_id")
+    return back.select("item_id", F.posexplode("values").alias("pos", "value")).select(
+        "item_id", F.col("pos").cast("int").alias("pos"), r6("value").alias("value"))
+
+
 @register("negative_samples", O.with_(O.INTER, O.catalog_ctes(), """cidx AS (
   SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM catalog),
 nn AS (SELECT count(*) AS n FROM cidx),
