@@ -171,46 +171,81 @@ def read_image(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return doc_ids, null.astype(bool), counts.astype(np.int64), unpack(words, first, escapes, n_ids, block)
 
 
-class WordStore:
-    """Ids of known words under 64-bit hashes of their bytes: sorted arrays, no objects, about 30 bytes a word."""
+class HashedWords:
+    """Distinct words with 64-bit hashes of their bytes."""
 
-    MAX_WORDS, MAX_BYTES = 1_500_000, 64
+    MAX_BYTES = 64
     _POWERS = np.cumprod(np.full(MAX_BYTES, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
-    def __init__(self):
-        self.key, self.start, self.len = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.ids = np.zeros(0, np.int32)
-
-    @classmethod
-    def hashes(cls, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every word, and whether it is short enough to be kept."""
-        size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        data = np.frombuffer(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                                            "")[0].as_buffer(), np.uint8)
-        start = np.cumsum(size) - size
-        place = np.arange(len(data)) - np.repeat(start, size)
-        mixed = (data.astype(np.uint64) + np.uint64(1)) * cls._POWERS[np.minimum(place, cls.MAX_BYTES - 1)]
+    def __init__(self, words: pa.Array):
+        self.size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "")[0].as_buffer()
+        self.data = np.frombuffer(joined, np.uint8)
+        self.start = np.cumsum(self.size) - self.size
+        place = np.arange(len(self.data)) - np.repeat(self.start, self.size)
+        mixed = (self.data.astype(np.uint64) + np.uint64(1)) * self._POWERS[np.minimum(place, self.MAX_BYTES - 1)]
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
-        h = sums[start + size] - sums[start]
+        h = sums[self.start + self.size] - sums[self.start]
         h ^= h >> np.uint64(29)
-        return h * np.uint64(0xBF58476D1CE4E5B9), size <= cls.MAX_BYTES
+        self.hash = h * np.uint64(0xBF58476D1CE4E5B9)
+        self.short = self.size <= self.MAX_BYTES
+
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Place of each hash, -1 where it is unknown."""
+class WordStore:
+    """Ids of known words under the hashes of their bytes, with the bytes: flat arrays, no objects, about 45 bytes a word.
+
+    Two words may share a hash; the bytes decide, and the word that came later
+    is not kept.
+    """
+
+    MAX_WORDS = 1_500_000
+
+    def __init__(self):
+        self.key, self.word = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, and the word of each
+        self.start, self.len, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.text_start, self.size, self.text = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def _hashed(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The word under each hash, and whether there is one."""
         if not len(self.key):
-            return np.full(len(h), -1)
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
         at = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
-        return np.where(self.key[at] == h, at, -1)
-
-    def add(self, h: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
-        if len(self.key) + len(h) > self.MAX_WORDS:
+        return self.word[at].astype(np.int64), self.key[at] == h
+
+    def find(self, words: HashedWords) -> np.ndarray:
+        """The known word of each word, -1 where there is none."""
+        at, hit = self._hashed(words.hash)
+        out = np.full(len(at), -1, np.int64)
+        if not hit.any():
+            return out
+        some = np.flatnonzero(hit & words.short)
+        some = some[self.size[at[some]] == words.size[some]]
+        size = words.size[some]
+        other = words.data[ragged(words.start[some], size)] != self.text[ragged(self.text_start[at[some]], size)]
+        some = some[segment_sum(other.astype(np.int64), size) == 0]
+        out[some] = at[some]
+        return out
+
+    def add(self, words: HashedWords, which: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
+        """Keep the words ``which`` with their ids, ``lens`` of them each, where their hash is free."""
+        if len(self.key) + len(which) > self.MAX_WORDS:
             self.__init__()
-        order = np.argsort(h)
-        at = np.searchsorted(self.key, h[order])
-        self.key = np.insert(self.key, at, h[order])
-        self.start = np.insert(self.start, at, (len(self.ids) + np.cumsum(lens) - lens)[order])
-        self.len = np.insert(self.len, at, lens[order])
+        _, first = np.unique(words.hash[which], return_index=True)
+        first = first[words.short[which[first]]]
+        first = np.sort(first[~self._hashed(words.hash[which[first]])[1]])
+        keep = np.zeros(len(which), bool)
+        keep[first] = True
+        ids, lens, which = ids[np.repeat(keep, lens)], lens[keep], which[keep]
+        n, size = len(self.len), words.size[which]
+        self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(lens) - lens))
+        self.text_start = np.concatenate((self.text_start, len(self.text) + np.cumsum(size) - size))
+        self.len, self.size = np.concatenate((self.len, lens.astype(np.int32))), np.concatenate((self.size, size))
         self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+        self.text = np.concatenate((self.text, words.data[ragged(words.start[which], size)]))
+        order = np.argsort(words.hash[which])
+        at = np.searchsorted(self.key, words.hash[which][order])
+        self.key = np.insert(self.key, at, words.hash[which][order])
+        self.word = np.insert(self.word, at, (n + order).astype(np.int32))
 
 
 class WordTokenizer:
@@ -268,8 +303,8 @@ class WordTokenizer:
         tail = pc.if_else(plain, pc.struct_field(parts, "tail"), "")
         both = pa.concat_arrays([stem, tail])
         codes, distinct = word_codes(both)
-        h, short = WordStore.hashes(distinct)
-        at = np.where(short, self.store.find(h), -1)
+        hashed = HashedWords(distinct)
+        at = self.store.find(hashed)
         new = np.flatnonzero(at < 0)
         ids, lens = self._library(distinct.take(pa.array(new)))
         start, size = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
@@ -277,8 +312,7 @@ class WordTokenizer:
         start[known], size[known] = self.store.start[at[known]], self.store.len[at[known]]
         start[new], size[new] = len(self.store.ids) + np.cumsum(lens) - lens, lens
         pool = np.concatenate((self.store.ids, ids))
-        keep = short[new]
-        self.store.add(h[new][keep], ids[np.repeat(keep, lens)], lens[keep])
+        self.store.add(hashed, new, ids, lens)
         order = codes.reshape(2, -1).T.ravel()  # letters, punctuation, letters, ...
         return pool[ragged(start[order], size[order])], size[codes].reshape(2, -1).sum(axis=0)
 
@@ -288,8 +322,8 @@ class WordTokenizer:
         if not len(flat):
             return np.zeros(0, np.int64), np.zeros(len(counts), np.int64)
         codes, words = word_codes(flat)
-        h, short = WordStore.hashes(words)
-        at = np.where(short, self.store.find(h), -1)
+        hashed = HashedWords(words)
+        at = self.store.find(hashed)
         new, known = np.flatnonzero(at < 0), np.flatnonzero(at >= 0)
         # the words' ids: the remembered ones, then the new ones
         size = np.empty(len(words), np.int64)
@@ -301,8 +335,7 @@ class WordTokenizer:
         start[new] = len(old) + np.cumsum(size[new]) - size[new]
         per_word = size[codes]
         out = np.concatenate((old, ids))[ragged(start[codes], per_word)]
-        keep = short[new] & (self.store.find(h[new]) < 0)
-        self.store.add(h[new][keep], ids[np.repeat(keep, size[new])], size[new][keep])
+        self.store.add(hashed, new, ids, size[new])
         return out, segment_sum(per_word, counts)
 
 
@@ -342,7 +375,7 @@ def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         tok, seq, start = worker_tokenizer(tokenizer), 0, 0
         part_no = TaskContext.get().partitionId()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 << 20):
                 ids, counts = tok.encode(part.column("text"))
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 d = part.column("doc_id")
