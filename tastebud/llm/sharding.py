@@ -69,7 +69,7 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     src = join_small(docs.select(F.struct("*").alias("row"), bucket.alias("bucket")), counts, ["bucket"], "inner")
     order = ["bucket", F.xxhash64(F.col(f"row.{id_col}")), F.xxhash64(F.col(f"row.{text_col}")),
              F.octet_length(F.col(f"row.{text_col}"))]
-    src = src.repartition(buckets, "bucket").sortWithinPartitions(*order)
+    src = src.repartitionById(buckets, F.col("bucket")).sortWithinPartitions(*order)  # a task for every bucket
 
     def fisher_yates(batches):
         now, perm, i = None, None, 0
