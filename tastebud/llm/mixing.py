@@ -23,15 +23,19 @@ def doc_size(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
-def doc_hash(doc_id: Column, seed: int) -> Column:
-    """``DIGITS * LEVELS`` hexadecimal digits of md5; a null id hashes as the empty string."""
-    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))),
-                       1, DIGITS * LEVELS)
+def doc_hash(doc_id: Column, text: Column, source: Column, seed: int) -> Column:
+    """``DIGITS * LEVELS`` hexadecimal digits of md5 of id, source and text (nulls as empty strings).
+
+    Rows that share an id are told apart by their texts; only rows that are
+    equal in all three share a hash for certain.
+    """
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (doc_id, source, text)]
+    return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)), 1, DIGITS * LEVELS)
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       doc_size(F.col(text_col)).alias("size"), doc_hash(F.col(id_col), seed).alias("h"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), doc_size(F.col(text_col)).alias("size"),
+                       doc_hash(F.col(id_col), F.col(text_col), F.col(source_col), seed).alias("h"))
 
 
 def source_targets(totals: DataFrame, weights=WEIGHTS, cap: float = 3) -> DataFrame:
@@ -100,8 +104,9 @@ def mix_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """Digest of the mix: ``doc_id, source, size, source_size, target, copies, taken`` for every row.
 
     Null texts have size 0 and are taken like any other (0 words); null sources
-    are one source, ordered last; null ids share one hash; repeated rows have
-    the same hash and go in or out together; an empty table gives no rows.
+    are one source, ordered last; rows that repeat id, source and text have the
+    same hash and go in or out together; an empty table gives no rows; columns of
+    other names are ignored and long texts are counted whole.
     The words of a source differ from its target by at most half the size of
     the documents in its boundary cell (one document, unless hashes collide).
     """
@@ -118,7 +123,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     slim = staged(sized(docs, id_col, text_col, source_col, seed), "mixsizes")
     plan = mixing_plan(slim, weights, cap)
     packed = docs.select(F.struct("*").alias("row"), F.col(source_col).alias("source"),
-                         doc_hash(F.col(id_col), seed).alias("h"))
+                         doc_hash(F.col(id_col), F.col(text_col), F.col(source_col), seed).alias("h"))
     out = join_small(packed, plan, ["source"], "inner").withColumn("copies", copies(F.col("h")))
     return (out.where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("one"))
             .select("row.*"))

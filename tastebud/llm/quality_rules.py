@@ -10,8 +10,9 @@ from tastebud.llm.common import WS_CHARS, join_small, let, staged, words
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A host whose shrunk failure rate is above this is rejected as a whole.
-MAX_HOST_RATE = 0.8
+#: A host is rejected as a whole if its failure rate is, beyond reasonable doubt, so many times the prior's mean and at least
+#: the lower bound; no more than the upper bound is asked of it.  Doubt: so many standard deviations of the posterior.
+HOST_FACTOR, HOST_RATES, HOST_DOUBT = 3.0, (0.5, 0.8), 2.33
 
 
 def _repeat_words(ws: Column) -> Column:
@@ -54,13 +55,16 @@ def base_stats(text: Column) -> Column:
         let(words(t), _repeat_words).alias("n_repeat_words"))
 
 
-def host_verdicts(stats: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+def host_verdicts(stats: DataFrame, factor: float = HOST_FACTOR, rates: tuple = HOST_RATES, doubt: float = HOST_DOUBT) -> DataFrame:
     """``host, n_docs, n_failed, host_rate, host_failed`` from rows with ``host, base_failed``.
 
     The beta prior comes from the hosts themselves (method of moments: mean
     and variance of the hosts' raw rates; strength kept within 1 and 1000) and
-    each rate is shrunk to ``(failed + a) / (docs + a + b)``.  Null hosts have
-    no verdict.  Partial sums are taken before the shuffle.
+    each rate is shrunk to ``(failed + a) / (docs + a + b)``, the mean of the
+    host's beta posterior.  A host fails if this mean less ``doubt`` standard
+    deviations of the posterior is above ``factor`` times the prior's mean, a
+    bar kept within ``rates``.  Null hosts have no verdict.  Partial sums are
+    taken before the shuffle.
     """
     hosts = (stats.where(F.col("host").isNotNull()).groupBy("host")
              .agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")))
@@ -71,18 +75,21 @@ def host_verdicts(stats: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> Dat
     prior = prior.select("m", F.greatest(F.lit(1.0), F.least(F.lit(1000.0), raw)).alias("s"))
     m, s = prior.select("m").scalar(), prior.select("s").scalar()
     hosts = hosts.withColumn("host_rate", (F.col("n_failed") + m * s) / (F.col("n_docs") + s))
-    return hosts.withColumn("host_failed", F.col("host_rate") > max_host_rate)
+    spread = F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (F.col("n_docs") + s + 1))
+    bar = F.greatest(F.lit(rates[0]), F.least(F.lit(rates[1]), factor * m))
+    return hosts.withColumn("host_failed", F.col("host_rate") - doubt * spread > bar)
 
 
 def host_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                       carry: bool = False, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+                       carry: bool = False, **verdict) -> DataFrame:
     """Rule counts, the document's own verdict and that of its host, for every row of ``docs``.
 
     Columns: ``doc_id, host``, the counts of :func:`base_stats`, ``base_failed,
     n_docs, n_failed, host_rate, host_failed, kept``, and with ``carry`` the
     whole input row as struct ``row``.  Null and empty texts have no words and
     fail; a null host is judged by the document alone; repeated rows each
-    count; an empty table gives no rows.
+    count; an empty table gives no rows; columns of other names stay in ``row``
+    and long texts are counted whole.  ``verdict``: see :func:`host_verdicts`.
     """
     cols = [F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), base_stats(F.col(text_col)).alias("s")]
     if carry:
@@ -90,7 +97,7 @@ def host_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = docs.select(*cols)
     failed = (F.col("s.n_words") < MIN_WORDS) | (100 * F.col("s.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("s.n_words"))
     out = staged(out.withColumn("base_failed", failed), "rules")  # once: the texts are read by both uses
-    hosts = staged(host_verdicts(out.select("host", "base_failed"), max_host_rate), "verdicts")
+    hosts = staged(host_verdicts(out.select("host", "base_failed"), **verdict), "verdicts")
     out = join_small(out, hosts, ["host"], "left")
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("host_failed"), F.lit(False))
     return out.select("doc_id", "host", "s.*", "base_failed", "n_docs", "n_failed", "host_rate", "host_failed",

@@ -25,6 +25,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "kept", F.round("host_rate", 6).alias("host_rate"))
 
 
+def bad_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1 over documents of which some moved to a host of mostly cut texts: the host's verdict takes the rest of them."""
+    docs = _docs(spark, sf_dir)
+    moved = F.col("doc_id") % _BAD_HOST == 0
+    docs = docs.select("doc_id", F.when(moved, F.lit("bad.example")).otherwise(F.col("source")).alias("source"),
+                       F.when(moved & (F.col("doc_id") % 4 != 0), F.substring("text", 1, 60)).otherwise(F.col("text")).alias("text"))
+    out = quality_rules.host_quality_rules(docs)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", F.round("host_rate", 6).alias("host_rate"))
+
+
 def op2_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     model = toxicity.fit_severity(docs, _table(spark, sf_dir, "labels"))
@@ -95,7 +106,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_toxicity_ordinal, op3_simple8b, op4_license_dice, op5_external_shuffle, op6_embedding_codes,
+    op1_quality_rules, bad_host_rules, op2_toxicity_ordinal, op3_simple8b, op4_license_dice, op5_external_shuffle, op6_embedding_codes,
     op7_weak_quality, op8_simhash_pivots, op9_mixing, op10_piece_viterbi, op11_token_alignment, op12_byte_bpe,
     op13_vector_codes)}
 
@@ -130,12 +141,20 @@ host AS (
 prior AS (
   SELECT m, CASE WHEN v > 0 THEN greatest(1.0, least(1000.0, m * (1 - m) / v - 1)) ELSE 1000.0 END AS k
   FROM (SELECT avg(r) AS m, var_pop(r) AS v FROM host)),
-verdict AS (SELECT source, (bad + m * k) / (n + k) AS host_rate FROM host CROSS JOIN prior)
+verdict AS (
+  SELECT source, host_rate, host_rate - {quality_rules.HOST_DOUBT} * sqrt(host_rate * (1 - host_rate) / (n + k + 1)) >
+         greatest({quality_rules.HOST_RATES[0]}, least({quality_rules.HOST_RATES[1]}, {quality_rules.HOST_FACTOR} * m)) AS host_failed
+  FROM (SELECT source, n, m, k, (bad + m * k) / (n + k) AS host_rate FROM host CROSS JOIN prior))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT coalesce(host_rate > {quality_rules.MAX_HOST_RATE}, false) AS kept,
-       round(host_rate, 6) AS host_rate
+       NOT base_failed AND NOT coalesce(host_failed, false) AS kept, round(host_rate, 6) AS host_rate
 FROM f LEFT JOIN verdict USING (source)"""
 
+#: Every so manyth document moves to a host of its own, three of four of them without most of their words.
+_BAD_HOST = 25
+_OP1_BAD_HOST = _OP1.replace("FROM documents)", f"""FROM (
+    SELECT doc_id, CASE WHEN doc_id % {_BAD_HOST} = 0 THEN 'bad.example' ELSE source END AS source,
+           CASE WHEN doc_id % {_BAD_HOST} = 0 AND doc_id % 4 <> 0 THEN left(text, 60) ELSE text END AS text FROM documents))""")
+
 _TEMPLATE_ROWS = ", ".join(
     f"('{name}', {m}, {most}, '{pair}', {times}, {decides}, {n})" for name, m, most, pair, times, decides, n, _
     in licenses.template_rows(licenses.TEMPLATES, licenses.DECIDING, licenses.MIN_DICE))
@@ -199,7 +218,7 @@ FROM v JOIN comp USING (rid) LEFT JOIN link ON link.a = v.rid GROUP BY v.rid, v.
 _OP9 = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len({_WORDS.format(t="text")}) AS BIGINT) AS size,
-         substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, {mixing.DIGITS * mixing.LEVELS}) AS h
+         substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(source, '') || ':' || coalesce(text, '')), 1, {mixing.DIGITS * mixing.LEVELS}) AS h
   FROM documents),
 src AS (
   SELECT source, sum(size) AS s, CAST([{", ".join(map(str, mixing.WEIGHTS))}][
@@ -268,5 +287,5 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
        (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
 FROM v JOIN coded USING (rid)"""
 
-ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op4_license_dice": _OP4, "op6_embedding_codes": _OP6, "op9_mixing": _OP9,
+ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "bad_host_rules": _OP1_BAD_HOST, "op4_license_dice": _OP4, "op6_embedding_codes": _OP6, "op9_mixing": _OP9,
                           "op13_vector_codes": _OP13}

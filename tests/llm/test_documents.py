@@ -63,6 +63,14 @@ def test_host_verdicts_shrink_to_the_prior(spark):
     assert got["big"].host_failed and not got["ok3"].host_failed and got["tiny"].host_rate < 1
 
 
+def test_mixing_tells_rows_of_one_id_apart(spark):
+    prepare(spark)
+    rows = [(i % 3, f"{'w ' * (1 + i % 5)}{i}", "ab"[i % 7 > 4]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix_sizes(df).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(out) == 2 and all(abs(r.taken - r.target) <= 6 for r in out)
+
+
 def test_mixing(spark, odd):
     out = mixing.mix_sizes(odd).collect()
     assert len(out) == odd.count() and all(r.taken == r.copies * r["size"] and r.copies <= 3 for r in out)
@@ -199,6 +207,18 @@ def test_words_are_encoded_as_in_the_whole_text():
         assert [ids[e - c:e].tolist() for e, c in zip(ends, counts)] == [x.ids for x in whole]
 
 
+def test_words_that_share_a_hash_keep_their_own_ids():
+    """The two words have one multiply-add hash; the second must not get the ids of the first."""
+    words = ["nnlmmmolknlmnpkoonkl", "mmonmmknomnnmkolllpo"]
+    h = simple8b.HashedWords(pa.array(words)).hash
+    assert h[0] == h[1]
+    for order in (words, words[::-1]):
+        tok = simple8b.WordTokenizer(simple8b.tokenizer_path())
+        for text in (order[0], order[1], " ".join(order), f"{order[1]}! {order[0]}."):
+            ids, counts = tok.encode(pa.array([text]))
+            assert ids.tolist() == tok.tok.encode(text, add_special_tokens=False).ids and counts.tolist() == [len(ids)]
+
+
 def test_token_files(spark, odd):
     out = simple8b.id_checksums(simple8b.read_token_files(simple8b.write_token_files(odd, partitions=4))).collect()
     tok = simple8b.WordTokenizer(simple8b.tokenizer_path()).tok

@@ -32,15 +32,22 @@ def test_query_returns_a_row_for_every_row(spark, name):
     assert out.where(F.col("doc_id").isNull()).count() == 0
 
 
+def test_the_verdict_of_a_bad_host_takes_its_good_documents(spark):
+    rows = E.queries()["bad_host_rules"](spark, SF).collect()
+    bad = [r for r in rows if r.doc_id % 25 == 0]
+    assert not any(r.kept for r in bad) and any(not r.base_failed for r in bad)
+    assert all(r.kept != r.base_failed for r in rows if r.doc_id % 25)
+
+
 def test_native_operators_run_no_python(spark):
-    for name in ("op1_quality_rules", "op4_license_dice", "op9_mixing"):
+    for name in ("op1_quality_rules", "bad_host_rules", "op4_license_dice", "op9_mixing"):
         plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = list(E.queries())
-    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
 
 
 def test_pipeline_stages(spark):
