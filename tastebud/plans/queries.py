@@ -500,7 +500,7 @@ def q_als_score_check(spark, sf):
 _MF_DIM = 8
 
 
-@register("mf_topk", O.with_(*_ALS, f"""fd AS (SELECT CAST(d AS DOUBLE) AS d FROM generate_series(0, {_MF_DIM - 1}) t(d)),
+_MF_SQL = (O.with_(*_ALS, f"""fd AS (SELECT CAST(d AS DOUBLE) AS d FROM generate_series(0, {_MF_DIM - 1}) t(d)),
 fu AS (SELECT user_id, d, sin(0.37 * user_id + 1.1 * d) AS x FROM tu CROSS JOIN fd),
 fi AS (SELECT item_id, d, cos(0.73 * item_id + 0.9 * d) AS x FROM (SELECT DISTINCT item_id FROM ctrain) CROSS JOIN fd),
 sc AS (SELECT u.user_id, i.item_id, sum(u.x * i.x) AS s FROM fu u JOIN fi i ON u.d = i.d GROUP BY u.user_id, i.item_id),
@@ -509,16 +509,55 @@ rk AS (
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(s, 6) DESC, item_id) AS INTEGER) AS rank
   FROM sc ANTI JOIN (SELECT DISTINCT user_id, item_id FROM ctrain) t USING (user_id, item_id))""") +
           f"SELECT user_id, item_id, score, rank FROM rk WHERE rank <= {O.K}")
+
+
+@register("mf_topk", _MF_SQL)
 def q_mf_topk(spark, sf):
     """Predicted preference over factors given by a formula: the collaborative scorer with values to compare."""
     from tastebud.operators.topk import top_k_scores
+    train, users, items = _formula_factors(spark, sf)
+    return top_k_scores(users, items, PL.P.k, seen=train, metric="dot")
+
+
+def _formula_factors(spark, sf):
     train = PL.catalog_train(spark, sf)
 
     def factors(col, fn, a, b):
         return train.select(col).distinct().withColumn(
             "vec", F.array(*[fn(F.lit(a) * F.col(col) + F.lit(b * d)) for d in range(_MF_DIM)]))
-    return top_k_scores(factors("user_id", F.sin, 0.37, 1.1), factors("item_id", F.cos, 0.73, 0.9), PL.P.k,
-                        seen=train, metric="dot")
+    return train, factors("user_id", F.sin, 0.37, 1.1), factors("item_id", F.cos, 0.73, 0.9)
+
+
+@register("mf_topk_bounded", _MF_SQL)
+def q_mf_topk_bounded(spark, sf):
+    """As mf_topk, skipping item blocks whose bound is below a user's K-th score."""
+    from tastebud.operators.topk_bounds import bounded_top_k
+    train, users, items = _formula_factors(spark, sf)
+    return bounded_top_k(users, items, PL.P.k, train, "dot")
+
+
+def _profiles(spark, sf):
+    train = PL.train_set(spark, sf, materialized=True).select("user_id", "item_id")
+    items = TB.item_vectors(spark, sf)
+    return train, mean_vectors(train.join(items, "item_id"), "user_id", "vec", "vec"), items
+
+
+@register("content_topk_bounded", O.with_(O.INTER, O.SPLIT, O.ITEMS, O.CONTENT) + "SELECT user_id, item_id, score, rank FROM crecs")
+def q_content_topk_bounded(spark, sf):
+    """As content_topk, skipping item blocks."""
+    from tastebud.operators.topk_bounds import bounded_top_k
+    train, users, items = _profiles(spark, sf)
+    return bounded_top_k(users, items, PL.P.k, train)
+
+
+@register("topk_block_visits")
+def q_topk_block_visits(spark, sf):
+    """How many item blocks each user of content_topk_bounded and mf_topk_bounded is multiplied with."""
+    from tastebud.operators.topk_bounds import block_visits
+    train, users, items = _profiles(spark, sf)
+    content = block_visits(users, items, PL.P.k, train).withColumn("metric", F.lit("cosine"))
+    train, users, items = _formula_factors(spark, sf)
+    return content.unionByName(block_visits(users, items, PL.P.k, train, "dot").withColumn("metric", F.lit("dot")))
 
 
 _FOLD_DIM, _FOLD_REG, _FOLD_ALPHA = 3, 0.05, 2.0
