@@ -5,6 +5,8 @@ are counted by pattern over all documents (at most ``3 ** labellers``
 patterns), expectation-maximisation on these counts estimates how accurate
 each labeller is on good and on bad documents, and the posterior of each
 document's votes is the soft label on which a hashed linear scorer is trained.
+The scorer sees words, their shapes and repetition, never a vote, so it also
+judges documents on which every labeller abstains.
 """
 
 from __future__ import annotations
@@ -14,17 +16,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastebud.llm.arrowtext import class_counts, hashed_counts, segment_sum, slices, split_words, word_codes
+from tastebud.llm.arrowtext import class_counts, segment_sum, slices, split_words, word_codes
 
 DIMS = 1 << 16
 #: Documents on which the scorer is trained, at most about this many (chosen by hash within their vote pattern).
 TRAIN_DOCS = 12_000
 KEEP_FROM = 0.5
-MIN_PRECISION = 0.998
+#: Prior of a labeller's errors on good documents while the rounds run: their rate, and the prior's weight as a share of its votes.
+ERROR_PRIOR, PRIOR_SHARE = 1e-4, 1.0
 
 #: (name, measure, good up to, bad from, words needed); ``None``: on that side the labeller abstains.
 LABELLERS = (
@@ -41,18 +45,27 @@ LABELLERS = (
 )
 
 
+def repeats(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a word equals the one before it, and whether it was seen earlier in its run of 1000 words.
+
+    Runs, as a long text may well repeat most of its words.
+    """
+    doc = np.repeat(np.arange(len(counts)), counts)
+    again = np.zeros(len(codes), bool)
+    again[1:] = (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
+    run = (np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)) // 1000
+    size, runs = int(codes.max(initial=0)) + 1, int(run.max(initial=0)) + 1
+    seen = np.ones(len(codes), bool)
+    seen[np.unique((doc * runs + run) * size + codes, return_index=True)[1]] = False
+    return again, seen
+
+
 def measures(texts: pa.Array) -> tuple[dict[str, np.ndarray], pa.Array, np.ndarray]:
     """Measures of each whole text, its words and their number."""
     texts = pc.fill_null(texts, "")
     flat, counts = split_words(texts)
     codes, dictionary = word_codes(flat)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    # distinct words of runs of 1000, as a long text may well repeat most of its words
-    run = (np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)) // 1000
-    size, runs = int(codes.max(initial=0)) + 1, int(run.max(initial=0)) + 1
-    distinct = np.bincount(np.unique((doc * runs + run) * size + codes) // size // runs, minlength=len(counts))
-    again = np.zeros(len(codes), np.int64)
-    again[1:] = (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
+    again, seen = repeats(codes, counts)
     lens = pc.utf8_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
     chars = segment_sum(lens, counts)
     cls = class_counts(texts)
@@ -65,8 +78,8 @@ def measures(texts: pa.Array) -> tuple[dict[str, np.ndarray], pa.Array, np.ndarr
 
     n, c, letters = np.maximum(counts, 1), np.maximum(chars, 1), np.maximum(cls["letters"], 1)
     return {"symbol_share": found(r"[#*$%&|<>]") / c, "capital_share": cls["capitals"] / letters,
-            "shout_share": found("!") / n, "stutter_share": segment_sum(again, counts) / n,
-            "same_share": 1 - distinct / n,
+            "shout_share": found("!") / n, "stutter_share": segment_sum(again.astype(np.int64), counts) / n,
+            "same_share": segment_sum(seen.astype(np.int64), counts) / n,
             "bare_share": segment_sum(shape("^[^\\pL\\pN]+$"), counts) / n,
             "marked_share": segment_sum(shape("[\\pL\\pN][^\\pL\\pN.,;:?'\"()-]+[.,;:]?$"), counts) / n,
             "other_share": 1 - (cls["letters"] + cls["digits"]) / c, "digit_share": cls["digits"] / c,
@@ -106,47 +119,84 @@ class LabelModel:
         return 1 / (1 + np.exp(-odds))
 
 
-def fit_label_model(patterns: np.ndarray, n: np.ndarray, rounds: int = 200, smooth: float = 1.0) -> LabelModel:
+def fit_label_model(patterns: np.ndarray, n: np.ndarray, rounds: int = 500, smooth: float = 1.0) -> LabelModel:
     """Expectation-maximisation from the counts of vote patterns.
 
     A document starts as bad if any labeller says so, as most kinds of bad
-    text are seen by one or two of them only.  On good documents a labeller's
-    accuracy is at least ``MIN_PRECISION``: their bounds are far from ordinary
-    text, and without this a rare kind of bad text would be explained as errors
-    on good documents.  On bad ones it may be low (a labeller does not see the
-    other kinds), but a bad vote is never likelier on good documents.
+    text are seen by one or two of them only.  During the rounds a beta prior
+    that weighs ``PRIOR_SHARE`` of a labeller's votes says that it seldom errs
+    on good documents: lone bad votes fit a rare kind of bad text as well as
+    errors, and the prior decides only where the other votes do not.  The
+    accuracies returned are those of the votes under the last posterior,
+    without that prior, so a labeller that does err on good documents is
+    reported as it is.  On bad documents an accuracy may be low (a labeller
+    does not see the other kinds), but a bad vote is never likelier on good ones.
     """
     v = votes_of(patterns)
+
+    def accuracies(p: np.ndarray, share: float) -> np.ndarray:
+        acc = np.empty((2, v.shape[1]))
+        for y, w in ((1, n * p), (0, n * (1 - p))):
+            right, wrong = (w[:, None] * (v == y)).sum(axis=0), (w[:, None] * (v == 1 - y)).sum(axis=0)
+            weight = smooth + share * (right + wrong) if y else 2 * smooth
+            acc[y] = (right + (1 - ERROR_PRIOR if y else 0.5) * weight) / (right + wrong + weight)
+        acc = np.clip(acc, 0.001, 0.99999)
+        acc[0] = np.maximum(acc[0], 1 - acc[1])
+        return acc
+
     p = np.where((v == 0).any(axis=1), 0.1, 0.9)
     model = LabelModel(0.5, np.full((2, v.shape[1]), 0.7))
     for _ in range(rounds):
-        acc = np.empty_like(model.accuracy)
-        for y, w, low in ((1, n * p, MIN_PRECISION), (0, n * (1 - p), 0.001)):
-            right, wrong = (w[:, None] * (v == y)).sum(axis=0), (w[:, None] * (v == 1 - y)).sum(axis=0)
-            prior = 4 * smooth if y else smooth  # of a good vote on good documents, of any on bad ones
-            acc[y] = np.clip((right + prior) / (right + wrong + prior + smooth), low, 0.9999)
-        acc[0] = np.maximum(acc[0], 1 - acc[1])
-        prior = float(np.clip(((n * p).sum() + smooth) / (n.sum() + 2 * smooth), 0.01, 0.99))
+        acc = accuracies(p, PRIOR_SHARE)
         moved = np.abs(acc - model.accuracy).max()
-        model = LabelModel(prior, acc)
+        model = LabelModel(float(np.clip(((n * p).sum() + smooth) / (n.sum() + 2 * smooth), 0.01, 0.99)), acc)
         p = model.posterior(v)
         if moved < 1e-9:
             break
-    return model
+    return LabelModel(model.prior, accuracies(p, 0.0))
+
+
+def word_shapes(words: pa.Array) -> pa.Array:
+    """Words with their letters and digits reduced to classes; other characters stay.
+
+    ``0`` a run of digits, ``L`` 15 letters or more, ``AA`` capitals, ``A`` one
+    capital, ``a`` other letters: ``Word!`` becomes ``Aa!``.
+    """
+    for pattern, by in ((r"\p{N}+", "0"), (r"\p{L}{15,}", "L"), (r"\p{Lu}{2,}", "AA"), (r"\p{Lu}", "A"),
+                        (r"[\p{Ll}\p{Lo}\p{Lm}\p{Lt}]+", "a")):
+        words = pc.replace_substring_regex(words, pattern, by)
+    return words
 
 
-def features(flat: pa.Array, counts: np.ndarray, v: np.ndarray, dims: int = DIMS):
-    """Sparse rows: hashed words (log counts, length 1) and the votes as hashed indicators of weight 1."""
-    per, slot, n = hashed_counts(flat, counts, dims - 3 * len(LABELLERS))
+def features(flat: pa.Array, counts: np.ndarray, dims: int = DIMS):
+    """Sparse rows of hashed features: ``(features per text, slot, value)``.
+
+    Words (log counts, length 1), word shapes, and two marks: a word that equals
+    the one before, and one seen earlier in its run of 1000 words.  A shape or
+    mark counts by the logarithm of its share of the words.
+    """
+    codes, dictionary = word_codes(flat)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    digest = xxhash.xxh32_intdigest
+
+    def slots(names: list, kind: str) -> np.ndarray:
+        return np.fromiter((digest(kind + x) % dims for x in names), np.int64, len(names))
+
+    key, n = np.unique(doc * dims + slots(dictionary.to_pylist(), "")[codes], return_counts=True)
     value = np.log1p(n)
-    norm = np.sqrt(segment_sum(value * value, per))
-    value = value / np.repeat(np.maximum(norm, 1e-12), per)
-    k = v.shape[1]
-    mark = dims - 3 * k + 3 * np.arange(k) + v
-    at = np.cumsum(per)
-    index = np.insert(slot, np.repeat(at, k), mark.ravel())
-    value = np.insert(value, np.repeat(at, k), 1.0)
-    return per + k, index, value
+    norm = np.sqrt(np.bincount(key // dims, weights=value * value, minlength=len(counts)))
+    value = value / np.maximum(norm, 1e-12)[key // dims]
+
+    shape_codes, shapes = word_codes(word_shapes(dictionary))
+    shape = slots(shapes.to_pylist(), "shape ")[shape_codes]
+    again, seen = repeats(codes, counts)
+    marks = slots(["again", "seen"], "mark ")
+    other, m = np.unique(np.concatenate([doc * dims + shape[codes], doc[again] * dims + marks[0],
+                                         doc[seen] * dims + marks[1]]), return_counts=True)
+    share = 2 * np.log1p(100 * m / counts[other // dims]) / np.log(101)
+    key, value = np.concatenate([key, other]), np.concatenate([value, share])
+    order = np.argsort(key, kind="stable")
+    return np.bincount(key // dims, minlength=len(counts)), key[order] % dims, value[order]
 
 
 def draw_rates(n: np.ndarray, train_docs: int) -> np.ndarray:
@@ -165,19 +215,15 @@ def draw_rates(n: np.ndarray, train_docs: int) -> np.ndarray:
 
 
 def fit_scorer(per: np.ndarray, index: np.ndarray, value: np.ndarray, target: np.ndarray, dims: int = DIMS,
-               steps: int = 80, rate: float = 0.1, l2: float = 1e-4,
+               steps: int = 200, rate: float = 0.1, l2: float = 1e-6,
                weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels (full-batch Adam), documents counting by ``weight``.
-
-    Words are penalised, votes are not: the penalty would outweigh the evidence
-    of a labeller that has seldom voted bad, however clear its posterior.
-    """
+    """Logistic regression on soft labels (full-batch Adam), documents counting by ``weight``."""
     w, b = np.zeros(dims + 1), 0.0
     if not len(target):
         return w[:dims], b
     part = np.full(len(target), 1 / len(target)) if weight is None else weight / weight.sum()
     penalty = np.full(dims + 1, l2)
-    penalty[dims - 3 * len(LABELLERS):] = 0
+    penalty[dims] = 0
     row = np.repeat(np.arange(len(target)), per)
     m1, m2 = np.zeros(dims + 1), np.zeros(dims + 1)
     for t in range(1, steps + 1):
@@ -244,7 +290,7 @@ def fit_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 some = part.take(pa.array(drawn[first]))
                 m, flat, counts = measures(some.column("text"))
                 v = votes(m, counts)
-                per, index, value = features(flat, counts, v)
+                per, index, value = features(flat, counts)
                 ends = pa.array(np.r_[0, np.cumsum(per)].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [some.column("h"), pa.array(pattern_of(v)), pa.array(copies),
@@ -272,9 +318,11 @@ def quality_scores(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     """``doc_id, score, weak_label, kept`` for every row (with ``carry`` also the row as struct ``row``).
 
     ``score`` is the linear scorer's probability of good, ``weak_label`` the
-    posterior of the labellers' votes.  Null and empty texts have nothing to
-    judge: score 0, not kept.  Repeated rows get the same score each; an empty
-    table gives no rows.
+    posterior of the labellers' votes; ``kept`` follows the score, a tie with
+    ``keep_from`` is kept.  Null and empty texts have nothing to judge: score 0,
+    not kept.  Long texts are judged whole.  Repeated rows get the same score
+    each; an empty table gives no rows.  Other columns do not matter, whatever
+    their names: with ``carry`` they are inside ``row``.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                       *([F.struct("*").alias("row")] if carry else []))
@@ -287,7 +335,7 @@ def quality_scores(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
             for part in slices(batch, "text"):
                 m, flat, counts = measures(part.column("text"))
                 v = votes(m, counts)
-                per, index, value = features(flat, counts, v)
+                per, index, value = features(flat, counts)
                 score = 1 / (1 + np.exp(-(segment_sum(weights[index] * value, per) + bias)))
                 score = np.where(counts > 0, score, 0.0)
                 yield pa.RecordBatch.from_arrays(

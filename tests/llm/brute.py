@@ -151,3 +151,32 @@ def license_windows(words, templates, decide, min_dice):
 def unbeaten(windows):
     """Those that share no word with a better one."""
     return [x for x in windows if not any(y < x and y[3] <= x[4] + 1 and x[3] <= y[4] + 1 for y in windows)]
+
+
+def plain_em(votes, rounds, error_prior, prior_share):
+    """Weak-label EM, a document at a time: ``(prior of good, accuracies on good, accuracies on bad)``."""
+    k, n = len(votes[0]), len(votes)
+    p = [0.1 if 0 in v else 0.9 for v in votes]
+
+    def accuracies(share):
+        good, bad = [], []
+        for j in range(k):
+            gr = sum(q for q, v in zip(p, votes) if v[j] == 1)
+            gw = sum(q for q, v in zip(p, votes) if v[j] == 0)
+            br = sum(1 - q for q, v in zip(p, votes) if v[j] == 0)
+            bw = sum(1 - q for q, v in zip(p, votes) if v[j] == 1)
+            s = 1 + share * (gr + gw)
+            good.append(min(max((gr + (1 - error_prior) * s) / (gr + gw + s), 0.001), 0.99999))
+            bad.append(max(min(max((br + 1) / (br + bw + 2), 0.001), 0.99999), 1 - good[-1]))
+        return good, bad
+
+    for _ in range(rounds):
+        good, bad = accuracies(prior_share)
+        prior = min(max((sum(p) + 1) / (n + 2), 0.01), 0.99)
+        for i, v in enumerate(votes):
+            yes, no = prior, 1 - prior
+            for j, x in enumerate(v):
+                if x != 2:
+                    yes, no = yes * (good[j] if x else 1 - good[j]), no * (1 - bad[j] if x else bad[j])
+            p[i] = yes / (yes + no)
+    return prior, *accuracies(0.0)

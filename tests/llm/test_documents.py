@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tastebud.llm import licenses, mixing, piece_viterbi, quality_rules, sharding, simhash, simple8b, toxicity, weak_quality
@@ -407,6 +408,7 @@ def test_quality_agrees_with_labels_it_never_saw(spark):
     n = {(r.quality, r.kept): r["count"] for r in out.groupBy("quality", "kept").count().collect()}
     assert n[0, False] / (n[0, False] + n.get((0, True), 0)) > 0.95
     assert n[1, True] / (n[1, True] + n.get((1, False), 0)) > 0.995
+    assert out.where("kept = (weak_label >= 0.5)").count() / out.count() > 0.99
 
 
 def test_every_vote_pattern_is_trained_on(spark):
@@ -425,8 +427,8 @@ def test_every_vote_pattern_is_trained_on(spark):
     kept = {r.doc_id: r.kept for r in weak_quality.quality_scores(docs, model).collect()}
     assert [kept[-i] for i in (1, 2, 3)] == [False] * 3 and kept[None] is False
     assert sum(kept[i] for i in range(4000)) > 3980
-    mark = weak_quality.DIMS - 3 * len(weak_quality.LABELLERS) + 3 * 2  # 'shouting', bad
-    assert model.weights[mark] < 0
+    # the scorer has no votes: it learned the shape of a shouted word
+    assert model.weights[xxhash.xxh32_intdigest("shape a!") % weak_quality.DIMS] < 0
 
 
 def test_label_model_recovers_planted_accuracies():
@@ -442,6 +444,42 @@ def test_label_model_recovers_planted_accuracies():
     assert abs(m.prior - 0.8) < 0.01 and np.abs(m.accuracy[1] - good).max() < 0.002 and np.abs(m.accuracy[0] - bad).max() < 0.05
 
 
+def test_label_model_finds_a_labeller_that_errs_on_good_documents():
+    rng = np.random.default_rng(1)
+    k, n = len(weak_quality.LABELLERS), 200_000
+    y = rng.random(n) < 0.8
+    good = np.r_[0.95, np.full(k - 1, 0.999)]
+    right = np.where(y[:, None], rng.random((n, k)) < good, rng.random((n, k)) < 0.7)
+    v = np.where(right, y[:, None], ~y[:, None]).astype(np.int8)
+    pattern, count = np.unique(weak_quality.pattern_of(v), return_counts=True)
+    m = weak_quality.fit_label_model(pattern, count.astype(float))
+    assert abs(m.accuracy[1, 0] - 0.95) < 0.01 and np.abs(m.accuracy[1, 1:] - 0.999).max() < 0.002
+    assert np.abs(m.accuracy[0] - 0.7).max() < 0.02 and abs(m.prior - 0.8) < 0.01
+
+
+def test_label_model_equals_plain_em_over_documents():
+    rng = np.random.default_rng(2)
+    v = rng.choice([0, 1, 2], size=(300, len(weak_quality.LABELLERS)), p=[0.1, 0.7, 0.2]).astype(np.int8)
+    pattern, count = np.unique(weak_quality.pattern_of(v), return_counts=True)
+    m = weak_quality.fit_label_model(pattern, count.astype(float), rounds=40)
+    prior, good, bad = B.plain_em(v.tolist(), 40, weak_quality.ERROR_PRIOR, weak_quality.PRIOR_SHARE)
+    assert abs(m.prior - prior) < 1e-9 and np.abs(m.accuracy - [bad, good]).max() < 1e-9
+
+
+def test_scorer_judges_documents_without_votes(spark):
+    prepare(spark)
+    prose = PROSE.replace("\n", " ") + " "
+    rows = [(i, f"word{i % 7} {i} " + prose) for i in range(400)]
+    rows += [(1000 + i, f"{i} " + prose.replace(" ", "! ")) for i in range(100)]
+    quiet = [(5000, "ok! yes! wow!"), (5001, "and so it was")]  # too short for every labeller that votes on them
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = weak_quality.fit_quality(docs)
+    model.labels = weak_quality.LabelModel(0.5, np.full((2, len(weak_quality.LABELLERS)), 0.5))  # votes say nothing
+    out = weak_quality.quality_scores(spark.createDataFrame(quiet, docs.schema), model).collect()
+    got = {r.doc_id: r for r in out}
+    assert all(r.weak_label == 0.5 for r in out) and not got[5000].kept and got[5001].kept
+
+
 def test_quality_of_odd_documents(spark, odd):
     model = weak_quality.fit_quality(odd)
     out = weak_quality.quality_scores(odd, model, carry=True).collect()
