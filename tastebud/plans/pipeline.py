@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastebud.operators.by_user import UserFacts, user_facts
 from tastebud.operators.content import content_recommend, with_model
 from tastebud.operators.evaluation import DEFAULT_KS, compact_ranks, leaderboard
 from tastebud.operators.split import assign_split
@@ -195,6 +196,14 @@ def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame
     return _stage(spark, sf_dir, "recs", tuple(sorted({*_INTER, *_ITEMS, *_VECS})), p, build)
 
 
+def facts_by_user(spark: SparkSession, sf_dir: str, p: Params = P) -> UserFacts:
+    """Train, test and both deterministic models' recommendations in one table bucketed by user, written once."""
+    def build():
+        return user_facts(train_set(spark, sf_dir, p, True), test_set(spark, sf_dir, p, True),
+                          compact_ranks(two_model_recs(spark, sf_dir, p)))
+    return _stage(spark, sf_dir, "by_user", tuple(sorted({*_INTER, *_ITEMS, *_VECS})), p, build)
+
+
 # ------------------------------------------------- a user's own tables
 #: The reference's own model parameters, for a user's tables (``P`` holds those of the registered queries).
 REFERENCE = Params(k=ALS.DEFAULT_K, als_rank=ALS.DEFAULT_RANK, als_iter=ALS.DEFAULT_ITER, als_reg=ALS.DEFAULT_REG)

@@ -55,6 +55,7 @@ def q_leaderboard(spark, sf):
 # =============================================================== catalogue
 from tastebud.functions.numeric import r6  # noqa: E402
 from tastebud.functions.text import main_artist  # noqa: E402
+from tastebud.operators import by_user as BU  # noqa: E402
 from tastebud.operators import catalog as C  # noqa: E402
 from tastebud.operators import interactions as IX  # noqa: E402
 from tastebud.operators import ranking as RK  # noqa: E402
@@ -708,6 +709,24 @@ def q_leaderboard_models(spark, sf):
     return EV.leaderboard(_two_recs(spark, sf), PL.test_set(spark, sf, materialized=True), PL.P.ks)
 
 
+# the same tables laid out by user once: no exchange but the last aggregate's
+@register("leaderboard_by_user", _TWO + ", " + O.metrics_ctes("mrecs") + O.BOARD_SELECT)
+def q_leaderboard_by_user(spark, sf):
+    return BU.board(BU.user_metrics(PL.facts_by_user(spark, sf), PL.P.ks))
+
+
+@register("user_counts", _TWO + """,
+marks AS (SELECT user_id, item_id, 1 AS tr, 0 AS te, 0 AS re FROM train UNION ALL SELECT user_id, item_id, 0, 1, 0 FROM test
+  UNION ALL SELECT user_id, item_id, 0, 0, 1 FROM mrecs),
+pairs AS (SELECT user_id, item_id, max(tr) AS tr, max(te) AS te, sum(re) AS re FROM marks GROUP BY user_id, item_id)
+SELECT user_id, CAST(sum(tr) AS BIGINT) AS n_train, CAST(sum(te) AS BIGINT) AS n_test,
+       CAST(sum(tr * te) AS BIGINT) AS n_overlap, CAST(sum(re) AS BIGINT) AS n_recs,
+       CAST(sum(CASE WHEN re > 0 THEN te ELSE 0 END) AS BIGINT) AS n_found
+FROM pairs GROUP BY user_id""")
+def q_user_counts(spark, sf):
+    return BU.user_counts(PL.facts_by_user(spark, sf))
+
+
 @register("leaderboard_diff", _TWO + ", " + O.metrics_ctes("mrecs") + ", board AS (" + O.BOARD_SELECT + ")" + """
 SELECT a.K, """ + ", ".join(O.r6(f"b.{m} - a.{m}") + f" AS {m}_diff" for m in ("precision", "recall", "ndcg")) + """
 FROM board a JOIN board b ON a.K = b.K AND a.model = 'content' AND b.model = 'autoencoder'""")

@@ -93,12 +93,40 @@ def materialize(df, partition_by: tuple = (), tag: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of the session catalog over bucketed stage outputs.
+_TABLES: list[str] = []
+
+
+def materialize_bucketed(df, by: tuple, sort_by: tuple = (), partition_by: tuple = (), buckets: int | None = None):
+    """Write a stage output bucketed by ``by``, as a table whose files are in the shared folder.
+
+    Aggregates and windows by ``by`` (or more columns) then need no exchange.
+    Rows are dealt to tasks as they are to buckets, so a bucket is one file per
+    partition folder.  ``buckets``: the session's shuffle partitions unless given.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stage_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    _STAGES.append(path)
+    _TABLES.append(name)
+    writer = df.repartition(buckets, *by).write.format("parquet").option("path", path).bucketBy(buckets, *by)
+    if sort_by:
+        writer = writer.sortBy(*sort_by)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
 def release_stages(spark: SparkSession) -> int:
     """Delete the stage outputs written so far; DataFrames made from them can no longer be read.
 
     For long-lived applications, between jobs.  Returns the number of folders deleted.
     """
     n = 0
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     while _STAGES:
         path = spark._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
         n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
