@@ -41,36 +41,19 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _with_blocks(rows: DataFrame, key: str, row_id: str, cap: int) -> DataFrame:
-    """The rows with their key's number of blocks ``s`` and their own block ``blk``.
-
-    Only keys of more than ``cap`` rows are joined back, at most one for ``cap`` rows.
-    """
-    large = staged(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap), "largekeys")
-    many = join_small(rows, large, [key], "left")
-    many = many.withColumn("s", F.coalesce(F.ceil(F.col("n") / cap), F.lit(1)).cast("int")).drop("n")
-    return many.withColumn("blk", F.pmod(F.xxhash64(F.col(row_id), F.lit(7)), F.col("s")).cast("int"))
-
-
-def _cells(many: DataFrame, others) -> DataFrame:
-    many = many.withColumn("other", F.explode(others))
-    return many.withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other")).drop("s", "other")
-
-
 def blocked(rows: DataFrame, key: str, row_id: str, cap: int) -> DataFrame:
     """Give every row the cells ``(key, bi, bj)`` in which it meets the other rows of its key.
 
     A key of at most ``cap`` rows is one cell; a larger one is cut by the hash
     of ``row_id`` into blocks of about ``cap`` rows and every two blocks meet
     in a cell, so each cell holds about ``2 * cap`` rows and all pairs of a key
-    meet (those within a block in several cells).
+    meet (those within a block in several cells).  Only keys of more than
+    ``cap`` rows are joined back, at most one for ``cap`` rows.
     """
-    many = _with_blocks(rows, key, row_id, cap)
-    return _cells(many, F.when(F.col("s") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("s") - 1), lambda j: j != F.col("blk"))))
-
-
-def own_blocks(rows: DataFrame, key: str, row_id: str, cap: int) -> DataFrame:
-    """As :func:`blocked`, but each pair meets in one cell only: ``(b, b)`` for two rows of block ``b``
-    and ``(bi, bj)`` for rows of two blocks; ``blk`` tells a row's own block."""
-    return _cells(_with_blocks(rows, key, row_id, cap), F.sequence(F.lit(0), F.col("s") - 1))
+    large = staged(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap), "largekeys")
+    many = join_small(rows, large, [key], "left")
+    many = many.withColumn("s", F.coalesce(F.ceil(F.col("n") / cap), F.lit(1)).cast("int")).drop("n")
+    many = many.withColumn("blk", F.pmod(F.xxhash64(F.col(row_id), F.lit(7)), F.col("s")).cast("int"))
+    many = many.withColumn("other", F.explode(F.when(F.col("s") == 1, F.array(F.lit(0))).otherwise(
+        F.filter(F.sequence(F.lit(0), F.col("s") - 1), lambda j: j != F.col("blk")))))
+    return many.withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other")).drop("s", "other")

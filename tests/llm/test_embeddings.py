@@ -75,3 +75,66 @@ def test_estimates_are_unbiased_and_within_their_bounds():
         bound = embed_dedup.EPS * np.sqrt((1 - f ** 2) / f ** 2 / (dim - 1))
         assert (np.abs(e - true) <= bound).all()
     assert abs((est - true).mean()) < 0.005 and np.abs(est - true).max() < 0.15
+
+
+def test_bounds_of_rounded_vectors_hold_and_leave_a_narrow_band():
+    rng = np.random.default_rng(3)
+    dim = 64
+    rot = embed_dedup.rotation(dim)
+    x = embed_dedup.unit_vectors(rng.standard_normal((300, dim)))
+    y = embed_dedup.unit_vectors(x + rng.standard_normal((300, dim)) * rng.uniform(0, 0.09, (300, 1)))
+    sides = []
+    for v in (x, y):
+        code, f = embed_dedup.codes_of(v, rot)
+        sides.append(embed_dedup.Coded(code, f, *embed_dedup.whole_numbers(v @ rot)))
+    true = (x * y).sum(axis=1)
+    at = np.arange(300)
+    sure, open_ = embed_dedup.decide(*sides, at, at, 0.93)
+    assert (true[sure] >= 0.93).all() and (true[~sure & ~open_] < 0.93).all()
+    assert sure.sum() > 50 and (np.abs(true[open_] - 0.93) < 0.04).all()
+    i, j = embed_dedup.may_link(*sides, 0.93)
+    assert {int(k) for k in np.flatnonzero(true >= 0.93)} <= {int(a) for a, b in zip(i, j) if a == b}
+
+
+def test_pairs_at_the_threshold_are_decided_in_double_precision(spark):
+    """Cosines within 1e-12 to 1e-3 of the threshold, on both sides, are all left open by the bytes."""
+    prepare(spark)
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(12):
+        a, b = (v / np.linalg.norm(v) for v in rng.standard_normal((2, 32)))
+        b = embed_dedup.unit_vectors((b - (a @ b) * a)[None])[0]
+        for off in (0.0, 1e-12, 1e-6, 1e-3):
+            for sign in (1, -1):
+                c = 0.93 + sign * off + sign * 1e-14
+                rows.append((len(rows), (a * c + b * np.sqrt(1 - c * c)).tolist(), k))
+        rows.append((len(rows), a.tolist(), k))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    links, comp = brute(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_vectors(df).collect()}
+    assert got == {i: (n, c) for (i, _, _), n, c in zip(rows, links, comp)}
+
+
+def test_blocks_apart_in_angle_do_not_meet(spark, monkeypatch):
+    """Tight clusters in one label: blocks meet within clusters only, and no link is lost."""
+    prepare(spark)
+    monkeypatch.setattr(embed_dedup, "BLOCK_ROWS", 20)
+    rng = np.random.default_rng(13)
+    base = embed_dedup.unit_vectors(rng.standard_normal((6, 24)))
+    rows = [(len(base) * i + k, (v + rng.standard_normal(24) * 0.06).tolist(), 1) for i in range(60) for k, v in enumerate(base)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    seen, real = [], embed_dedup.angle_cells
+
+    def spy(coded, cap, min_cosine):
+        out = real(coded, cap, min_cosine)
+        seen.append(out.select("blk", "bi", "bj").distinct().collect())
+        return out
+
+    monkeypatch.setattr(embed_dedup, "angle_cells", spy)
+    links, comp = brute(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_vectors(df).collect()}
+    assert got == {i: (n, c) for (i, _, _), n, c in zip(rows, links, comp)}
+    assert sum(links) > 1000
+    blocks = len({r.blk for r in seen[0]})
+    met = len({(r.bi, r.bj) for r in seen[0]})
+    assert blocks >= 10 and met < blocks * (blocks + 1) / 2 * 0.7

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tastebud.llm.arrowtext import class_counts, hashed_counts, slices, split_words
 from tastebud.llm.common import join_small, let, prepare, words
-from tastebud.llm.components import blocked, connected_components, own_blocks
+from tastebud.llm.components import blocked, connected_components
 from tests.llm import brute as B
 
 TEXTS = ["", None, "a", "  lead\ttrail \n", "x\x0by\x0cz\rw", "non breaking  space", "a b  c\n\nd", "été \U0001f600"]
@@ -66,16 +66,11 @@ def test_connected_components(spark):
 def test_blocks_let_every_pair_of_a_key_meet(spark):
     prepare(spark)
     rows = spark.createDataFrame([("hot", i) for i in range(60)] + [("cold", i) for i in range(100, 105)], "k string, i long")
-    for fn, once in ((blocked, False), (own_blocks, True)):
-        cells = {}
-        for r in fn(rows, "k", "i", 16).collect():
-            cells.setdefault((r.k, r.bi, r.bj), []).append((r.i, r.blk))
-        met = {}
-        for (k, bi, bj), members in cells.items():
-            assert len(members) <= 60
-            for a, x in members:
-                for b, y in members:
-                    if a < b and (not once or bi == bj or x != y):
-                        met[a, b] = met.get((a, b), 0) + 1
-        want = {(a, b) for s in (range(60), range(100, 105)) for a in s for b in s if a < b}
-        assert set(met) == want and (not once or set(met.values()) == {1})
+    cells = {}
+    for r in blocked(rows, "k", "i", 16).collect():
+        cells.setdefault((r.k, r.bi, r.bj), []).append(r.i)
+    met = set()
+    for members in cells.values():
+        assert len(members) <= 60
+        met |= {(a, b) for a in members for b in members if a < b}
+    assert met == {(a, b) for s in (range(60), range(100, 105)) for a in s for b in s if a < b}
