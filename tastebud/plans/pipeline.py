@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tastebud.operators.by_user import UserFacts, user_facts
 from tastebud.operators.content import content_recommend, with_model
 from tastebud.operators.evaluation import DEFAULT_KS, compact_ranks, leaderboard
+from tastebud.operators.reports import lookup_table
 from tastebud.operators.split import assign_split
 from tastebud.session import materialize, release_stages
 from tastebud.sources import tables
@@ -196,6 +197,12 @@ def two_model_recs(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame
     return _stage(spark, sf_dir, "recs", tuple(sorted({*_INTER, *_ITEMS, *_VECS})), p, build)
 
 
+def recs_lookup(spark: SparkSession, sf_dir: str, p: Params = P) -> DataFrame:
+    """:func:`two_model_recs` ordered by user for looking up single users."""
+    return _stage(spark, sf_dir, "lookup", tuple(sorted({*_INTER, *_ITEMS, *_VECS})), p,
+                  lambda: lookup_table(two_model_recs(spark, sf_dir, p)))
+
+
 def facts_by_user(spark: SparkSession, sf_dir: str, p: Params = P) -> UserFacts:
     """Train, test and both deterministic models' recommendations in one table bucketed by user, written once."""
     def build():

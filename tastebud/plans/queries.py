@@ -58,6 +58,7 @@ from tastebud.functions.text import main_artist  # noqa: E402
 from tastebud.operators import by_user as BU  # noqa: E402
 from tastebud.operators import catalog as C  # noqa: E402
 from tastebud.operators import interactions as IX  # noqa: E402
+from tastebud.operators import sketches as SK  # noqa: E402
 from tastebud.operators import ranking as RK  # noqa: E402
 from tastebud.operators import sampling as SM  # noqa: E402
 from tastebud.operators import split as SP  # noqa: E402
@@ -1078,6 +1079,69 @@ def q_demo_user_report(spark, sf):
                                                                     "score")
 
 
+@register("user_lookup", ORACLE["demo_user_report"])
+def q_user_lookup(spark, sf):
+    mine = PL.recs_lookup(spark, sf).where(F.col("user_id") == F.lit(_DEMO_USER))
+    rep = RP.recs_with_meta(RP.recs_top_k(mine, _REPORT_K), PL.catalog(spark, sf, materialized=True))
+    return rep.select("model", "rank", "item_id", "name", "artist", "score")
+
+
+# ------------------------------------- sketches (#43, #70-72, #86, #88-91)
+_SET_PAIRS = [("train_items", "catalog_items"), ("train_items", "test_items"), ("train_pairs", "catalog_pairs"),
+              ("catalog_pairs", "test_pairs"), ("train_pairs", "test_pairs")]
+
+
+def _set_members(spark, sf):
+    """Train, test and catalogue as sets of items and of user-item pairs."""
+    tagged = PL.split_tagged(spark, sf, materialized=True)
+    cat = PL.catalog(spark, sf, materialized=True).select("item_id")
+    item, pair = F.col("item_id").cast("string"), F.concat_ws(":", "user_id", "item_id")
+    half = F.when(F.col("is_train"), "train").otherwise("test")
+    named = lambda df, name, key: df.select(F.concat(name, F.lit("_items" if key is item else "_pairs")).alias("set_name"),
+                                            key.alias("key"))
+    return (named(tagged, half, item).unionByName(named(tagged, half, pair)).unionByName(named(cat, F.lit("catalog"), item))
+            .unionByName(named(tagged.join(cat, "item_id", "left_semi"), F.lit("catalog"), pair)))
+
+
+@register("theta_set_sizes", O.with_(O.INTER, O.SPLIT, O.catalog_ctes(), """sets AS (
+  SELECT 'train_items' AS s, CAST(item_id AS VARCHAR) AS k FROM train UNION SELECT 'test_items', CAST(item_id AS VARCHAR) FROM test
+  UNION SELECT 'catalog_items', CAST(item_id AS VARCHAR) FROM catalog
+  UNION SELECT 'train_pairs', concat(user_id, ':', item_id) FROM train
+  UNION SELECT 'test_pairs', concat(user_id, ':', item_id) FROM test
+  UNION SELECT 'catalog_pairs', concat(user_id, ':', item_id) FROM inter WHERE item_id IN (SELECT item_id FROM catalog))""",
+    "wanted AS (SELECT * FROM (VALUES " + ", ".join(map(str, _SET_PAIRS)) + ") AS t(a, b))", """hits AS (
+  SELECT a, b, k, max(CASE WHEN s = a THEN 1 ELSE 0 END) AS in_a, max(CASE WHEN s = b THEN 1 ELSE 0 END) AS in_b
+  FROM wanted JOIN sets ON s = a OR s = b GROUP BY a, b, k)""") + "\nUNION ALL ".join(
+    f"SELECT a, b, '{op}' AS op, CAST(sum({n}) AS BIGINT) AS exact_size, true AS within, true AS parts_within FROM hits GROUP BY a, b"
+    for op, n in (("union", "1"), ("intersection", "in_a * in_b"), ("only_a", "in_a * (1 - in_b)"))))
+def q_theta_set_sizes(spark, sf):
+    """Sketches in one pass and sketches stored by part and merged, each within their bounds of the exact size."""
+    members = _set_members(spark, sf)
+    parts = PL.materialize(SK.set_sketches(members.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(8))), ("set_name", "part")))
+    ways = [("within", SK.set_sketches(members)), ("parts_within", SK.merge_set_sketches(parts))]
+    out = SK.exact_set_sizes(members, _SET_PAIRS)
+    for name, sketches in ways:
+        est = SK.sketch_set_sizes(sketches, _SET_PAIRS)
+        out = out.join(est, ["a", "b", "op"], "left").withColumn(
+            name, F.coalesce(F.abs(F.col("estimate") - F.col("exact_size")) <= F.col("bound"), F.lit(False))).drop("estimate", "bound")
+    return out
+
+
+@register("kll_user_counts", O.with_(O.INTER, O.SPLIT) + "\nUNION ALL ".join(
+    f"SELECT '{label}' AS dataset, CAST({q} AS DOUBLE) AS quantile, count(DISTINCT user_id) AS n, true AS within FROM {cte}"
+    for cte, label in (("inter", "interactions"), ("train", "train"), ("test", "test")) for q in (0.1, 0.5, 0.9)))
+def q_kll_user_counts(spark, sf):
+    """Quantiles of rows per user from sketches by part, merged; their exact ranks are within the sketch's error."""
+    tagged = PL.split_tagged(spark, sf, materialized=True)
+    rows = tagged.select("user_id", F.explode(F.array(
+        F.lit("interactions"), F.when(F.col("is_train"), "train").otherwise("test"))).alias("dataset"))
+    counts = PL.materialize(rows.groupBy("dataset", "user_id").agg(F.count(F.lit(1)).alias("c")))
+    parts = PL.materialize(SK.count_sketches(counts.withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(8))),
+                                             ("dataset", "part"), "c"))
+    found = PL.materialize(SK.sketch_quantiles(SK.merge_count_sketches(parts, ("dataset",))))
+    return SK.rank_check(found, counts, ("dataset",), "c")
+
+
 def _als_and_ae(spark, sf):
     """The reference's two real models: ALS and the trained autoencoder."""
     als = PL.model_recs(PL.als_recs(spark, sf), "als")

@@ -75,8 +75,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _STAGES: list[str] = []
 
 
-def materialize(df, partition_by: tuple = (), tag: str = "stage"):
-    """Write a stage output as Parquet to the shared folder and continue from it.
+def materialize(df, partition_by: tuple = (), tag: str = "stage", options: dict | None = None):
+    """Write a stage output as Parquet to the shared folder and continue from it; ``options`` go to the writer.
 
     Used where one stage output feeds several consumers (train and test,
     profiles and seen pairs): the upstream plan runs once, a lost executor
@@ -86,7 +86,7 @@ def materialize(df, partition_by: tuple = (), tag: str = "stage"):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     _STAGES.append(path)
-    writer = df.write
+    writer = df.write.options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
