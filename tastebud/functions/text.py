@@ -25,20 +25,29 @@ _ELEM = rf"(?:{_STR}\s*)++"
 _LIST = rf"^\s*\[\s*(?:{_ELEM}(?:,\s*{_ELEM})*+(?:,\s*)?)?\]\s*$"
 
 
+# An escape that is cut short or beyond the last code point: such a literal is none.
+_BAD_ESCAPE = (r"(?<!\\)(?:\\\\)*\\(?:x(?![0-9a-fA-F]{2})|u(?![0-9a-fA-F]{4})"
+               r"|U(?!(?:000[0-9a-fA-F]|0010)[0-9a-fA-F]{4}))")
+
+
 def _unescape(s: Column) -> Column:
     """The text of a string literal's inside: hexadecimal, octal and letter escapes, others stay as they are.
 
     The inside is cut before every escape; the cuts depend on whole escapes, so
-    a doubled backslash never joins the characters after it.
+    a doubled backslash never joins the characters after it.  A surrogate is no
+    character and becomes U+FFFD; characters by name stay as they are.
     """
-    parts = F.regexp_extract_all(s, F.lit(r"(?s)(\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\[0-7]{1,3}|\\.|[^\\]+)"), 1)
+    parts = F.regexp_extract_all(s, F.lit(
+        r"(?s)(\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\[0-7]{1,3}|\\.|[^\\]+)"), 1)
 
     def one(x):
         code = F.when(x.rlike(r"^\\x"), F.conv(F.substring(x, 3, 2), 16, 10)).when(
+            x.rlike(r"^\\U"), F.conv(F.substring(x, 3, 8), 16, 10)).when(
             x.rlike(r"^\\u[0-9a-fA-F]{4}$"), F.conv(F.substring(x, 3, 4), 16, 10)).when(
             x.rlike(r"^\\[0-7]"), F.conv(F.substring(x, 2, 3), 8, 10)).cast("int")
-        # a code point as text, by way of its UTF-16 form
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+        code = F.when(code.between(0xD800, 0xDFFF), F.lit(0xFFFD)).otherwise(code)
+        # a code point as text, by way of its UTF-32 form after a byte order mark
+        char = F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(code), 8, "0"))), "UTF-32")
         letters = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f", "v": "\v", "\\": "\\", "'": "'", '"': '"'}
         out = F.when(code.isNotNull(), char)
         for k, v in letters.items():
@@ -54,14 +63,14 @@ def main_artist(col) -> Column:
     ``['A', 'B']`` -> ``A``; a quoted scalar ``'solo'`` -> ``solo``; adjacent
     strings join; an empty first element stays ``''``.  An empty list, anything
     that is no list of strings as a whole (trailing text, nested lists, other
-    literals) and null give null.
+    literals, a broken escape) and null give null.
     """
     s = _c(col)
     whole = s.rlike(_LIST) | s.rlike(rf"^\s*{_ELEM}$")
     first = F.regexp_extract(s, rf"^\s*\[?\s*({_ELEM})", 1)
     pieces = F.regexp_extract_all(first, F.lit(rf"({_STR})"), 1)
     text = F.array_join(F.transform(pieces, lambda x: _unescape(F.substr(x, F.lit(2), F.length(x) - 2))), "")
-    return F.when(whole & (F.size(pieces) > 0), py_strip(text))
+    return F.when(whole & (F.size(pieces) > 0) & ~s.rlike(_BAD_ESCAPE), py_strip(text))
 
 
 def clip_text(col, width: int, default: str = "N/A") -> Column:

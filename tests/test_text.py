@@ -31,6 +31,16 @@ CASES = [
     ("[['A']]", None),
     ("['caf\\u00e9']", "caf\u00e9"),
     ("[1, 'A']", None),
+    ("['\\U0001F600 band']", "\U0001F600 band"),
+    ("['a\\U0010ffffb']", "a\U0010ffffb"),
+    ("['\\\\U0001F600']", "\\U0001F600"),
+    ("['a\\ufeffb']", "a\ufeffb"),
+    ("['a\\ud83db']", "a\ufffdb"),
+    ("['\\U00110000']", None),
+    ("['\\U0001F60']", None),
+    ("['\\x4']", None),
+    ("['A', '\\u12']", None),
+    ("['\\\\x4']", "\\x4"),
 ]
 
 
