@@ -49,3 +49,18 @@ def test_hot_repeated_pair_is_numbered_like_a_plain_window(spark, target):
             .withColumn("n", F.count(F.lit(1)).over(w)))
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_split_exchanges_rows_without_their_keys_and_sorts_them_in_enough_tasks(spark):
+    from tastebud.operators.ranking import SORT_ROWS, _sort_tasks
+    df = spark.createDataFrame([(i % 50, i) for i in range(3000)], "user_id long, item_id long")
+    keyed = df.withColumn("_key", order_key(42, "user_id", "item_id"))
+    want = {(r.user_id, r.item_id): (r.pos, r.n) for r in hashed_position(keyed, ["user_id"], "_key", ["item_id"]).collect()}
+    for target in (2_000_000, 25):  # without and with hot users
+        got = assign_split(df, target_rows=target)
+        assert got.columns == ["user_id", "item_id", "pos", "n", "n_train", "is_train"]
+        assert {(r.user_id, r.item_id): (r.pos, r.n) for r in got.collect()} == want
+    plan = assign_split(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan and "md5" not in plan[plan.index("RepartitionByExpression"):]  # below the exchange
+    assert _sort_tasks(0, 8) == 1 and _sort_tasks(3000, 8) == 1 and _sort_tasks(10 ** 6, 8) == 8
+    assert _sort_tasks(216 * SORT_ROWS, 12) == 216
