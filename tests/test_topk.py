@@ -74,3 +74,23 @@ def test_text_ids_and_profiles_beyond_one_block(spark):
     text = content_recommend(train.selectExpr("concat('u', user_id) user_id", "concat('i', lpad(item_id, 3, '0')) item_id"),
                              vecs.selectExpr("concat('i', lpad(item_id, 3, '0')) item_id", "vec"), 6)
     assert sorted((int(r.user_id[1:]), int(r.item_id[1:]), r.score, r.rank) for r in text.collect()) == one
+
+
+def test_profiles_formed_in_the_block_are_the_joined_means(spark):
+    from tastebud.operators.topk import profile_vectors
+    from tastebud.operators.vectors import mean_vectors
+    rng = np.random.RandomState(6)
+    pairs = [(u if u else None, int(i)) for u in range(40) for i in rng.choice(30, 7)] + [(77, 29)]  # a null user, unknown items
+    train = spark.createDataFrame(pairs, "user_id long, item_id long")
+    items = spark.createDataFrame([(i, rng.randn(4).tolist()) for i in range(26)], "item_id long, vec array<double>")
+    want = {r.user_id: r.vec for r in mean_vectors(train.join(items, "item_id"), "user_id", "vec", "vec").collect()}
+    got = profile_vectors(train, items)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "vec" not in plan.split("MapInArrow")[1].split("\n", 1)[1].split("LeftSemi")[0]  # ids alone are grouped
+    for frame in (got, profile_vectors(train, items, item_block_bytes=8), profile_vectors(train, items.union(items.limit(0)))):
+        rows = {r.user_id: r.vec for r in frame.collect()}
+        assert rows.keys() == want.keys() and all(np.allclose(rows[u], want[u], atol=1e-12) for u in want)
+    twice = items.unionByName(items.where("item_id < 9"))
+    a = {r.user_id: r.vec for r in profile_vectors(train, twice).collect()}
+    b = {r.user_id: r.vec for r in mean_vectors(train.join(twice, "item_id"), "user_id", "vec", "vec").collect()}
+    assert a.keys() == b.keys() and all(np.allclose(a[u], b[u], atol=1e-12) for u in a)
