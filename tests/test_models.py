@@ -196,3 +196,11 @@ def test_pipeline_over_given_tables(spark):
     assert r.n_train == out.train.count() and r.n_removed == r.n_train - r.n_in_catalog > 0
     assert {x.model for x in out.recs.select("model").distinct().collect()} == {"als", "autoencoder"}
     assert out.recs.join(out.train, ["user_id", "item_id"]).count() == 0
+
+
+def test_tasks_train_together_only_beyond_the_rows_of_one(spark):
+    from tastebud.operators import autoencoder as AE
+    few = spark.range(150_000)  # exchanging sums between tasks took more than three times as long
+    assert AE.barrier_tasks(few, 6) == 1
+    assert AE.barrier_tasks(few, AE.MAX_TASK_BYTES // 8 // 100_000) > 1  # rows too wide for one task
+    assert AE.barrier_tasks(spark.range(AE.ROWS_ALONE + 1), 6) > 1
