@@ -73,3 +73,17 @@ def test_a_pair_costs_a_fraction_of_scoring_and_sorting_it():
         R = round_scores(users[a:a + 64] @ items.T)
         np.argpartition(-R, 19, axis=1)
     assert searched < (time.process_time() - t0) * 8 / 2
+
+
+def test_few_pairs_are_scored_again_for_users_with_seen_items(monkeypatch):
+    rng = np.random.default_rng(3)
+    turn = rng.uniform(0, 2 * np.pi, (60_000, 1)) + 0.9 * np.arange(8)  # crowded: scores differ by less than 1e-6 at the top
+    items, users = np.cos(turn), np.sin(rng.uniform(0, 2 * np.pi, (512, 1)) + 1.1 * np.arange(8))
+    index, scored, scores = ItemIndex(np.arange(len(items)), items, "dot"), [], ItemIndex.scores
+    monkeypatch.setattr(ItemIndex, "scores", lambda self, users, at: (scored.append(len(at)), scores(self, users, at))[1])
+    seen = {(u, int(i)) for u in range(len(users)) for i in rng.choice(len(items), 20)}
+    seen |= {(0, int(i)) for i in np.argsort(-items @ users[0])[:300]}  # the best and more are seen
+    got = _rows(index, users, 20, seen)
+    assert sum(scored) < 600 * len(users)
+    some = {(u, i) for u, i in seen if u < 8}
+    assert [r for r in got if r[0] < 8] == _brute(users[:8], items, np.arange(len(items)), some, 20, "dot")
