@@ -1,5 +1,7 @@
 """Main-artist parsing and report formatting (FIXTURES §3)."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +70,17 @@ def test_fixed_width_line(spark):
     lines = [r.l for r in df.select(fixed_width_line("r", "n", "s").alias("l")).collect()]
     assert lines[0] == " 3. " + "abc".ljust(50) + " 0.5000"
     assert lines[1] == "100. " + "x" * 60 + " 0.2500"
+
+
+def test_literals_without_escapes_are_not_decoded(spark):
+    def seconds(inside):
+        rows = spark.range(0, 40_000, 1, 1).select(F.concat(F.lit("['"), F.col("id").cast("string"), F.lit(inside)).alias("s"))
+        took = []
+        for _ in range(3):
+            t0 = time.time()
+            n = rows.select(main_artist("s").alias("a")).where("length(a) > 7").count()
+            took.append(time.time() - t0)
+        assert n == 40_000
+        return min(took)
+
+    assert seconds(" and the band', 'B']") < 0.75 * seconds(" and the b\\x61nd', 'B']")
