@@ -1,6 +1,7 @@
 """Blocked top-K scoring against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tastebud.operators.topk import top_k_scores
@@ -94,3 +95,30 @@ def test_profiles_formed_in_the_block_are_the_joined_means(spark):
     a = {r.user_id: r.vec for r in profile_vectors(train, twice).collect()}
     b = {r.user_id: r.vec for r in mean_vectors(train.join(twice, "item_id"), "user_id", "vec", "vec").collect()}
     assert a.keys() == b.keys() and all(np.allclose(a[u], b[u], atol=1e-12) for u in a)
+
+
+def test_users_of_many_small_batches_are_searched_together(spark, monkeypatch):
+    from tastebud.operators import topk
+    rng = np.random.default_rng(5)
+    rows = [(u, [None, [], [{"i": u, "c": 1}]][u % 3]) for u in range(100)]
+    kind = pa.schema([("user_id", pa.int64()), ("seen", pa.list_(pa.struct([("i", pa.int64()), ("c", pa.int64())])))])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(kind.names, r)) for r in rows[a:a + 3]], schema=kind) for a in range(0, 100, 3)]
+    got = list(topk._gathered([*batches[:5], batches[0].slice(0, 0), *batches[5:]], 40))
+    assert [b.num_rows for b in got] == [42, 42, 16]
+    assert [tuple(r.values()) for b in got for r in b.to_pylist()] == rows
+    assert [topk._packed_lists(b.column("seen"))[1].sum() for b in got] == [14, 14, 5]
+    assert len(list(topk._gathered(batches, 40, batches[0].nbytes))) == len(batches)
+    # the same rows whatever the batches
+    users = spark.createDataFrame([(u, rng.normal(size=4).tolist()) for u in range(60)], "user_id long, vec array<double>").coalesce(1)
+    items = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(50)], "item_id long, vec array<double>")
+    seen = spark.createDataFrame([(u, (3 * u + j) % 50) for u in range(0, 60, 2) for j in range(4)], "user_id long, item_id long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = []
+    for n in ("7", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        try:
+            got.append([sorted(map(tuple, top_k_scores(users, items, 6, seen, "dot").collect())),
+                        sorted(map(tuple, topk.profile_top_k(seen, items, 6).collect()))])
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got[0] == got[1] and [len(g) for g in got[0]] == [360, 180]
