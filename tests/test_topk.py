@@ -122,3 +122,27 @@ def test_users_of_many_small_batches_are_searched_together(spark, monkeypatch):
         finally:
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert got[0] == got[1] and [len(g) for g in got[0]] == [360, 180]
+
+
+def test_sorted_rows_come_in_whole_users():
+    import pyarrow as pa
+    from tastebud.operators.ranking import long_ids, whole_groups
+    ids = np.repeat(np.arange(40) * 3, np.arange(40) % 7 + 1)
+    rows = pa.table({"u": pa.array([None, None, *ids.tolist()], pa.int64()), "i": np.arange(len(ids) + 2)})
+    batches = [b for b in rows.to_batches(max_chunksize=11)]
+    for groups, size in ((5, 1 << 20), (1000, 1 << 20), (1000, 1), (1, 1 << 20)):
+        got = list(whole_groups([batches[0].slice(0, 0), *batches], "u", groups, size))
+        assert pa.concat_tables(got).equals(rows)
+        users = [set(long_ids(t.column("u")).tolist()) for t in got]
+        assert sum(map(len, users)) == len(set().union(*users)) == 41  # no user in two tables
+        assert groups == size == 1000 or (len(got) > 1) == (groups < 41 or size == 1)
+
+
+def test_one_scoring_task_per_core(spark):
+    from tastebud.operators.topk import profile_top_k, top_k_scores
+    pairs = spark.range(3000).selectExpr("id % 700 as user_id", "(id * 7) % 97 as item_id")
+    items = spark.range(97).selectExpr("id as item_id", "array(sin(id), cos(id), 0.1D * id) as vec")
+    cores = spark.sparkContext.defaultParallelism
+    assert profile_top_k(pairs, items, 5).rdd.getNumPartitions() == cores
+    users = items.selectExpr("item_id as user_id", "vec")
+    assert top_k_scores(users, items, 5, pairs, "dot").rdd.getNumPartitions() == cores

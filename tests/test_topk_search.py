@@ -87,3 +87,15 @@ def test_few_pairs_are_scored_again_for_users_with_seen_items(monkeypatch):
     assert sum(scored) < 600 * len(users)
     some = {(u, i) for u, i in seen if u < 8}
     assert [r for r in got if r[0] < 8] == _brute(users[:8], items, np.arange(len(items)), some, 20, "dot")
+
+
+def test_bounds_of_single_precision_are_above_all_scores():
+    rng = np.random.default_rng(5)
+    for scale, metric in ((1.0, "cosine"), (1e-3, "dot"), (1e6, "dot")):
+        X, U = rng.normal(3.0, 1.0, (900, 12)) * scale, rng.normal(3.0, 1.0, (60, 12))
+        index = ItemIndex(np.arange(900), X, metric, [np.arange(a, a + 3) for a in range(0, 900, 3)])
+        turned = (U @ index.basis).astype(np.float32)
+        got = index.bounds(turned)
+        assert got.dtype == np.float32
+        scores = U @ (X / row_norms(X)[:, None] if metric == "cosine" else X).T
+        assert (got.astype(np.float64) >= scores.reshape(60, 300, 3).max(axis=2)).all()
