@@ -146,3 +146,34 @@ def test_one_scoring_task_per_core(spark):
     assert profile_top_k(pairs, items, 5).rdd.getNumPartitions() == cores
     users = items.selectExpr("item_id as user_id", "vec")
     assert top_k_scores(users, items, 5, pairs, "dot").rdd.getNumPartitions() == cores
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot"])
+def test_catalogues_of_several_pieces_copy_neither_users_nor_items(spark, monkeypatch, metric):
+    from tastebud.operators import topk
+    rng = np.random.default_rng(8)
+    V = rng.integers(-2, 3, (400, 4)).astype(float)  # many ties, within a piece and between pieces
+    items = spark.createDataFrame([(i * 3, v.tolist()) for i, v in enumerate(V)], "item_id long, vec array<double>")
+    users = spark.createDataFrame([(u, rng.normal(size=4).round(1).tolist()) for u in range(90)], "user_id long, vec array<double>")
+    seen = spark.createDataFrame([(u, int(i) * 3) for u in range(0, 90, 2) for i in rng.choice(420, 40)] +
+                                 [(1, i * 3) for i in range(400)], "user_id long, item_id long")
+    monkeypatch.setattr(topk, "GATHER_BYTES", 16 * 500 * 20)  # several rounds of users pass the pieces
+    for k in (7, 500):
+        want = sorted(map(tuple, top_k_scores(users, items, k, seen, metric).collect()))
+        got = top_k_scores(users, items, k, seen, metric, item_block_bytes=400 * 4 * 8 // 5)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "CoGroups" not in plan
+        assert sorted(map(tuple, got.collect())) == want
+    beyond = top_k_scores(users, items, 7, seen, metric, item_block_bytes=400 * 4 * 8 // (topk.MAX_PIECES + 1))
+    assert "CoGroups" in beyond._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_profiles_over_several_pieces_are_formed_from_ids(spark):
+    from tastebud.operators.topk import profile_top_k
+    rng = np.random.default_rng(9)
+    items = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(60)], "item_id long, vec array<double>")
+    pairs = spark.createDataFrame([(u, int(i)) for u in range(50) for i in rng.choice(60, 9)], "user_id long, item_id long")
+    want = sorted(map(tuple, profile_top_k(pairs, items, 6).collect()))
+    got = profile_top_k(pairs, items, 6, item_block_bytes=60 * 4 * 8 // 4)
+    assert "vec" not in got._jdf.queryExecution().optimizedPlan().toString()  # no vector is joined or shuffled
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 300
