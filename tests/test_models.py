@@ -204,3 +204,14 @@ def test_tasks_train_together_only_beyond_the_rows_of_one(spark):
     assert AE.barrier_tasks(few, 6) == 1
     assert AE.barrier_tasks(few, AE.MAX_TASK_BYTES // 8 // 100_000) > 1  # rows too wide for one task
     assert AE.barrier_tasks(spark.range(AE.ROWS_ALONE + 1), 6) > 1
+
+
+def test_rows_beyond_one_task_are_trained_on_by_jobs_that_do_not_wait(spark, monkeypatch):
+    p0 = AE.init_params(4, hidden=8, latent=3, seed=0)
+    data = _probe(spark, 300, 4, 4)
+    want = AE.train(data, 4, epochs=2, lr=1e-2, steps_per_epoch=4, params=p0, tasks=4)
+    monkeypatch.setattr(AE, "ROWS_ALONE", 100)
+    monkeypatch.setattr(AE, "ROWS_PER_TASK", 50)
+    monkeypatch.setattr(AE, "_epoch_by_barrier", None)  # tasks that wait a second for each exchange
+    got = AE.train(data, 4, epochs=2, lr=1e-2, steps_per_epoch=4, params=p0)
+    assert np.abs(got[0].flat() - want[0].flat()).max() < 1e-9 and np.allclose(got[1], want[1])
